@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, table
+from .common import small, table, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -58,7 +58,8 @@ def templates(pages: DataFrame, depth: int = DEPTH, max_children: int = MAX_CHIL
     ``bad`` is 1 or 0, or null where there's no label.
     """
     leaf = pages.groupBy("host", shape_of(F.col("path"), depth).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    tree = leaf.withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit(""))
+    # Each level is written: it is read three times, and has a row for each shape only.
+    tree = written(leaf.withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit("")), "tree")
     for level in range(1, depth + 2):
         segment = F.when(F.size("segments") >= level, F.element_at("segments", level)).otherwise("")
         tree = tree.withColumn("segment", segment)
@@ -71,6 +72,7 @@ def templates(pages: DataFrame, depth: int = DEPTH, max_children: int = MAX_CHIL
         named = judged.select("host", "template", "segment", F.when(F.col("segment") == "", "").when(wild, "*").otherwise(F.col("segment")).alias("name"))
         tree = tree.join(named, ["host", "template", "segment"])
         tree = tree.withColumn("template", F.when(F.col("segment") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))).drop("name", "segment")
+        tree = written(tree, "tree")
     return tree.select("host", "shape", "template", "labelled", "bad")
 
 
