@@ -1,17 +1,22 @@
 """Toxicity by multiple-instance learning from document labels.
 
 A document is a bag of sentences. A sentence's probability is logistic in the
-words it holds, and a document's is the noisy-or of its sentences': one minus
-the product of their complements. The weights are fitted to document labels
-alone (full-batch Adam with an L2 penalty) on at most ``sample_rows`` labelled
-documents, in one Spark task; scoring runs over all documents with the weights
-broadcast, and names the sentences that speak against a document.
+words it holds, and a document's is the noisy-or of its sentences' and of a
+leak: one minus the product of their complements. The leak stands for labels
+that no sentence explains, so that long clean documents don't add up to toxic
+ones. Words count if documents with them are toxic more often than by chance
+(a Chernoff bound, corrected for the number of words). Weights and leak are
+fitted to document labels alone (full-batch Adam with an L2 penalty) on at most
+``sample_rows`` labelled documents, in one Spark task; scoring runs over all
+documents with the weights broadcast, and names the sentences that speak
+against a document.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +26,13 @@ from .common import arrow_batches, table
 #: Labelled documents that a model is fitted to, and words it may know: both are bounds.
 SAMPLE_ROWS = 6_000
 MAX_WORDS = 60_000
-#: A word must be in so many of the sample's documents.
-LEAST_DOCS = 5
+#: A word must be in so many of the sample's documents, and its excess of toxic ones as unlikely as this over all words.
+LEAST_DOCS = 4
+CHANCE = 0.05
 STEPS = 300
+#: The weights' L2 penalty, and where it draws them: the words kept are signs of toxicity.
+PENALTY = 0.05
+PRIOR = 5.0
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -33,6 +42,12 @@ def sentences(text: str | None) -> list[str]:
     return [] if text is None else [s for s in _SENTENCE.split(text) if _WORD.search(s)]
 
 
+def features(sentence: str) -> set[str]:
+    """The lower-cased words, and the beginnings of longer ones, which stand for their inflections."""
+    words = set(_WORD.findall(sentence.lower()))
+    return words.union([w[:4] + "*" for w in words if len(w) > 4], [w[:5] + "*" for w in words if len(w) > 5])
+
+
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(text, label): labelled documents, at most ``rows``, picked by the hash of their id.
 
@@ -43,61 +58,78 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataF
     return docs.join(F.broadcast(picked), "doc_id").select("text", F.col("label").cast("int").alias("label")).where("text is not null").limit(rows)
 
 
-def fit(rows: DataFrame, steps: int = STEPS) -> tuple[dict[str, float], float]:
-    """The words' weights and the bias, from (text, label); without both labels, weights are empty and the prior rate is kept."""
+class Model(NamedTuple):
+    weights: dict[str, float]
+    bias: float
+    leak: float
+
+
+def fit(rows: DataFrame, steps: int = STEPS) -> Model:
+    """The model of (text, label); without both labels it has no weights, and the rows' rate as leak (0 without rows)."""
 
     def train(frame):
         import pandas as pd
 
-        known, bias = _train(frame["text"].tolist(), frame["label"].tolist(), steps)
-        return pd.DataFrame({"word": ["", *known], "weight": [bias, *known.values()]})
+        model = _train(frame["text"].tolist(), frame["label"].tolist(), steps)
+        return pd.DataFrame({"word": ["", " ", *model.weights], "weight": [model.bias, model.leak, *model.weights.values()]})
 
-    out = rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(train, "word string, weight double").collect()  # at most MAX_WORDS + 1 rows
+    out = rows.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(train, "word string, weight double").collect()  # at most MAX_WORDS + 2 rows
     weights = {r.word: r.weight for r in out}
-    return weights, weights.pop("", -20.0)
+    return Model(bias=weights.pop("", -20.0), leak=weights.pop(" ", 0.0), weights=weights)
 
 
-def _train(texts: list[str], labels: list[int], steps: int) -> tuple[dict[str, float], float]:
+def _train(texts: list[str], labels: list[int], steps: int) -> Model:
     import numpy as np
 
-    df: dict[str, int] = {}
-    for text in texts:
-        for w in set(_WORD.findall(text.lower())):
-            df[w] = df.get(w, 0) + 1
     y = np.array(labels, dtype=float)
     if not len(y) or y.min() == y.max():
-        return {}, 20.0 if len(y) and y.min() else -20.0
-    words = sorted((w for w, n in df.items() if n >= LEAST_DOCS), key=lambda w: (-df[w], w))[:MAX_WORDS]
+        return Model({}, -20.0, float(y.mean()) if len(y) else 0.0)
+    df: dict[str, list[int]] = {}
+    for text, label in zip(texts, labels, strict=True):
+        for w in features(text):
+            n = df.setdefault(w, [0, 0])
+            n[0] += 1
+            n[1] += label
+    often = sorted(w for w, (n, _) in df.items() if n >= LEAST_DOCS)
+    n, k = (np.array([df[w][i] for w in often], dtype=float) for i in (0, 1))
+    share, base = np.clip(k / n, 1e-9, 1 - 1e-9), y.mean()
+    bound = -n * (share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base)))
+    unlikely = (share > base) & (bound < np.log(CHANCE / max(1, len(often))))
+    order = np.argsort(bound, kind="stable")[:MAX_WORDS]
+    words = [often[i] for i in order if unlikely[i]]
     index = {w: i for i, w in enumerate(words)}
     sentence, feature, owner, n = array("i"), array("i"), array("i"), 0
     for d, text in enumerate(texts):
         for s in sentences(text):
             owner.append(d)
-            for w in index.keys() & set(_WORD.findall(s.lower())):
+            for w in index.keys() & features(s):
                 sentence.append(n)
                 feature.append(index[w])
             n += 1
     sentence, feature, owner = (np.array(x, dtype=np.int32) for x in (sentence, feature, owner))
-    w, bias = np.zeros(len(words)), -6.0
-    m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+    # Parameters: the words' weights, the bias, and the leak's logit.
+    x = np.append(np.full(len(words), PRIOR), [-8.0, -3.0])
+    m, v = np.zeros(len(x)), np.zeros(len(x))
     for step in range(1, steps + 1):
+        w, bias, leak = x[:-2], x[-2], 1 / (1 + np.exp(-x[-1]))
         z = np.bincount(sentence, w[feature], minlength=n) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        log_none = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y))
+        log_none = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(y)) + np.log1p(-leak)
         doc = np.clip(1 - np.exp(log_none), 1e-9, 1 - 1e-9)
-        # d loss / d z of a sentence: p for a clean document, -p (1 - doc) / doc for a toxic one.
-        g = np.where(y[owner] > 0, -p * (1 - doc[owner]) / doc[owner], p)
-        grad = np.append(np.bincount(feature, g[sentence], minlength=len(words)) + 0.5 * w, g.sum()) / len(y)
+        # The loss' slope in a logit of probability p: p for a clean document, -p (1 - doc) / doc for a toxic one.
+        pull = np.where(y > 0, -(1 - doc) / doc, 1.0)
+        g = p * pull[owner]
+        grad = np.append(np.bincount(feature, g[sentence], minlength=len(words)) + PENALTY * (w - PRIOR), [g.sum(), leak * pull.sum()]) / len(y)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        w, bias = w - move[:-1], bias - move[-1]
-    return {x: float(w[i]) for x, i in index.items() if abs(w[i]) > 0.02}, float(bias)
+        x = x - 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    return Model({word: float(x[i]) for word, i in index.items()}, float(x[-2]), float(1 / (1 + np.exp(-x[-1]))))
 
 
-def score(docs: DataFrame, model: tuple[dict[str, float], float], text: str = "text", keep: list[str] | None = None, flag: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, flag: float = 0.5) -> DataFrame:
     """The columns ``keep`` with score and offending: the numbers, from 0, of sentences of at least ``flag``.
 
-    A text without sentences (null, empty, signs only) scores 0. Whole texts are read.
+    A text without sentences (null, empty, signs only) scores the leak. Whole
+    texts are read; repeated rows score alike.
     """
     arrow_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "offending")]
@@ -108,14 +140,14 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float], text: str = "t
 
         import pyarrow as pa
 
-        weights, bias = sent.value
+        weights, bias, leak = sent.value
         known = weights.keys()
         for batch in batches:
             scores, where = [], []
             for t in batch.column("__text").to_pylist():
-                none, bad = 0.0, []
+                none, bad = math.log1p(-leak), []
                 for i, s in enumerate(sentences(t)):
-                    z = bias + sum(map(weights.__getitem__, known & set(_WORD.findall(s.lower()))))
+                    z = bias + sum(map(weights.__getitem__, known & features(s)))
                     z = max(-30.0, min(30.0, z))
                     none -= math.log1p(math.exp(z))
                     if 1 / (1 + math.exp(-z)) >= flag:
