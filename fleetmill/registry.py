@@ -1,6 +1,6 @@
 """The queries of the reliability library and their SQL."""
 
-from __future__ import annotations
+from fleetmill.plans.oracle import SQL
+from fleetmill.plans.queries import QUERIES
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {name: SQL[name] for name in QUERIES if name in SQL}
