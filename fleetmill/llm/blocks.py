@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 BLOCK = 1024
 
 
-def dealt(rows: DataFrame, sizes: DataFrame, group: list[str], by: Column, block: int = BLOCK) -> DataFrame:
+def dealt(rows: DataFrame, group: list[str], by: Column, block: int = BLOCK) -> DataFrame:
     """rows, copied for each block pair of their group, with i <= j and ``mine`` (the row's block), sorted by unit within partitions.
 
-    ``sizes`` has a row for each group, with the number of its ``members``.
+    Each row has the number of its group's ``members``.
     """
     blocks = F.ceil(F.col("members") / block).cast("int")
-    rows = rows.join(sizes, group).withColumn("mine", F.pmod(F.xxhash64(by), blocks).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64(by), blocks).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumns({"i": F.least("mine", "__other"), "j": F.greatest("mine", "__other")}).drop("members", "__other")
     unit = [*group, "i", "j"]
     return rows.repartition(*unit).sortWithinPartitions(*unit)

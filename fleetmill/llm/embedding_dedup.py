@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import dealt
-from .common import arrow_batches, components, forest, groups_of, table, written
+from .common import arrow_batches, components, forest, groups_of, small, table, written
 
 COSINE = 0.98
 #: Vectors to fit cells to, a label; labels with cells (the largest ones); vectors a cell; cells a label.
@@ -137,7 +137,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
             hit = n > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array(ids[root[hit]]), pa.array(n[hit])], ["a", "b", "links"])
 
-    found = dealt(shown, sizes, ["label", "size", "cell"], F.col("id")).mapInArrow(compare, "a bigint, b bigint, links bigint")
+    found = dealt(shown.join(small(sizes), ["label", "size", "cell"]), ["label", "size", "cell"], F.col("id")).mapInArrow(compare, "a bigint, b bigint, links bigint")
     found = written(found, "links")
     linked = components(found.select("a", "b"))
     counted = found.groupBy("a").agg(F.sum("links").alias("links"))

@@ -210,29 +210,20 @@ def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame
     return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def verified(members: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+def verified(texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Edges (a, b) of the exact links: a spanning forest for each block pair of each group.
 
-    ``members`` has grp, id and text.
+    ``texts`` has grp, id, members (their number in the group) and text.
     """
-    arrow_batches(members.sparkSession, 1000)
-
-    def to_sets(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            sets = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("id"), pa.array(sets, pa.binary())], ["grp", "id", "hashes"])
+    arrow_batches(texts.sparkSession, 1000)
 
     def compare(batches):
-        import numpy as np
         import pyarrow as pa
 
         for unit in groups_of(batches, ["grp", "i", "j"]):
             ids = unit.column("id").to_pylist()
             mine, j = unit.column("mine").to_numpy(), unit.column("j")[0].as_py()
-            sets = [np.frombuffer(x, dtype=np.uint64) for x in unit.column("hashes").to_pylist()]
-            linked = links(sets, percent)
+            linked = links([shingles(t, width) for t in unit.column("text").to_pylist()], percent)
             if unit.column("i")[0].as_py() != j:  # what's within a block is another unit's
                 linked &= mine[:, None] != mine[None, :]
             pairs = forest(linked)
@@ -240,8 +231,7 @@ def verified(members: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
                 x, y = zip(*pairs, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in x], pa.int64()), pa.array([ids[k] for k in y], pa.int64())], ["a", "b"])
 
-    rows = members.mapInArrow(to_sets, "grp bigint, id bigint, hashes binary")
-    return dealt(rows, members.groupBy("grp").agg(F.count("*").alias("members")), ["grp"], F.col("id")).mapInArrow(compare, "a bigint, b bigint")
+    return dealt(texts, ["grp"], F.col("id")).mapInArrow(compare, "a bigint, b bigint")
 
 
 def links(sets: list, percent: int = PERCENT):
@@ -283,16 +273,18 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
     rows have equal sets, and so one group. Null ids count as larger than all
     others; an empty table gives no rows. No column but doc_id and ``text`` is read.
     """
-    marks = written(sketches(docs, text, width, percent), "sketches")
-    sets = written(marks.where("n > 0").select("t1", "t2", "n", "key", "bits", "prefix").dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id()), "sets")
-    groups = components(candidates(sets, boundary(sets), percent))
-    # One text stands for each set; texts come by hash, and copies of a text are one again.
-    members = written(groups.join(sets.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "t1", "t2"), "members")
-    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(small(members), ["t1", "t2"]).select("grp", "id", "text")
-    texts = texts.groupBy("grp", "id").agg(F.min("text").alias("text"))
+    marks = written(sketches(docs, text, width, percent).withColumn("id", F.monotonically_increasing_id()), "sketches")
+    # One row stands for each set; its id is the set's.
+    keys = written(marks.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("doc_id").alias("least")), "keys")
+    sets = marks.select("id", "t1", "t2", "n", "bits", "prefix").join(small(keys.select("id")), "id")
+    groups = written(components(candidates(sets, boundary(sets), percent)), "groups")
+    sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
+    members = written(groups.join(sizes, "component").join(marks.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "members", "t1", "t2"), "members")
+    # Texts come by hash, and copies of a text are one again.
+    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(small(members), ["t1", "t2"]).select("grp", "id", "members", "text")
+    texts = texts.groupBy("grp", "id", "members").agg(F.min("text").alias("text"))
     linked = components(verified(texts, percent, width))
-    class_of = sets.select("key", "id").join(linked, "id", "left").select("key", F.coalesce("component", "id").alias("class"))
-    named = marks.where("key is not null").select("doc_id", "key").groupBy("key").agg(F.min("doc_id").alias("least")).join(class_of, "key")
+    named = keys.join(linked, "id", "left").select("key", "least", F.coalesce("component", "id").alias("class"))
     smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
     by_key = named.join(smallest, "class").select("key", "component_id")
     return marks.select("doc_id", F.col("n").alias("n_shingles"), "key").join(by_key, "key", "left").select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
