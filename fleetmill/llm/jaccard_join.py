@@ -30,8 +30,10 @@ from .common import arrow_batches, components, forest, groups_of, small, table,
 
 WIDTH = 4
 PERCENT = 85
-#: Bits of a sketch: the parity of the set's hashes in so many classes.
-BITS = 512
+#: Bits of a sketch (the parity of the set's hashes in so many classes): the
+#: next power of two of this share of the set's size, and so many at least.
+#: Of two unrelated sets, half of the bits differ, more than links allow.
+LEAST_BITS, BIT_SHARE = 512, 0.45
 #: The longest prefix for which pairs are considered.
 MAX_PAIRS_PREFIX = 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -90,7 +92,8 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
                     key.append(None), bits.append(None), prefix.append(None)
                     continue
                 key.append(xxhash.xxh3_128_digest(h.tobytes()))
-                odd = np.bincount((h >> np.uint64(11)).astype(np.int64) & (BITS - 1), minlength=BITS) & 1
+                size = max(LEAST_BITS, 1 << (int(BIT_SHARE * len(h)) - 1).bit_length())
+                odd = np.bincount((h >> np.uint64(11)).astype(np.int64) & (size - 1), minlength=size) & 1
                 bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
                 prefix.append(h[: len(h) - least_overlap(len(h), percent) + 2].view(np.int64))
             new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
@@ -142,7 +145,7 @@ def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame
     """Edges (a, b) that join whatever may link: a spanning forest of each list's pairs that sketches don't rule out."""
     from pyspark.sql import Window
 
-    arrow_batches(sets.sparkSession, 20_000)
+    arrow_batches(sets.sparkSession, 10_000)
     keys = _keys(sets, bound, percent)
     met = keys.withColumn("m", F.count("*").over(Window.partitionBy("s"))).where("m > 1").drop("m")
     rows = met.join(sets.select("id", "n", "bits"), "id").select("s", "id", "n", "bits").repartition("s").sortWithinPartitions("s", "n", "id")
@@ -170,15 +173,32 @@ def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame
         import pyarrow as pa
 
         s, ids, n = (rows.column(c).to_numpy() for c in ("s", "id", "n"))
-        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(len(s), BITS // 64)
+        raw = rows.column("bits").to_pylist()
+        width = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        # Sketches by width, and each width's folded to half: classes modulo a half are the exclusive or of the halves.
+        place, whole, half = np.zeros(len(raw), dtype=np.int64), {}, {}
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            place[at] = np.arange(len(at))
+            whole[w] = np.frombuffer(b"".join(raw[k] for k in at.tolist()), dtype=np.uint64).reshape(len(at), w // 8)
+            if w * 8 > LEAST_BITS:
+                half[w] = whole[w][:, : w // 16] ^ whole[w][:, w // 16 :]
         out = set()
 
         def passes(x, y):
             """Rows x and y: the overlap needed, against the bound by the sketches' differing bits."""
             both = n[x] + n[y]
             need = -(-percent * both // (100 + percent))
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1).astype(np.int64)
-            return ((both - apart) // 2 >= need) & (np.minimum(n[x], n[y]) >= need)
+            ok = np.minimum(n[x], n[y]) >= need
+            for w in np.unique(width[x[ok]]).tolist():
+                for wide, table in ((w, whole.get(w)), (2 * w, half.get(2 * w)), (w // 2, None)):
+                    at = np.flatnonzero(ok & (width[x] == w) & (width[y] == wide))
+                    if len(at):
+                        a = half[w] if table is None else whole[w]
+                        b = whole[wide] if table is None else table
+                        apart = np.bitwise_count(a[place[x[at]]] ^ b[place[y[at]]]).sum(axis=1).astype(np.int64)
+                        ok[at] = (both[at] - apart) // 2 >= need[at]
+            return ok
 
         starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
         sizes = np.diff(np.append(starts, len(s)))
