@@ -176,6 +176,8 @@ def without_spans(docs: DataFrame, found: DataFrame, key: str = "doc_id", text:
     ``found`` is the result of contamination() with ``key``; keys are unique here.
     """
 
+    names = docs.columns
+
     def cut(batches):
         import pyarrow as pa
 
@@ -183,10 +185,10 @@ def without_spans(docs: DataFrame, found: DataFrame, key: str = "doc_id", text:
             out = []
             for t, spans in zip(batch.column(text).to_pylist(), batch.column("__spans").to_pylist(), strict=True):
                 out.append(t if t is None or not spans else cut_text(t, [(s["low"], s["high"]) for s in spans]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else batch.column(c) for c in names], names)
 
     hits = found.where("n_hit > 0").select(key, F.col("spans").alias("__spans"))
-    return docs.join(hits, key, "left").select(*docs.columns, "__spans").mapInArrow(cut, docs.schema)
+    return docs.join(hits, key, "left").select(*names, "__spans").mapInArrow(cut, docs.schema)
 
 
 def cut_text(text: str, spans: list[tuple[int, int]]) -> str:

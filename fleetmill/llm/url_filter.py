@@ -1,12 +1,13 @@
 """URL filter: path-template trees a host, rejecting templates by smoothed labelled purity.
 
 A page's path is a way down its host's tree, a segment a level. Digits within a
-segment are a wildcard; a level with many different segments becomes one
-wildcard; and sibling branches whose labelled share of bad pages doesn't differ
-significantly from their parent's are merged into one. A template is rejected
-if its share of bad labelled pages, smoothed towards the host's and that towards
-the corpus', reaches a threshold. All counts are grouped sums over all pages,
-so a hot host costs no more than its templates.
+segment are a wildcard. Sibling branches whose labelled share of bad pages
+isn't significantly above their parent's are merged into one wildcard; where a
+level has many different segments, more labels are asked of one that is to
+stay. A template is rejected if its share of bad labelled pages, smoothed
+towards the host's and that towards the corpus', reaches a threshold; a host's
+share alone rejects nothing. All counts are grouped sums over all pages, so a
+hot host costs no more than its templates.
 
 Labels are given, or else come from the rules: pages that a rule blocks are bad
 examples, pages that one allows are good ones.
@@ -23,9 +24,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Levels of the tree; what lies deeper is one segment.
 DEPTH = 4
-#: More different children than this make a level a wildcard.
-MAX_CHILDREN = 24
-#: Branches within so many standard errors of their parent are merged.
+#: Labelled pages of a branch that may stay apart: below few siblings, and below more than MAX_CHILDREN.
+LEAST_LABELS, MANY_LABELS, MAX_CHILDREN = 5, 25, 24
+#: Branches less than so many standard errors above their parent are merged.
 ERRORS = 2.5
 #: Weight of the prior in pages, and the rejected share.
 WEIGHT = 5.0
@@ -44,7 +45,7 @@ def path_of(url: Column) -> Column:
 
 def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     """struct(verdict, rule) of the longest rule that fits, or null."""
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<verdict:string,rule:string>")
     for verdict, rule in sorted(rules, key=lambda r: (len(r[1]), r[1])):
         own, slash, rest = rule.partition("/")
         fits = ((host == own) | host.endswith("." + own)) & path.startswith(slash + rest)
@@ -67,8 +68,9 @@ def templates(pages: DataFrame, depth: int = DEPTH, max_children: int = MAX_CHIL
         parent = child.groupBy("host", "template").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.count("*").alias("children"))
         judged = child.join(parent, ["host", "template"])
         share = (F.col("pb") + 0.5) / (F.col("pl") + 1)
-        differs = (F.col("l") > 0) & (F.abs(F.col("b") / F.col("l") - share) > errors * F.sqrt(share * (1 - share) / F.col("l")))
-        wild = (F.col("children") > max_children) | ((F.col("children") > 1) & ~F.coalesce(differs, F.lit(False)))
+        enough = F.col("l") >= F.when(F.col("children") > max_children, MANY_LABELS).otherwise(LEAST_LABELS)
+        differs = enough & (F.try_divide("b", "l") - share > errors * F.sqrt(F.try_divide(share * (1 - share), F.col("l"))))
+        wild = (F.col("children") > 1) & ~F.coalesce(differs, F.lit(False))
         named = judged.select("host", "template", "segment", F.when(F.col("segment") == "", "").when(wild, "*").otherwise(F.col("segment")).alias("name"))
         tree = tree.join(named, ["host", "template", "segment"])
         tree = tree.withColumn("template", F.when(F.col("segment") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))).drop("name", "segment")
@@ -103,9 +105,9 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, labels: Column | None
     host_prior = F.when(F.col("hl") > 0, F.least((F.col("hb") + weight * prior) / (F.col("hl") + weight), F.lit(reject * 0.99))).otherwise(prior)
     purity = (F.col("b") + weight * host_prior) / (F.col("l") + weight)
     rated = by_template.join(by_host, "host").join(F.broadcast(whole), F.lit(True)).select("host", "template", purity.alias("purity"))
-    lookup = tree.select("host", "shape", "template").join(rated, ["host", "template"])
+    lookup = tree.select("host", F.col("shape").alias("__shape"), "template").join(rated, ["host", "template"])
     lookup = small(lookup, 200_000)
-    out = at.withColumn("shape", shape_of(F.col("path"))).join(lookup, ["host", "shape"])
+    out = at.withColumn("__shape", shape_of(F.col("path"))).join(lookup, ["host", "__shape"])
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("purity") >= reject, "block").otherwise("allow"))
     return out.select(*pages.columns, "host", "path", F.col("__rule.rule").alias("rule"), "template", "purity", verdict.alias("verdict"))
 

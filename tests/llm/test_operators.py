@@ -1,0 +1,370 @@
+"""The operators against plain versions, on small frames with the odd cases."""
+
+import hashlib
+import json
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fleetmill.llm import blocks, chat, common, decontamination, embedding_dedup, encoding, jaccard_join, packing, sharding, token_counts, token_files, toxicity, url_filter
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + r.choice(["", "", str(r.randrange(50))]) for _ in range(n))
+
+
+BASE = [prose(n, n) for n in (3, 4, 5, 8, 12, 20, 40, 60, 90, 150, 300)]
+ODD = [None, "", "  \n ", "one", "One\ttwo", "%%% ###", "<|endoftext|> x<|startoftext|>", "É é ß ﬁ İ Σας", "a" * 5000, "x " * 3000]
+
+
+def documents(spark, texts):
+    rows = [(i, t, "own") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows + [(None, "null id", "own"), rows[3], rows[3]], "doc_id bigint, text string, n_tokens string")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    r = random.Random(1)
+    near = []
+    for t in BASE:
+        for k in (0, 1, 2, 5):
+            w = t.split()
+            for _ in range(k):
+                w[r.randrange(len(w))] = f"new{r.randrange(99)}"
+            near.append(" ".join(w))
+    near += [BASE[-1] + " tail", BASE[-1].upper(), BASE[5].replace(" ", "\n")]
+    return documents(spark, ODD + near).cache()
+
+
+def empty(df):
+    return df.where("false")
+
+
+@pytest.fixture(scope="module")
+def word_library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(encoding.tokenizer_path("word_bpe_49k.json"))
+
+
+@pytest.fixture(scope="module")
+def byte_library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(encoding.tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_every_token_of_the_word_tokenizer_gives_itself(word_library):
+    """What the faster merge rests on, as the module says."""
+    with open(encoding.tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    for token, i in vocabulary.items():
+        if token.endswith("</w>"):
+            assert [x.id for x in word_library.model.tokenize(token.removesuffix("</w>"))] == [i]
+
+
+def test_encoders_equal_the_library(word_library, byte_library):
+    r = random.Random(3)
+    made = ["".join(r.choice("abcdefgh éÉßñ.,;%0'’\n\t  <|>ÀΣ́中") for _ in range(r.randrange(80))) for _ in range(800)]
+    texts = [t for t in ODD if t is not None] + BASE + made
+    word = encoding.WordEncoder(encoding.tokenizer_path("word_bpe_49k.json"))
+    byte = encoding.ByteEncoder(encoding.tokenizer_path("byte_bpe_50k.json"), encoding.tokenizer_path("byte_bpe_50k.tiktoken"))
+    for text, ids in zip(texts, word.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == word_library.encode(text, add_special_tokens=False).ids, text
+        assert list(byte.encode(text)) == byte_library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing(spark, docs, byte_library):
+    parts = packing.pieces(docs, encoding.tokenizer_path("byte_bpe_50k.json"), encoding.tokenizer_path("byte_bpe_50k.tiktoken"), length=256)
+    out = packing.pack(parts, length=256, cell_pieces=20).collect()
+    by_doc = {}
+    for r in docs.select("doc_id", "text").distinct().collect():
+        by_doc[r.doc_id] = byte_library.encode(r.text or "", add_special_tokens=False).ids + [0]
+    for r in out:
+        ids = np.array(by_doc[r.doc_id][r.start : r.start + r.length], "<u4")
+        assert len(ids) == r.length <= 256 and zlib.crc32(ids.tobytes()) == r.ids_crc32
+        assert r.piece == 0 or r.length == 256
+    assert sum(r.length for r in out) == sum(len(by_doc[r.doc_id]) for r in docs.collect())
+    at = {}
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == at.get(r.sequence_id, 0)
+        at[r.sequence_id] = r.offset + r.length
+        assert at[r.sequence_id] <= 256
+    assert packing.pack(empty(parts)).count() == 0
+
+
+def test_local_search_empties_bins():
+    r = random.Random(5)
+    for _ in range(30):
+        sizes = [r.randrange(1, 101) for _ in range(80)]
+        start = [[i] for i in range(80)]  # a poor packing
+        before = sum(sizes[i] ** 2 for i in range(80))
+        bins = packing.local_search(sizes, [list(b) for b in start], 100, look=80, rounds=500)
+        assert sorted(i for b in bins for i in b) == list(range(80))
+        fills = [sum(sizes[i] for i in b) for b in bins]
+        assert max(fills) <= 100 and sum(f * f for f in fills) > before and len(bins) < 60
+    assert len(packing.local_search([50, 50, 30, 70], [[0, 2], [1], [3]], 100)) == 2  # an exchange is needed
+    assert packing.best_fit([]) == []
+
+
+def brute_jaccard(rows, percent=85):
+    sets = []
+    for _, text in rows:
+        w = [] if text is None else text.encode().lower().split()
+        sets.append({tuple(w[i : i + 4]) for i in range(len(w) - 3)} or ({tuple(w)} if w else set()))
+    group = common.Sets(len(rows))
+    for a in range(len(rows)):
+        for b in range(a):
+            x = len(sets[a] & sets[b])
+            if x and 100 * x >= percent * (len(sets[a]) + len(sets[b]) - x):
+                group.join(a, b)
+    ids = [i for i, _ in rows]
+    least = {}
+    for k in range(len(rows)):
+        if ids[k] is not None:
+            least[group.root(k)] = min(least.get(group.root(k), ids[k]), ids[k])
+    return sorted(((ids[k], len(sets[k]), least.get(group.root(k)) if sets[k] else ids[k]) for k in range(len(rows))), key=str)
+
+
+@pytest.mark.parametrize("percent", [85, 60])
+def test_jaccard_components(spark, docs, percent):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = jaccard_join.jaccard_components(docs, percent=percent)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_jaccard(rows, percent)
+
+
+def test_jaccard_pairs_and_lists_agree(spark, docs):
+    """Whatever the boundary, the candidates' components after verification are the same."""
+    marks = jaccard_join.sketches(docs).withColumn("id", F.monotonically_increasing_id()).where("n > 0").dropDuplicates(["key"]).cache()
+    marks.count()
+    sets = {r.id: set(jaccard_join.shingles(r.text).tolist()) for r in marks.join(docs.select("text", *jaccard_join.text_hashes("text")).distinct(), ["t1", "t2"]).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    for bound in (0, 3, 16):
+        group = {i: i for i in sets}
+
+        def root(x, group=group):
+            while group[x] != x:
+                x = group[x]
+            return x
+
+        for r in jaccard_join.candidates(marks, bound).collect():
+            group[max(root(r.a), root(r.b))] = min(root(r.a), root(r.b))
+        assert all(root(a) == root(b) for a, b in links)
+
+
+def test_jaccard_blocks(spark, monkeypatch):
+    """A group of many blocks: copies of one text with two words changed each, which link through few of them."""
+    monkeypatch.setattr(blocks.dealt, "__defaults__", (7,))
+    base, r, texts = prose(120, 9).split(), random.Random(2), []
+    for k in range(40):
+        w = list(base)
+        for _ in range(k % 4):
+            w[r.randrange(len(w))] = f"w{k}x{r.randrange(9)}"
+        texts.append((k, " ".join(w)))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(texts, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_jaccard(texts)
+
+
+def test_jaccard_of_an_empty_table(spark, docs):
+    assert jaccard_join.jaccard_components(empty(docs)).count() == 0
+
+
+def test_components(spark):
+    r = random.Random(4)
+    edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5), (None, 3)]
+    group = common.Sets(200)
+    for a, b in edges:
+        if a is not None:
+            group.join(a, b)
+    got = {x.id: x.component for x in common.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert all(c == group.root(i) for i, c in got.items()) and set(got) == {i for a, b in edges if a is not None and a != b for i in (a, b)}
+
+
+def test_token_counts(spark, docs, word_library):
+    got = token_counts.token_counts(docs, encoding.tokenizer_path("word_bpe_49k.json"), limit=50)
+    want = sorted((str(r.doc_id), len((r.text or "").encode()), n := len(word_library.encode(r.text or "", add_special_tokens=False).ids), n > 50) for r in docs.collect())
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in got.collect()) == want
+    assert token_counts.token_counts(empty(docs), encoding.tokenizer_path("word_bpe_49k.json")).count() == 0
+
+
+@pytest.mark.parametrize("slice_windows", [1_000_000, 40])
+def test_decontamination(spark, docs, slice_windows):
+    items = [(1, BASE[6]), (2, BASE[5] + " unseen"), (10, "one"), (11, None), (None, BASE[7]), (12, "!!"), (2, BASE[9]), (13, "İ")]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    found = decontamination.contamination(docs, spark.createDataFrame(items, "item_id bigint, text string"), keep=["doc_id"], slice_windows=slice_windows).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.n_hit > 0) for r in found), key=str)
+    assert got == sorted(decontamination.brute_force(rows, items), key=str)
+    none = decontamination.contamination(docs, spark.createDataFrame([], "item_id bigint, text string"))
+    assert none.where("n_hit > 0").count() == 0 and none.count() == docs.count()
+
+
+def test_spans_are_cut(spark):
+    rows = spark.createDataFrame([(1, "Keep this, A b; c d. Then é more"), (2, None), (3, "a b c")], "doc_id bigint, text string")
+    found = decontamination.contamination(rows, spark.createDataFrame([(1, "a B c D")], "item_id bigint, text string"))
+    out = {r.doc_id: r.text for r in decontamination.without_spans(rows, found).collect()}
+    assert out == {1: "Keep this, . Then é more", 2: None, 3: "a b c"}
+
+
+def test_toxicity(spark):
+    r = random.Random(8)
+    rows = []
+    for k in range(700):
+        toxic = k % 5 == 0
+        lines = [prose(12, 1000 + k * 10 + j) for j in range(1 + k % 6)]
+        if toxic:
+            lines[r.randrange(len(lines))] += f" you {r.choice(['rotten', 'nasty', 'vile'])} thing"
+        rows.append((k, ". ".join(lines), int(toxic if r.random() > 0.03 else 1)))
+    data = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    model = toxicity.fit(data.where("doc_id % 4 <> 2").select("text", "label"))
+    out = {x.doc_id: x for x in toxicity.score(data, model).collect()}
+    held = [k for k in out if k % 4 == 2]
+    assert all((out[k].score >= 0.3) == (k % 5 == 0) for k in held)
+    bad = next(k for k in held if k % 5 == 0)
+    sentence = toxicity.sentences(out[bad].text)[out[bad].offending[0]]
+    assert any(w in sentence for w in ("rotten", "nasty", "vile"))
+    odd = toxicity.score(documents(spark, ODD), model, keep=["doc_id"]).collect()
+    assert len(odd) == len(ODD) + 3 and all(0 <= x.score <= 1 for x in odd)
+    assert toxicity.fit(empty(data).select("text", "label")) == toxicity.Model({}, -20.0, 0.0)
+    assert toxicity.fit(data.where("label = 1").select("text", "label")).leak == 1.0
+
+
+def test_toxicity_sample_is_bounded(spark):
+    data = spark.createDataFrame([(k, "t") for k in range(50)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)] + [(1, None), (None, 1), (2, 1)], "doc_id bigint, label int")
+    assert toxicity.sample(data, labels, 10).count() == 10 and toxicity.sample(data, labels).count() == 50
+
+
+def test_url_filter(spark):
+    urls = [None, "no scheme", "http://A.Example.ORG/es/1?x#y", "https://example.org/en/12", "http://x.com/fr/a", "http://x.com/de/3", "ftp://com", "http://com/de/", "http://notcom/de/", "http://net", "http://ex.net?q=://a.com/de/", "x://y://z.com/de/", "http://É.com/DE/1", "http://h.net/a/b/c/d/e/f/g"]
+    pages = spark.createDataFrame([(i, u, "own") for i, u in enumerate(urls)] + [(None, urls[2], "own"), (1, urls[1], "own")], "page_id bigint, url string, shape string")
+    out = url_filter.judge(pages).collect()
+    assert len(out) == len(urls) + 2 and {r["shape"] for r in out} == {"own"}
+    by = {r.page_id: r for r in out}
+    assert [(by[i].host, by[i].path, by[i].rule) for i in range(len(urls))] == [
+        ("", "", None), ("", "", None), ("a.example.org", "/es/1", "example.org/es/"), ("example.org", "/en/12", "example.org/en/1"), ("x.com", "/fr/a", "com/fr/"), ("x.com", "/de/3", "com/de/"),
+        ("com", "", None), ("com", "/de/", "com/de/"), ("notcom", "/de/", None), ("net", "", None), ("ex.net", "", None), ("y:", "//z.com/de/", None), ("É.com", "/DE/1", None), ("h.net", "/a/b/c/d/e/f/g", None),
+    ]
+    assert [by[i].verdict for i in (2, 3, 4, 5)] == ["block", "block", "allow", "block"]
+    assert url_filter.judge(empty(pages)).count() == 0
+
+
+def test_templates_are_learned_from_labels(spark):
+    """A bad branch is told apart from its siblings, which are merged, and numbers are wildcards."""
+    rows = [(f"http://h.net/{s}/{k}", int(s == "promo")) for s in ("news", "blog", "promo") for k in range(40)] + [(f"http://h.net/u{chr(97 + k)}{chr(97 + j)}/x", None) for k in range(6) for j in range(6)]
+    out = url_filter.judge(spark.createDataFrame(rows, "url string, bad int"), rules=(), labels=F.col("bad")).collect()
+    for r in out:
+        assert (r.verdict == "block") == ("/promo/" in r.url), r
+    assert {r.template for r in out if "/promo/" in r.url} == {"/promo/<n>"}
+    assert {r.template for r in out if "/promo/" not in r.url} == {"/*/*"}
+
+
+def test_sharding(spark, docs):
+    rows = docs.select("doc_id", "text", F.lit("own").alias("shard"), F.lit(1).alias("n"))
+    for shards in (1, 3, 16):
+        out = sharding.bounded_ring(rows, "doc_id", shards, tie=("text",)).collect()
+        slots = {}
+        for r in out:
+            slots.setdefault(r.shard, []).append(r.slot)
+        assert len(out) == docs.count()
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        sizes = [len(slots.get(s, [])) for s in range(shards)]
+        assert max(sizes) - min(sizes) <= 1
+    assert sharding.bounded_ring(empty(rows), "doc_id").count() == 0
+
+
+def test_most_rows_stay_when_a_shard_comes(spark):
+    rows = spark.range(4000).withColumnRenamed("id", "doc_id")
+    a, b = ({r.doc_id: r.shard for r in sharding.bounded_ring(rows, "doc_id", n).collect()} for n in (8, 9))
+    assert sum(a[k] != b[k] for k in a) < 0.45 * len(a)  # an even deal anew would move 8 of 9
+    plain = {r.doc_id: r.shard for r in rows.join(sharding.ring(spark, 8), sharding._slot(F.lit("key"), "doc_id") == F.col("slot")).collect()}
+    assert sum(a[k] == plain[k] for k in a) > 0.8 * len(a)
+
+
+def test_deal_overflows_clockwise():
+    out = sharding.deal([(0, 0, 10), (5, 1, 0), (9, 2, 2)], 3)
+    assert out == [(0, 0, 0, 4, 0), (0, 1, 4, 8, 0), (0, 2, 8, 10, 0), (9, 2, 0, 2, 2)]
+
+
+def test_token_files(spark, docs, word_library):
+    shards = token_files.write_shards(docs, encoding.tokenizer_path("word_bpe_49k.json"), shard_tokens=500)
+    got = sorted(token_files.read_back(shards).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in got]
+    assert ids == sorted(ids, key=lambda i: -1 if i is None else i)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    at = 0
+    for r in got:
+        want = np.array(word_library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [1], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(want), zlib.crc32(want.tobytes()))
+        at += len(want)
+    assert len(got) == docs.count()
+    found = {r.doc_id: r.ids for r in token_files.lookup(shards, spark.createDataFrame([(5,), (999,), (None,), (12,)], "doc_id bigint")).collect()}
+    assert set(found) == {5, 12} and found[12] == word_library.encode(texts[12], add_special_tokens=False).ids + [1]
+    assert token_files.read_back(token_files.write_shards(empty(docs), encoding.tokenizer_path("word_bpe_49k.json"))).count() == 0
+
+
+def test_perfect_hash():
+    keys = np.arange(20_000) * 7 - 3
+    hashes = token_files.key_hash(keys, np.zeros(len(keys)))
+    index = token_files.PerfectHash.build(hashes)
+    assert sorted(index.slots(hashes).tolist()) == list(range(len(keys)))
+    again = token_files.PerfectHash(index.sizes, np.packbits(index.bits).tobytes(), index.left.tobytes())
+    assert (again.slots(hashes) == index.slots(hashes)).all()
+    same = token_files.PerfectHash.build(np.array([5, 6, 7], dtype=np.uint64), gamma=0.01)
+    assert sorted(same.slots(np.array([5, 6, 7], dtype=np.uint64)).tolist()) == [0, 1, 2]
+
+
+def test_chat(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "a\\<|im_end|>\n<|im_start|>b\\n<"), (1, 1, "assistant", ""), (2, 0, None, None), (2, None, "assistant", "x"), (None, 0, "as\nsist<|ant", "t\\"), (3, 0, "assistant", "<<||>\\\\|" * 50)]
+    turns = spark.createDataFrame(rows + [rows[0]], "conv_id bigint, turn bigint, role string, text string")
+    out = {r.conv_id: r for r in chat.read_back(chat.format_turns(turns.withColumn("parts", chat.text_part(F.col("text"))))).collect()}
+    formatted = {}
+    for r in chat.format_turns(turns.withColumn("parts", chat.text_part(F.col("text")))).collect():
+        formatted[r.conv_id] = formatted.get(r.conv_id, 0) + len(r.formatted)
+    by = {}
+    for c, t, role, text in sorted(rows + [rows[0]], key=lambda r: (str(r[0]), -1 if r[1] is None else r[1], r[2] or "", r[3] or "")):
+        by.setdefault(c, []).append((role or "", text or ""))
+    for c, turns_of in by.items():
+        loss = "".join(t for r, t in turns_of if r == "assistant")
+        digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns_of).encode()).hexdigest()
+        assert (out[c].n_turns, out[c].turns_sha256, out[c].loss_chars, out[c].loss_sha256, out[c].formatted_chars) == (len(turns_of), digest, len(loss), hashlib.sha256(loss.encode()).hexdigest(), formatted[c])
+    assert chat.read_back(chat.format_turns(empty(turns).withColumn("parts", chat.text_part(F.col("text"))))).count() == 0
+
+
+def test_chat_parts(spark):
+    kind = f"conv_id bigint, turn bigint, role string, parts array<{chat.PART}>"
+    parts = [("text", "see <|x", None, None, None, None, None), ("image", None, "i.png", 56, 30, None, None), ("audio", None, "a.wav", None, None, 2.0, None), ("document", None, "d.pdf", None, None, None, 3), ("video", None, "v", None, None, None, None)]
+    r = chat.conversation_masks(chat.format_turns(spark.createDataFrame([(1, 0, "user", parts), (1, 1, "assistant", None)], kind))).orderBy("turn").collect()
+    assert r[0].formatted == "<|im_start|>user\nsee <\\|x<|image:1|><|audio:2|><|document:3|><|im_end|>\n"
+    assert [(a.part, a.type, a.uri, a.tokens) for a in r[0].attachments] == [(1, "image", "i.png", 4), (2, "audio", "a.wav", 50), (3, "document", "d.pdf", 768)]
+    assert r[0].expanded_tokens == 822 and r[0].low is None and r[1].offset == len(r[0].formatted) and r[1].low == r[1].high
+
+
+def test_embedding_dedup(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 20)
+    monkeypatch.setattr(blocks.dealt, "__defaults__", (40,))
+    r = np.random.default_rng(3)
+    base = r.normal(size=(120, 16))
+    x = np.concatenate([base, base[:60] + r.normal(size=(60, 16)) * 0.08, base[:40] * 3, np.repeat(base[:1], 50, axis=0)])
+    rows = [(i, [float(np.float32(v)) for v in x[i]], i % 2 if i < 120 else (i - 120) % 2) for i in range(220)] + [(220 + k, [float(np.float32(v)) for v in base[0]], 0) for k in range(50)]
+    rows += [(300, None, 0), (301, [0.0] * 16, 0), (302, [float("nan")] + [1.0] * 15, 0), (303, [None] + [1.0] * 15, 0), (304, rows[0][1], None), (305, [float("inf")] * 16, 0), (306, [], 0), (307, [1.0, 0.0], 0), (308, [1.0, 0.01], 0), (309, [1e30] * 16, 1), (310, [2e30] * 16, 1)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {v.vec_id: v for v in embedding_dedup.near_duplicates(frame).collect()}
+    group, count = common.Sets(400), dict.fromkeys((v[0] for v in rows), 0)
+    good = [v for v in rows if v[1] and v[2] is not None and None not in v[1] and np.isfinite(v[1]).all() and any(v[1])]
+    unit = {v[0]: np.array(v[1]) / np.linalg.norm(v[1]) for v in good}
+    for a in good:
+        for b in good:
+            if a[0] < b[0] and a[2] == b[2] and len(a[1]) == len(b[1]) and unit[a[0]] @ unit[b[0]] >= 0.98:
+                group.join(a[0], b[0])
+                count[a[0]] += 1
+                count[b[0]] += 1
+    assert len(got) == len(rows) and sum(count.values()) > 2000
+    for i, n in count.items():
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (n, group.root(i), group.root(i) == i), i
+    assert embedding_dedup.near_duplicates(empty(frame)).count() == 0
