@@ -55,8 +55,8 @@ def arrival_rank(assets: DataFrame, version: str = "v1") -> DataFrame:
 
 def scheduled(ranked: DataFrame, epoch: str, days: int) -> DataFrame:
     """Ranked assets with arrival_time: ``days`` apart from an epoch on."""
-    seconds = F.col("arrival_rank").cast("int") * days * 86400
-    return ranked.withColumn("arrival_time", F.lit(epoch).cast("timestamp_ntz") + F.make_dt_interval(secs=seconds))
+    after = F.make_dt_interval(days=(F.col("arrival_rank") * days).cast("int"))
+    return ranked.withColumn("arrival_time", F.lit(epoch).cast("timestamp_ntz") + after)
 
 
 def lineage_split(assets: DataFrame, seed: int = 42, shares: tuple = (("train", 0.6), ("validation", 0.2), ("test", 0.2))) -> DataFrame:

@@ -23,6 +23,11 @@ def _round(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _text_times(df: DataFrame, *columns: str) -> DataFrame:
+    """Times as text, which is the same in every engine."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
+
+
 def _cutoff():
     return F.lit(CUTOFF).cast("timestamp_ntz")
 
@@ -106,13 +111,13 @@ _FEATURES = ["capacity_delta", "rolling_capacity_mean", "capacity_slope", "capac
 @query
 def causal_features(spark, sf):
     extra = [*_FEATURES, "temperature_span", "efficiency"]
-    return _round(_features(spark, sf), 6, *extra).select("asset_id", "cycle_index", "cycle_gap", *extra)
+    return _round(_features(spark, sf), 6, *extra).select("asset_id", "cycle_index", F.col("cycle_gap").cast("double").alias("cycle_gap"), *extra)
 
 
 @query
 def incremental_features(spark, sf):
     new = _generations(spark, sf).where("generation = 4")
-    return _round(features.incremental(_state(spark, sf), new), 6, *_FEATURES).select("asset_id", "cycle_index", "cycle_gap", *_FEATURES)
+    return _round(features.incremental(_state(spark, sf), new), 6, *_FEATURES).select("asset_id", "cycle_index", F.col("cycle_gap").cast("double").alias("cycle_gap"), *_FEATURES)
 
 
 @query
@@ -127,7 +132,7 @@ def latest_finite_row(spark, sf):
 
 @query
 def lifecycle_flags(spark, sf):
-    return _flags(spark, sf)
+    return _text_times(_flags(spark, sf), "eol_time", "replay_time")
 
 
 @query
@@ -189,7 +194,8 @@ def arrival_rank(spark, sf):
 
 @query
 def train_schedule(spark, sf):
-    return cohort.scheduled(cohort.arrival_rank(domain.manifest(spark, sf).where("split = 'train'")), "2024-01-01", 60).select("asset_id", "arrival_rank", "arrival_time")
+    rows = cohort.scheduled(cohort.arrival_rank(domain.manifest(spark, sf).where("split = 'train'")), "2024-01-01", 60)
+    return _text_times(rows.select("asset_id", "arrival_rank", "arrival_time"), "arrival_time")
 
 
 @query
@@ -199,7 +205,7 @@ def replay_sequence(spark, sf):
 
 @query
 def completion_events(spark, sf):
-    return cohort.completion_events(domain.samples(spark, sf))
+    return _text_times(cohort.completion_events(domain.samples(spark, sf)), "event_time")
 
 
 @query
@@ -209,7 +215,7 @@ def cohort_at_cutoff(spark, sf):
 
 @query
 def cohort_counts(spark, sf):
-    return cohort.counts_at(_cohort(spark, sf), list(domain.CUTOFFS))
+    return _text_times(cohort.counts_at(_cohort(spark, sf), list(domain.CUTOFFS)), "cutoff")
 
 
 @query
@@ -277,7 +283,8 @@ def group_total_diff(spark, sf):
 def coverage_check(spark, sf):
     curves = domain.curves(spark, sf)
     served = curves.where("asset_id % 9 <> 0 and (asset_id % 9 <> 1 or horizon < 200)")
-    return quality.coverage(curves.select("asset_id", "cycle_index").distinct(), served, (0, 50, 100, 150, 200))
+    found = quality.coverage(curves.select("asset_id", "cycle_index").distinct(), served, (0, 50, 100, 150, 200))
+    return found.withColumn("served_cycle", F.col("served_cycle").cast("double"))
 
 
 @query
