@@ -123,3 +123,17 @@ def completion_events(samples: DataFrame) -> DataFrame:
     """One event a cycle: its sample count, and its latest sample."""
     last = F.max_by(F.struct("sample_index", "event_time"), F.struct("event_time", "sample_index"))
     return samples.groupBy("asset_id", "cycle_index").agg(F.count("*").alias("expected"), last.alias("last")).select("asset_id", "cycle_index", "expected", F.col("last.sample_index").alias("last_sample"), F.col("last.event_time").alias("event_time"))
+
+
+def next_snapshot(eligible_ranked: DataFrame, thresholds: tuple[int, ...], published: list[int]) -> DataFrame:
+    """The members, by rank, of the first threshold that is reached and unpublished; none if there's no such one."""
+    n = eligible_ranked.count()
+    size = next((t for t in thresholds if t not in published and t <= n), 0)
+    w = Window.orderBy("arrival_rank")
+    first = eligible_ranked.orderBy("arrival_rank").limit(size)  # bounded by the threshold
+    return first.withColumn("position", F.row_number().over(w))
+
+
+def nth_arrival(ranked: DataFrame, n: int) -> DataFrame:
+    """The n-th arrival (from 1) and its time."""
+    return ranked.where(F.col("arrival_rank") == n - 1).select("asset_id", "arrival_time")

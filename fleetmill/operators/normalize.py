@@ -53,3 +53,17 @@ def decode_events(envelopes: DataFrame, schema: str = EVENT) -> DataFrame:
     for c in needed:
         keep = keep & F.col(c).isNotNull()
     return x.where(keep)
+
+
+def cycle_reductions(cells: DataFrame, channels: list[str]) -> DataFrame:
+    """(asset_id, cycle_index, samples, max_<channel>, min_<channel>) straight from the nested arrays, nulls left out."""
+    c = cells.select("asset_id", F.posexplode("cycle_data").alias("_p", "_c"))
+    number = F.coalesce(F.nullif(F.col("_c.cycle_number"), F.lit(0)), F.col("_p") + 1).cast("bigint")
+    size = F.greatest(*(F.coalesce(F.size(F.col(f"_c.{x}")), F.lit(0)) for x in channels), F.lit(0))
+    ends = [f(F.col(f"_c.{x}")).alias(f"{n}_{x}") for x in channels for n, f in (("max", F.array_max), ("min", F.array_min))]
+    return c.select("asset_id", number.alias("cycle_index"), size.alias("samples"), *ends)
+
+
+def replay_time(epoch: str, cycle, seconds):
+    """The time at which a sample is replayed: a day a cycle from an epoch on, and the sample's own seconds."""
+    return F.lit(epoch).cast("timestamp_ntz") + F.make_dt_interval(days=(cycle - 1).cast("int"), secs=seconds)

@@ -60,3 +60,15 @@ def violations(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def missing_references(rows: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
     """Rows whose non-null key has no parent."""
     return rows.where(F.col(key).isNotNull()).join(parents.select(F.col(parent_key).alias(key)), key, "left_anti")
+
+
+def gate(found: DataFrame, expected: dict[str, float]) -> DataFrame:
+    """(metric, value, expected) of a report's metrics that aren't as expected; an absent one has a null value."""
+    pairs = [F.struct(F.lit(k).alias("metric"), F.lit(float(v)).alias("expected")) for k, v in sorted(expected.items())]
+    wanted = found.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    return wanted.join(found.select("metric", "value"), "metric", "left").where(~F.col("value").eqNullSafe(F.col("expected"))).select("metric", "value", "expected")
+
+
+def single_value(rows: DataFrame, column: str) -> DataFrame:
+    """One row: a column's only value, or null and ``distinct`` other than 1."""
+    return rows.agg(F.min(column).alias("least"), F.count_distinct(column).alias("distinct")).select(F.when(F.col("distinct") == 1, F.col("least")).alias("value"), "distinct")

@@ -79,3 +79,23 @@ def distinct_labels(models: DataFrame) -> DataFrame:
     """Labels that several models share get the start of their fingerprint."""
     n = F.count("*").over(Window.partitionBy("label"))
     return models.withColumn("display", F.when(n > 1, F.concat("label", F.lit(" · "), F.substring("fingerprint", 1, 8))).otherwise(F.col("label")))
+
+
+def selectable_models(models: DataFrame, current: str | None = None) -> DataFrame:
+    """One model a generation: best record class, then a neutral family, champions, the newest; and the current one too.
+
+    models has model_version, generation, record_class, family, status, evaluated_at.
+    """
+    w = Window.partitionBy("generation").orderBy(F.desc("record_class"), F.desc(F.col("family") == "neutral"), F.desc(F.col("status") == "champion"), F.desc("evaluated_at"), F.desc("model_version"))
+    ranked = models.withColumn("_r", F.row_number().over(w))
+    return ranked.where((F.col("_r") == 1) | (F.col("model_version") == F.lit(current)).eqNullSafe(F.lit(True))).drop("_r")
+
+
+def best_model(models: DataFrame) -> DataFrame:
+    """The model with the least test error; one without an error comes last."""
+    return models.orderBy(F.asc_nulls_last("mae"), "model_version").limit(1)
+
+
+def newest_evaluation(models: DataFrame) -> DataFrame:
+    """The newest candidate or champion with a fingerprint."""
+    return models.where(F.col("status").isin("candidate", "champion") & F.col("fingerprint").isNotNull()).orderBy(F.desc("evaluated_at"), F.desc("model_version")).limit(1)

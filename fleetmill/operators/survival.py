@@ -59,3 +59,31 @@ def brier(train: DataFrame, rows: DataFrame, horizons: tuple[int, ...]) -> DataF
     p = F.col("probability")
     term = F.when(dead, p * p / F.col("g")).when(alive, (1 - p) * (1 - p) / F.col("gh")).otherwise(0.0)
     return own.groupBy("horizon").agg(F.count("*").alias("rows"), F.avg(term).alias("brier"))
+
+
+def concordance(train: DataFrame, rows: DataFrame, digits: int = 3) -> DataFrame:
+    """One row: the censoring-weighted concordance of ``risk`` with duration and event, and the weight of its pairs.
+
+    A pair is an event and a row that lasts longer; it's concordant if the event
+    has the higher risk, and half so at equal risk. Risks are rounded to
+    ``digits``. Rows are counted by (duration, risk) first; pairs are then sums
+    over that grid, and are never formed.
+    """
+    km = censoring(train).where("survival > 0")
+    limit = km.agg(F.max("duration").alias("limit"))
+    own = rows.join(F.broadcast(limit), F.lit(True)).where("duration <= limit").withColumn("r", F.round("risk", digits))
+    cells = own.groupBy("duration", "r").agg(F.count("*").alias("n"), F.count_if("event").alias("e"))
+    risks = cells.agg(F.array_sort(F.collect_set("r")).alias("risks"))
+    # A dense grid of the distinct durations and rounded risks.
+    grid = cells.select("duration").distinct().join(F.broadcast(risks), F.lit(True)).select("duration", F.explode("risks").alias("r")).join(cells, ["duration", "r"], "left").fillna(0, ["n", "e"])
+    later = F.sum("n").over(Window.partitionBy("r").orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, -1))
+    grid = grid.withColumn("later", F.coalesce(later, F.lit(0)))
+    below = F.sum("later").over(Window.partitionBy("duration").orderBy("r").rowsBetween(Window.unboundedPreceding, -1))
+    grid = grid.withColumns({"below": F.coalesce(below, F.lit(0)), "all": F.sum("later").over(Window.partitionBy("duration"))}).where("e > 0")
+    # G just before the event: the estimate at the largest earlier duration.
+    steps = km.agg(F.array_sort(F.collect_list(F.struct("duration", "survival"))).alias("km"))
+    known = F.filter("km", lambda k: k["duration"] < F.col("duration"))
+    g = F.when(F.size(known) > 0, F.element_at(known, -1)["survival"]).otherwise(1.0)
+    weighed = grid.join(F.broadcast(steps), F.lit(True)).withColumn("w", F.col("e") / (g * g))
+    good = F.sum(F.col("w") * (F.col("below") + 0.5 * F.col("later")))
+    return weighed.agg(F.try_divide(good, F.sum(F.col("w") * F.col("all"))).alias("c_index"), F.coalesce(F.sum(F.col("w") * F.col("all")), F.lit(0.0)).alias("weight"))

@@ -140,6 +140,16 @@ _BODIES = {
     "provenance": "SELECT o_orderkey::VARCHAR AS source_file, CASE WHEN o_orderkey % 10 = 0 THEN 'root' ELSE min(o_orderkey::VARCHAR) OVER (PARTITION BY o_custkey, o_orderdate) END AS lineage_group_id FROM orders",
     "duplicate_labels": "SELECT asset_id, CASE WHEN n > 1 THEN label || ' · ' || left(sha256(CAST(asset_id AS VARCHAR)), 8) ELSE label END AS display FROM (SELECT c_custkey AS asset_id, c_mktsegment AS label, count(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer)",
     "stream_cycle_aggregates": "SELECT asset_id, cycle_index, event_count, round(voltage_sum / voltage_count, 6) AS average_voltage FROM v_state JOIN v_ready USING (asset_id, cycle_index) WHERE ready",
+    "outlet_key_ranges": "SELECT asset_id, min(cycle_index) AS min_cycle, max(cycle_index) AS max_cycle, count(*) AS cycles FROM v_state GROUP BY asset_id",
+    "outlet_beyond": "SELECT asset_id, cycle_index FROM v_state s LEFT JOIN (SELECT asset_id, max(cycle_index) AS m FROM v_generations JOIN v_state USING (asset_id, cycle_index) WHERE generation <= 2 GROUP BY asset_id) o USING (asset_id) WHERE m IS NULL OR cycle_index > m",
+    "outlet_cumulative": "SELECT g.asset_id, g.cycle_index, CAST(generation AS INTEGER) AS generation_id, max_capacity, o_orderkey FROM v_generations g JOIN v_state USING (asset_id, cycle_index) JOIN v_boundary b ON b.asset_id = g.asset_id AND g.cycle_index <= b.max_cycle WHERE generation <= 3",
+    "superset_violations": "SELECT asset_id, cycle_index FROM v_state WHERE asset_id % 10 IN (1, 2)",
+    "qc_gate": "SELECT * FROM (SELECT 'negative_current' AS metric, -1.0::DOUBLE AS expected, (SELECT count(*) FILTER (current < 0) FROM v_samples)::DOUBLE AS value UNION ALL SELECT 'max_cycle', 3.0, (SELECT max(cycle_index) FROM v_cycles) UNION ALL SELECT 'unknown', 1.0, -9.0)",
+    "concordance_index": "SELECT round(sum(w * CASE WHEN ri > rj THEN 1.0 WHEN ri = rj THEN 0.5 ELSE 0 END) / sum(w), 6) AS c_index FROM (SELECT i.risk AS ri, j.risk AS rj, 1 / (i.g * i.g) AS w FROM (SELECT *, (asset_id * 7 + cycle_index * 3) % 11 / 10.0::DOUBLE AS risk, coalesce((SELECT max_by(survival, k.duration) FROM v_km k WHERE k.survival > 1e-12 AND k.duration < v_land.duration), 1.0) AS g FROM v_land WHERE split = 'test' AND event) i JOIN (SELECT *, (asset_id * 7 + cycle_index * 3) % 11 / 10.0::DOUBLE AS risk FROM v_land WHERE split = 'test') j ON j.duration > i.duration WHERE i.duration <= (SELECT max(duration) FROM v_km WHERE survival > 1e-12) AND j.duration <= (SELECT max(duration) FROM v_km WHERE survival > 1e-12))",
+    "nested_reductions": "SELECT asset_id, cycle_index, count(*) AS samples, max(voltage) AS max_voltage, min(voltage) AS min_voltage, max(capacity) AS max_capacity FROM v_samples GROUP BY ALL",
+    "replay_times": "SELECT asset_id, cycle_index, sample_index, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(cycle_index - 1 AS INTEGER)) + to_seconds(sample_index), '%Y-%m-%d %H:%M:%S') AS t FROM v_samples",
+    "next_training_snapshot": "SELECT asset_id, CAST(row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) AS BIGINT) AS position FROM v_manifest JOIN v_flags USING (asset_id) WHERE split = 'train' AND valid_eol_label AND eol_observed QUALIFY row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) <= 26",
+    "selectable_models": "SELECT generation, model_version FROM (SELECT 'm' || c_custkey AS model_version, c_custkey % 8 AS generation, row_number() OVER (PARTITION BY c_custkey % 8 ORDER BY c_custkey % 3 DESC, c_custkey % 5 = 0 DESC, c_custkey % 7 = 0 DESC, c_custkey DESC) AS r FROM customer) WHERE r = 1 OR model_version = 'm11'",
 }
 
 SQL = {name: VIEWS + body for name, body in _BODIES.items()}

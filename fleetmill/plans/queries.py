@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.operators import aggregate, cohort, features, finality, merge, normalize, predict, quality, serving, survival
+from fleetmill.operators import aggregate, cohort, features, finality, merge, normalize, outlet, predict, quality, serving, survival
 from fleetmill.sources import domain
 
 QUERIES: dict = {}
@@ -452,6 +452,71 @@ def boundary_state_id(spark, sf):
     return finality.state_id(finality.boundary(_final(spark, sf)))
 
 
+@query
+def outlet_key_ranges(spark, sf):
+    return outlet.key_ranges(_state(spark, sf))
+
+
+@query
+def outlet_beyond(spark, sf):
+    """What is new after generation 2, by the ledger's maxima alone."""
+    own = _generations(spark, sf).join(_state(spark, sf).select("asset_id", "cycle_index"), ["asset_id", "cycle_index"])
+    ledger = outlet.key_ranges(own.where("generation <= 2"))
+    return outlet.beyond(own.select("asset_id", "cycle_index"), outlet.key_maxima(ledger))
+
+
+@query
+def outlet_cumulative(spark, sf):
+    rows = _state(spark, sf).select("asset_id", "cycle_index", "max_capacity").join(_generations(spark, sf).select("asset_id", "cycle_index", F.col("generation").alias("generation_id")), ["asset_id", "cycle_index"])
+    out = outlet.cumulative(rows, 3, domain.cycles(spark, sf), finality.boundary(_final(spark, sf)))
+    return out.select("asset_id", "cycle_index", "generation_id", "max_capacity", "o_orderkey")
+
+
+@query
+def superset_violations(spark, sf):
+    """A later snapshot that lost a tenth of an earlier one's keys and changed another tenth."""
+    old = _state(spark, sf).select("asset_id", "cycle_index", "max_capacity")
+    new = old.where("asset_id % 10 <> 1").withColumn("max_capacity", F.when(F.col("asset_id") % 10 == 2, F.col("max_capacity") + 1).otherwise(F.col("max_capacity")))
+    return outlet.not_kept(old, new)
+
+
+@query
+def qc_gate(spark, sf):
+    found = quality.report(domain.samples(spark, sf), domain.cycles(spark, sf))
+    return quality.gate(found, {"missing_capacity": 0, "negative_current": -1, "max_cycle": 3, "unknown": 1}).select("metric", "expected", F.coalesce("value", F.lit(-9.0)).alias("value"))
+
+
+@query
+def concordance_index(spark, sf):
+    rows = _land(spark, sf).withColumn("risk", (F.col("asset_id") * 7 + F.col("cycle_index") * 3) % 11 / 10.0)
+    return _round(survival.concordance(rows.where("split = 'train'"), rows.where("split = 'test'")), 6, "c_index").select("c_index")
+
+
+@query
+def nested_reductions(spark, sf):
+    records = normalize.nested(domain.samples(spark, sf), ["voltage", "capacity"])
+    return normalize.cycle_reductions(records, ["voltage", "capacity"]).select("asset_id", "cycle_index", F.col("samples").cast("bigint").alias("samples"), "max_voltage", "min_voltage", "max_capacity")
+
+
+@query
+def replay_times(spark, sf):
+    rows = domain.samples(spark, sf).withColumn("t", normalize.replay_time("2024-01-01", F.col("cycle_index"), F.col("sample_index").cast("double")))
+    return _text_times(rows.select("asset_id", "cycle_index", "sample_index", "t"), "t")
+
+
+@query
+def next_training_snapshot(spark, sf):
+    ranked = cohort.arrival_rank(cohort.eligible(domain.manifest(spark, sf), _flags(spark, sf)))
+    return cohort.next_snapshot(ranked, (10, 26, 51), [10]).select("asset_id", F.col("position").cast("bigint").alias("position"))
+
+
+@query
+def selectable_models(spark, sf):
+    c = domain.table(spark, sf, "customer")
+    models = c.select(F.concat(F.lit("m"), "c_custkey").alias("model_version"), (F.col("c_custkey") % 8).alias("generation"), (F.col("c_custkey") % 3).alias("record_class"), F.when(F.col("c_custkey") % 5 == 0, "neutral").otherwise("tree").alias("family"), F.when(F.col("c_custkey") % 7 == 0, "champion").otherwise("candidate").alias("status"), F.col("c_custkey").alias("evaluated_at"))
+    return serving.selectable_models(models, "m11").select("generation", "model_version")
+
+
 def _scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
     import uuid
