@@ -22,12 +22,15 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the smallest doc_id of every group of near copies."""
-    found = written(jaccard_join.jaccard_components(docs.select("doc_id", "text")), "groups")
-    dropped = found.where("doc_id <> component_id").select("doc_id")
-    kept = docs.join(small(dropped), "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id"])
+    """Of every group of near copies the row with the smallest doc_id, null being the largest; of equal ids, any one row.
+
+    Rows are told apart by a number of their own, so ids may be null or repeated.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
+    found = written(jaccard_join.jaccard_components(rows.select(key.alias("doc_id"), "text")), "groups")
+    dropped = found.select(F.col("doc_id.__row").alias("__row"), F.col("component_id.__row").alias("kept")).where("__row <> kept").select("__row")
+    return rows.join(small(dropped), "__row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

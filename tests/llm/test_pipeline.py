@@ -30,3 +30,17 @@ def test_stages(spark, sf):
     packed = by["packing"](spark, left, sf).collect()
     assert {r.doc_id for r in packed} == want
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_one_of_each_group_tells_rows_apart(spark):
+    """Null and repeated ids: only near copies go, whatever their ids, and other texts stay."""
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcde")
+    near = a + " more"
+    rows = [(1, a), (2, near), (2, b), (3, c), (3, d), (None, e), (None, e + " more"), (None, "alone"), (None, a), (4, ""), (4, None), (None, None), (5, "same text twice here"), (5, "same text twice here")]
+    docs = spark.createDataFrame([(*r, "own") for r in rows], "doc_id bigint, text string, source string")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    want = [(1, a), (2, b), (3, c), (3, d), (None, "alone"), (4, ""), (4, None), (None, None), (5, "same text twice here")]
+    assert [x for x in left if x[1] not in (e, e + " more")] == sorted(want, key=str)
+    assert len(left) == len(want) + 1
