@@ -550,7 +550,7 @@ def rul_fit_score(spark, sf):
     from fleetmill.operators import models
 
     rows = _features(spark, sf).join(domain.manifest(spark, sf), "asset_id").withColumn("label", F.when(F.col("valid_eol_label"), (F.col("eol_cycle") - F.col("cycle_index")).cast("double")))
-    return models.select(rows, ["ridge_0.1", "ridge_10", "boosted"])[2]
+    return models.select(rows)[2]
 
 
 @query

@@ -60,3 +60,18 @@ def test_digest_ignores_order_and_partitions(spark):
     b = digest(rows.repartition(7, "v").select("s", "v", "k"), ["k"]).first()
     assert a == b and a["rows"] == 50
     assert digest(rows.where("k < 49"), ["k"]).first().digest != a.digest
+
+
+def test_rul_fit_score_chooses_among_the_whole_grid(spark, sf, monkeypatch):
+    from fleetmill.operators import models
+
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    asked = []
+    monkeypatch.setattr(models, "select", lambda rows, names=None: (None, None, asked.append(names)))
+    registry.QUERIES["rul_fit_score"](spark, sf)
+    found = models.candidates(100)
+    assert asked == [None] and sum(n.startswith("ridge") for n in found) == 2
+    forests = {(m.getNumTrees(), m.getMaxDepth(), m.getMinInstancesPerNode()) for n, m in found.items() if n.startswith("forest")}
+    boosted = {(m.getMaxIter(), m.getMaxDepth(), m.getStepSize()) for n, m in found.items() if n.startswith("boosted")}
+    assert forests == {(200, 8, 1), (200, 30, 2)} and boosted == {(200, 6, 0.05), (300, 4, 0.05)}
