@@ -8,6 +8,8 @@ import corpus_pipeline
 from fleetmill.llm import decontamination
 from fleetmill.llm.common import written
 
+from test_llm_operators import brute_jaccard
+
 
 def test_stages(spark, sf):
     if not os.path.isdir(sf):
@@ -20,8 +22,6 @@ def test_stages(spark, sf):
     one = written(by["jaccard join"](spark, clean, sf), "t")
     kept = {r.doc_id for r in one.collect()}
     rows = [(r.doc_id, r.text) for r in clean.collect()]
-    from test_operators import brute_jaccard
-
     assert one.columns == columns and kept == {i for i, _, c in brute_jaccard(rows) if i == c}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     left = written(by["decontamination"](spark, one, sf), "t")
