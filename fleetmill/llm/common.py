@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,21 +18,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it's unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. A session on one machine gets one of its own where it's unset."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
         import tempfile
 
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
         folder = sc.getCheckpointDir()
     return folder
 
 
-def arrow_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Sets how many rows go to a Python worker at once; texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So many rows at most go to a Python worker at once, for jobs that run within; Spark's own bound in bytes holds anyway."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -41,6 +50,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder that go when the block of ``with`` ends; what is needed later is written() elsewhere."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.paths = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}", []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}-{name}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def remove(self, path: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.remove(self.folder)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a side for broadcast if it has at most ``rows`` rows; larger ones are shuffled."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -51,22 +83,18 @@ def text_bytes(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "utf-8")
 
 
-def arrow_map(df: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, component) for every id in the edges (a, b): component is the smallest id reachable.
 
-    Alternating large-star and small-star rounds; each round is written to the
-    shared folder. Ids may be of any type with an order. Edges with a null end
+    Alternating large-star and small-star rounds; each round is written to
+    ``scratch``, and the round before is removed. Ids may be of any type with an order. Edges with a null end
     are no edges. Nothing is gathered: hubs are handled by grouped minima and
     joins whose skewed side Spark splits.
     """
     e = edges.where("a is not null and b is not null and a <> b")
     e = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    e = written(e, "edges")
-    before = None
+    e = scratch.write(e, "edges")
+    path, before = scratch.paths[-1], None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -74,7 +102,9 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(least, "u")
         e = linked.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        e = written(e, "edges")
+        e = scratch.write(e, "edges")
+        scratch.remove(path)
+        path = scratch.paths[-1]
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.max(F.col("u"))).first()
         if state[0] == 0 or state == before:
             break

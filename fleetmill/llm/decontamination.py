@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 
 WIDTH = 10
 #: Windows broadcast at once, about 200 bytes each.
@@ -145,7 +145,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
     with the same item_id are one item. Repeated documents are judged each on
     its own, and without windows no document is hit.
     """
-    arrow_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep)]
     keep = [c for c in keep if c not in ("n_words", "spans", "items", "n_hit")]
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("t"))

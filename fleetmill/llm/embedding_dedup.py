@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import dealt
-from .common import arrow_batches, components, forest, groups_of, small, table, written
+from .common import components, forest, groups_of, small, table, written
 
 COSINE = 0.98
 #: Vectors to fit cells to, a label; labels with cells (the largest ones); vectors a cell; cells a label.
@@ -51,7 +51,6 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     An empty table gives no rows; other columns aren't read.
     """
     spark = rows.sparkSession
-    arrow_batches(spark, 2_000)
     rows = rows.select(F.col(key).alias("vec_id"), F.col(vector).alias("__v"), F.col(label).alias("label"))
     usable = rows.where(_usable()).withColumn("__x", F.transform("__v", lambda v: v.cast("double")))
     same = usable.groupBy("label", "__x").agg(F.min("vec_id").alias("least"), F.count("*").alias("times"))

@@ -1,9 +1,10 @@
 """N-gram Jaccard join by a size-aware heavy-light split.
 
-A document's set is its distinct ``width``-word shingles, as 64-bit hashes; the
-smallest ones in hash order are its prefix. Two sets of similarity >= t share a
-shingle in their prefixes of n - ceil(t n) + 1, and two shingles in prefixes one
-longer. So
+A document's set is its distinct ``width``-word shingles, as 64-bit hashes, and
+links are exact on these hashes. All sets are ordered alike: shingles that few
+documents have come first, in hash order, then the frequent ones (see below).
+A set's first n - ceil(t n) + 1 shingles are its prefix. Two sets of similarity
+>= t share a shingle in their prefixes, and two in prefixes one longer. So
 
 * small sets are entered under every pair of shingles of the longer prefix: a
   key that few unrelated sets have in common, of which a small set has few;
@@ -13,11 +14,17 @@ longer. So
 The boundary is the prefix length at which enumerating pairs would cost more
 rows than scanning lists, from counts over all sets.
 
+Frequent shingles are known from counters that each task fills with all its
+shingles, by hash bucket: a passage that many documents share comes last in
+their order and so makes no long list. Only sets that consist of such shingles
+(copies of one another, nearly) have long lists: those are split (see blocks).
+
 Equal sets are one node. In a list, sets are compared by bit sketches that give
 an upper bound of their overlap, and a spanning forest of what passes makes
 candidate groups, so a list of m sets yields m edges at most. Within a candidate
-group every two sets are then compared exactly, in blocks. The documents' links
-are the components of the exact links; no link between different sets is lost.
+group every two sets are then compared exactly, unless they are joined through
+a centre already. The documents' links are the components of the exact links;
+no link between different sets is lost.
 """
 
 from __future__ import annotations
@@ -25,17 +32,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import dealt
-from .common import arrow_batches, components, forest, groups_of, small, table, written
+from .blocks import centred, dealt, linked, sides
+from .common import Scratch, arrow_batches, components, groups_of, small, table, written
 
 WIDTH = 4
 PERCENT = 85
 #: Bits of a sketch (the parity of the set's hashes in so many classes): the
 #: next power of two of this share of the set's size, and so many at least.
 #: Of two unrelated sets, half of the bits differ, more than links allow.
-LEAST_BITS, BIT_SHARE = 512, 0.45
+LEAST_BITS, BIT_SHARE = 128, 0.7
 #: The longest prefix for which pairs are considered.
 MAX_PAIRS_PREFIX = 16
+#: Counters of shingles a task (16 MB). A bucket is frequent from so many, and from so many times the mean, on.
+BUCKETS, FREQUENT, TIMES = 1 << 22, 256, 8
+#: Sets of a list that are compared at once; longer lists are split.
+LIST_BLOCK = 256
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -75,14 +86,18 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 
 
 def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, t1, t2, n, key, bits, prefix): t1, t2 a text's hash; key the set's, null for an empty one."""
-    arrow_batches(docs.sparkSession)
+    """(doc_id, t1, t2, n, key, bits, prefix, buckets, counts): t1, t2 a text's hash; key the set's, null for an empty one.
+
+    The prefix is in hash order. One row a task has only ``buckets`` and
+    ``counts``: the frequent ones among the task's shingles.
+    """
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
         import xxhash
 
+        seen = np.zeros(BUCKETS, dtype=np.int32)
         for batch in batches:
             n, key, bits, prefix = [], [], [], []
             for t in batch.column("__text").to_pylist():
@@ -91,17 +106,91 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
                 if not len(h):
                     key.append(None), bits.append(None), prefix.append(None)
                     continue
+                np.add.at(seen, (h & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
                 key.append(xxhash.xxh3_128_digest(h.tobytes()))
                 size = max(LEAST_BITS, 1 << (int(BIT_SHARE * len(h)) - 1).bit_length())
                 odd = np.bincount((h >> np.uint64(11)).astype(np.int64) & (size - 1), minlength=size) & 1
                 bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
-                prefix.append(h[: len(h) - least_overlap(len(h), percent) + 2].view(np.int64))
-            new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], ["doc_id", "t1", "t2", "n", "key", "bits", "prefix"])
+                prefix.append(h[: prefix_length(len(h), percent)].view(np.int64))
+            rows, none = len(n), [None] * len(n)
+            new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(none, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], names)
+        often = np.flatnonzero(seen >= 4 + 6 * seen.sum() / BUCKETS)
+        if len(often):
+            one = [pa.nulls(1, target.field(c).type) for c in names[:7]]
+            yield pa.RecordBatch.from_arrays([*one, pa.array([often.tolist()], pa.list_(pa.int32())), pa.array([seen[often].tolist()], pa.list_(pa.int32()))], names)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
     rows = docs.select("doc_id", *text_hashes(text), F.col(text).alias("__text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>")
+    schema = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, buckets array<int>, counts array<int>")
+    target, names = to_arrow_schema(schema), schema.names
+    return rows.mapInArrow(run, schema)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    """One more than single shingles need."""
+    return min(n, n - least_overlap(n, percent) + 2)
+
+
+def frequent(marks: DataFrame) -> DataFrame:
+    """(bucket): the buckets of shingles, counted over all documents, that come last in every prefix; BUCKETS / TIMES at most."""
+    total = marks.agg(F.sum("n")).first()[0] or 0
+    each = marks.where("buckets is not null").select(F.explode(F.arrays_zip("buckets", "counts")).alias("c"))
+    by = each.groupBy(F.col("c.buckets").alias("bucket")).agg(F.sum("c.counts").alias("n"))
+    return by.where(F.col("n") >= max(FREQUENT, TIMES * total / BUCKETS)).select("bucket")
+
+
+def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], text: str, width: int, percent: int) -> DataFrame:
+    """sets (id, t1, t2, n, bits, prefix) as (id, n, bits, prefix, cold): prefixes in the order that has the frequent buckets last; the first ``cold`` shingles aren't frequent.
+
+    Only sets with a frequent shingle in the hash-ordered prefix are made anew.
+    """
+    sets = sets.withColumn("cold", F.size("prefix"))
+    if not buckets:
+        return sets.select("id", "n", "bits", "prefix", "cold")
+    import numpy as np
+
+    bitmap = np.zeros(BUCKETS, dtype=bool)
+    bitmap[buckets] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap).tobytes())
+
+    def hot():
+        """Of hashes, whether they are frequent."""
+        flags = np.unpackbits(np.frombuffer(sent.value, dtype=np.uint8)).astype(bool)
+        return lambda h: flags[(h & np.uint64(BUCKETS - 1)).astype(np.int64)]
+
+    def touched(batches):
+        import pyarrow as pa
+
+        last = hot()
+        for batch in batches:
+            p = batch.column("prefix")
+            flat = last(p.values.to_numpy(zero_copy_only=False).view(np.uint64))
+            sums = np.concatenate(([0], np.cumsum(flat)))
+            ends = p.offsets.to_numpy()
+            keep = pa.array(np.flatnonzero(sums[ends[1:]] > sums[ends[:-1]]), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("id", "t1", "t2")], ["id", "t1", "t2"])
+
+    def again(batches):
+        import pyarrow as pa
+
+        is_hot = hot()
+        for batch in batches:
+            prefix, cold = [], []
+            for t in batch.column("text").to_pylist():
+                h = shingles(t, width)
+                last, size = is_hot(h), prefix_length(len(h), percent)
+                p = np.concatenate([h[~last], h[last]])[:size]
+                prefix.append(p.view(np.int64))
+                cold.append(min(size, int((~last).sum())))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prefix, pa.list_(pa.int64())), pa.array(cold, pa.int32())], ["id", "prefix", "cold"])
+
+    ids = small(sets.select("id", "t1", "t2", "prefix").mapInArrow(touched, "id bigint, t1 bigint, t2 bigint"))
+    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(ids, ["t1", "t2"]).select("id", "text")
+    made = texts.mapInArrow(again, "id bigint, prefix array<bigint>, cold int").groupBy("id").agg(F.first("prefix").alias("p"), F.first("cold").alias("c"))
+    return sets.join(made, "id", "left").select("id", "n", "bits", F.coalesce("p", "prefix").alias("prefix"), F.coalesce("c", "cold").alias("cold"))
 
 
 def text_hashes(text: str) -> list[Column]:
@@ -122,33 +211,102 @@ def boundary(sets: DataFrame) -> int:
     return best
 
 
-def _keys(sets: DataFrame, bound: int, percent: int) -> DataFrame:
-    """(s, id): the keys under which each set is entered."""
+def _keys(sets: DataFrame, bound: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(s, id) twice: the keys under which each set is entered, first those with a shingle that isn't frequent."""
     p = F.size("prefix")
-    pairs = sets.where((p <= bound) & (p > 1)).select("id", F.explode(F.flatten(F.transform("prefix", lambda a, i: F.transform(F.slice("prefix", i + 2, F.lit(bound + 1)), lambda b: F.xxhash64(a, b))))).alias("s"))
+    pairs = F.transform("prefix", lambda a, i: F.transform(F.slice("prefix", i + 2, F.lit(bound + 1)), lambda b: F.xxhash64(a, b)))
+    few = sets.where((p <= bound) & (p > 1)).select("id", "cold", pairs.alias("k"))
     # The longer prefix has one more than needed for single shingles.
     single = F.when(p > 1, F.slice("prefix", F.lit(1), F.greatest(p - 1, F.lit(1)))).otherwise(F.col("prefix"))
     # A small set may link with a large one if it isn't much smaller than the smallest of those.
-    near = sets.where((p > bound) | (F.col("n") * 100 >= percent * F.lit(_least_size(bound, percent))))
-    return pairs.unionByName(near.select("id", F.explode(single).alias("s")))
+    near = sets.where((p > bound) | (F.col("n") * 100 >= percent * F.lit(_least_size(bound, percent)))).select("id", "cold", single.alias("k"))
+    first = F.slice("k", F.lit(1), F.col("cold"))
+    rest = F.slice("k", F.col("cold") + 1, F.size("k"))
+    cold = few.select("id", F.explode(F.flatten(first)).alias("s")).unionByName(near.select("id", F.explode(first).alias("s")))
+    hot = few.where(F.col("cold") < F.size("k")).select("id", F.explode(F.flatten(rest)).alias("s")).unionByName(near.where(F.col("cold") < F.size("k")).select("id", F.explode(rest).alias("s")))
+    return cold.select("s", "id"), hot.select("s", "id")
 
 
 def _least_size(bound: int, percent: int) -> int:
     """The smallest size with a prefix (and one more) above the bound."""
     n = 1
-    while min(n, n - least_overlap(n, percent) + 2) <= bound:
+    while prefix_length(n, percent) <= bound:
         n += 1
     return n
 
 
-def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) that join whatever may link: a spanning forest of each list's pairs that sketches don't rule out."""
+class _Sketches:
+    """The rows of an Arrow table with n and bits, to compare in pairs."""
+
+    def __init__(self, rows, percent: int):
+        import numpy as np
+
+        self.n, self.percent = rows.column("n").to_numpy(), percent
+        raw = rows.column("bits").to_pylist()
+        self.width = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        # Sketches by width, and each width's folded to half: classes modulo a half are the exclusive or of the halves.
+        self.place, self.whole, self.half = np.zeros(len(raw), dtype=np.int64), {}, {}
+        for w in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width == w)
+            self.place[at] = np.arange(len(at))
+            x = self.whole[w] = np.frombuffer(b"".join(raw[k] for k in at.tolist()), dtype=np.uint64).reshape(len(at), w // 8)
+            if w * 8 > LEAST_BITS:
+                self.half[w] = x[:, : w // 16] ^ x[:, w // 16 :]
+
+    def passes(self, x, y):
+        """Rows x and y: the overlap needed, against the bound by the sketches' differing bits."""
+        import numpy as np
+
+        n, width = self.n, self.width
+        both = n[x] + n[y]
+        need = -(-self.percent * both // (100 + self.percent))
+        ok = np.minimum(n[x], n[y]) >= need
+        for w in np.unique(width[x[ok]]).tolist():
+            for wide, table in ((w, self.whole.get(w)), (2 * w, self.half.get(2 * w)), (w // 2, None)):
+                at = np.flatnonzero(ok & (width[x] == w) & (width[y] == wide))
+                if len(at):
+                    a = self.half[w] if table is None else self.whole[w]
+                    b = self.whole[wide] if table is None else table
+                    apart = np.bitwise_count(a[self.place[x[at]]] ^ b[self.place[y[at]]]).sum(axis=1).astype(np.int64)
+                    ok[at] = (both[at] - apart) // 2 >= need[at]
+        return ok
+
+    def forest(self, a, b) -> list[tuple[int, int]]:
+        """Pairs of rows, of a and of b, that join what passes; a pair that is joined already isn't compared."""
+        import numpy as np
+
+        label, out = {int(x): int(x) for x in np.concatenate([a, b])}, []
+        at = np.unique(np.concatenate([a, b]))
+        label = np.arange(int(at[-1]) + 1)
+        same = a is b
+        for k, x in enumerate(a.tolist()):
+            y = b[k + 1 :] if same else b
+            y = y[label[y] != label[x]]
+            if not len(y):
+                continue
+            for z in y[self.passes(np.full(len(y), x), y)].tolist():
+                if label[z] != label[x]:
+                    low, high = sorted((label[x], label[z]))
+                    label[label == high] = low
+                    out.append((x, z))
+        return out
+
+
+def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PERCENT, block: int = LIST_BLOCK) -> DataFrame:
+    """Edges (a, b) that join whatever may link: a spanning forest of each list's pairs that sketches don't rule out.
+
+    ``sets`` has id, n, bits, prefix and cold, prefixes being in one order.
+    """
     from pyspark.sql import Window
 
-    arrow_batches(sets.sparkSession, 10_000)
-    keys = _keys(sets, bound, percent)
-    met = keys.withColumn("m", F.count("*").over(Window.partitionBy("s"))).where("m > 1").drop("m")
-    rows = met.join(sets.select("id", "n", "bits"), "id").select("s", "id", "n", "bits").repartition("s").sortWithinPartitions("s", "n", "id")
+    cold, hot = _keys(sets, bound, percent)
+    sketch = sets.select("id", "n", "bits")
+    # Lists of shingles that aren't frequent are short, whatever the number of documents.
+    met = cold.withColumn("m", F.count("*").over(Window.partitionBy("s"))).where("m > 1").drop("m")
+    lengths = hot.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
+    copies = scratch.write(hot.join(lengths, "s"), "lists")
+    met = met.unionByName(copies.where(F.col("members") <= block).drop("members"))
+    rows = met.join(sketch, "id").select("s", "id", "n", "bits").repartition("s").sortWithinPartitions("s", "n", "id")
 
     def compare(batches):
         import numpy as np
@@ -172,34 +330,8 @@ def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame
         import numpy as np
         import pyarrow as pa
 
-        s, ids, n = (rows.column(c).to_numpy() for c in ("s", "id", "n"))
-        raw = rows.column("bits").to_pylist()
-        width = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
-        # Sketches by width, and each width's folded to half: classes modulo a half are the exclusive or of the halves.
-        place, whole, half = np.zeros(len(raw), dtype=np.int64), {}, {}
-        for w in np.unique(width).tolist():
-            at = np.flatnonzero(width == w)
-            place[at] = np.arange(len(at))
-            whole[w] = np.frombuffer(b"".join(raw[k] for k in at.tolist()), dtype=np.uint64).reshape(len(at), w // 8)
-            if w * 8 > LEAST_BITS:
-                half[w] = whole[w][:, : w // 16] ^ whole[w][:, w // 16 :]
-        out = set()
-
-        def passes(x, y):
-            """Rows x and y: the overlap needed, against the bound by the sketches' differing bits."""
-            both = n[x] + n[y]
-            need = -(-percent * both // (100 + percent))
-            ok = np.minimum(n[x], n[y]) >= need
-            for w in np.unique(width[x[ok]]).tolist():
-                for wide, table in ((w, whole.get(w)), (2 * w, half.get(2 * w)), (w // 2, None)):
-                    at = np.flatnonzero(ok & (width[x] == w) & (width[y] == wide))
-                    if len(at):
-                        a = half[w] if table is None else whole[w]
-                        b = whole[wide] if table is None else table
-                        apart = np.bitwise_count(a[place[x[at]]] ^ b[place[y[at]]]).sum(axis=1).astype(np.int64)
-                        ok[at] = (both[at] - apart) // 2 >= need[at]
-            return ok
-
+        s, ids = (rows.column(c).to_numpy() for c in ("s", "id"))
+        pairs, out = _Sketches(rows, percent), set()
         starts = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
         sizes = np.diff(np.append(starts, len(s)))
         start_of, size_of = np.repeat(starts, sizes), np.repeat(sizes, sizes)
@@ -209,105 +341,106 @@ def candidates(sets: DataFrame, bound: int, percent: int = PERCENT) -> DataFrame
             x = at[light & (at + k < start_of + size_of)]
             if not len(x):
                 break
-            x = x[passes(x, x + k)]
+            x = x[pairs.passes(x, x + k)]
             out.update(zip(ids[x].tolist(), ids[x + k].tolist(), strict=True))
         for a, m in zip(starts[sizes > 12].tolist(), sizes[sizes > 12].tolist(), strict=True):
-            label = np.arange(m)
-            for x in range(m):
-                y = np.arange(x + 1, x + 1 + int(np.searchsorted(n[a + x + 1 : a + m], n[a + x] * 100 // percent, side="right")))
-                y = y[label[y] != label[x]]
-                if not len(y):
-                    continue
-                for z in y[passes(np.full(len(y), a + x), a + y)].tolist():
-                    if label[z] != label[x]:
-                        low, high = sorted((label[x], label[z]))
-                        label[label == high] = low
-                        out.add((int(ids[a + x]), int(ids[a + z])))
+            members = np.arange(a, a + m)
+            out.update((int(ids[x]), int(ids[y])) for x, y in pairs.forest(members, members))
         if out:
             x, y = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
+    def near(unit, a, b):
+        import numpy as np
+
+        pairs = _Sketches(unit, percent)
+        return np.stack([pairs.passes(np.full(len(b), x), b) for x in a.tolist()])
 
+    def split(batches):
+        import pyarrow as pa
 
-def verified(texts: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """Edges (a, b) of the exact links: a spanning forest for each block pair of each group.
+        for unit in groups_of(batches, ["s", "i", "j"]):
+            out = _Sketches(unit, percent).forest(*sides(unit))
+            if out:
+                ids = unit.column("id").to_numpy()
+                x, y = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[list(x)], pa.int64()), pa.array(ids[list(y)], pa.int64())], ["a", "b"])
+
+    edges = rows.mapInArrow(compare, "a bigint, b bigint")
+    long = copies.where(F.col("members") > block)
+    if not long.isEmpty():
+        joined, rest = centred(long.join(sketch, "id"), ["s"], near, scratch, block)
+        edges = edges.unionByName(joined).unionByName(dealt(rest, ["s"], block).mapInArrow(split, "a bigint, b bigint"))
+    return edges.distinct()
+
+
+def verified(texts: DataFrame, scratch: Scratch, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """Edges (a, b) that join what links exactly within each group.
 
     ``texts`` has grp, id, members (their number in the group) and text.
     """
-    arrow_batches(texts.sparkSession, 1000)
-
-    def compare(batches):
-        import pyarrow as pa
 
-        for unit in groups_of(batches, ["grp", "i", "j"]):
-            ids = unit.column("id").to_pylist()
-            mine, j = unit.column("mine").to_numpy(), unit.column("j")[0].as_py()
-            linked = links([shingles(t, width) for t in unit.column("text").to_pylist()], percent)
-            if unit.column("i")[0].as_py() != j:  # what's within a block is another unit's
-                linked &= mine[:, None] != mine[None, :]
-            pairs = forest(linked)
-            if pairs:
-                x, y = zip(*pairs, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in x], pa.int64()), pa.array([ids[k] for k in y], pa.int64())], ["a", "b"])
+    def near(unit, a, b):
+        texts = unit.column("text").to_pylist()
+        sets = [shingles(t, width) for t in texts]
+        return links([sets[k] for k in a.tolist()], [sets[k] for k in b.tolist()], percent)
 
-    return dealt(texts, ["grp"], F.col("id")).mapInArrow(compare, "a bigint, b bigint")
+    return linked(texts, ["grp"], near, scratch)
 
 
-def links(sets: list, percent: int = PERCENT):
-    """The boolean matrix of the links between sets (sorted arrays of distinct hashes)."""
+def links(left: list, right: list, percent: int = PERCENT):
+    """The boolean matrix of the links between sets (sorted arrays of distinct hashes) of two lists."""
     import numpy as np
 
-    m = len(sets)
-    size = np.array([len(s) for s in sets], dtype=np.int64)
-    if m == 2:
-        common = np.zeros((2, 2), dtype=np.int64)
-        common[0, 1] = common[1, 0] = len(np.intersect1d(*sets, assume_unique=True))
-    else:
-        owner = np.repeat(np.arange(m), size)
-        value, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        shared = times > 1
-        number = np.cumsum(shared) - 1
-        keep = shared[column]
-        owner, column = owner[keep], number[column[keep]]
-        common = np.zeros((m, m))
-        order = np.argsort(column, kind="stable")
-        owner, column = owner[order], column[order]
-        step = max(256, 8_000_000 // m)  # 32 MB at a time
-        for low in range(0, int(shared.sum()), step):
-            a, b = np.searchsorted(column, (low, low + step))
-            part = np.zeros((m, step), dtype=np.float32)
-            part[owner[a:b], column[a:b] - low] = 1
-            common += part @ part.T
-        common = np.rint(common).astype(np.int64)
-    union = size[:, None] + size[None, :] - common
-    linked = (100 * common >= percent * union) & (common > 0)
-    np.fill_diagonal(linked, False)
-    return linked
+    m, k = len(left), len(right)
+    size = np.array([len(s) for s in (*left, *right)], dtype=np.int64)
+    column = np.unique(np.concatenate((*left, *right)), return_inverse=True)[1]
+    owner = np.repeat(np.arange(m + k), size)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((m, k))
+    values = int(column[-1]) + 1 if len(column) else 0
+    step = max(256, 8_000_000 // (m + k))  # 32 MB at a time
+    for low in range(0, values, step):
+        a, b = np.searchsorted(column, (low, low + step))
+        part = np.zeros((m + k, min(step, values - low)), dtype=np.float32)
+        part[owner[a:b], column[a:b] - low] = 1
+        common += part[:m] @ part[m:].T
+    common = np.rint(common).astype(np.int64)
+    union = size[:m, None] + size[None, m:] - common
+    return (100 * common >= percent * union) & (common > 0)
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row a document; component_id is the smallest doc_id of its group.
 
-    Null, empty and wordless texts have an empty set and are alone. Repeated
-    rows have equal sets, and so one group. Null ids count as larger than all
-    others; an empty table gives no rows. No column but doc_id and ``text`` is read.
+    Null, empty and wordless texts have an empty set and are alone. Texts of any
+    length are read whole. Repeated rows have equal sets, and so one group. Null
+    ids count as larger than all others; an empty table gives no rows. No column
+    but doc_id and ``text`` is read, so others may have any name.
     """
-    marks = written(sketches(docs, text, width, percent).withColumn("id", F.monotonically_increasing_id()), "sketches")
-    # One row stands for each set; its id is the set's.
-    keys = written(marks.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("doc_id").alias("least")), "keys")
-    sets = marks.select("id", "t1", "t2", "n", "bits", "prefix").join(small(keys.select("id")), "id")
-    groups = written(components(candidates(sets, boundary(sets), percent)), "groups")
-    sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
-    members = written(groups.join(sizes, "component").join(marks.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "members", "t1", "t2"), "members")
-    # Texts come by hash, and copies of a text are one again.
-    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(small(members), ["t1", "t2"]).select("grp", "id", "members", "text")
-    texts = texts.groupBy("grp", "id", "members").agg(F.min("text").alias("text"))
-    linked = components(verified(texts, percent, width))
-    named = keys.join(linked, "id", "left").select("key", "least", F.coalesce("component", "id").alias("class"))
-    smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
-    by_key = named.join(smallest, "class").select("key", "component_id")
-    return marks.select("doc_id", F.col("n").alias("n_shingles"), "key").join(by_key, "key", "left").select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    with Scratch(docs.sparkSession) as scratch:
+        marks = scratch.write(sketches(docs, text, width, percent).withColumn("id", F.monotonically_increasing_id()), "sketches")
+        # One row stands for each set; its id is the set's.
+        keys = scratch.write(marks.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("doc_id").alias("least")), "keys")
+        sets = marks.select("id", "t1", "t2", "n", "bits", "prefix").join(small(keys.select("id")), "id")
+        buckets = [r.bucket for r in frequent(marks).collect()]  # BUCKETS / TIMES at most, whatever the number of documents
+        sets = scratch.write(ordered(sets, docs, buckets, text, width, percent), "sets")
+        groups = scratch.write(components(candidates(sets, boundary(sets), scratch, percent), scratch), "groups")
+        sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
+        members = groups.join(sizes, "component").join(marks.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "members", "t1", "t2")
+        members = scratch.write(members, "members")
+        # Texts come by hash, and copies of a text are one again.
+        texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(small(members), ["t1", "t2"]).select("grp", "id", "members", "text")
+        texts = scratch.write(texts.groupBy("grp", "id", "members").agg(F.min("text").alias("text")), "texts")
+        with arrow_batches(docs.sparkSession, 1000):
+            joined = components(verified(texts, scratch, percent, width), scratch)
+        named = keys.join(joined, "id", "left").select("key", "least", F.coalesce("component", "id").alias("class"))
+        smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
+        by_key = named.join(smallest, "class").select("key", "component_id")
+        marks = marks.where("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "key")
+        out = marks.join(by_key, "key", "left").select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        return written(out, "jaccard-components")
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:

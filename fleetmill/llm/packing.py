@@ -18,7 +18,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table, written
+from .common import table, written
 from .encoding import byte_encoder, tokenizer_path
 
 LENGTH = 2048
@@ -32,7 +32,6 @@ def pieces(docs: DataFrame, path: str, ranks: str, text: str = "text", length: i
 
     A null or empty text has the end id alone. Repeated rows give their pieces each.
     """
-    arrow_batches(docs.sparkSession)
 
     def cut(batches):
         import sys

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 from .encoding import tokenizer_path, word_encoder
 
 #: Texts from which the frequent words are taken, and words in the table.
@@ -38,7 +38,6 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 20
     nor dropped, and no column but ``text`` is looked at.
     """
     spark = docs.sparkSession
-    arrow_batches(spark)
     encoder = word_encoder(path, "lengths")
     tier = {w.encode(): len(encoder.word_ids(w)) for w in frequent_words(docs, F.col(text), sample_rows)}
     lengths = spark.sparkContext.broadcast(tier)

@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 
 #: Labelled documents that a model is fitted to, and words it may know: both are bounds.
 SAMPLE_ROWS = 6_000
@@ -131,7 +131,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     A text without sentences (null, empty, signs only) scores the leak. Whole
     texts are read; repeated rows score alike.
     """
-    arrow_batches(docs.sparkSession)
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "offending")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
