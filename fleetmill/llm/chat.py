@@ -4,8 +4,8 @@ A message is a list of parts (text, image, audio, document). A visitor turns
 each part, in order, into template text: a text part is escaped, any other part
 becomes a numbered placeholder whose reference and expanded token count are
 recorded. Turns are framed by control strings; a backslash escapes what could
-read as one, so every message comes back exactly. The loss mask covers the
-assistants' texts.
+read as one, within a part or across two, so every message comes back exactly.
+The loss mask covers the assistants' texts.
 
 The result is a row a turn: the conversation is the turns' strings end to end,
 and no conversation has to fit into memory.
@@ -19,7 +19,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import table
 
 START, END = "<|im_start|>", "<|im_end|>"
 PART = "struct<type:string,text:string,uri:string,width:int,height:int,seconds:double,pages:int>"
@@ -28,8 +28,13 @@ PATCH, FRAMES_A_SECOND, TOKENS_A_PAGE = 28, 25, 256
 
 
 def escaped(text: Column) -> Column:
-    r"""Doubles backslashes and puts one into every <|, so no control string is left."""
-    return F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
+    r"""Doubles backslashes, and puts one into every <| and before a leading |.
+
+    So no control string is left, nor made by a text whose end is < and one
+    behind it whose start is |.
+    """
+    inner = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))
+    return F.when(inner.startswith("|"), F.concat(F.lit("\\"), inner)).otherwise(inner)
 
 
 def unescape(text: str) -> str:
@@ -54,8 +59,8 @@ class Visitor:
     kinds = ("image", "audio", "document")
 
     def placeholder(self, p: Column, i: Column) -> Column:
-        """<|image:0|>: the kind and the part's number in its message. Unknown kinds leave nothing."""
-        return F.when(p["type"].isin(*self.kinds), F.concat(F.lit("<|"), p["type"], F.lit(":"), i.cast("string"), F.lit("|>"))).otherwise("")
+        """<|image:0|>: the kind and the part's number in its message; other kinds, null too, are <|part:0|>."""
+        return F.concat(F.lit("<|"), F.when(p["type"].isin(*self.kinds), p["type"]).otherwise("part"), F.lit(":"), i.cast("string"), F.lit("|>"))
 
     def tokens(self, p: Column) -> Column:
         out = F.lit(0)
@@ -64,12 +69,12 @@ class Visitor:
         return out.cast("bigint")
 
     def flat(self, parts: Column) -> Column:
-        return F.array_join(F.transform(parts, lambda p, i: F.when(p["type"] == "text", self.text(p)).otherwise(self.placeholder(p, i))), "")
+        return F.array_join(F.transform(parts, lambda p, i: F.when(p["type"].eqNullSafe(F.lit("text")), self.text(p)).otherwise(self.placeholder(p, i))), "")
 
     def attachments(self, parts: Column) -> Column:
-        """array<struct<part, type, uri, tokens>>, in order."""
+        """array<struct<part, type, uri, tokens>>, in order: all parts but texts; those of unknown kinds count no tokens."""
         numbered = F.transform(parts, lambda p, i: F.struct(i.alias("part"), p["type"].alias("type"), p["uri"].alias("uri"), self.tokens(p).alias("tokens")))
-        return F.filter(numbered, lambda a: a["type"].isin(*self.kinds))
+        return F.filter(numbered, lambda a: ~a["type"].eqNullSafe(F.lit("text")))
 
 
 def text_part(text: Column) -> Column:
@@ -84,7 +89,8 @@ def format_turns(turns: DataFrame, visitor: Visitor | None = None) -> DataFrame:
     ``turns`` has conv_id, turn, role and parts. ``low`` and ``high`` bound the
     loss mask in ``formatted`` (code points); both are null but for assistants.
     A null role is an empty one; null parts are an empty message; a null turn
-    comes first. Repeated turns are formatted each.
+    comes first. Repeated turns are formatted each, texts of any length whole.
+    An empty table gives no rows, and no other column is read.
     """
     visitor = visitor or Visitor()
     parts = F.coalesce("parts", F.lit(None).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>"))
@@ -105,21 +111,29 @@ def conversation_masks(formatted: DataFrame) -> DataFrame:
     return formatted.withColumn("offset", F.coalesce(F.sum(F.length("formatted")).over(before), F.lit(0)))
 
 
-def parse_turn(formatted: str) -> tuple[str, str]:
-    """(role, text) of a formatted turn without attachments."""
+def parse_turn(formatted: str) -> tuple[str, list[str | tuple[str, int]]]:
+    """(role, parts) of a formatted turn: texts, and (kind, number) of each attachment. Texts that met are one."""
     if not formatted.startswith(START) or not formatted.endswith(END + "\n"):
         raise ValueError("not a formatted turn")
     head, _, rest = formatted[len(START) :].partition("\n")
-    return unescape(head), unescape(rest[: -len(END) - 1])
+    # Escaped texts hold no <|, so each one is a placeholder.
+    pieces = re.split(r"<\|(\w+):(\d+)\|>", rest[: -len(END) - 1])
+    parts: list[str | tuple[str, int]] = []
+    for k in range(0, len(pieces), 3):
+        if pieces[k]:
+            parts.append(unescape(pieces[k]))
+        if k + 2 < len(pieces):
+            parts.append((pieces[k + 1], int(pieces[k + 2])))
+    return unescape(head), parts
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) from formatted turns alone.
 
     Turns stream past in order, a conversation's digests are kept up to date,
-    and memory doesn't grow with its length.
+    and memory doesn't grow with its length. An attachment is no text. An
+    empty table gives no rows; other columns may have any name.
     """
-    arrow_batches(formatted.sparkSession, 1000)
 
     def read(batches):
         import pyarrow as pa
@@ -136,7 +150,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
                 if state is None or conv != at:
                     close()
                     at, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, body = parse_turn(text)
+                role, parts = parse_turn(text)
+                body = "".join(p for p in parts if isinstance(p, str))
                 state[0] += 1
                 state[1].update(f"{role}\n{body}\n".encode())
                 state[4] += len(text)
