@@ -1,13 +1,22 @@
 """URL filter: path-template trees a host, rejecting templates by smoothed labelled purity.
 
-A page's path is a way down its host's tree, a segment a level. Digits within a
-segment are a wildcard. Sibling branches whose labelled share of bad pages
-isn't significantly above their parent's are merged into one wildcard; where a
-level has many different segments, more labels are asked of one that is to
-stay. A template is rejected if its share of bad labelled pages, smoothed
-towards the host's and that towards the corpus', reaches a threshold; a host's
-share alone rejects nothing. All counts are grouped sums over all pages, so a
-hot host costs no more than its templates.
+A page's path is a way down its host's tree, a segment a level; digits within a
+segment are a wildcard. The tree grows level by level below nodes that hold bad
+pages and others too; what lies below any other node is one template. At a node
+
+* of many different segments, the segment is a variable: it becomes a wildcard,
+  but for branches whose labels differ from their siblings' beyond chance;
+* of few segments, labelled branches are merged if their labels are alike: each
+  is tested against its siblings on the same side of the node's share of bad
+  pages. A branch without labels is like no other, and stays by itself.
+
+Alike is what a Bayes factor says: labels of two branches under one share of
+bad pages, against a share each. It holds for counts of any size.
+
+A template is rejected if its share of bad labelled pages, smoothed towards the
+host's and that towards the corpus', reaches a threshold; shares of the host or
+the corpus alone reject nothing. All counts are grouped sums over all pages, so
+a hot host costs no more than its templates.
 
 Labels are given, or else come from the rules: pages that a rule blocks are bad
 examples, pages that one allows are good ones.
@@ -18,16 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, table, written
+from .common import Scratch, small, table, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Levels of the tree; what lies deeper is one segment.
-DEPTH = 4
-#: Labelled pages of a branch that may stay apart: below few siblings, and below more than MAX_CHILDREN.
-LEAST_LABELS, MANY_LABELS, MAX_CHILDREN = 5, 25, 24
-#: Branches less than so many standard errors above their parent are merged.
-ERRORS = 2.5
+#: A node with more segments than this has a variable one.
+MAX_CHILDREN = 24
 #: Weight of the prior in pages, and the rejected share.
 WEIGHT = 5.0
 REJECT = 0.5
@@ -53,35 +58,64 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
-def templates(pages: DataFrame, depth: int = DEPTH, max_children: int = MAX_CHILDREN, errors: float = ERRORS) -> DataFrame:
-    """(host, shape, template, labelled, bad) from pages (host, path, bad): shape is the path with digits as wildcards.
+def shape_of(path: Column) -> Column:
+    """The path without its first slash, digits as <n>."""
+    return F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "<n>")
+
+
+def _log_gamma(x: Column) -> Column:
+    """The logarithm of the gamma function for x > 0, by Stirling's series two steps up."""
+    y = x + 2
+    return (y - 0.5) * F.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y * y * y) - F.log(x * (x + 1))
+
+
+def _log_beta(bad: Column, good: Column) -> Column:
+    """The log evidence of so many bad and good labels, but for what is the same either way."""
+    a, b = bad.cast("double") + 0.5, good.cast("double") + 0.5
+    return _log_gamma(a) + _log_gamma(b) - _log_gamma(a + b)
+
+
+def log_bayes_factor(bad: Column, labelled: Column, bad_all: Column, labelled_all: Column) -> Column:
+    """How much better two shares of bad labels explain a branch and the rest of its node than one share does."""
+    rest_bad, rest = bad_all - bad, labelled_all - labelled
+    return _log_beta(bad, labelled - bad) + _log_beta(rest_bad, rest - rest_bad) - _log_beta(bad_all, labelled_all - bad_all) - F.lit(1.1447298858494002)  # log beta(1/2, 1/2)
+
+
+def templates(pages: DataFrame, scratch: Scratch, max_children: int = MAX_CHILDREN) -> DataFrame:
+    """(host, shape, template, labelled, bad) from pages (host, path, bad).
 
-    ``bad`` is 1 or 0, or null where there's no label.
+    ``bad`` is 1 or 0, or null where there's no label. ``*`` is a wildcard or
+    merged branches, ``*+`` merged ones of more bad pages than their node, and
+    ``**`` all that lies below a node that isn't split.
     """
-    leaf = pages.groupBy("host", shape_of(F.col("path"), depth).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    # Each level is written: it is read three times, and has a row for each shape only.
-    tree = written(leaf.withColumn("segments", F.split("shape", "/")).withColumn("template", F.lit("")), "tree")
-    for level in range(1, depth + 2):
-        segment = F.when(F.size("segments") >= level, F.element_at("segments", level)).otherwise("")
-        tree = tree.withColumn("segment", segment)
-        child = tree.groupBy("host", "template", "segment").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
-        parent = child.groupBy("host", "template").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.count("*").alias("children"))
-        judged = child.join(parent, ["host", "template"])
-        share = (F.col("pb") + 0.5) / (F.col("pl") + 1)
-        enough = F.col("l") >= F.when(F.col("children") > max_children, MANY_LABELS).otherwise(LEAST_LABELS)
-        differs = enough & (F.try_divide("b", "l") - share > errors * F.sqrt(F.try_divide(share * (1 - share), F.col("l"))))
-        wild = (F.col("children") > 1) & ~F.coalesce(differs, F.lit(False))
-        named = judged.select("host", "template", "segment", F.when(F.col("segment") == "", "").when(wild, "*").otherwise(F.col("segment")).alias("name"))
-        tree = tree.join(named, ["host", "template", "segment"])
-        tree = tree.withColumn("template", F.when(F.col("segment") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "name"))).drop("name", "segment")
-        tree = written(tree, "tree")
-    return tree.select("host", "shape", "template", "labelled", "bad")
-
-
-def shape_of(path: Column, depth: int = DEPTH) -> Column:
-    """The path's segments with digits as <n>; from level depth + 1 on they are one segment, **."""
-    parts = F.split(F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "<n>"), "/")
-    return F.concat_ws("/", F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts))
+    leaf = pages.groupBy("host", shape_of(F.col("path")).alias("shape")).agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    # A level is written once and read three times; it has only what is still to be split.
+    tree = scratch.write(leaf.withColumns({"segments": F.split("shape", "/"), "template": F.lit("")}), "tree")
+    level, done = 0, None
+    while level == 0 or not tree.isEmpty():
+        level += 1
+        tree = tree.withColumn("segment", F.when(F.size("segments") >= level, F.element_at("segments", level)))
+        child = tree.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+        node = child.groupBy("host", "template").agg(F.sum("n").alias("all"), F.sum("l").alias("pl"), F.sum("b").alias("pb"), F.count("*").alias("children"))
+        # Above the node's share of bad pages or not; null without labels.
+        side = F.when(F.col("l") > 0, F.col("b") * F.col("pl") > F.col("pb") * F.col("l"))
+        judged = child.join(node, ["host", "template"]).withColumn("side", side)
+        known = judged.where("l > 0").groupBy("host", "template", "side").agg(F.sum("l").alias("sl"), F.sum("b").alias("sb"), F.count("*").alias("known"))
+        judged = judged.join(known, ["host", "template", "side"], "left")
+        factor = log_bayes_factor(F.col("b"), F.col("l"), F.col("pb"), F.col("pl"))
+        alone = F.col("side").isNull() | (F.col("known") == 1) | (log_bayes_factor(F.col("b"), F.col("l"), F.col("sb"), F.col("sl")) > 0)
+        variable = F.col("children") > max_children
+        apart = F.when(variable, factor > F.log(F.col("children"))).otherwise(alone)
+        mixed = (F.col("pb") > 0) & (F.col("pb") < F.col("all"))
+        name = F.when(~mixed, "**").when(apart, F.col("segment")).when(~variable & F.col("side"), "*+").otherwise("*")
+        named = judged.select("host", "template", "segment", F.when(F.col("segment").isNotNull(), name).alias("name"), (F.col("segment").isNull() | ~mixed).alias("closed"))
+        same = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ("host", "template", "segment")]
+        grown = tree.alias("t").join(named.alias("s"), same[0] & same[1] & same[2]).select("t.host", "shape", "n", "labelled", "bad", "segments", F.concat("t.template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit(""))).alias("template"), "closed")
+        grown = scratch.write(grown, "tree")
+        closed = grown.where("closed").select("host", "shape", "template", "labelled", "bad")
+        done = closed if done is None else done.unionByName(closed)
+        tree = grown.where("not closed").drop("closed")
+    return done
 
 
 def judge(pages: DataFrame, url: str = "url", rules=RULES, labels: Column | None = None, weight: float = WEIGHT, reject: float = REJECT) -> DataFrame:
@@ -89,25 +123,27 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, labels: Column | None
 
     ``labels`` is a column with 1 for bad and 0 for good pages, or null; without
     it the rules label. A null url, or one without ://, has an empty host and
-    path, and the verdict of the empty template. Rows aren't merged. Columns of
+    path, and is judged as that host's. A page whose template has no labels is
+    allowed. Rows aren't merged, so repeated ones are judged alike; urls of any
+    length and depth are read whole; an empty table gives no rows. Columns of
     the new names are replaced.
     """
     pages = pages.drop("host", "path", "rule", "template", "purity", "verdict")
     at = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     at = at.withColumn("__rule", matching_rule(F.col("host"), F.col("path"), rules))
     bad = F.when(F.col("__rule.verdict") == "block", 1).when(F.col("__rule.verdict") == "allow", 0) if labels is None else labels
-    tree = templates(at.select("host", "path", bad.alias("bad")))
-    by_template = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
-    whole = by_template.agg(F.sum("l").alias("wl"), F.sum("b").alias("wb"))
-    by_host = by_template.groupBy("host").agg(F.sum("l").alias("hl"), F.sum("b").alias("hb"))
-    prior = (F.coalesce(F.col("wb"), F.lit(0)) + 0.5) / (F.coalesce(F.col("wl"), F.lit(0)) + 2)
-    # The host's own labelled share counts as its size allows, the template's likewise; without labels the corpus' remains.
-    host_prior = F.when(F.col("hl") > 0, F.least((F.col("hb") + weight * prior) / (F.col("hl") + weight), F.lit(reject * 0.99))).otherwise(prior)
-    purity = (F.col("b") + weight * host_prior) / (F.col("l") + weight)
-    rated = by_template.join(by_host, "host").join(F.broadcast(whole), F.lit(True)).select("host", "template", purity.alias("purity"))
-    lookup = tree.select("host", F.col("shape").alias("__shape"), "template").join(rated, ["host", "template"])
-    lookup = small(lookup, 200_000)
-    out = at.withColumn("__shape", shape_of(F.col("path"))).join(lookup, ["host", "__shape"])
+    with Scratch(pages.sparkSession) as scratch:
+        tree = templates(at.select("host", "path", bad.alias("bad")), scratch)
+        by_template = tree.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b"))
+        whole = by_template.agg(F.sum("l").alias("wl"), F.sum("b").alias("wb"))
+        by_host = by_template.groupBy("host").agg(F.sum("l").alias("hl"), F.sum("b").alias("hb"))
+        below = F.lit(reject * 0.99)  # what isn't from the template's own labels rejects nothing
+        prior = F.least((F.coalesce(F.col("wb"), F.lit(0)) + 0.5) / (F.coalesce(F.col("wl"), F.lit(0)) + 2), below)
+        host_prior = F.least((F.col("hb") + weight * prior) / (F.col("hl") + weight), below)
+        purity = (F.col("b") + weight * host_prior) / (F.col("l") + weight)
+        rated = by_template.join(by_host, "host").join(F.broadcast(whole), F.lit(True)).select("host", "template", purity.alias("purity"))
+        lookup = written(tree.select("host", F.col("shape").alias("__shape"), "template").join(rated, ["host", "template"]), "url-templates")
+    out = at.withColumn("__shape", shape_of(F.col("path"))).join(small(lookup, 200_000), ["host", "__shape"])
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("purity") >= reject, "block").otherwise("allow"))
     return out.select(*pages.columns, "host", "path", F.col("__rule.rule").alias("rule"), "template", "purity", verdict.alias("verdict"))
 
