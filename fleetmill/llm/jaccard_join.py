@@ -44,9 +44,9 @@ LEAST_BITS, BIT_SHARE = 128, 0.7
 #: The longest prefix for which pairs are considered.
 MAX_PAIRS_PREFIX = 16
 #: Counters of shingles a task (16 MB). A bucket is frequent from so many, and from so many times the mean, on.
-BUCKETS, FREQUENT, TIMES = 1 << 22, 256, 8
-#: Sets of a list that are compared at once; longer lists are split.
-LIST_BLOCK = 256
+BUCKETS, FREQUENT, TIMES = 1 << 22, 1000, 8
+#: Sets of a list, and texts of a candidate group, that are compared at once; what has more is split.
+BLOCK = 256
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -142,7 +142,7 @@ def frequent(marks: DataFrame) -> DataFrame:
     return by.where(F.col("n") >= max(FREQUENT, TIMES * total / BUCKETS)).select("bucket")
 
 
-def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], text: str, width: int, percent: int) -> DataFrame:
+def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], scratch: Scratch, text: str, width: int, percent: int) -> DataFrame:
     """sets (id, t1, t2, n, bits, prefix) as (id, n, bits, prefix, cold): prefixes in the order that has the frequent buckets last; the first ``cold`` shingles aren't frequent.
 
     Only sets with a frequent shingle in the hash-ordered prefix are made anew.
@@ -171,7 +171,7 @@ def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], text: str, wid
             sums = np.concatenate(([0], np.cumsum(flat)))
             ends = p.offsets.to_numpy()
             keep = pa.array(np.flatnonzero(sums[ends[1:]] > sums[ends[:-1]]), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in ("id", "t1", "t2")], ["id", "t1", "t2"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(keep) for c in kept], kept)
 
     def again(batches):
         import pyarrow as pa
@@ -185,12 +185,13 @@ def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], text: str, wid
                 p = np.concatenate([h[~last], h[last]])[:size]
                 prefix.append(p.view(np.int64))
                 cold.append(min(size, int((~last).sum())))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prefix, pa.list_(pa.int64())), pa.array(cold, pa.int32())], ["id", "prefix", "cold"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "bits")), pa.array(prefix, pa.list_(pa.int64())), pa.array(cold, pa.int32())], ["id", "n", "bits", "prefix", "cold"])
 
-    ids = small(sets.select("id", "t1", "t2", "prefix").mapInArrow(touched, "id bigint, t1 bigint, t2 bigint"))
-    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(ids, ["t1", "t2"]).select("id", "text")
-    made = texts.mapInArrow(again, "id bigint, prefix array<bigint>, cold int").groupBy("id").agg(F.first("prefix").alias("p"), F.first("cold").alias("c"))
-    return sets.join(made, "id", "left").select("id", "n", "bits", F.coalesce("p", "prefix").alias("prefix"), F.coalesce("c", "cold").alias("cold"))
+    kept = ["id", "t1", "t2", "n", "bits"]
+    ids = small(scratch.write(sets.select(*kept, "prefix").mapInArrow(touched, "id bigint, t1 bigint, t2 bigint, n bigint, bits binary"), "touched"))
+    texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(ids, ["t1", "t2"]).select("id", "n", "bits", "text")
+    made = texts.mapInArrow(again, "id bigint, n bigint, bits binary, prefix array<bigint>, cold int").dropDuplicates(["id"])  # of copies of a text
+    return sets.join(ids.select("id"), "id", "left_anti").select("id", "n", "bits", "prefix", "cold").unionByName(made)
 
 
 def text_hashes(text: str) -> list[Column]:
@@ -212,19 +213,19 @@ def boundary(sets: DataFrame) -> int:
 
 
 def _keys(sets: DataFrame, bound: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(s, id) twice: the keys under which each set is entered, first those with a shingle that isn't frequent."""
+    """(s, id, n) twice: the keys under which each set is entered, first those with a shingle that isn't frequent."""
     p = F.size("prefix")
     pairs = F.transform("prefix", lambda a, i: F.transform(F.slice("prefix", i + 2, F.lit(bound + 1)), lambda b: F.xxhash64(a, b)))
-    few = sets.where((p <= bound) & (p > 1)).select("id", "cold", pairs.alias("k"))
+    few = sets.where((p <= bound) & (p > 1)).select("id", "n", "cold", pairs.alias("k"))
     # The longer prefix has one more than needed for single shingles.
     single = F.when(p > 1, F.slice("prefix", F.lit(1), F.greatest(p - 1, F.lit(1)))).otherwise(F.col("prefix"))
     # A small set may link with a large one if it isn't much smaller than the smallest of those.
-    near = sets.where((p > bound) | (F.col("n") * 100 >= percent * F.lit(_least_size(bound, percent)))).select("id", "cold", single.alias("k"))
+    near = sets.where((p > bound) | (F.col("n") * 100 >= percent * F.lit(_least_size(bound, percent)))).select("id", "n", "cold", single.alias("k"))
     first = F.slice("k", F.lit(1), F.col("cold"))
     rest = F.slice("k", F.col("cold") + 1, F.size("k"))
-    cold = few.select("id", F.explode(F.flatten(first)).alias("s")).unionByName(near.select("id", F.explode(first).alias("s")))
-    hot = few.where(F.col("cold") < F.size("k")).select("id", F.explode(F.flatten(rest)).alias("s")).unionByName(near.where(F.col("cold") < F.size("k")).select("id", F.explode(rest).alias("s")))
-    return cold.select("s", "id"), hot.select("s", "id")
+    cold = few.select("id", "n", F.explode(F.flatten(first)).alias("s")).unionByName(near.select("id", "n", F.explode(first).alias("s")))
+    hot = few.where(F.col("cold") < F.size("k")).select("id", "n", F.explode(F.flatten(rest)).alias("s")).unionByName(near.where(F.col("cold") < F.size("k")).select("id", "n", F.explode(rest).alias("s")))
+    return cold.withColumn("n", F.col("n").cast("int")), hot.select("id", "s")
 
 
 def _least_size(bound: int, percent: int) -> int:
@@ -292,7 +293,7 @@ class _Sketches:
         return out
 
 
-def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PERCENT, block: int = LIST_BLOCK) -> DataFrame:
+def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that join whatever may link: a spanning forest of each list's pairs that sketches don't rule out.
 
     ``sets`` has id, n, bits, prefix and cold, prefixes being in one order.
@@ -302,7 +303,9 @@ def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PER
     cold, hot = _keys(sets, bound, percent)
     sketch = sets.select("id", "n", "bits")
     # Lists of shingles that aren't frequent are short, whatever the number of documents.
-    met = cold.withColumn("m", F.count("*").over(Window.partitionBy("s"))).where("m > 1").drop("m")
+    # Of these, a row goes on if the size next to its own allows a link.
+    sizes = Window.partitionBy("s").orderBy("n")
+    met = cold.withColumns({"less": F.lag("n").over(sizes), "more": F.lead("n").over(sizes)}).where((F.col("less") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("more") * percent)).select("id", "s")
     lengths = hot.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
     copies = scratch.write(hot.join(lengths, "s"), "lists")
     met = met.unionByName(copies.where(F.col("members") <= block).drop("members"))
@@ -374,7 +377,7 @@ def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PER
     return edges.distinct()
 
 
-def verified(texts: DataFrame, scratch: Scratch, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+def verified(texts: DataFrame, scratch: Scratch, percent: int = PERCENT, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that join what links exactly within each group.
 
     ``texts`` has grp, id, members (their number in the group) and text.
@@ -385,7 +388,7 @@ def verified(texts: DataFrame, scratch: Scratch, percent: int = PERCENT, width:
         sets = [shingles(t, width) for t in texts]
         return links([sets[k] for k in a.tolist()], [sets[k] for k in b.tolist()], percent)
 
-    return linked(texts, ["grp"], near, scratch)
+    return linked(texts, ["grp"], near, scratch, block)
 
 
 def links(left: list, right: list, percent: int = PERCENT):
@@ -425,7 +428,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
         keys = scratch.write(marks.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("doc_id").alias("least")), "keys")
         sets = marks.select("id", "t1", "t2", "n", "bits", "prefix").join(small(keys.select("id")), "id")
         buckets = [r.bucket for r in frequent(marks).collect()]  # BUCKETS / TIMES at most, whatever the number of documents
-        sets = scratch.write(ordered(sets, docs, buckets, text, width, percent), "sets")
+        sets = scratch.write(ordered(sets, docs, buckets, scratch, text, width, percent), "sets")
         groups = scratch.write(components(candidates(sets, boundary(sets), scratch, percent), scratch), "groups")
         sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
         members = groups.join(sizes, "component").join(marks.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "members", "t1", "t2")
