@@ -1,26 +1,26 @@
 """Benchmark decontamination: benchmark n-grams as a broadcast hash set, training texts scanned for them.
 
 Words are runs of ASCII letters (lower-cased) and digits and of all characters
-beyond ASCII. Each item gives its windows of ``width`` words; a shorter item is
-one window. Documents are scanned once, with rolling hashes of their words
-against the broadcast windows, and a hash hit is verified word by word. If the
-benchmark has more windows than ``slice_windows``, it is dealt into slices by
-hash, the documents are scanned once a slice, and the spans are united.
+beyond ASCII. Each item gives its windows of ``width`` words, which executors
+cut and hash; a shorter item is one window. Only hashes are broadcast, eight
+bytes a distinct window, and no more than ``slice_windows`` at a time: larger
+benchmarks are dealt into slices by hash, and the documents are scanned once a
+slice. A scan rolls a hash over each document's words; what hits the set is
+verified by a join with the windows' words, and only such rows are shuffled.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, small, table, written
 
 WIDTH = 10
-#: Windows broadcast at once, about 200 bytes each.
-SLICE_WINDOWS = 1_000_000
+#: Distinct windows broadcast at once, 8 bytes each and two bytes of flags.
+SLICE_WINDOWS = 4_000_000
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -43,13 +43,21 @@ class _WordHash(dict):
 
         if len(self) > 500_000:
             self.clear()
-        x = self[word] = xxhash.xxh64_intdigest(word)
+        x = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = x
         return x
 
 
 _hashes = _WordHash()
 
 
+def word_hashes(own: list[bytes]):
+    import numpy as np
+
+    return np.fromiter(map(_hashes.__getitem__, own), dtype=np.uint64, count=len(own))
+
+
 def rolled(hashes, width: int):
     """The hash of each run of ``width`` word hashes; empty if there are fewer."""
     import numpy as np
@@ -64,109 +72,145 @@ def rolled(hashes, width: int):
     return out * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _windows(rows: list[tuple[str, str]], width: int) -> dict[int, dict[tuple, set]]:
-    """By length: the windows (tuples of words) and the items that have them."""
-    out: dict[int, dict[tuple, set]] = {}
-    for item, text in rows:
-        w = words(text)
-        size = min(width, len(w))
-        for i in range(len(w) - size + 1 if w else 0):
-            out.setdefault(size, {}).setdefault(tuple(w[i : i + size]), set()).add(item)
-    return out
-
+def windows(items: DataFrame, width: int = WIDTH, rows: int = 10_000) -> DataFrame:
+    """(item, size, hash, window) of items (item, text): the words of each window, with a space between. An item of any length goes out in batches."""
 
-def _finder(by_size: dict[int, dict[tuple, set]]) -> Callable:
-    """A function from a text to (number of words, merged spans of hit words, items)."""
-    import numpy as np
+    def cut(batches):
+        import pyarrow as pa
 
-    tables = []
-    for size, found in by_size.items():
-        by_hash: dict[int, list] = {}
-        flags = np.zeros(1 << max(16, (len(found) * 16).bit_length()), dtype=bool)
-        for window, items in found.items():
-            h = int(rolled(np.fromiter(map(_hashes.__getitem__, window), dtype=np.uint64, count=size), size)[0])
-            by_hash.setdefault(h, []).append((window, items))
-            flags[h & (len(flags) - 1)] = True
-        tables.append((size, by_hash, flags))
-
-    def find(text: str | None) -> tuple[int, list[tuple[int, int]], set]:
-        own = words(text)
-        spans, items = [], set()
-        hashes = np.fromiter(map(_hashes.__getitem__, own), dtype=np.uint64, count=len(own))
-        for size, by_hash, flags in tables:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = words(text)
+                size = min(width, len(own))
+                if not size:
+                    continue
+                h = rolled(word_hashes(own), size).view("int64")
+                for low in range(0, len(h), rows):
+                    part = h[low : low + rows]
+                    text_of = [b" ".join(own[i : i + size]) for i in range(low, low + len(part))]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(part), pa.string()), pa.array([size] * len(part), pa.int32()), pa.array(part), pa.array(text_of, pa.binary())], ["item", "size", "hash", "window"])
+
+    return items.select("item", "text").mapInArrow(cut, "item string, size int, hash bigint, window binary")
+
+
+class _HashSet:
+    """Window hashes by size, to look up arrays of hashes."""
+
+    def __init__(self, by_size: dict):
+        import numpy as np
+
+        self.tables = []
+        for size, hashes in by_size.items():
+            known = np.sort(hashes.view(np.uint64))
+            flags = np.zeros(1 << max(16, (len(known) * 16).bit_length()), dtype=bool)
+            flags[(known & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+            self.tables.append((size, known, flags))
+
+    def hits(self, hashes):
+        """(size, place, hash) of each window of a text, given its words' hashes, that is in the set."""
+        import numpy as np
+
+        for size, known, flags in self.tables:
             h = rolled(hashes, size)
-            for i in np.flatnonzero(flags[h & np.uint64(len(flags) - 1)]).tolist():
-                for window, of in by_hash.get(int(h[i]), ()):
-                    if all(own[i + k] == window[k] for k in range(size)):
-                        spans.append((i, i + size))
-                        items |= of
-        return len(own), _merged(spans), items
-
-    return find
-
-
-def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+            at = np.flatnonzero(flags[(h & np.uint64(len(flags) - 1)).astype(np.int64)])
+            if len(at):
+                k = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
+                for i in at[known[k] == h[at]].tolist():
+                    yield size, i, h[i]
 
 
-def _scan(docs: DataFrame, by_size: dict, text: str, columns: list[str]) -> DataFrame:
-    windows = docs.sparkSession.sparkContext.broadcast(by_size)
+def _scanned(docs: DataFrame, by_size: dict, text: str, columns: list[str], n_words: str) -> DataFrame:
+    """The columns, the number of words, and ``__hits``: the windows whose hash is in the set."""
+    sent = docs.sparkSession.sparkContext.broadcast(by_size)
 
     def scan(batches):
+        import numpy as np
         import pyarrow as pa
 
-        find = _finder(windows.value)
+        known = _HashSet(sent.value)
+        kind = pa.list_(pa.struct([("size", pa.int32()), ("low", pa.int64()), ("hash", pa.int64()), ("window", pa.binary())]))
         for batch in batches:
-            n, spans, items = [], [], []
+            n, hits = [], []
             for t in batch.column("__text").to_pylist():
-                a, b, c = find(t)
-                n.append(a)
-                spans.append([{"low": x, "high": y} for x, y in b])
-                items.append(sorted(c))
-            new = [pa.array(n, pa.int64()), pa.array(spans, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *new], [*columns, "n_words", "spans", "items"])
-
-    new = {"n_words": "bigint", "spans": "array<struct<low:bigint,high:bigint>>", "items": "array<string>"}
+                own = words(t)
+                n.append(len(own))
+                found = known.hits(word_hashes(own))
+                hits.append([{"size": s, "low": i, "hash": int(np.int64(h.astype(np.int64))), "window": b" ".join(own[i : i + s])} for s, i, h in found])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(n, pa.int64()), pa.array(hits, kind)], [*columns, n_words, "__hits"])
+
+    new = {n_words: "bigint", "__hits": "array<struct<size:int,low:bigint,hash:bigint,window:binary>>"}
     schema = docs.select(*columns).withColumns({k: F.lit(None).cast(v) for k, v in new.items()}).schema
     return docs.select(*columns, F.col(text).alias("__text")).mapInArrow(scan, schema)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, width: int = WIDTH, slice_windows: int = SLICE_WINDOWS) -> DataFrame:
-    """For each document the columns ``keep``, n_words, spans (of hit words, merged), items (sorted ids as strings), n_hit.
+def _slices(found: DataFrame, slices: int):
+    """The distinct hashes by size, a slice at a time."""
+    import numpy as np
+
+    distinct = found.select("size", "hash").distinct()
+    for k in range(slices):
+        part = distinct.where(F.pmod(F.xxhash64("hash"), F.lit(slices)) == k).toArrow()
+        size, h = part.column("size").to_numpy(), part.column("hash").to_numpy()
+        yield {int(s): h[size == s] for s in np.unique(size)}
+
+
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, width: int = WIDTH, slice_windows: int = SLICE_WINDOWS, names: tuple[str, str, str, str] = ("n_words", "spans", "items", "n_hit")
+) -> DataFrame:
+    """For each document the columns ``keep`` (all by default) and, by ``names``, n_words, spans (of hit words, merged), items (sorted ids as strings), n_hit.
 
     ``benchmark`` has item_id and text. A null or empty text has no words and no
-    hits. Items without words, and items without an id, give no windows. Rows
-    with the same item_id are one item. Repeated documents are judged each on
-    its own, and without windows no document is hit.
+    hits; texts and items of any length are read whole. Items without words, and
+    items without an id, give no windows. Rows with the same item_id are one
+    item, and a window of several items hits them all. Repeated documents are
+    judged each on its own; without windows no document is hit; an empty table
+    gives no rows. Kept columns with one of ``names`` are replaced.
     """
-    keep = [c for c in (docs.columns if keep is None else keep)]
-    keep = [c for c in keep if c not in ("n_words", "spans", "items", "n_hit")]
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), F.col("text").alias("t"))
-    # At least as many windows as an item gives: one for each of its bytes would be a bound; words are far fewer.
-    bound = items.agg(F.sum(F.greatest(F.lit(1), F.octet_length("t") / 4))).first()[0] or 0
-    slices = int(bound // slice_windows) + 1
-    if slices == 1:
-        found = _scan(docs, _windows([(r.item_id, r.t) for r in items.collect()], width), text, keep)
-    else:
+    n_words, spans, items, n_hit = names
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
+    with Scratch(docs.sparkSession) as scratch:
+        named = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+        found = scratch.write(windows(named, width), "windows")
+        slices = int(found.agg(F.count_distinct("size", "hash")).first()[0] // slice_windows) + 1
+        docs = docs.withColumn("__row", F.monotonically_increasing_id())
+        docs = docs if slices == 1 else scratch.write(docs.select(*{*keep, text}, "__row"), "rows")
         parts = []
-        tagged = docs.withColumn("__row", F.monotonically_increasing_id())
-        for k in range(slices):
-            part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)
-            parts.append(_scan(tagged, _windows([(r.item_id, r.t) for r in part.collect()], width), text, [*keep, "__row"]))
-        united = parts[0]
+        for k, by_size in enumerate(_slices(found, slices)):
+            part = _scanned(docs, by_size, text, [*keep, "__row"] if k == 0 else ["__row"], n_words)
+            parts.append(written(part, "scanned") if k == 0 else scratch.write(part.where(F.size("__hits") > 0).select("__row", "__hits"), "hits"))
+        hits = parts[0].where(F.size("__hits") > 0).select("__row", "__hits")
         for part in parts[1:]:
-            united = united.unionByName(part)
-        first = [F.first(c).alias(c) for c in [*keep, "n_words"]]
-        found = united.groupBy("__row").agg(*first, F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("__row")
-    step = lambda a, s: F.struct((a["n"] + F.greatest(F.lit(0), s["high"] - F.greatest(s["low"], a["end"]))).alias("n"), F.greatest(a["end"], s["high"]).alias("end"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end"))
-    return found.withColumn("n_hit", F.aggregate("spans", zero, step, lambda a: a["n"]))
+            hits = hits.unionByName(part)
+        each = hits.select("__row", F.inline("__hits"))
+        good = each.join(small(found), ["size", "hash", "window"]).groupBy("__row", "low", "size").agg(F.collect_set("item").alias("of"))
+        span = F.struct("low", (F.col("low") + F.col("size")).alias("high"))
+        judged = good.groupBy("__row").agg(F.array_sort(F.collect_list(span)).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias(items))
+        judged = written(_merged(judged, spans, items, n_hit), "judged")
+    none = {spans: F.array().cast("array<struct<low:bigint,high:bigint>>"), items: F.array().cast("array<string>"), n_hit: F.lit(0).cast("bigint")}
+    joined = parts[0].drop("__hits").join(small(judged), "__row", "left")
+    return joined.select(*keep, n_words, *(F.coalesce(c, v).alias(c) for c, v in none.items()))
+
+
+def _merged(judged: DataFrame, spans: str, items: str, n_hit: str) -> DataFrame:
+    """Sorted spans united where they touch, with their number of words."""
+
+    def unite(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            out, n = [], []
+            for row in batch.column(spans).to_pylist():
+                one: list[dict] = []
+                for s in row:
+                    if one and s["low"] <= one[-1]["high"]:
+                        one[-1]["high"] = max(one[-1]["high"], s["high"])
+                    else:
+                        one.append(dict(s))
+                out.append(one)
+                n.append(sum(s["high"] - s["low"] for s in one))
+            yield pa.RecordBatch.from_arrays([batch.column("__row"), pa.array(out, pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))), batch.column(items), pa.array(n, pa.int64())], ["__row", spans, items, n_hit])
+
+    return judged.mapInArrow(unite, f"__row bigint, {spans} array<struct<low:bigint,high:bigint>>, {items} array<string>, {n_hit} bigint")
 
 
 def without_spans(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
