@@ -16,7 +16,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, small, table, written
+from .common import Scratch, arrow_batches, small, table, written
 from .encoding import tokenizer_path, word_encoder
 
 #: Ids in a shard, but for a longer document.
@@ -114,10 +114,9 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     Keys are integers or null; a null key comes first. Rows of equal key keep
     the order of their texts' hashes and are told apart by a running number. A
-    null or empty text has the end id alone.
+    null or empty text has the end id alone; a text of any length is one record.
+    An empty table gives no shards; no other column is read.
     """
-    spark = docs.sparkSession
-    arrow_batches(spark)
     # Equal keys may be split over tasks: the texts' hash is part of the range.
     order = [F.col("__key").asc(), F.xxhash64("__text").asc()]
     rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(NULL_KEY)).alias("__key"), F.coalesce(text, F.lit("")).alias("__text"))
@@ -182,7 +181,6 @@ class Reader:
 
 def read_back(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, by keyed reads of the shards."""
-    arrow_batches(shards.sparkSession, 2)  # rows of some MB
 
     def read(batches):
         import numpy as np
@@ -198,28 +196,52 @@ def read_back(shards: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(reader.ids(a, n).astype("<u4").tobytes()) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, mask=keys == NULL_KEY), pa.array(starts + row["base"]), pa.array(lengths), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    with arrow_batches(shards.sparkSession, 2):  # rows of some MB
+        return written(shards.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"), "read-back")
 
 
 def lookup(shards: DataFrame, keys: DataFrame) -> DataFrame:
-    """(doc_id, ids) of the keys (doc_id) that the shards have; of repeated keys, the first row."""
-    arrow_batches(shards.sparkSession, 2)
-    wanted = keys.select(F.col("doc_id").cast("bigint").alias("k")).where("k is not null").distinct()
+    """(doc_id, ids) of the keys (doc_id) that the shards have; of repeated keys, the first row.
+
+    Keys go to the first part, and in it to the first shard, that ends at or
+    after them: parts are as many as the writer's partitions, so a table of
+    their ends is small, and a shard is met by its keys in one join. A key that
+    spans shards is in the first one that it could be in.
+    """
     places = shards.select("part", "shard", "low", "high")
-    found = wanted.join(small(places, 100_000), F.col("k").between(F.col("low"), F.col("high"))).groupBy("part", "shard").agg(F.collect_list("k").alias("wanted"))
+    parts = sorted(places.groupBy("part").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect())  # a row a partition of the writer
+    ends = shards.sparkSession.sparkContext.broadcast([(r.part, r.low, r.high) for r in parts])
 
-    def read(batches):
+    def route(batches):
         import numpy as np
         import pyarrow as pa
 
+        part, low, high = (np.array(x, dtype=np.int64) for x in (zip(*ends.value, strict=True) if ends.value else ([], [], [])))
         for batch in batches:
-            for row in batch.to_pylist():
-                reader, want = Reader(row), np.array(row["wanted"], dtype=np.int64)
-                starts, lengths = reader.find(want, np.zeros(len(want), dtype=np.uint32))
-                hit = [(int(k), reader.ids(a, n).tolist()) for k, a, n in zip(want, starts.tolist(), lengths.tolist(), strict=True) if n >= 0]
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in hit], pa.int64()), pa.array([x for _, x in hit], pa.list_(pa.int32()))], ["doc_id", "ids"])
+            k = batch.column(0).to_numpy(zero_copy_only=False)
+            at = np.searchsorted(high, k)
+            hit = at < len(high)
+            hit[hit] &= low[at[hit]] <= k[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(k[hit]), pa.array(part[at[hit]].astype(np.int32))], ["k", "part"])
 
-    return shards.join(found, ["part", "shard"]).mapInArrow(read, "doc_id bigint, ids array<int>")
+    def read(left, right):
+        import numpy as np
+        import pyarrow as pa
+
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+        reader, want = Reader(right.to_pylist()[0]), left.column("k").to_numpy()
+        starts, lengths = reader.find(want, np.zeros(len(want), dtype=np.uint32))
+        hit = np.flatnonzero(lengths >= 0).tolist()
+        return pa.table({"doc_id": pa.array(want[hit], pa.int64()), "ids": pa.array([reader.ids(starts[k], lengths[k]).tolist() for k in hit], pa.list_(pa.int32()))})
+
+    wanted = keys.select(F.col("doc_id").cast("bigint").alias("k")).where("k is not null").distinct()
+    with Scratch(shards.sparkSession) as scratch:
+        routed = wanted.mapInArrow(route, "k bigint, part int").join(places, "part").where("k between low and high")
+        routed = scratch.write(routed.groupBy("k", "part").agg(F.min("shard").alias("shard")), "routed")
+        there = shards.join(small(routed.select("part", "shard").distinct()), ["part", "shard"], "left_semi")
+        found = routed.groupBy("part", "shard").cogroup(there.groupBy("part", "shard")).applyInArrow(read, "doc_id bigint, ids array<int>")
+        return written(found, "found")
 
 
 def op8_token_files(spark, sf_dir: str) -> DataFrame:
