@@ -16,8 +16,8 @@ import re
 from array import array
 from itertools import chain
 
-#: Words kept by a worker, about 160 bytes each; the cache starts anew when it's full.
-CACHE_WORDS = 600_000
+#: Words kept by a worker, of so many bytes at most (about 160 bytes each); the cache starts anew when it's full.
+CACHE_WORDS, CACHE_BYTES = 600_000, 64
 _encoders: dict = {}
 
 
@@ -88,7 +88,8 @@ class WordEncoder:
                 self.ids.append(i)
                 rank += 1
         self._piece = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict = {}
+        self.fixed: dict = {}
 
     def by_library(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -119,11 +120,20 @@ class WordEncoder:
         missing = set(chain.from_iterable(cuts)).difference(self.known)
         if missing:
             if len(self.known) + len(missing) > CACHE_WORDS:
-                self.known = {w: x for w, x in self.known.items() if len(w) <= 7}  # short words recur
+                self.known = {w: x for w, x in self.known.items() if len(w) <= 7} | self.fixed  # short words recur
                 missing = set(chain.from_iterable(cuts)).difference(self.known)
             self.known.update((w, make(self._word(w))) for w in missing)
         get = self.known.__getitem__
-        return [join(map(get, cut)) for cut in cuts]
+        out = [join(map(get, cut)) for cut in cuts]
+        for w in missing:
+            if len(w) > CACHE_BYTES:
+                del self.known[w]
+        return out
+
+    def keep(self, fixed: dict[bytes, int]) -> None:
+        """Words that are known once and for all."""
+        self.fixed = fixed
+        self.known.update(fixed)
 
 
 def _byte_signs() -> dict[int, str]:

@@ -2,9 +2,9 @@
 
 The lengths of frequent words are broadcast as one hash table; a word that it
 lacks is encoded once a worker and then found in the worker's cache. No word is
-shuffled: the table only saves work and never changes a count. It is made from
-a bounded sample of texts (``sample_rows``), and holds ``table_words`` words at
-most.
+shuffled but for the table: each task counts the words of all its texts, and
+sends those that it saw most. The table only saves work and never changes a
+count; it holds ``table_words`` words at most.
 """
 
 from __future__ import annotations
@@ -15,31 +15,45 @@ from pyspark.sql import functions as F
 from .common import table
 from .encoding import tokenizer_path, word_encoder
 
-#: Texts from which the frequent words are taken, and words in the table.
-SAMPLE_ROWS = 2_000
+#: Words in the table, words that a task sends, and words that it counts at once.
 TABLE_WORDS = 50_000
+TASK_WORDS = 20_000
+COUNTED_WORDS = 300_000
 
 
-def frequent_words(docs: DataFrame, text: Column, sample_rows: int = SAMPLE_ROWS, words: int = TABLE_WORDS) -> list[str]:
-    """The most frequent words of a bounded sample of the texts, ASCII letters lower-cased."""
-    rows = docs.count()
-    if not rows:
-        return []
-    sample = docs.select(text.alias("t")).sample(fraction=min(1.0, sample_rows / rows), seed=7)
-    word = F.explode(F.split(F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "[\\x20\\x09-\\x0D]+")).alias("w")
-    counted = sample.select(word).where("w <> ''").groupBy("w").count().where("count > 1")
-    return [r.w for r in counted.orderBy(F.desc("count"), "w").limit(words).collect()]
+def frequent_words(docs: DataFrame, text: Column, words: int = TABLE_WORDS) -> list[str]:
+    """The most frequent words of all texts, ASCII letters lower-cased, by what each task sees most; words of more than 32 bytes are left out."""
+
+    def count(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        seen: Counter = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(t.encode().lower().split())
+                if len(seen) > COUNTED_WORDS:  # what is rare so far starts anew
+                    seen = Counter(dict(seen.most_common(TASK_WORDS)))
+        most = [(w.decode(), n) for w, n in seen.most_common(TASK_WORDS) if n > 1 and len(w) <= 32]
+        if most:
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in most]), pa.array([n for _, n in most], pa.int64())], ["w", "n"])
+
+    sent = docs.select(text.alias("t")).where("t is not null").mapInArrow(count, "w string, n bigint")
+    counted = sent.groupBy("w").agg(F.sum("n").alias("n"))
+    return [r.w for r in counted.orderBy(F.desc("n"), "w").limit(words).collect()]
 
 
-def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 2048, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 2048) -> DataFrame:
     """docs, without the text, with n_bytes, n_tokens and over_limit; columns of these names are replaced.
 
-    Null and empty texts have no bytes and no tokens. Rows are neither merged
-    nor dropped, and no column but ``text`` is looked at.
+    Null and empty texts have no bytes and no tokens; texts of any length are
+    read whole. Rows are neither merged nor dropped, so repeated ones count
+    alike; no column but ``text`` is looked at; an empty table gives no rows.
     """
     spark = docs.sparkSession
     encoder = word_encoder(path, "lengths")
-    tier = {w.encode(): len(encoder.word_ids(w)) for w in frequent_words(docs, F.col(text), sample_rows)}
+    tier = {w.encode(): len(encoder.word_ids(w)) for w in frequent_words(docs, F.col(text))}
     lengths = spark.sparkContext.broadcast(tier)
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_tokens", "over_limit")]
     others = [c for c in kept if c != text]
@@ -48,8 +62,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 20
         import pyarrow as pa
 
         encoder = word_encoder(path, "lengths")
-        if not encoder.known:
-            encoder.known = dict(lengths.value)
+        encoder.keep(lengths.value)
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("__text").to_pylist()]
             n = encoder.encode_batch(texts, make=len, join=sum)
