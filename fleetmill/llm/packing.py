@@ -3,10 +3,11 @@
 Texts become token ids and an end id; what is longer than a sequence is cut
 into full pieces, the first piece taking the rest. Pieces are dealt evenly into
 cells of about ``cell_pieces``, and each cell is packed by itself: best fit over
-falling lengths, then a local search among the underfull sequences, which moves
+falling lengths, then a local search among all underfull sequences, which moves
 a piece or exchanges one for one or two for one wherever that raises the sum
-of squared fills, and so empties sequences. A cell ends with one part-filled
-sequence or a few, so cells cost at most about one sequence in a thousand.
+of squared fills, until going through them all empties none any more. A cell
+ends with one part-filled sequence or a few, so cells cost at most about one
+sequence in a thousand.
 Only lengths are shuffled, never ids.
 """
 
@@ -23,14 +24,14 @@ from .encoding import byte_encoder, tokenizer_path
 
 LENGTH = 2048
 CELL_PIECES = 6_000
-#: Sequences that the local search looks at in a cell: the emptiest.
-SEARCH_BINS = 48
 
 
 def pieces(docs: DataFrame, path: str, ranks: str, text: str = "text", length: int = LENGTH, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of each text's ids and the end id.
 
-    A null or empty text has the end id alone. Repeated rows give their pieces each.
+    A null or empty text has the end id alone. Repeated rows give their pieces
+    each; a text of any length is cut whole; an empty table gives no rows, and
+    other columns aren't read.
     """
 
     def cut(batches):
@@ -92,69 +93,101 @@ def best_fit(sizes: list[int], length: int = LENGTH) -> list[list[int]]:
     return bins
 
 
-def local_search(sizes: list[int], bins: list[list[int]], length: int = LENGTH, look: int = SEARCH_BINS, rounds: int = 200) -> list[list[int]]:
-    """Fewer or fuller bins: every accepted step raises the sum of squared fills, so it ends.
+def local_search(sizes: list[int], bins: list[list[int]], length: int = LENGTH) -> list[list[int]]:
+    """Fewer or fuller bins: every accepted step raises the sum of squared fills.
 
-    A step takes the emptiest bin and another underfull one, and fills the
-    latter by the former's pieces: a move, an exchange of one for one, or two
-    for one either way. A step of gain d on fills a >= b raises the sum by
-    2 d (a - b + d) > 0.
+    From the emptiest on, an underfull bin gives pieces to others of at least
+    its fill: by a move, an exchange of one for one, or two for one either way,
+    always the step with the largest gain, until there's none or it is empty. A
+    step of gain d on fills a >= b raises the sum by 2 d (a - b + d) > 0. All
+    underfull bins have their turn, again as long as a turn of all empties one.
     """
+    bins = [list(b) for b in bins]
     fill = [sum(sizes[i] for i in b) for b in bins]
-    for _ in range(rounds):
-        open_bins = sorted((k for k in range(len(bins)) if bins[k] and fill[k] < length), key=lambda k: fill[k])[:look]
-        if len(open_bins) < 2:
-            break
-        changed = False
-        for low in open_bins:
-            for high in sorted(open_bins, key=lambda k: -fill[k]):
-                if high == low or not bins[low] or fill[high] < fill[low]:
-                    continue
-                step = _step(sizes, bins[high], bins[low], length - fill[high])
-                if step:
-                    out, back, gain = step
-                    bins[high] = [i for i in bins[high] if i not in back] + out
-                    bins[low] = [i for i in bins[low] if i not in out] + back
-                    fill[high] += gain
-                    fill[low] -= gain
-                    changed = True
-            if changed:
-                break
-        if not changed:
-            break
+    emptied = True
+    while emptied:
+        emptied = False
+        search = _Search(sizes, bins, fill, length)
+        for low in sorted(search.open, key=lambda k: (fill[k], k)):
+            while bins[low] and fill[low] < length and (step := search.best(low)):
+                high, out, back, gain = step
+                bins[high] = [i for i in bins[high] if i not in back] + out
+                bins[low] = [i for i in bins[low] if i not in out] + back
+                fill[high] += gain
+                fill[low] -= gain
+                search.changed(low)
+                search.changed(high)
+            emptied |= not bins[low]
     return [b for b in bins if b]
 
 
-def _step(sizes: list[int], high: list[int], low: list[int], free: int) -> tuple[list[int], list[int], int] | None:
-    """(pieces from low to high, pieces from high to low, gain): the largest gain within ``free``."""
-    best, found = 0, None
-    for x in low:  # a move
-        if best < sizes[x] <= free:
-            best, found = sizes[x], ([x], [])
-    if best == free:
-        return (*found, best) if found else None
-    ordered = sorted(low, key=lambda i: sizes[i])
-    keys = [sizes[i] for i in ordered]
-    pairs = sorted((sizes[a] + sizes[b], a, b) for n, a in enumerate(ordered[:24]) for b in ordered[n + 1 : 24])
-    sums = [p[0] for p in pairs]
-
-    def largest(values: list[int], most: int) -> int:
-        k = bisect_left(values, most + 1) - 1
-        return k
-
-    for y in high:  # one of high for one, or for two, of low
-        k = largest(keys, sizes[y] + free)
-        if k >= 0 and keys[k] - sizes[y] > best:
-            best, found = keys[k] - sizes[y], ([ordered[k]], [y])
-        k = largest(sums, sizes[y] + free)
-        if k >= 0 and sums[k] - sizes[y] > best:
-            best, found = sums[k] - sizes[y], ([pairs[k][1], pairs[k][2]], [y])
-    for n, y in enumerate(high[:24]):  # two of high for one of low
-        for z in high[n + 1 : 24]:
-            k = largest(keys, sizes[y] + sizes[z] + free)
-            if k >= 0 and keys[k] - sizes[y] - sizes[z] > best:
-                best, found = keys[k] - sizes[y] - sizes[z], ([ordered[k]], [y, z])
-    return (*found, best) if found else None
+class _Search:
+    """The pieces, and the pairs of pieces, of underfull bins as arrays, a stretch a bin."""
+
+    def __init__(self, sizes: list[int], bins: list[list[int]], fill: list[int], length: int):
+        import numpy as np
+
+        self.sizes, self.bins, self.fill, self.length = np.array(sizes, dtype=np.int64), bins, fill, length
+        self.open = [k for k in range(len(bins)) if bins[k] and fill[k] < length]
+        self.parts: dict[int, tuple] = {}
+        for k in self.open:
+            self.changed(k)
+
+    def changed(self, k: int) -> None:
+        import numpy as np
+
+        if not self.bins[k] or self.fill[k] >= self.length:
+            self.parts.pop(k, None)
+        else:
+            own = np.array(self.bins[k], dtype=np.int64)
+            size = self.sizes[own]
+            a, b = np.triu_indices(len(own), 1)
+            self.parts[k] = (own, size, own[a], own[b], size[a] + size[b])
+        self.table = None
+
+    def _stacked(self) -> tuple:
+        """(bin, first piece, second piece or -1, size) of all pieces and pairs."""
+        import numpy as np
+
+        if self.table is None:
+            of = [(np.full(len(s) + len(p), k), np.concatenate([o, x]), np.concatenate([np.full(len(o), -1), y]), np.concatenate([s, p])) for k, (o, s, x, y, p) in self.parts.items()]
+            self.table = tuple(np.concatenate(c) for c in zip(*of, strict=True)) if of else tuple(np.empty(0, dtype=np.int64) for _ in range(4))
+            self.free = self.length - np.array(self.fill, dtype=np.int64)
+        return self.table
+
+    def best(self, low: int) -> tuple[int, list[int], list[int], int] | None:
+        """(high, pieces from low, pieces from high, gain), or None."""
+        import numpy as np
+
+        if low not in self.parts:
+            return None
+        where, first, second, size = self._stacked()
+        own, one, x, y, two = self.parts[low]
+        free = self.free[where]
+        usable = (where != low) & (self.free[where] <= self.free[low])
+        found = (0, None)
+
+        def largest(values, pieces, most, allowed, back) -> None:
+            """For each of the other bins' entries: the largest of low's values that fits ``most``, for those behind ``back``."""
+            nonlocal found
+            order = np.argsort(values, kind="stable")
+            at = np.searchsorted(values[order], most, side="right") - 1
+            gain = np.where(allowed & (at >= 0), values[order][np.maximum(at, 0)] - back, 0)
+            k = int(np.argmax(gain)) if len(gain) else 0
+            if len(gain) and gain[k] > found[0]:
+                found = (int(gain[k]), (k, pieces(order[at[k]]), back is not zero))
+
+        zero = np.zeros(len(size), dtype=np.int64)
+        largest(one, lambda i: [int(own[i])], free, usable, zero)  # a move
+        largest(one, lambda i: [int(own[i])], size + free, usable, size)  # for one, or for two
+        if len(two):
+            largest(two, lambda i: [int(x[i]), int(y[i])], size + free, usable & (second < 0), size)  # two for one
+        gain, step = found
+        if step is None:
+            return None
+        k, out, exchange = step
+        back = [int(p) for p in (first[k], second[k]) if p >= 0] if exchange else []
+        return int(where[k]), out, back, gain
 
 
 def pack(parts: DataFrame, length: int = LENGTH, cell_pieces: int = CELL_PIECES) -> DataFrame:
@@ -162,7 +195,8 @@ def pack(parts: DataFrame, length: int = LENGTH, cell_pieces: int = CELL_PIECES)
 
     Each piece gets its place; an empty table gives no rows. Pieces are dealt to
     cells by their row number in the written table, so neither repeated rows nor
-    equal lengths gather in one cell.
+    equal lengths gather in one cell; pieces of equal length may swap places.
+    Columns of the names sequence_id and offset are replaced, others kept.
     """
     parts = parts.drop("sequence_id", "offset")
     parts = written(parts.withColumn("__row", F.monotonically_increasing_id()), "pieces")
