@@ -10,7 +10,9 @@ by one row at most, while most rows stay where the plain ring puts them.
 Rows aren't moved one by one. They are counted by slot, the counts are added up
 by arc (shards x replicas of them), and one loop over the arcs in ring order
 decides how many rows of each arc go to which shard. A row then finds its place
-by its rank within its slot. Only DataFrame functions are used.
+by its rank within its slot; a slot with very many rows (those of one key, say)
+is ranked in shares, and the shares before are added. Only DataFrame functions
+are used.
 """
 
 from __future__ import annotations
@@ -20,11 +22,13 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_bytes
+from .common import small, table, text_bytes, written
 
 #: Slots of the ring: the most rows that any lookup table here has, about 2 MB.
 SLOTS = 65_536
 REPLICAS = 64
+#: Rows of a slot that are ranked in one task.
+SHARE_ROWS = 50_000
 
 
 def _slot(*key: Column | str) -> Column:
@@ -66,16 +70,18 @@ def deal(arcs: list[tuple[int, int, int]], shards: int) -> list[tuple[int, int,
     return out
 
 
-def bounded_ring(rows: DataFrame, key: str, shards: int = 16, replicas: int = REPLICAS, tie: tuple[str, ...] = ()) -> DataFrame:
+def bounded_ring(rows: DataFrame, key: str, shards: int = 16, replicas: int = REPLICAS, tie: tuple[str, ...] = (), share_rows: int = SHARE_ROWS) -> DataFrame:
     """rows with shard and slot (its number within the shard, gapless from 0).
 
     ``key`` decides the place on the ring; ties of equal keys are broken by
     ``tie``, and rows that are alike in all of these may swap places, which
     changes nothing. A null key has a place like any other. An empty table
-    gives no rows. Columns of the names shard and slot are replaced.
+    gives no rows. Columns of the names shard and slot are replaced, others
+    kept. The rows are written once, with a number each, so keep them narrow:
+    what is long is better joined by key behind.
     """
     spark = rows.sparkSession
-    rows = rows.drop("shard", "slot").withColumn("__slot", _slot(F.lit("key"), key))
+    rows = written(rows.drop("shard", "slot").withColumns({"__slot": _slot(F.lit("key"), key), "__row": F.monotonically_increasing_id()}), "ring-rows")
     places = ring(spark, shards, replicas)
     count = rows.groupBy("__slot").agg(F.count("*").alias("n"))
     slots = places.join(count, F.col("slot") == F.col("__slot"), "left").select("slot", "arc", "shard", F.coalesce("n", F.lit(0)).alias("n"))
@@ -90,10 +96,16 @@ def bounded_ring(rows: DataFrame, key: str, shards: int = 16, replicas: int = RE
     # At most SLOTS + shards x replicas + (overflowing pieces) rows: bounded, however many rows there are.
     plan = slots.where("n > 0").join(F.broadcast(pieces), (F.col("arc") == F.col("__arc")) & (F.col("low") < F.col("before") + F.col("n")) & (F.col("high") > F.col("before")))
     plan = plan.select(F.col("slot").alias("__slot"), F.col("__shard").alias("shard"), (F.col("low") - F.col("before")).alias("__low"), (F.col("high") - F.col("before")).alias("__high"), (F.col("start") - F.col("low") + F.col("before")).alias("__start"))
-    rank = F.row_number().over(Window.partitionBy("__slot").orderBy(key, *tie)) - 1
-    ranked = rows.withColumn("__rank", rank)
+    # Slots of more rows than a task should rank have shares, by the row's number: as many as their rows need.
+    many = slots.where(F.col("n") > share_rows).select(F.col("slot").alias("__slot"), F.ceil(F.col("n") / share_rows).cast("int").alias("__shares"))
+    own = rows.join(F.broadcast(many), "__slot", "left").withColumn("__share", F.coalesce(F.pmod(F.xxhash64("__row"), "__shares"), F.lit(0)).cast("int"))
+    shares = own.where("__shares is not null").groupBy("__slot", "__share").agg(F.count("*").alias("__n"))
+    earlier = F.sum("__n").over(Window.partitionBy("__slot").orderBy("__share").rowsBetween(Window.unboundedPreceding, -1))
+    shares = shares.select("__slot", "__share", F.coalesce(earlier, F.lit(0)).alias("__earlier"))
+    rank = F.row_number().over(Window.partitionBy("__slot", "__share").orderBy(key, *tie)) - 1
+    ranked = own.withColumn("__rank", rank).join(small(shares), ["__slot", "__share"], "left").withColumn("__rank", F.col("__rank") + F.coalesce("__earlier", F.lit(0)))
     placed = ranked.join(F.broadcast(plan), "__slot").where("__rank >= __low and __rank < __high")
-    return placed.withColumn("slot", F.col("__start") + F.col("__rank")).drop("__slot", "__rank", "__low", "__high", "__start")
+    return placed.withColumn("slot", F.col("__start") + F.col("__rank")).drop("__slot", "__row", "__shares", "__share", "__earlier", "__rank", "__low", "__high", "__start")
 
 
 def op7_sharding(spark, sf_dir: str) -> DataFrame:
