@@ -18,13 +18,14 @@ import re
 from array import array
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table
 
-#: Labelled documents that a model is fitted to, and words it may know: both are bounds.
+#: Labelled documents that a model is fitted to, bytes of their texts, and words it may know: all are bounds.
 SAMPLE_ROWS = 6_000
+SAMPLE_BYTES = 200_000_000
 MAX_WORDS = 60_000
 #: A word must be in so many of the sample's documents, and its excess of toxic ones as unlikely as this over all words.
 LEAST_DOCS = 4
@@ -48,14 +49,21 @@ def features(sentence: str) -> set[str]:
     return words.union([w[:4] + "*" for w in words if len(w) > 4], [w[:5] + "*" for w in words if len(w) > 5])
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(text, label): labelled documents, at most ``rows``, picked by the hash of their id.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> DataFrame:
+    """(text, label): labelled documents, at most ``rows`` of ``size`` bytes together, picked by the hashes of id and text.
 
-    ``labels`` has doc_id and label; a document with several labels has the largest.
+    ``labels`` has doc_id and label; a document with several labels has the
+    largest. Rows that repeat id and text are one.
     """
     one = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.join(F.broadcast(picked), "doc_id").select("text", F.col("label").cast("int").alias("label")).where("text is not null").limit(rows)
+    hashes = [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")]
+    docs = docs.where("text is not null")
+    known = docs.select("doc_id", *hashes, F.octet_length("text").alias("n")).join(F.broadcast(picked), "doc_id").distinct()
+    first = known.orderBy(F.xxhash64("doc_id"), "doc_id", "t1", "t2").limit(rows)
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "t1", "t2").rowsBetween(Window.unboundedPreceding, 0))  # SAMPLE_ROWS rows
+    chosen = first.withColumn("upto", upto).where(F.col("upto") <= size).select("doc_id", "t1", "t2", F.col("label").cast("int").alias("label"))
+    return docs.select("doc_id", *hashes, "text").join(F.broadcast(chosen), ["doc_id", "t1", "t2"]).dropDuplicates(["doc_id", "t1", "t2"]).select("text", "label")
 
 
 class Model(NamedTuple):
@@ -125,13 +133,14 @@ def _train(texts: list[str], labels: list[int], steps: int) -> Model:
     return Model({word: float(x[i]) for word, i in index.items()}, float(x[-2]), float(1 / (1 + np.exp(-x[-1]))))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, flag: float = 0.5) -> DataFrame:
-    """The columns ``keep`` with score and offending: the numbers, from 0, of sentences of at least ``flag``.
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, flag: float = 0.5, names: tuple[str, str] = ("score", "offending")) -> DataFrame:
+    """The columns ``keep`` (all by default) and, by ``names``, score and offending: the numbers, from 0, of sentences of at least ``flag``.
 
     A text without sentences (null, empty, signs only) scores the leak. Whole
-    texts are read; repeated rows score alike.
+    texts are read; repeated rows score alike; an empty table gives no rows.
+    Kept columns with one of ``names`` are replaced.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("score", "offending")]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -154,9 +163,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
                 scores.append(-math.expm1(none))
                 where.append(bad)
             new = [pa.array(scores, pa.float64()), pa.array(where, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], [*keep, "score", "offending"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new], [*keep, *names])
 
-    schema = docs.select(*keep).withColumns({"score": F.lit(0.0), "offending": F.lit(None).cast("array<int>")}).schema
+    schema = docs.select(*keep).withColumns({names[0]: F.lit(0.0), names[1]: F.lit(None).cast("array<int>")}).schema
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
@@ -165,11 +174,11 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def scored(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with score and offending, by a model of the labelled rows that aren't held out."""
+def scored(spark, docs: DataFrame, sf_dir: str, names: tuple[str, str] = ("score", "offending")) -> DataFrame:
+    """docs with score and offending (or other ``names``), by a model of the labelled rows that aren't held out."""
     source = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("toxic").alias("label"))
-    return score(docs, fit(sample(source, labels)))
+    return score(docs, fit(sample(source, labels)), names=names)
 
 
 def op5_toxicity(spark, sf_dir: str) -> DataFrame:
