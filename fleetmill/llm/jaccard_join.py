@@ -117,15 +117,14 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], names)
         often = np.flatnonzero(seen >= 4 + 6 * seen.sum() / BUCKETS)
         if len(often):
-            one = [pa.nulls(1, target.field(c).type) for c in names[:7]]
+            one = [pa.nulls(1, c.type) for c in (*(batch.column(c) for c in names[:3]), *new[:4])]
             yield pa.RecordBatch.from_arrays([*one, pa.array([often.tolist()], pa.list_(pa.int32())), pa.array([seen[often].tolist()], pa.list_(pa.int32()))], names)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     rows = docs.select("doc_id", *text_hashes(text), F.col(text).alias("__text"))
     schema = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, buckets array<int>, counts array<int>")
-    target, names = to_arrow_schema(schema), schema.names
+    names = schema.names
     return rows.mapInArrow(run, schema)
 
 

@@ -60,13 +60,26 @@ def byte_library():
     return Tokenizer.from_file(encoding.tokenizer_path("byte_bpe_50k.json"))
 
 
-def test_every_token_of_the_word_tokenizer_gives_itself(word_library):
-    """What the faster merge rests on, as the module says."""
+def test_every_token_gives_itself(word_library, byte_library):
+    """What the faster merge rests on, as the module says: all tokens that encode at all, of both vocabularies."""
     with open(encoding.tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
     for token, i in vocabulary.items():
         if token.endswith("</w>"):
             assert [x.id for x in word_library.model.tokenize(token.removesuffix("</w>"))] == [i]
+    with open(encoding.tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        vocabulary = json.load(file)["model"]["vocab"]
+    for token, i in vocabulary.items():
+        assert [x.id for x in byte_library.model.tokenize(token)] == [i]
+    # A token without a word's end is inside words only: it is what its merges make of it, in a longer word.
+    word = encoding.WordEncoder(encoding.tokenizer_path("word_bpe_49k.json"))
+    signs = {s: bytes([b]) for b, s in encoding._byte_signs().items()}
+    with open(encoding.tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as file:
+        inner = [t for t in json.load(file)["model"]["vocab"] if not t.endswith("</w>") and all(c in signs for c in t)]
+    for token in inner[::7]:
+        raw = b"".join(signs[c] for c in token) + b"q"
+        if raw.isalpha() and raw.isascii():
+            assert word.word_ids(raw.decode().lower()) == word_library.encode(raw.decode().lower(), add_special_tokens=False).ids
 
 
 def test_encoders_equal_the_library(word_library, byte_library):
@@ -105,12 +118,17 @@ def test_local_search_empties_bins():
         sizes = [r.randrange(1, 101) for _ in range(80)]
         start = [[i] for i in range(80)]  # a poor packing
         before = sum(sizes[i] ** 2 for i in range(80))
-        bins = packing.local_search(sizes, [list(b) for b in start], 100, look=80, rounds=500)
+        bins = packing.local_search(sizes, [list(b) for b in start], 100)
         assert sorted(i for b in bins for i in b) == list(range(80))
         fills = [sum(sizes[i] for i in b) for b in bins]
         assert max(fills) <= 100 and sum(f * f for f in fills) > before and len(bins) < 60
     assert len(packing.local_search([50, 50, 30, 70], [[0, 2], [1], [3]], 100)) == 2  # an exchange is needed
     assert packing.best_fit([]) == []
+    big = [r.randrange(700, 1500) for _ in range(3000)]
+    before = packing.best_fit(big, 2048)
+    after = packing.local_search(big, before, 2048)
+    assert sorted(i for b in after for i in b) == list(range(3000)) and len(after) <= len(before)
+    assert max(sum(big[i] for i in b) for b in after) <= 2048
 
 
 def brute_jaccard(rows, percent=85):
@@ -152,7 +170,7 @@ def rooted(edges, ids):
     return root
 
 
-@pytest.mark.parametrize("frequent", [256, 3])
+@pytest.mark.parametrize("frequent", [1000, 3])
 def test_jaccard_pairs_and_lists_agree(spark, docs, frequent, monkeypatch):
     """Whatever the boundary and the order, all links are within candidate groups."""
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
@@ -164,7 +182,7 @@ def test_jaccard_pairs_and_lists_agree(spark, docs, frequent, monkeypatch):
     buckets = [r.bucket for r in jaccard_join.frequent(every).collect()]
     assert bool(buckets) == (frequent == 3)
     with common.Scratch(spark) as scratch:
-        ordered = jaccard_join.ordered(marks, docs, buckets, "text", 4, 85).cache()
+        ordered = jaccard_join.ordered(marks, docs, buckets, scratch, "text", 4, 85).cache()
         assert ordered.where("cold < size(prefix)").isEmpty() == (frequent != 3)
         for bound in (0, 3, 16):
             for block in (256, 2):  # short lists, or all of them split
@@ -172,10 +190,10 @@ def test_jaccard_pairs_and_lists_agree(spark, docs, frequent, monkeypatch):
                 assert all(root(a) == root(b) for a, b in links)
 
 
-@pytest.mark.parametrize("frequent", [256, 5])
+@pytest.mark.parametrize("frequent", [1000, 5])
 def test_jaccard_blocks(spark, monkeypatch, frequent):
     """A group of many blocks: copies of one text with some words changed each, and texts that share a passage only."""
-    monkeypatch.setattr(blocks.linked, "__defaults__", (7,))
+    monkeypatch.setattr(jaccard_join.verified, "__defaults__", (85, 4, 7))
     monkeypatch.setattr(jaccard_join.candidates, "__defaults__", (85, 5))
     monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
     base, r, texts = prose(120, 9).split(), random.Random(2), []
@@ -226,6 +244,8 @@ def test_token_counts(spark, docs, word_library):
     got = token_counts.token_counts(docs, encoding.tokenizer_path("word_bpe_49k.json"), limit=50)
     want = sorted((str(r.doc_id), len((r.text or "").encode()), n := len(word_library.encode(r.text or "", add_special_tokens=False).ids), n > 50) for r in docs.collect())
     assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in got.collect()) == want
+    found = token_counts.frequent_words(docs, F.col("text"))
+    assert "alpha" in found and found[0] == "x" and token_counts.frequent_words(docs, F.col("text"), 3) == found[:3]
     assert token_counts.token_counts(empty(docs), encoding.tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
@@ -273,6 +293,9 @@ def test_toxicity(spark):
 def test_toxicity_sample_is_bounded(spark):
     data = spark.createDataFrame([(k, "t") for k in range(50)], "doc_id bigint, text string")
     labels = spark.createDataFrame([(k, k % 2) for k in range(50)] + [(1, None), (None, 1), (2, 1)], "doc_id bigint, label int")
+    twice = data.unionByName(data).unionByName(data.withColumn("text", F.concat("text", "doc_id")))
+    some = [sorted(map(tuple, toxicity.sample(d, labels, 10).collect())) for d in (twice, twice.repartition(3))]
+    assert some[0] == some[1] and len(some[0]) == 10 and toxicity.sample(data, labels, 50, 7).count() == 7
     assert toxicity.sample(data, labels, 10).count() == 10 and toxicity.sample(data, labels).count() == 50
 
 
@@ -290,14 +313,101 @@ def test_url_filter(spark):
     assert url_filter.judge(empty(pages)).count() == 0
 
 
+def judged(spark, rows, **options):
+    out = url_filter.judge(spark.createDataFrame(rows, "url string, bad int"), rules=(), labels=F.col("bad"), **options).collect()
+    return {r.url: (r.verdict, r.template) for r in out}
+
+
 def test_templates_are_learned_from_labels(spark):
-    """A bad branch is told apart from its siblings, which are merged, and numbers are wildcards."""
-    rows = [(f"http://h.net/{s}/{k}", int(s == "promo")) for s in ("news", "blog", "promo") for k in range(40)] + [(f"http://h.net/u{chr(97 + k)}{chr(97 + j)}/x", None) for k in range(6) for j in range(6)]
-    out = url_filter.judge(spark.createDataFrame(rows, "url string, bad int"), rules=(), labels=F.col("bad")).collect()
-    for r in out:
-        assert (r.verdict == "block") == ("/promo/" in r.url), r
-    assert {r.template for r in out if "/promo/" in r.url} == {"/promo/<n>"}
-    assert {r.template for r in out if "/promo/" not in r.url} == {"/*/*"}
+    """Bad branches are told apart from good ones, like ones are merged, and numbers are wildcards."""
+    rows = [(f"http://h.net/{s}/{k}", int(s in ("promo", "spam"))) for s in ("news", "blog", "promo", "spam") for k in range(9)] + [("http://h.net/about/1", None)]
+    for url, (verdict, template) in judged(spark, rows).items():
+        bad = "/promo/" in url or "/spam/" in url
+        assert verdict == ("block" if bad else "allow"), url
+        assert template == ("/*+/**" if bad else "/about/**" if "about" in url else "/*/**")
+
+
+def test_few_labels_tell_branches_apart(spark):
+    rows = [(f"http://h.net/{s}/{k}", label) for s, label in (("de", 1), ("fr", 0), ("en", None), ("es", None)) for k in range(3)]
+    out = judged(spark, rows)
+    assert {v for u, (v, _) in out.items() if "/de/" not in u} == {"allow"} and len({t for _, t in out.values()}) == 4
+    # The bad branch by itself is rejected, whether its siblings have labels or not.
+    only = judged(spark, [r for r in rows if r[1] != 0])
+    assert all((v == "block") == ("/de/" in u) for u, (v, _) in only.items())
+
+
+def test_variable_segments_are_wildcards(spark):
+    """Many different segments are one wildcard; of them, a branch with many bad pages stays apart, at any depth."""
+    rows = [(f"http://h.net/a/b/c/d/e/user{chr(97 + k // 26)}{chr(97 + k % 26)}/x{j}", 0 if j else None) for k in range(40) for j in range(3)]
+    rows += [(f"http://h.net/a/b/c/d/e/pills/x{j}", 1) for j in range(20)]
+    out = judged(spark, rows)
+    assert all((v == "block") == ("/pills/" in u) for u, (v, _) in out.items())
+    assert {t for u, (_, t) in out.items() if "user" in u} == {"/a/b/c/d/e/*/**"}
+
+
+def test_hosts_without_labels_are_allowed(spark):
+    rows = [(f"http://x.com/de/{k}", 1) for k in range(30)] + [("http://fresh.net/a", None), ("http://other.com/it/1", None), (None, None), ("none", None)]
+    out = judged(spark, rows)
+    assert all((v == "block") == (u is not None and "/de/" in u) for u, (v, _) in out.items())
+
+
+def plain_templates(pages, max_children=24):
+    """The tree by recursion: {(host, shape): template}; pages are (host, shape, bad)."""
+    from math import lgamma, log
+
+    def beta(b, g):
+        return lgamma(b + 0.5) + lgamma(g + 0.5) - lgamma(b + g + 1)
+
+    def factor(b, n, b_all, n_all):
+        return beta(b, n - b) + beta(b_all - b, n_all - n - b_all + b) - beta(b_all, n_all - b_all) - beta(0, 0)
+
+    def count(rows):
+        return sum(r[2] or 0 for r in rows), sum(r[2] is not None for r in rows)
+
+    out = {}
+
+    def grow(rows, level, template):
+        by = {}
+        for r in rows:
+            parts = r[1].split("/")
+            by.setdefault(parts[level] if len(parts) > level else None, []).append(r)
+        pb, pl = count(rows)
+        mixed = 0 < pb < len(rows)
+        side = {s: None if not count(g)[1] else count(g)[0] * pl > pb * count(g)[1] for s, g in by.items()}
+        names = {}
+        for s, g in by.items():
+            b, n = count(g)
+            same = [r for o, rs in by.items() if side[o] == side[s] and side[s] is not None for r in rs]
+            variable = len(by) > max_children
+            if variable:
+                apart = factor(b, n, pb, pl) > log(len(by))
+            else:
+                apart = side[s] is None or sum(x == side[s] for x in side.values()) == 1 or factor(b, n, *count(same)) > 0
+            names[s] = None if s is None else "**" if not mixed else s if apart else "*+" if side[s] and not variable else "*"
+        for name in set(names.values()):
+            inside = [r for s, g in by.items() if names[s] == name for r in g]
+            path = template if name is None else f"{template}/{name}"
+            if name is None or not mixed:
+                out.update({(r[0], r[1]): path for r in inside})
+            else:
+                grow(inside, level + 1, path)
+
+    for host in {p[0] for p in pages}:
+        grow([p for p in pages if p[0] == host], 0, "")
+    return out
+
+
+def test_templates_equal_a_plain_tree(spark):
+    r = random.Random(12)
+    pages = []
+    for k in range(600):
+        host = r.choice(["one", "two", "three", ""])
+        path = "/".join(r.choice(["en", "de", "x", "", "tag", "p<n>"] + (["w" + chr(97 + r.randrange(26)) + chr(97 + r.randrange(3))] * 6 if host == "two" else [])) for _ in range(r.randrange(1, 6)))
+        pages.append((host, path, r.choice([None, None, int("de" in path or r.random() < 0.1)])))
+    frame = spark.createDataFrame([(h, "/" + s, b) for h, s, b in pages], "host string, path string, bad int")
+    with common.Scratch(spark) as scratch:
+        got = {(x.host, x["shape"]): x.template for x in url_filter.templates(frame, scratch).collect()}
+    assert got == plain_templates(pages)
 
 
 def test_sharding(spark, docs):
@@ -312,6 +422,10 @@ def test_sharding(spark, docs):
         sizes = [len(slots.get(s, [])) for s in range(shards)]
         assert max(sizes) - min(sizes) <= 1
     assert sharding.bounded_ring(empty(rows), "doc_id").count() == 0
+    # One key with most of the rows, ranked in shares.
+    hot = spark.range(500).select(F.when(F.col("id") > 99, F.col("id") - F.col("id")).otherwise(F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    out = sharding.bounded_ring(hot, "doc_id", 4, tie=("text",), share_rows=30).collect()
+    assert sorted((r.shard, r.slot) for r in out) == [(s, k) for s in range(4) for k in range(125)]
 
 
 def test_most_rows_stay_when_a_shard_comes(spark):
@@ -340,10 +454,21 @@ def test_token_files(spark, docs, word_library):
         at += len(want)
     assert len(got) == docs.count()
     found = {r.doc_id: r.ids for r in token_files.lookup(shards, spark.createDataFrame([(5,), (999,), (None,), (12,)], "doc_id bigint")).collect()}
+    twice = docs.unionByName(docs).unionByName(docs.where("doc_id = 3")).repartition(7)
+    again = token_files.write_shards(twice, encoding.tokenizer_path("word_bpe_49k.json"), shard_tokens=60)
+    assert sorted(r.doc_id for r in token_files.lookup(again, docs.select("doc_id")).collect()) == sorted({i for i in texts if i is not None})
     assert set(found) == {5, 12} and found[12] == word_library.encode(texts[12], add_special_tokens=False).ids + [1]
     assert token_files.read_back(token_files.write_shards(empty(docs), encoding.tokenizer_path("word_bpe_49k.json"))).count() == 0
 
 
+def test_long_words_are_not_kept(word_library):
+    word = encoding.WordEncoder(encoding.tokenizer_path("word_bpe_49k.json"))
+    word.keep({b"one": 1})
+    texts = ["one " + "ab" * 4000, "two " + "ab" * 4000]
+    assert word.encode_batch(texts, make=len, join=sum) == [len(word_library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert set(word.known) == {b"one", b"two"}
+
+
 def test_perfect_hash():
     keys = np.arange(20_000) * 7 - 3
     hashes = token_files.key_hash(keys, np.zeros(len(keys)))
@@ -392,16 +517,16 @@ def test_chat_parts_forge_no_turn(spark):
     assert chat.parse_turn(r.formatted) == ("user", ["".join(texts), ("image", 6), texts[1]])
 
 
-def test_embedding_dedup(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 20)
-    monkeypatch.setattr(blocks.dealt, "__defaults__", (40,))
+@pytest.mark.parametrize("cell_rows, parts", [(20, 32), (8, 2), (1000, 32)])
+def test_embedding_dedup(spark, cell_rows, parts):
+    """Cells of one level, of many levels, and none."""
     r = np.random.default_rng(3)
     base = r.normal(size=(120, 16))
     x = np.concatenate([base, base[:60] + r.normal(size=(60, 16)) * 0.08, base[:40] * 3, np.repeat(base[:1], 50, axis=0)])
     rows = [(i, [float(np.float32(v)) for v in x[i]], i % 2 if i < 120 else (i - 120) % 2) for i in range(220)] + [(220 + k, [float(np.float32(v)) for v in base[0]], 0) for k in range(50)]
     rows += [(300, None, 0), (301, [0.0] * 16, 0), (302, [float("nan")] + [1.0] * 15, 0), (303, [None] + [1.0] * 15, 0), (304, rows[0][1], None), (305, [float("inf")] * 16, 0), (306, [], 0), (307, [1.0, 0.0], 0), (308, [1.0, 0.01], 0), (309, [1e30] * 16, 1), (310, [2e30] * 16, 1)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
-    got = {v.vec_id: v for v in embedding_dedup.near_duplicates(frame).collect()}
+    got = {v.vec_id: v for v in embedding_dedup.near_duplicates(frame, cell_rows=cell_rows, parts=parts, block=40).collect()}
     group, count = common.Sets(400), dict.fromkeys((v[0] for v in rows), 0)
     good = [v for v in rows if v[1] and v[2] is not None and None not in v[1] and np.isfinite(v[1]).all() and any(v[1])]
     unit = {v[0]: np.array(v[1]) / np.linalg.norm(v[1]) for v in good}
@@ -415,3 +540,15 @@ def test_embedding_dedup(spark, monkeypatch):
     for i, n in count.items():
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (n, group.root(i), group.root(i) == i), i
     assert embedding_dedup.near_duplicates(empty(frame)).count() == 0
+
+
+def test_embeddings_of_many_labels(spark):
+    """Every label of enough vectors has cells, however many labels there are."""
+    r = np.random.default_rng(5)
+    rows = [(k * 10 + j, r.normal(size=4).tolist() if j < 8 else [1.0, float(j), 0.0, 0.0], f"label {k}") for k in range(100) for j in range(10)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label string")
+    got = {v.vec_id: v.n_links for v in embedding_dedup.near_duplicates(frame, cosine=0.9, cell_rows=2).collect()}
+    unit = {v[0]: np.array(v[1]) / np.linalg.norm(v[1]) for v in rows}
+    for k in range(100):
+        for j in range(10):
+            assert got[k * 10 + j] == sum(unit[k * 10 + j] @ unit[k * 10 + i] >= 0.9 for i in range(10) if i != j)
