@@ -17,14 +17,16 @@ TOXIC = 0.3
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose score is below TOXIC. The model is learned from the labelled rows of the whole table."""
-    return toxicity.scored(spark, docs, sf_dir).where(F.col("score") < TOXIC).select(*docs.columns)
+    """Rows whose score is below TOXIC, repeated ones alike, with all their columns. A null or empty text is kept if the leak is below. The model is learned from the labelled rows of the whole table."""
+    scored = toxicity.scored(spark, docs, sf_dir, names=("__score", "__offending"))
+    return scored.where(F.col("__score") < TOXIC).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near copies the row with the smallest doc_id, null being the largest; of equal ids, any one row.
 
     Rows are told apart by a number of their own, so ids may be null or repeated.
+    Null, empty and wordless texts are near copies of nothing and stay.
     """
     rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")
@@ -34,13 +36,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without any benchmark window; a row with one is removed."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("n_hit = 0").select(*docs.columns)
+    """Rows without any benchmark window, with all their columns; a row with one is removed, repeated ones alike. Null and empty texts stay."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), names=("__words", "__spans", "__items", "__hit"))
+    return found.where("__hit = 0").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document left, as pieces in sequences."""
+    """Every document left, as pieces in sequences; null and empty texts are an end id. No rows give no pieces."""
     return packing.packed(docs.select("doc_id", "text"))
 
 
