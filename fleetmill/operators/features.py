@@ -15,7 +15,8 @@ def causal(cycle_state: DataFrame) -> DataFrame:
     """Lags, rolling mean and slope over the prior HISTORY rows, change since the first cycle.
 
     The current row is in none of the windows. The slope is null with fewer
-    than two points or equal cycles; a ratio by zero is null.
+    than two points or equal cycles. Efficiency is discharged over charged
+    capacity, null where nothing was charged.
     """
     order = Window.partitionBy("asset_id").orderBy("cycle_index")
     prior = order.rowsBetween(-HISTORY, -1)
@@ -24,13 +25,14 @@ def causal(cycle_state: DataFrame) -> DataFrame:
     return cycle_state.select(
         "*",
         F.lag("max_capacity").over(order).alias("prev_capacity"),
+        (F.col("charge_time") - F.lag("charge_time").over(order)).alias("charge_time_delta") if "charge_time" in cycle_state.columns else F.lit(None).cast("double").alias("charge_time_delta"),
         (F.col("max_capacity") - F.lag("max_capacity").over(order)).alias("capacity_delta"),
         (F.col("cycle_index") - before).alias("cycle_gap"),
         F.avg("max_capacity").over(prior).alias("rolling_capacity_mean"),
         F.regr_slope("max_capacity", F.col("cycle_index").cast("double")).over(prior).alias("capacity_slope"),
         F.when(before.isNotNull(), F.col("max_capacity") - F.first("max_capacity").over(first)).alias("capacity_since_first"),
         (F.col("max_temperature") - F.col("min_temperature")).alias("temperature_span"),
-        ratio(F.col("max_charge_capacity"), F.col("max_capacity")).alias("efficiency"),
+        ratio(F.col("max_capacity"), F.col("max_charge_capacity")).alias("efficiency"),
     )
 
 
@@ -44,8 +46,10 @@ def incremental(cycle_state: DataFrame, new_keys: DataFrame) -> DataFrame:
 
 
 def latest(rows: DataFrame, key: str = "asset_id", *order: str) -> DataFrame:
-    """The last row of each key."""
-    w = Window.partitionBy(key).orderBy(*(F.desc(c) for c in order or ("cycle_index",)))
+    """The last row of each key, by the order's columns and then by all others, so that ties are settled the same way each time."""
+    first = list(order or ("cycle_index",))
+    rest = [c for c in rows.columns if c not in first and c != key]
+    w = Window.partitionBy(key).orderBy(*(F.desc(c) for c in first), *(F.desc(c) for c in rest))
     return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 

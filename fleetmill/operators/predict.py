@@ -44,11 +44,29 @@ def curve_violations(curves: DataFrame, required: tuple[int, ...] = (50, 100, 20
 
 
 def life_stage(cycle: Column, end: Column) -> Column:
-    """early, mid or late: thirds of the life; unknown without an end, early at an end of 0."""
+    """early, mid or late in a true life: before 0.33 and 0.67 of it; unknown without an end, early at an end of 0."""
     share = F.coalesce(ratio(cycle.cast("double"), end), F.lit(0.0))
     return F.when(end.isNull(), "unknown").when(share < 0.33, "early").when(share < 0.67, "mid").otherwise("late")
 
 
+def predicted_stage(cycle: Column, rul: Column) -> Column:
+    """Early, Mid or Late: thirds of the life that the model predicts; Unavailable without a prediction, Early at an end of 0."""
+    share = F.coalesce(ratio(cycle.cast("double"), cycle + rul), F.lit(0.0))
+    return F.when(rul.isNull(), "Unavailable").when(share < F.lit(1 / 3), "Early").when(share < F.lit(2 / 3), "Mid").otherwise("Late")
+
+
+def labels(cycles: DataFrame) -> DataFrame:
+    """cycles with rul_cycles (down to 0, null without an end) and soh: capacity over nominal capacity and the width of the charge window, 1 where that is 0."""
+    width = F.coalesce(F.nullif(F.col("soc_end") - F.col("soc_start"), F.lit(0.0)), F.lit(1.0))
+    return cycles.withColumns({"rul_cycles": F.when(F.col("eol_cycle").isNotNull(), F.greatest(F.col("eol_cycle") - F.col("cycle_index"), F.lit(0))), "soh": ratio(ratio(F.col("capacity"), F.col("nominal_capacity")), width)})
+
+
+def generalisation_gap(metrics: DataFrame) -> DataFrame:
+    """One row: how much larger the error of test than that of validation and of train is."""
+    of = lambda s: F.max(F.when(F.col("split") == s, F.col("mae")))
+    return metrics.agg((of("test") - of("validation")).alias("test_validation"), (of("test") - of("train")).alias("test_train"))
+
+
 def regression_metrics(rows: DataFrame, by: list[str], truth: str = "truth", predicted: str = "predicted") -> DataFrame:
     """rows, mae, rmse, r2 of each group; predictions below 0 count as 0. R2 is null without spread."""
     e = F.greatest(F.col(predicted), F.lit(0.0)) - F.col(truth)

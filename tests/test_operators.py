@@ -33,7 +33,8 @@ def test_windows_leave_out_the_current_row(spark):
 
 
 def test_ratio_by_zero_is_null(spark):
-    assert features.causal(cells(spark, [(1, 1, 0.0, 5.0, 1.0, 1.0)])).first().efficiency is None
+    assert features.causal(cells(spark, [(1, 1, 5.0, 0.0, 1.0, 1.0)])).first().efficiency is None
+    assert features.causal(cells(spark, [(1, 1, 4.0, 5.0, 1.0, 1.0)])).first().efficiency == 0.8
 
 
 def test_a_gap_blocks_what_follows(spark):
@@ -141,9 +142,11 @@ def test_replayed_batch_changes_nothing_and_late_rows_wait(spark, tmp_path):
     for _ in range(2):
         store.process(batch((1, 1, 1), (1, 1, 2)), 1, expected)
     store.process(batch((1, 1, 3), (1, 2, 1)), 2, expected)
-    final = {(r.asset_id, r.cycle_index): r.event_count for r in store._read("final", 2).collect()}
+    final = {(r.asset_id, r.cycle_index): r.event_count for r in store.finals().collect()}
     assert final == {(1, 1): 2, (1, 2): 1}
-    assert store._read("late", 2).count() == 1 and store._read("open", 2).count() == 0
+    assert store.upto("late", 2).count() == 1 and store.before("open", 3).count() == 0
+    with pytest.raises(RuntimeError):
+        store.process(batch((1, 2, 9)), 3, expected, strict=True)
 
 
 def test_filters_reach_the_scan(spark, sf):
