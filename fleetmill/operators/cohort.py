@@ -29,28 +29,36 @@ def generation(time: Column, cutoffs: tuple[str, ...]) -> Column:
 
 
 def generation_asof(rows: DataFrame, generations: DataFrame, time: str) -> DataFrame:
-    """The same against a table (generation, cutoff): rows and cutoffs in one window, the next cutoff fills back.
-
-    Rows are dealt by month, so no window has to hold the table; a month without
-    a cutoff takes the first one of a later month, found among the few cutoffs.
-    """
+    """The same against a small table (generation, cutoff), gathered into one row: the first cutoff that isn't before the time, else the last."""
     dim = generations.agg(F.array_sort(F.collect_list(F.struct("cutoff", "generation"))).alias("dim"))
     hit = F.filter("dim", lambda g: g["cutoff"] >= F.col(time))
     return rows.join(F.broadcast(dim), F.lit(True)).withColumn("generation", F.when(F.size(hit) > 0, hit[0]["generation"]).otherwise(F.element_at("dim", -1)["generation"])).drop("dim")
 
 
-def arrival_rank(assets: DataFrame, version: str = "v1") -> DataFrame:
-    """assets with arrival_rank, from 0, in the order of a hash of their lineage group.
+def ranked(rows: DataFrame, name: str, *order: Column | str) -> DataFrame:
+    """rows with their rank from 0, in the order of some columns: ranks within ranges of it, plus the rows of the ranges before.
 
-    Ranks are counted within hash buckets and added to the buckets before, so
-    no task orders all assets.
+    No task orders all rows, whatever the columns hold; nulls come first. The
+    order should be total: rows that are alike in it may swap places.
     """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    own = rows.withColumns({f"_o{k}": c for k, c in enumerate(keys)})
+    names = [f"_o{k}" for k in range(len(keys))]
+    # The ranges' bounds are cuts of a sample of 20,000 rows; any bounds give the same ranks.
+    cuts = own.select(F.struct(*names).alias("o")).sample(fraction=1.0 if parts < 2 else min(1.0, 20_000 / max(1, own.count())), seed=3)
+    cut = cuts.withColumn("_n", F.ntile(parts).over(Window.orderBy("o"))).groupBy("_n").agg(F.max("o").alias("o")).agg(F.array_sort(F.collect_list("o")).alias("_cuts"))
+    own = own.join(F.broadcast(cut), F.lit(True)).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.struct(*names)))).drop("_cuts")
+    sizes = own.groupBy("_b").agg(F.count("*").alias("_n"))  # a row a range
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_before")
+    w = Window.partitionBy("_b").orderBy(*names)
+    return own.join(F.broadcast(before), "_b").withColumn(name, F.col("_before") + F.row_number().over(w) - 1).drop("_b", "_before", *names)
+
+
+def arrival_rank(assets: DataFrame, version: str = "v1") -> DataFrame:
+    """assets with arrival_rank, from 0, in the order of a hash of their lineage group; those without a group come first."""
     h = F.sha2(F.concat(F.lit(version + ":"), F.col("lineage_group_id").cast("string")), 256)
-    own = assets.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, 2))
-    sizes = own.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_b", "_before")  # 256 rows
-    w = Window.partitionBy("_b").orderBy("_h", "asset_id")
-    return own.join(F.broadcast(before), "_b").withColumn("arrival_rank", F.col("_before") + F.row_number().over(w) - 1).drop("_h", "_b", "_before")
+    return ranked(assets, "arrival_rank", h, "asset_id")
 
 
 def scheduled(ranked: DataFrame, epoch: str, days: int) -> DataFrame:
@@ -59,37 +67,53 @@ def scheduled(ranked: DataFrame, epoch: str, days: int) -> DataFrame:
     return ranked.withColumn("arrival_time", F.lit(epoch).cast("timestamp_ntz") + after)
 
 
-def lineage_split(assets: DataFrame, seed: int = 42, shares: tuple = (("train", 0.6), ("validation", 0.2), ("test", 0.2))) -> DataFrame:
-    """(lineage_group_id, split): whole groups in hash order to the split that is least full for its target.
+def lineage_split(assets: DataFrame, seed: int = 42, chunk: int = 2_000) -> DataFrame:
+    """(lineage_group_id, split): whole groups in hash order to train, validation or test, whichever is least full for its target.
 
-    Fullness counts assets and targets count groups. A split that has its target
-    takes no more; if all have, the first takes the rest. One fold over the
-    groups' small table decides.
+    Targets are 60 and 20 % of the groups, rounded half to even, and the rest;
+    fullness counts assets. A split that has its target takes no more; if all
+    have, train takes the rest (stated here, as the rule has no answer then).
+    The fold is sequential by its nature: it goes over the groups in chunks of
+    hash order, so a row holds a chunk at most, and carries three totals.
     """
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("lineage_group_id").cast("string")), 256)
-    groups = assets.groupBy("lineage_group_id").agg(F.count("*").alias("n")).select(h.alias("h"), "lineage_group_id", "n")
-    listed = groups.agg(F.array_sort(F.collect_list(F.struct("h", "lineage_group_id", F.col("n").cast("double").alias("n")))).alias("g"))
-    total = F.size("g").cast("double")
-    names = [n for n, _ in shares]
-    targets = [F.greatest(F.lit(1.0), F.round(total * s)) for _, s in shares]
-    listed = listed.select("g", F.array(*targets).alias("t"))
+    groups = assets.where("lineage_group_id is not null").groupBy("lineage_group_id").agg(F.count("*").alias("n")).select(h.alias("h"), "lineage_group_id", F.col("n").cast("double").alias("n"))
+    groups = ranked(groups, "_r", "h").withColumn("_c", F.floor(F.col("_r") / chunk).cast("int")).persist()
+    count = groups.count()
+    names = ["train", "validation", "test"]
+    targets = [round(count * 0.6), round(count * 0.2)]
+    targets.append(count - sum(targets))
+    kind = assets.schema["lineage_group_id"].dataType.simpleString()
 
     def step(acc, g):
-        full = [acc["used"][k] / F.col("t")[k] for k in range(len(names))]
-        choice = F.lit(0)
-        best = F.lit(float("inf"))
-        for k in range(len(names)):
-            better = (full[k] < 1.0) & (full[k] < best)
-            choice, best = F.when(better, k).otherwise(choice), F.when(better, full[k]).otherwise(best)
+        choice, best = F.lit(0), F.lit(float("inf"))
+        for k, t in enumerate(targets):
+            full = acc["used"][k] / t if t else F.lit(float("inf"))
+            better = (full < 1.0) & (full < best)
+            choice, best = F.when(better, k).otherwise(choice), F.when(better, full).otherwise(best)
         one = F.struct(g["lineage_group_id"].alias("lineage_group_id"), choice.cast("int").alias("k"))
         return F.struct(F.transform(acc["used"], lambda u, i: u + F.when(i == choice, g["n"]).otherwise(0.0)).alias("used"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    kind = assets.schema["lineage_group_id"].dataType.simpleString()
-    zero = F.struct(F.array(*[F.lit(0.0)] * len(names)).alias("used"), F.expr(f"cast(array() as array<struct<lineage_group_id:{kind},k:int>>)").alias("out"))
-    done = listed.select(F.inline(F.aggregate("g", zero, step, lambda a: a["out"])))
+    used, done = [0.0, 0.0, 0.0], None
+    for c in range(-(-count // chunk)):
+        listed = groups.where(F.col("_c") == c).agg(F.array_sort(F.collect_list(F.struct("_r", "lineage_group_id", "n"))).alias("g"))
+        zero = F.struct(F.array(*map(F.lit, used)).alias("used"), F.expr(f"cast(array() as array<struct<lineage_group_id:{kind},k:int>>)").alias("out"))
+        folded = listed.select(F.aggregate("g", zero, step).alias("f"))
+        if (c + 1) * chunk < count:
+            used = list(folded.select("f.used").first()[0])
+        part = folded.select(F.inline("f.out"))
+        done = part if done is None else done.unionByName(part)
+    if done is None:
+        done = groups.select("lineage_group_id", F.lit(0).alias("k"))
     return done.select("lineage_group_id", F.element_at(F.array(*map(F.lit, names)), F.col("k") + 1).alias("split"))
 
 
+def split_counts(assets: DataFrame, *by: str) -> DataFrame:
+    """(split, attribute, value, assets): how many assets of each split have each value, for several attributes in one pass."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in by))).alias("p")
+    return assets.select("split", pairs).groupBy("split", "p.attribute", "p.value").agg(F.count("*").alias("assets"))
+
+
 def split_audit(assets: DataFrame) -> DataFrame:
     """(split, assets, groups, overlapping): overlapping groups are in another split too."""
     spread = assets.groupBy("lineage_group_id").agg(F.count_distinct("split").alias("splits"))
@@ -102,21 +126,19 @@ def eligible(assets: DataFrame, flags: DataFrame) -> DataFrame:
 
 
 def replay_sequence(events: DataFrame, *order: str) -> DataFrame:
-    """events with replay_sequence, from 0, in global order: ranks within days plus the days before."""
-    day = F.to_date(F.col(order[0]))
-    own = events.withColumn("_d", day)
-    sizes = own.groupBy("_d").agg(F.count("*").alias("_n"))  # a row a day
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    w = Window.partitionBy("_d").orderBy(*order)
-    return own.join(F.broadcast(before), "_d").withColumn("replay_sequence", F.col("_before") + F.row_number().over(w) - 1).drop("_d", "_before")
+    """events with replay_sequence, from 0, in global order."""
+    return ranked(events, "replay_sequence", *order)
 
 
-def limited(samples: DataFrame, per_asset: int, ids: list[int] | None = None) -> DataFrame:
-    """The first samples of each asset, of some assets or all."""
+def limited(samples: DataFrame, per_asset: int, ids: list[int] | None = None, without: list[int] | None = None, total: int | None = None) -> DataFrame:
+    """The first samples of each asset, of some assets or all but some, and of these the first ``total``."""
+    if without is not None:
+        samples = samples.where(~F.col("asset_id").isin(without))
     if ids is not None:
         samples = samples.where(F.col("asset_id").isin(ids))
     w = Window.partitionBy("asset_id").orderBy("cycle_index", "sample_index")
-    return samples.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_asset).drop("_r")
+    first = samples.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_asset).drop("_r")
+    return first if total is None else first.orderBy("asset_id", "cycle_index", "sample_index").limit(total)
 
 
 def completion_events(samples: DataFrame) -> DataFrame:
@@ -125,6 +147,48 @@ def completion_events(samples: DataFrame) -> DataFrame:
     return samples.groupBy("asset_id", "cycle_index").agg(F.count("*").alias("expected"), last.alias("last")).select("asset_id", "cycle_index", "expected", F.col("last.sample_index").alias("last_sample"), F.col("last.event_time").alias("event_time"))
 
 
+def arrival_manifest(assets: DataFrame, cycles: DataFrame, epoch: str, version: str = "v1") -> DataFrame:
+    """The manifest: a row an asset with its rank, start, first and last cycle, end-of-life label and whether that is within what the source shows.
+
+    ``assets`` has asset_id, lineage_group_id and split; ``cycles`` has asset_id,
+    cycle_index and eol_cycle. An asset with several labels is an error.
+    """
+    own = cycles.groupBy("asset_id").agg(F.max("cycle_index").alias("last_source_cycle"), F.min(F.struct("eol_cycle")).alias("_a"), F.max(F.struct("eol_cycle")).alias("_b"))
+    clash = own.where(~F.col("_a").eqNullSafe(F.col("_b"))).select("asset_id").limit(1).collect()
+    if clash:
+        raise ValueError(f"asset {clash[0][0]} has several end-of-life labels")
+    out = arrival_rank(assets, version).join(own.select("asset_id", "last_source_cycle", F.col("_a.eol_cycle").alias("eol_cycle")), "asset_id")
+    delta = F.col("eol_cycle") - F.col("last_source_cycle")
+    valid = F.coalesce(delta <= 0, F.lit(False))
+    start = F.lit(epoch).cast("timestamp_ntz") + F.make_dt_interval(days=F.col("arrival_rank").cast("int"))
+    status = F.when(valid, "valid_observed_endpoint").otherwise("unverified_endpoint_after_source_end")
+    return out.select("asset_id", "lineage_group_id", "split", "arrival_rank", start.alias("start_time"), F.lit(1).alias("first_source_cycle"), "last_source_cycle", "eol_cycle", delta.alias("eol_cycle_delta"), status.alias("label_status"), valid.alias("valid_eol_label"))
+
+
+def lifecycle_events(manifest: DataFrame) -> DataFrame:
+    """The events that a manifest's replay gives: replay_complete of each asset, and eol_observed of those with a valid label."""
+    def event(kind: str, cycle: str) -> Column:
+        at = F.col("start_time") + F.make_dt_interval(days=(F.col(cycle) - F.col("first_source_cycle")).cast("int"))
+        return F.struct(F.concat_ws(":", F.lit("lifecycle"), "asset_id", F.lit(kind)).alias("event_id"), F.lit(kind).alias("event_type"), F.col(cycle).cast("bigint").alias("cycle_index"), at.alias("event_time"))
+
+    both = F.array(event("replay_complete", "last_source_cycle"), event("eol_observed", "eol_cycle"))
+    return manifest.select("asset_id", "valid_eol_label", F.explode(both).alias("e")).where("e.event_type = 'replay_complete' or valid_eol_label").select("asset_id", "e.*")
+
+
+def asof_keys(cycles: DataFrame, manifest: DataFrame, cutoff: Column) -> DataFrame:
+    """The cycles (asset_id, cycle_index) that the schedule alone shows at a cutoff."""
+    from .survival import shown_cycle
+
+    dim = manifest.select("asset_id", "start_time", "first_source_cycle", "last_source_cycle").withColumn("_shown", shown_cycle(cutoff))
+    return cycles.join(dim.select("asset_id", "_shown"), "asset_id").where(F.col("cycle_index") <= F.col("_shown")).select("asset_id", "cycle_index")
+
+
+def with_cohort(events: DataFrame, arrived: DataFrame, observed: DataFrame) -> DataFrame:
+    """(asset_id, eol_observed): lifecycle facts whose training cohort is replaced: arrived assets count as observed only if ``observed`` has them."""
+    rest = events.select("asset_id", "eol_observed").join(arrived.select("asset_id"), "asset_id", "left_anti")
+    return rest.unionByName(observed.select("asset_id", F.lit(True).alias("eol_observed")))
+
+
 def next_snapshot(eligible_ranked: DataFrame, thresholds: tuple[int, ...], published: list[int]) -> DataFrame:
     """The members, by rank, of the first threshold that is reached and unpublished; none if there's no such one."""
     n = eligible_ranked.count()

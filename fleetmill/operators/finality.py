@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmill.functions.digests import folded
+
 
 def ready(state: DataFrame, completions: DataFrame) -> DataFrame:
     """Completion events with event_count and ``ready``: as many samples as expected. Without samples the count is 0."""
@@ -22,8 +24,14 @@ def prefix_complete(canonical: DataFrame, ready_keys: DataFrame) -> DataFrame:
 
 
 def boundary(final_keys: DataFrame) -> DataFrame:
-    """(asset_id, max_cycle, cycles): the range of final cycles of each asset."""
-    return final_keys.groupBy("asset_id").agg(F.max("cycle_index").alias("max_cycle"), F.count("*").alias("cycles"))
+    """(asset_id, max_cycle, cycles[, replay_sequence]): the range of final cycles of each asset, and the sequence at its end where keys have one."""
+    at = [F.max_by("replay_sequence", "cycle_index").alias("replay_sequence")] if "replay_sequence" in final_keys.columns else []
+    return final_keys.groupBy("asset_id").agg(F.max("cycle_index").alias("max_cycle"), F.count("*").alias("cycles"), *at)
+
+
+def within_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose cycle is among the keys: the form of a boundary that lists all cycles."""
+    return rows.join(keys.select("asset_id", "cycle_index"), ["asset_id", "cycle_index"], "left_semi")
 
 
 def within(rows: DataFrame, bounds: DataFrame) -> DataFrame:
@@ -32,7 +40,6 @@ def within(rows: DataFrame, bounds: DataFrame) -> DataFrame:
 
 
 def state_id(bounds: DataFrame) -> DataFrame:
-    """One row with a content id of a boundary, whatever the rows' order: hashes of rows, of buckets, of all."""
+    """One row with a content id of a boundary, whatever the rows' order, and its number of assets."""
     row = F.sha2(F.concat_ws(":", "asset_id", "max_cycle", "cycles"), 256)
-    buckets = bounds.select(row.alias("h")).groupBy(F.substring("h", 1, 2).alias("b")).agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256).alias("h"), F.count("*").alias("n"))
-    return buckets.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat_ws(":", "b", "h")))), 256).alias("state_id"), F.coalesce(F.sum("n"), F.lit(0)).alias("assets"))
+    return folded(bounds.select(row.alias("h")), "state_id").withColumnRenamed("rows", "assets")

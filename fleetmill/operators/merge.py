@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetmill.functions.digests import folded, row_hash
+
 
 def merge_keyed(old: DataFrame, new: DataFrame, keys: list[str], take_new: Column) -> DataFrame:
     """old with rows of new: new keys are added, known ones replaced where ``take_new`` holds.
@@ -40,6 +42,12 @@ def bumped_selection(current: DataFrame, wanted: DataFrame) -> DataFrame:
     return both.select("dataset", F.coalesce("model_version", "was").alias("model_version"), (F.coalesce("revision", F.lit(0)) + F.when(changed, 1).otherwise(0)).alias("revision"))
 
 
+def unique_facts(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Facts of both, one a key: a stored one stays, and of several new ones the least by all columns."""
+    first = new.groupBy(*keys).agg(F.min(F.struct(*[c for c in new.columns if c not in keys])).alias("r")).select(*keys, "r.*").select(*new.columns)
+    return first if old is None else old.unionByName(first.join(old.select(*keys), keys, "left_anti"))
+
+
 def without_stale(rows: DataFrame, newest: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key is among the newest."""
     return rows.join(newest.select(*keys).distinct(), keys, "left_semi")
@@ -60,10 +68,7 @@ def append_once(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return new.join(old.select(*keys), keys, "left_anti").select(*old.columns)
 
 
-def digest(rows: DataFrame, keys: list[str], buckets: int = 256) -> DataFrame:
+def digest(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(digest, rows): a content hash that depends neither on the rows' order nor on the partitions."""
     names = [*keys, *sorted(c for c in rows.columns if c not in keys)]
-    row = F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)
-    part = rows.select(row.alias("h")).groupBy(F.pmod(F.conv(F.substring("h", 1, 4), 16, 10).cast("int"), F.lit(buckets)).alias("b"))
-    part = part.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("h"))), 256).alias("h"), F.count("*").alias("n"))
-    return part.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat_ws(":", "b", "h")))), 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    return folded(rows.select(row_hash(names).alias("h")))

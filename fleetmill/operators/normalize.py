@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmill.functions.scalars import pick
+
 EVENT = "event_id string, asset_id bigint, cycle_index bigint, sample_index bigint, event_time string, voltage double, schema_version string"
+LIFECYCLE = "event_id string, event_type string, asset_id bigint, cycle_index bigint, event_time string, expected_telemetry_rows bigint, schema_version string"
+LIFECYCLE_TYPES = ("cycle_complete", "eol_observed", "replay_complete")
 VERSION = "1.0"
 
 
@@ -32,10 +36,11 @@ def nested(samples: DataFrame, channels: list[str]) -> DataFrame:
 
 
 def provenance(cells: DataFrame, continuations: DataFrame) -> DataFrame:
-    """cells (source_file, fingerprint) with lineage_group_id: a continuation's root, else the first file of the same content."""
+    """cells (source_file, fingerprint) with lineage_group_id: a continuation's root (of several, the least), else the first file of the same content; and the batch that the file's name tells."""
+    continuations = continuations.groupBy("source_file").agg(F.min("root").alias("root"))
     w = Window.partitionBy("fingerprint").orderBy("source_file")
     first = F.first("source_file").over(w)
-    return cells.withColumn("_first", first).join(continuations.select("source_file", "root"), "source_file", "left").withColumn("lineage_group_id", F.coalesce("root", "_first")).drop("_first", "root")
+    return cells.withColumn("_first", first).join(continuations.select("source_file", "root"), "source_file", "left").withColumn("lineage_group_id", F.coalesce("root", "_first")).withColumn("batch_id", F.nullif(F.regexp_replace(F.regexp_extract("source_file", r"(?:^|_)b(\d)[^_]*c", 1), "^(.+)$", "batch_$1"), F.lit(""))).drop("_first", "root")
 
 
 def encode_events(samples: DataFrame) -> DataFrame:
@@ -44,10 +49,28 @@ def encode_events(samples: DataFrame) -> DataFrame:
     return samples.withColumn("schema_version", F.lit(VERSION)).select(topic.alias("topic"), F.col("asset_id").cast("string").alias("key"), F.to_json(F.struct(*[c for c in samples.columns], "schema_version")).alias("value"))
 
 
+def _payload(envelopes: DataFrame, schema: str) -> DataFrame:
+    """The decoded payload with topic, partition and offset, which are null where the source has none; times that aren't are null."""
+    source = [pick(envelopes, c, k).alias(c) for c, k in (("topic", "string"), ("partition", "int"), ("offset", "bigint"))]
+    x = envelopes.select(F.from_json(F.col("value").cast("string"), schema).alias("p"), *source)
+    return x.select("p.*", "topic", "partition", "offset").withColumn("event_time", F.try_to_timestamp("event_time"))
+
+
+def decode_lifecycle(envelopes: DataFrame) -> DataFrame:
+    """Valid lifecycle events: known types of the right version with id, asset and time."""
+    x = _payload(envelopes, LIFECYCLE)
+    return x.where(F.col("event_type").isin(*LIFECYCLE_TYPES) & (F.col("schema_version") == VERSION) & F.col("event_id").isNotNull() & F.col("asset_id").isNotNull() & F.col("event_time").isNotNull())
+
+
+def completions(lifecycle: DataFrame) -> DataFrame:
+    """The facts of completed cycles, one a cycle: of several, the least offset."""
+    facts = lifecycle.where("event_type = 'cycle_complete'").select("asset_id", "cycle_index", "offset", "topic", "partition", "expected_telemetry_rows", "event_time")
+    return facts.groupBy("asset_id", "cycle_index").agg(F.min(F.struct("offset", "topic", "partition", "expected_telemetry_rows", "event_time")).alias("f")).select("asset_id", "cycle_index", "f.*")
+
+
 def decode_events(envelopes: DataFrame, schema: str = EVENT) -> DataFrame:
     """Valid telemetry events; malformed payloads, missing fields, other versions and bad times are left out."""
-    x = envelopes.select(F.from_json(F.col("value").cast("string"), schema).alias("p"), *[c for c in ("topic", "partition", "offset") if c in envelopes.columns])
-    x = x.select("p.*", *[c for c in x.columns if c != "p"]).withColumn("event_time", F.try_to_timestamp("event_time"))
+    x = _payload(envelopes, schema)
     needed = ["event_id", "asset_id", "cycle_index", "sample_index", "event_time"]
     keep = F.col("schema_version") == VERSION
     for c in needed:

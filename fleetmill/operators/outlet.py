@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetmill.sources.store import exists
 
 from .merge import append_once, digest
+from .quality import duplicates
 
 KEYS = ["asset_id", "cycle_index"]
 
@@ -54,6 +55,22 @@ def first_generation(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy(*KEYS).agg(F.min("generation_id").alias("generation_id"))
 
 
+def seeded(snapshots: DataFrame) -> DataFrame:
+    """The outlet's rows out of cumulative snapshots (generation_id, keys, values): each key in its first generation.
+
+    A later snapshot that lacks a key of an earlier one, or has it with other
+    values, is an error.
+    """
+    rest = [c for c in snapshots.columns if c not in (*KEYS, "generation_id")]
+    own = snapshots.groupBy(*KEYS).agg(F.min("generation_id").alias("generation_id"), F.count("*").alias("_n"), F.min(F.struct(*rest)).alias("_a"), F.max(F.struct(*rest)).alias("_b"))
+    last = snapshots.select("generation_id").distinct()
+    want = own.join(F.broadcast(last.select(F.col("generation_id").alias("_g"))), F.col("_g") >= F.col("generation_id")).groupBy(*KEYS).agg(F.count("*").alias("_want"))  # a row a generation is broadcast
+    bad = own.join(want, KEYS).where(~F.col("_a").eqNullSafe(F.col("_b")) | (F.col("_n") != F.col("_want"))).select(*KEYS).limit(1).collect()
+    if bad:
+        raise ValueError(f"a later snapshot lost or changed {bad[0].asDict()}")
+    return own.select(*KEYS, "generation_id", "_a.*")
+
+
 class Outlet:
     """The outlet's folder: ``rows/generation_id=g/segment=<digest>`` and ``ledger/segment=<digest>``.
 
@@ -79,10 +96,15 @@ class Outlet:
             if set(rows.columns) != set(old.columns) - {"generation_id", "segment"}:
                 raise ValueError("the outlet's columns are fixed at its first append")
             rows = append_once(old.select(*rows.columns), rows, KEYS)
+        rows = rows.persist()
+        twice = duplicates(rows, KEYS).limit(1).collect()
+        if twice:
+            raise ValueError(f"a key is null or repeated in one append: {twice[0].asDict()}")
         name = digest(rows, KEYS).first()
         if name["rows"]:
             rows.write.mode("overwrite").parquet(f"{self.folder}/rows/generation_id={generation}/segment={name['digest']}")
             key_ranges(rows).withColumn("generation_id", F.lit(generation)).write.mode("overwrite").parquet(f"{self.folder}/ledger/segment={name['digest']}")
+        rows.unpersist()
         return name["rows"]
 
     def faults(self) -> DataFrame:

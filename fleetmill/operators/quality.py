@@ -11,8 +11,12 @@ def report(samples: DataFrame, cycles: DataFrame) -> DataFrame:
     s = samples.agg(
         F.count("*").cast("double").alias("sample_rows"), F.count_distinct("asset_id").cast("double").alias("sampled_assets"), F.min("voltage").alias("min_voltage"), F.max("voltage").alias("max_voltage"),
         F.count_if(F.col("capacity").isNull()).cast("double").alias("missing_capacity"), F.count_if(F.col("current") < 0).cast("double").alias("negative_current"),
+        F.min("current").alias("min_current"), F.max("current").alias("max_current"), F.min("temperature").alias("min_temperature"), F.max("temperature").alias("max_temperature"),
+        F.count_if(F.col("temperature").isNull()).cast("double").alias("missing_temperature"), F.count_if(F.col("resistance").isNull()).cast("double").alias("missing_resistance"),
     )
     c = cycles.agg(F.count("*").cast("double").alias("cycle_rows"), F.count_distinct("asset_id").cast("double").alias("assets"), F.max("cycle_index").cast("double").alias("max_cycle"))
+    k = cycles.groupBy("asset_id", "cycle_index").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("double").alias("repeated_cycles"))
+    s, c = s.join(F.broadcast(k), F.lit(True)), c
     return s.unpivot([], s.columns, "metric", "value").unionByName(c.unpivot([], c.columns, "metric", "value"))
 
 

@@ -5,24 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetmill.functions.scalars import pick
 
-def latest_view(health: DataFrame, selection: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Each asset's newest cycle with the selected model's prediction for it, if any."""
-    w = Window.partitionBy("asset_id").orderBy(F.desc("cycle_index"))
+
+def latest_view(health: DataFrame, current: DataFrame, predictions: DataFrame) -> DataFrame:
+    """Each asset's newest cycle, the model selected for its dataset, and that model's prediction for the cycle, if any."""
+    w = Window.partitionBy("dataset", "asset_id").orderBy(F.desc("cycle_index"))
     newest = health.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
-    chosen = predictions.join(F.broadcast(selection.limit(1)), "model_version")
-    return newest.join(chosen, ["asset_id", "cycle_index"], "left")
+    return newest.join(current.select("dataset", "model_version"), "dataset", "left").join(predictions, ["dataset", "asset_id", "cycle_index", "model_version"], "left")
+
+
+def serving_predictions(rows: DataFrame) -> DataFrame:
+    """Predictions as they are served; without raw values the served ones, without an end the cycle plus the remaining life."""
+    has = rows.columns
+    raw = F.col("raw_rul") if "raw_rul" in has else F.col("rul")
+    end = F.col("eol_cycle") if "eol_cycle" in has else F.col("cycle_index") + F.col("rul")
+    return rows.select("model_version", "asset_id", "cycle_index", raw.alias("raw_rul"), "rul", end.cast("double").alias("eol_cycle"))
+
+
+def serving_evaluations(rows: DataFrame) -> DataFrame:
+    """Evaluations as they are served; absent metadata is an empty document, absent fingerprint and generation are null."""
+    has = rows.columns
+    text = lambda c: F.col(c).cast("string") if c in has else F.lit(None).cast("string")
+    metadata = F.col("training_metadata_json") if "training_metadata_json" in has else F.lit("{}")
+    return rows.select("model_version", "status", F.try_to_timestamp("evaluated_at").alias("evaluated_at"), F.col("metrics_json").alias("metrics"), metadata.alias("training_metadata"), text("fingerprint").alias("fingerprint"), text("generation").alias("generation"))
+
+
+def serving_cycles(rows: DataFrame) -> DataFrame:
+    """Cycle health as it is served; columns that a table lacks are null."""
+    return rows.select("asset_id", "cycle_index", *(pick(rows, c, "double").alias(c) for c in ("soh", "rul_cycles", "max_capacity", "resistance", "max_temperature", "charge_time", "capacity_slope", "efficiency")))
+
+
+def soh_percent(soh):
+    """The health in percent, two digits."""
+    return F.round(soh * 100, 2)
 
 
-def null_safe_status(states: DataFrame, statuses: DataFrame) -> DataFrame:
-    """States with the status of the same asset and revision; null revisions are equal, and both missing is pending."""
+def family_label(family):
+    """A family's name to show: words with capitals, for any of _, - and space between them."""
+    return F.initcap(F.regexp_replace(F.lower(F.trim(family)), "[_ -]+", " "))
+
+
+def survival_metrics(models: DataFrame) -> DataFrame:
+    """(model_version, ibs, c_index, brier_100) of the test part of survival models' metric documents."""
+    kind = "test struct<integrated_brier_score double, ipcw_c_index double, horizon_brier map<string, double>>"
+    m = F.from_json("metrics_json", kind)["test"]
+    return models.select("model_version", m["integrated_brier_score"].alias("ibs"), m["ipcw_c_index"].alias("c_index"), m["horizon_brier"]["100"].alias("brier_100"))
+
+
+def survival_winner(metrics: DataFrame) -> DataFrame:
+    """The model with the least integrated Brier score (null last), then the highest C-index, then the first by rank."""
+    return metrics.orderBy(F.asc_nulls_last("ibs"), F.desc_nulls_last("c_index"), "rank", "model_version").limit(1)
+
+
+def null_safe_status(states: DataFrame, statuses: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """States with the status of the same asset and revision; null revisions are equal, and both missing is pending.
+
+    With ``current`` (asset_id, revision), the revision is the one selected now, or 0 without any.
+    """
+    if current is not None:
+        states = states.join(current.select("asset_id", "revision"), "asset_id", "left").withColumn("revision", F.coalesce("revision", F.lit(0)))
     s = statuses.select(F.col("asset_id").alias("_a"), F.col("revision").alias("_r"), "status")
     return states.join(s, states["asset_id"].eqNullSafe(F.col("_a")) & states["revision"].eqNullSafe(F.col("_r")), "left").select(*states.columns, F.coalesce("status", F.lit("pending")).alias("status"))
 
 
 def fleet_kpis(fleet: DataFrame) -> DataFrame:
     """One row: assets, mean and median health, median and lower quartile of the remaining life."""
-    return fleet.agg(F.count("*").alias("assets"), F.avg("health").alias("mean_health"), F.median("health").alias("median_health"), F.median("rul").alias("median_rul"), F.percentile("rul", F.lit(0.25)).alias("p25_rul"), F.count("rul").alias("with_rul"))
+    return fleet.agg(F.count("*").alias("assets"), F.avg("health").alias("mean_health"), F.median("health").alias("median_health"), F.median("rul").alias("median_rul"), F.percentile("rul", F.lit(0.25)).alias("p25_rul"), F.count("rul").alias("with_rul"), *([F.median("survival").alias("median_survival"), F.percentile("survival", F.lit(0.25)).alias("p25_survival")] if "survival" in fleet.columns else []))
 
 
 def histogram(fleet: DataFrame, column: str, width: int) -> DataFrame:
@@ -52,14 +101,14 @@ def lowest(rows: DataFrame, column: str, tie: str, k: int = 5) -> DataFrame:
 
 def flat_metrics(models: DataFrame) -> DataFrame:
     """Metrics out of their JSON documents; what a document lacks is null."""
-    kind = "mae double, rmse double, families map<string, struct<mae double>>"
+    kind = "mae double, rmse double, families map<string, struct<mae double, rmse double>>"
     m = F.from_json("metrics_json", kind)
     return models.select("model_version", m["mae"].alias("mae"), m["rmse"].alias("rmse"), m["families"].alias("families"))
 
 
 def family_rows(flat: DataFrame) -> DataFrame:
-    """(model_version, family, family_mae): a row for each family of a model."""
-    return flat.select("model_version", F.explode("families").alias("family", "v")).select("model_version", "family", F.col("v.mae").alias("family_mae"))
+    """(model_version, family, family_mae, family_rmse): a row for each family of a model."""
+    return flat.select("model_version", F.explode("families").alias("family", "v")).select("model_version", "family", F.col("v.mae").alias("family_mae"), F.col("v.rmse").alias("family_rmse"))
 
 
 def long_metrics(flat: DataFrame, columns: list[str]) -> DataFrame:
