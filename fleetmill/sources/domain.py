@@ -25,7 +25,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").withColumn("sample_index", F.row_number().over(w).cast("bigint"))
     return line.join(cycles(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey")).select(
         "asset_id", "cycle_index", "sample_index", F.concat_ws(":", "asset_id", "cycle_index", "sample_index").alias("event_id"), F.col("l_shipdate").alias("event_time"), F.col("l_quantity").alias("voltage"),
-        (F.col("l_discount") - 0.05).alias("current"), (F.col("l_tax") * 100).alias("temperature"), F.col("l_extendedprice").alias("capacity"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("charge_capacity"),
+        (F.col("l_discount") - 0.05).alias("current"), (F.col("l_tax") * 100).alias("temperature"), F.col("l_extendedprice").alias("capacity"), (F.col("l_quantity") * 60).alias("source_time"), (F.col("l_discount") * 10).alias("resistance"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("charge_capacity"),
     )
 
 
@@ -45,7 +45,8 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("c_nationkey") % 5
     split = F.when(m < 3, "train").when(m == 3, "validation").otherwise("test")
     odd = F.col("c_custkey") % 11 == 0
-    eol = F.when(F.col("c_custkey") % 7 != 0, F.col("last_source_cycle") + F.when(odd, 2).otherwise(0))
+    early = F.col("c_custkey") % 13 == 5
+    eol = F.when(F.col("c_custkey") % 7 != 0, F.col("last_source_cycle") + F.when(odd, 2).when(early, -2).otherwise(0))
     joined = table(spark, sf_dir, "customer").join(last, F.col("asset_id") == F.col("c_custkey"))
     return joined.select("asset_id", F.col("c_nationkey").alias("lineage_group_id"), split.alias("split"), "last_source_cycle", "start_time", eol.alias("eol_cycle"), ((F.col("c_custkey") % 7 != 0) & ~odd).alias("valid_eol_label"))
 

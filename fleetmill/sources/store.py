@@ -11,6 +11,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. A session on one machine gets one of its own where it's unset."""
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: it names the folder that driver and executors share")
+        import tempfile
+
+        sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-"))
+        folder = sc.getCheckpointDir()
+    return folder
+
+
 class Published:
     """A table with versions: ``v=<name>`` folders that never change, and pointer rows to the newest."""
 
@@ -44,9 +58,26 @@ def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> Data
 
 
 def load_jdbc(rows: DataFrame, url: str, name: str, keys: list[str], mode: str = "append", **options: str) -> DataFrame:
-    """Writes rows to a JDBC table and returns the keys that then are on one side only; there should be none."""
+    """Writes rows to a JDBC table and returns the keys that then are on one side only, with ``side``.
+
+    In mode overwrite there should be none. In mode append, "extra" keys are
+    those that the table had before.
+    """
     rows.write.format("jdbc").options(url=url, dbtable=name, **options).mode(mode).save()
     there = read_jdbc(rows.sparkSession, url, name, **options)
     ours = rows.select(*keys)
     theirs = there.select(*(F.col(c).cast(rows.schema[c].dataType).alias(c) for c in keys))
-    return ours.exceptAll(theirs).withColumn("side", F.lit("missing")).unionByName(theirs.join(ours, keys, "left_anti").withColumn("side", F.lit("extra")) if mode == "overwrite" else ours.limit(0).withColumn("side", F.lit("extra")))
+    return ours.exceptAll(theirs).withColumn("side", F.lit("missing")).unionByName(theirs.exceptAll(ours).withColumn("side", F.lit("extra")))
+
+
+def merge_jdbc(rows: DataFrame, url: str, name: str, keys: list[str], merge, **options: str) -> DataFrame:
+    """Replaces a JDBC table by merge(its rows, rows), through a staging table next to it, so a failed write leaves the table as it was."""
+    old = read_jdbc(rows.sparkSession, url, name, **options)
+    stage = f"{name}_stage"
+    merge(old, rows).write.format("jdbc").options(url=url, dbtable=stage, **options).mode("overwrite").save()
+    return load_jdbc(read_jdbc(rows.sparkSession, url, stage, **options), url, name, keys, "overwrite", **options)
+
+
+def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of JSON lines with a declared schema, for features of older states."""
+    return spark.read.schema(schema).json(path)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetmill.operators.aggregate import partials, rendered
+from fleetmill.operators.normalize import decode_events
+from fleetmill.sources.store import exists
 
 
 class CycleStore:
@@ -27,44 +29,61 @@ class CycleStore:
     def path(self, name: str, batch: int) -> str:
         return f"{self.folder}/{name}/v={batch}"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
     def before(self, name: str, batch: int) -> DataFrame | None:
         """The table as the batch before left it."""
-        return self._read(name, batch - 1)
+        path = self.path(name, batch - 1)
+        return self.spark.read.parquet(path) if batch > 0 and exists(self.spark, f"{path}/_SUCCESS") else None
 
-    def _read(self, name: str, batch: int) -> DataFrame | None:
-        path = self.path(name, batch)
-        return self.spark.read.parquet(path) if batch >= 0 and self._exists(f"{path}/_SUCCESS") else None
+    def upto(self, name: str, batch: int) -> DataFrame | None:
+        """What all batches up to one have added to a table."""
+        path = f"{self.folder}/{name}"
+        if not exists(self.spark, path):
+            return None
+        return self.spark.read.parquet(path).where(F.col("v") <= batch).drop("v")
 
     def write(self, name: str, batch: int, rows: DataFrame) -> DataFrame:
         rows.write.mode("overwrite").parquet(self.path(name, batch))
         return self.spark.read.parquet(self.path(name, batch))
 
-    def process(self, events: DataFrame, batch: int, expected: DataFrame) -> None:
-        """One micro-batch: events are valid telemetry, expected has the sample count of completed cycles."""
+    def finals(self) -> DataFrame:
+        """The aggregates of all final cycles."""
+        return self.upto("final", 1 << 40)
+
+    def process(self, events: DataFrame, batch: int, expected: DataFrame, strict: bool = False) -> None:
+        """One micro-batch: events are valid telemetry, expected has the sample count of completed cycles.
+
+        A batch writes its own samples and final cycles only. Of what is stored it
+        reads open samples and the keys of final cycles. Samples for a final cycle
+        are kept apart as late, and so are all of a cycle that has more samples
+        than expected; if ``strict``, either is an error.
+        """
         keys = ["asset_id", "cycle_index"]
-        final, seen = self.before("final", batch), self.before("open", batch)
+        final, seen = self.upto("final", batch - 1), self.before("open", batch)
         fresh = events.dropDuplicates(["event_id"])
         if final is not None:
-            self.write("late", batch, fresh.join(final.select(*keys), keys, "left_semi"))
+            late = self.write("late", batch, fresh.join(final.select(*keys), keys, "left_semi"))
+            if strict and not late.isEmpty():
+                raise RuntimeError("a final cycle has more samples than its completion says")
             fresh = fresh.join(final.select(*keys), keys, "left_anti")
         if seen is not None:
             fresh = seen.unionByName(fresh.join(seen.select("event_id"), "event_id", "left_anti"))
         held = self.write("held", batch, fresh)
-        state = partials(held)
-        done = state.join(expected, keys).where("event_count = expected_telemetry_rows").drop("expected_telemetry_rows")
-        done = rendered(done)
-        done = self.write("final", batch, done if final is None else final.unionByName(done))
-        self.write("open", batch, held.join(done.select(*keys), keys, "left_anti"))
+        counted = rendered(partials(held)).join(expected.select(*keys, "expected_telemetry_rows"), keys)
+        over = self.write("overfull", batch, counted.where("event_count > expected_telemetry_rows").select(*keys))
+        if strict and not over.isEmpty():
+            raise RuntimeError("a cycle has more samples than its completion says")
+        done = self.write("final", batch, counted.where("event_count = expected_telemetry_rows").drop("expected_telemetry_rows"))
+        self.write("open", batch, held.join(done.select(*keys), keys, "left_anti").join(over, keys, "left_anti"))
+
 
+def run(source: DataFrame, store: CycleStore, expected: Callable[[], DataFrame], checkpoint: str, seconds: int | None = None) -> StreamingQuery:
+    """Starts the stream: over what is available, or every so many seconds."""
+    return started(source, lambda rows, batch: store.process(decode_events(rows), batch, expected()), checkpoint, seconds)
 
-def run(source: DataFrame, store: CycleStore, expected: Callable[[], DataFrame], checkpoint: str) -> StreamingQuery:
-    """Starts the stream over what is available; await its end."""
-    return source.writeStream.foreachBatch(lambda rows, batch: store.process(rows, batch, expected())).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def started(source: DataFrame, process: Callable[[DataFrame, int], None], checkpoint: str, seconds: int | None = None) -> StreamingQuery:
+    writer = source.writeStream.foreachBatch(process).outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")).start()
 
 
 def deduplicated(events: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -74,5 +93,11 @@ def deduplicated(events: DataFrame, delay: str = "2 hours") -> DataFrame:
     return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def final_cycles(spark: SparkSession, folder: str, batch: int) -> DataFrame:
-    return CycleStore(spark, folder)._read("final", batch)
+def kafka_source(spark: SparkSession, servers: str, topics: str, most: int = 5_000_000) -> DataFrame:
+    """Envelopes (value, topic, partition, offset) of topics from their beginning, so many a batch at most; the connector must be on the class path."""
+    return spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topics).option("startingOffsets", "earliest").option("maxOffsetsPerTrigger", most).load()
+
+
+def window_metrics(telemetry: DataFrame) -> DataFrame:
+    """The aggregates of a batch or a stream of valid telemetry, without its duplicates."""
+    return rendered(partials(deduplicated(telemetry)))
