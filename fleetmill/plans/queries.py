@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetmill.operators import aggregate, cohort, features, finality, merge, normalize, outlet, predict, quality, serving, survival
+from fleetmill.operators import aggregate, cohort, contracts, current, features, finality, merge, normalize, outlet, predict, quality, serving, snapshots, survival
 from fleetmill.sources import domain
 
 QUERIES: dict = {}
 CUTOFF = "1999-12-31"
+#: Arrivals are a day apart from here on, and landmarks are seen from there.
+EPOCH, SEEN = "2024-01-01", "2024-03-31 12:00:00"
 
 
 def query(f):
@@ -76,8 +76,25 @@ def _metrics(spark, sf) -> DataFrame:
     return predict.regression_metrics(rows, ["split", "stage"], predicted="raw_rul")
 
 
+def _arrivals(spark, sf) -> DataFrame:
+    assets = domain.manifest(spark, sf).select("asset_id", "lineage_group_id", "split", "eol_cycle")
+    cycles = domain.cycles(spark, sf).join(assets.select("asset_id", "eol_cycle"), "asset_id")
+    return cohort.arrival_manifest(assets.drop("eol_cycle"), cycles, EPOCH)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder: what is made of them reads it, and doesn't make them again."""
+    path = f"{_scratch(df.sparkSession)}/stored"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _seen():
+    return F.lit(SEEN).cast("timestamp_ntz")
+
+
 def _land(spark, sf) -> DataFrame:
-    return survival.landmark_rows(domain.cycles(spark, sf), domain.manifest(spark, sf), _flags(spark, sf), _cutoff())
+    return _stored(survival.landmark_rows(domain.cycles(spark, sf), _arrivals(spark, sf), _flags(spark, sf), _seen()))
 
 
 def _fleet(spark, sf) -> DataFrame:
@@ -88,7 +105,7 @@ def _fleet(spark, sf) -> DataFrame:
 
 def _models(spark, sf) -> DataFrame:
     ids = domain.cycles(spark, sf).select("asset_id").distinct()
-    families = F.create_map(F.lit("tree"), F.struct((F.col("asset_id") % 3).cast("double").alias("mae")), F.lit("linear"), F.struct(F.lit(2.0).alias("mae")))
+    families = F.create_map(F.lit("tree"), F.struct((F.col("asset_id") % 3).cast("double").alias("mae"), F.lit(3.0).alias("rmse")), F.lit("linear"), F.struct(F.lit(2.0).alias("mae"), F.lit(None).cast("double").alias("rmse")))
     doc = F.to_json(F.struct((F.col("asset_id") % 7 / 2.0).alias("mae"), F.when(F.col("asset_id") % 2 == 0, F.col("asset_id") % 5 / 4.0).alias("rmse"), families.alias("families")))
     return ids.select(F.concat(F.lit("m"), "asset_id").alias("model_version"), doc.alias("metrics_json"))
 
@@ -110,7 +127,7 @@ _FEATURES = ["capacity_delta", "rolling_capacity_mean", "capacity_slope", "capac
 
 @query
 def causal_features(spark, sf):
-    extra = [*_FEATURES, "temperature_span", "efficiency"]
+    extra = [*_FEATURES, "temperature_span", "efficiency", "charge_time_delta"]
     return _round(_features(spark, sf), 6, *extra).select("asset_id", "cycle_index", F.col("cycle_gap").cast("double").alias("cycle_gap"), *extra)
 
 
@@ -307,7 +324,316 @@ def current_upsert(spark, sf):
 
 @query
 def survival_upsert(spark, sf):
-    return merge.merge_keyed(_current(spark, sf, False), _current(spark, sf, True), ["asset_id"], merge.newer_curve()).select("asset_id", "cycle_index", "source")
+    """Only rows of the current state and selection are merged."""
+    dataset = F.when(F.col("asset_id") % 5 == 0, "other").otherwise("fleet")
+    tagged = [_current(spark, sf, new).withColumns({"dataset": dataset, "model_version": F.lit("s1"), "fingerprint": F.lit("f1")}) for new in (False, True)]
+    one = domain.table(spark, sf, "region").where("r_regionkey = 0")
+    states = one.select(F.lit("fleet").alias("dataset"), F.lit("s").alias("state_id"))
+    selections = one.select(F.lit("fleet").alias("dataset"), F.lit("s1").alias("model_version"), F.lit("f1").alias("fingerprint"), F.lit(2).alias("revision"))
+    new = current.guarded(tagged[1], states, selections)
+    return merge.merge_keyed(tagged[0], new, ["asset_id"], merge.newer_curve()).select("asset_id", "cycle_index", "source")
+
+
+@query
+def selection_revision(spark, sf):
+    c = domain.table(spark, sf, "customer")
+    was = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.lit("m1").alias("model_version"), (F.col("c_custkey") % 7).alias("revision"))
+    wanted = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.when(F.col("c_custkey") % 2 == 0, "m1").otherwise("m2").alias("model_version"))
+    return merge.bumped_selection(was, wanted)
+
+
+def _evaluations(spark, sf) -> DataFrame:
+    c = domain.table(spark, sf, "customer")
+    status = F.element_at(F.array(*map(F.lit, ("candidate", "champion", "retired"))), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return c.select(F.concat(F.lit("m"), "c_custkey").alias("model_version"), F.col("c_nationkey").cast("string").alias("dataset"), status.alias("status"), F.when(F.col("c_custkey") % 5 != 0, F.concat(F.lit("f"), "c_custkey")).alias("fingerprint"), (F.col("c_custkey") % 11).alias("evaluated_at"), F.lit("v1").alias("feature_contract"), (F.col("c_acctbal")).alias("mae"))
+
+
+@query
+def initialised_selection(spark, sf):
+    own = domain.table(spark, sf, "nation").where("n_nationkey % 2 = 0").select(F.col("n_nationkey").cast("string").alias("dataset"), F.lit("kept").alias("model_version"), F.lit("f").alias("fingerprint"), F.lit(4).alias("revision"))
+    models = _evaluations(spark, sf)
+    return current.initialised(own, models, models)
+
+
+@query
+def model_selection(spark, sf):
+    models = _evaluations(spark, sf)
+    chosen = models.where("status = 'champion'").select("dataset", "model_version", F.when(F.col("evaluated_at") % 2 == 0, F.col("fingerprint")).otherwise("other").alias("fingerprint"))
+    return current.selection(chosen, models).select("model_version", "usable")
+
+
+@query
+def best_model(spark, sf):
+    return serving.best_model(_evaluations(spark, sf)).select("model_version")
+
+
+@query
+def newest_evaluation(spark, sf):
+    return serving.newest_evaluation(_evaluations(spark, sf)).select("model_version")
+
+
+@query
+def frozen_scores(spark, sf):
+    """Newest scores on top of those served up to generation 3."""
+    prior = features.latest(_served(spark, sf).join(_generations(spark, sf).where("generation <= 3").select("asset_id", "cycle_index"), ["asset_id", "cycle_index"])).select("asset_id", "rul", "eol_cycle")
+    newest = features.latest(domain.predictions(spark, sf))
+    return current.frozen_scores(newest.select("asset_id", "cycle_index", (F.col("raw_rul") + 6).alias("raw_rul")), prior).select("asset_id", "cycle_index", "rul", "eol_cycle")
+
+
+@query
+def replaced_version(spark, sf):
+    old = domain.predictions(spark, sf).select(F.when(F.col("asset_id") % 2 == 0, "m0").otherwise("m1").alias("model_version"), "asset_id", "cycle_index", "raw_rul")
+    new = domain.predictions(spark, sf).where("asset_id % 4 = 1").select(F.lit("m1").alias("model_version"), "asset_id", "cycle_index", (F.col("raw_rul") + 1).alias("raw_rul"))
+    return current.replaced_version(old, new)
+
+
+@query
+def serving_statuses(spark, sf):
+    ids = domain.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("state_id"), (F.col("c_custkey") % 4).alias("k"))
+    results = ids.select(F.lit("fleet").alias("dataset"), "state_id", F.lit("rul").alias("consumer"), F.when(F.col("k") > 0, F.col("k")).alias("revision"), F.when(F.col("k") == 1, F.col("k") * 10).alias("rows_written"), F.when(F.col("k") == 2, "lost").alias("error"))
+    out = current.status_rows(results)
+    return out.withColumn("serve", current.must_serve(F.col("status"), F.col("rows_written"), F.lit(10), F.col("state_id") != "5")).select("state_id", "revision", "status", "rows_written", "error", "serve")
+
+
+@query
+def newest_final(spark, sf):
+    rows = _state(spark, sf).select("asset_id", "cycle_index", "event_count", (F.col("cycle_index") % 3).alias("sequence"))
+    return current.newest_final(rows, _final(spark, sf), domain.manifest(spark, sf).where("split = 'test'")).select("asset_id", "cycle_index", "event_count")
+
+
+@query
+def serving_predictions(spark, sf):
+    return serving.serving_predictions(_served(spark, sf).select(F.lit("m").alias("model_version"), "asset_id", "cycle_index", "rul"))
+
+
+@query
+def serving_cycles(spark, sf):
+    return _round(serving.serving_cycles(_features(spark, sf)), 6, "capacity_slope", "efficiency", "resistance")
+
+
+@query
+def serving_evaluations(spark, sf):
+    models = _evaluations(spark, sf).select("model_version", "status", F.concat(F.lit("2024-01-"), F.lpad((F.col("evaluated_at") + 1).cast("string"), 2, "0")).alias("evaluated_at"), F.lit("{}").alias("metrics_json"), "fingerprint")
+    return _text_times(serving.serving_evaluations(models), "evaluated_at").select("model_version", "status", "evaluated_at", "training_metadata", "fingerprint", "generation")
+
+
+@query
+def cycle_labels(spark, sf):
+    c = domain.cycles(spark, sf).join(domain.manifest(spark, sf).select("asset_id", "eol_cycle"), "asset_id")
+    width = F.when(F.col("asset_id") % 2 == 0, 0.8).otherwise(0.0)
+    rows = c.withColumns({"capacity": F.col("o_totalprice"), "nominal_capacity": F.lit(250000.0), "soc_start": F.lit(0.0), "soc_end": width})
+    out = predict.labels(rows).withColumn("percent", serving.soh_percent(F.col("soh")))
+    return out.select("asset_id", "cycle_index", "rul_cycles", "percent")
+
+
+@query
+def family_labels(spark, sf):
+    return domain.table(spark, sf, "part").select("p_partkey", serving.family_label(F.concat(F.col("p_type"), F.lit("_by-spark"))).alias("label"))
+
+
+@query
+def survival_metrics(spark, sf):
+    ids = domain.cycles(spark, sf).select("asset_id").distinct()
+    brier = F.create_map(F.lit("50"), F.lit(0.1), F.lit("100"), (F.col("asset_id") % 9 / 8.0))
+    doc = F.to_json(F.struct(F.struct(F.when(F.col("asset_id") % 3 != 0, F.col("asset_id") % 5 / 4.0).alias("integrated_brier_score"), (F.col("asset_id") % 2 / 2.0).alias("ipcw_c_index"), brier.alias("horizon_brier")).alias("test")))
+    return serving.survival_metrics(ids.select(F.concat(F.lit("m"), "asset_id").alias("model_version"), doc.alias("metrics_json")))
+
+
+@query
+def survival_winner(spark, sf):
+    return serving.survival_winner(survival_metrics(spark, sf).withColumn("rank", F.lit(0))).select("model_version", "ibs", "c_index")
+
+
+@query
+def generalisation_gap(spark, sf):
+    rows = domain.predictions(spark, sf).join(domain.manifest(spark, sf), "asset_id").withColumn("truth", (F.col("last_source_cycle") - F.col("cycle_index")).cast("double"))
+    return _round(predict.generalisation_gap(predict.regression_metrics(rows, ["split"], predicted="raw_rul")), 6, "test_validation", "test_train")
+
+
+@query
+def arrival_manifest(spark, sf):
+    return _text_times(_arrivals(spark, sf), "start_time").select("asset_id", "arrival_rank", "start_time", "last_source_cycle", "eol_cycle", "eol_cycle_delta", "label_status", "valid_eol_label")
+
+
+@query
+def scheduled_lifecycle(spark, sf):
+    return _text_times(cohort.lifecycle_events(_arrivals(spark, sf)), "event_time").select("asset_id", "event_type", "cycle_index", "event_time")
+
+
+@query
+def nth_arrival(spark, sf):
+    ranked = cohort.scheduled(cohort.arrival_rank(domain.manifest(spark, sf).where("split = 'train'")), EPOCH, 60)
+    return _text_times(cohort.nth_arrival(ranked, 26), "arrival_time")
+
+
+@query
+def asof_keys(spark, sf):
+    return cohort.asof_keys(domain.cycles(spark, sf), _arrivals(spark, sf), _seen())
+
+
+@query
+def bound_lifecycle(spark, sf):
+    m = domain.manifest(spark, sf)
+    return cohort.with_cohort(_flags(spark, sf), m.where("split = 'train'"), m.where("split = 'train' and asset_id % 4 = 1"))
+
+
+@query
+def split_counts(spark, sf):
+    c = domain.table(spark, sf, "customer").select(F.col("c_custkey").alias("asset_id"), "c_mktsegment")
+    return cohort.split_counts(domain.manifest(spark, sf).join(c, "asset_id"), "c_mktsegment", "valid_eol_label")
+
+
+@query
+def merged_flags(spark, sf):
+    """Two batches of lifecycle flags as one."""
+    ends = domain.lifecycle(spark, sf).where("event_type <> 'cycle_complete'")
+    return _text_times(aggregate.merged_flags(aggregate.lifecycle_flags(ends.where("event_type = 'eol_observed'")), aggregate.lifecycle_flags(ends.where("event_type = 'replay_complete'"))), "eol_time", "replay_time")
+
+
+@query
+def folded_lifecycle(spark, sf):
+    """Events of some assets, stored states of the others."""
+    events = domain.lifecycle(spark, sf).where("event_type <> 'cycle_complete' and asset_id % 2 = 0").select("asset_id", "event_type")
+    states = _flags(spark, sf).where("asset_id % 2 = 1").select("asset_id", "eol_observed", "replay_complete")
+    return aggregate.folded_lifecycle(events.unionByName(states, allowMissingColumns=True))
+
+
+@query
+def replay_cutoff(spark, sf):
+    return aggregate.cutoff_text(domain.samples(spark, sf))
+
+
+def _sources(spark, sf) -> DataFrame:
+    """Completions with the place in the source that line items of their cycle have."""
+    line = domain.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.lit("lifecycle").alias("topic"), (F.col("l_suppkey") % 3).cast("int").alias("partition"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("offset"))
+    return domain.cycles(spark, sf).select("asset_id", "cycle_index", "o_orderkey").join(line, "o_orderkey").drop("o_orderkey")
+
+
+@query
+def offset_map(spark, sf):
+    out = aggregate.offset_map(aggregate.offset_watermarks(_sources(spark, sf)))
+    return out.select("topic", F.array_join(F.transform(F.map_entries("offsets"), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("offsets"))
+
+
+@query
+def beyond_watermarks(spark, sf):
+    """Completions ahead of the offsets of the partitions that were read in part."""
+    own = _sources(spark, sf)
+    return aggregate.beyond_watermarks(own, aggregate.offset_watermarks(own.where("partition < 2 and cycle_index <= 8"))).select("asset_id", "cycle_index", "partition", "offset")
+
+
+def _envelopes(spark, sf) -> DataFrame:
+    """Telemetry and lifecycle events of the fleet as they are sent; every key's offsets are its own."""
+    stamp = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time")
+    telemetry = domain.samples(spark, sf).select("event_id", "asset_id", "cycle_index", "sample_index", stamp, "voltage", "capacity", "charge_capacity", "temperature", "source_time")
+    life = domain.lifecycle(spark, sf).select(F.concat_ws(":", "event_type", "asset_id", "cycle_index").alias("event_id"), "event_type", "asset_id", "cycle_index", stamp, "expected_telemetry_rows")
+    both = telemetry.unionByName(life, allowMissingColumns=True)
+    place = {"partition": F.pmod("asset_id", F.lit(3)).cast("int"), "offset": F.col("asset_id") * 10_000 + F.col("cycle_index") * 100 + F.coalesce("sample_index", F.lit(99))}
+    sent = normalize.encode_events(both.withColumns(place))
+    at = F.from_json("value", "partition int, offset bigint")
+    return sent.select("topic", "key", F.col("value").cast("binary").alias("value"), at["partition"].alias("partition"), at["offset"].alias("offset"))
+
+
+@query
+def event_routing(spark, sf):
+    """What arrives of each kind, by topic."""
+    sent = _envelopes(spark, sf)
+    a = normalize.decode_events(sent).select("topic", F.lit("telemetry").alias("kind"))
+    b = normalize.decode_lifecycle(sent).select("topic", F.col("event_type").alias("kind"))
+    return a.unionByName(b).groupBy("topic", "kind").agg(F.count("*").alias("events"))
+
+
+@query
+def required_split(spark, sf):
+    rows = _fleet(spark, sf).select("asset_id", F.when(F.col("asset_id") % 3 != 0, F.col("name")).alias("name"), F.when(F.col("asset_id") % 5 != 0, F.col("rul")).alias("rul"))
+    return contracts.split_required(rows, ["asset_id", "name", "rul"])[1].select("asset_id", F.array_join("missing", ",").alias("missing"))
+
+
+@query
+def bad_keys(spark, sf):
+    rows = _fleet(spark, sf).select("asset_id", F.when(F.col("asset_id") % 4 != 0, "fleet").otherwise(F.when(F.col("asset_id") % 8 == 0, "")).alias("dataset"), (F.col("asset_id") % 3).alias("cycle_index"))
+    return contracts.bad_keys(rows, ["dataset"]).select("asset_id")
+
+
+@query
+def not_prefix(spark, sf):
+    return contracts.not_prefix(_ready(spark, sf).where("ready"), domain.cycles(spark, sf))
+
+
+@query
+def boundary_faults(spark, sf):
+    bounds = finality.boundary(_final(spark, sf).withColumn("replay_sequence", F.col("cycle_index") - F.col("asset_id") % 5))
+    return contracts.boundary_faults(bounds.withColumn("cycles", F.col("cycles") + F.when(F.col("asset_id") % 10 == 7, 1).otherwise(0)))
+
+
+@query
+def cohort_faults(spark, sf):
+    rows = cohort.at_cutoff(_cohort(spark, sf), _cutoff())
+    return contracts.cohort_faults(rows.where("asset_id % 11 <> 0"), rows.where("observed or asset_id % 6 = 0"), rows.where("not observed and asset_id % 8 <> 0"))
+
+
+@query
+def load_faults(spark, sf):
+    c = domain.cycles(spark, sf).select("asset_id", "cycle_index")
+    return contracts.load_faults(c.where("asset_id % 19 <> 0"), ["asset_id", "cycle_index"], c.where("asset_id % 17 <> 0"))
+
+
+@query
+def published_predictions(spark, sf):
+    one = domain.table(spark, sf, "region").where("r_regionkey = 0")
+    return contracts.publish_predictions(domain.predictions(spark, sf), one).select("asset_id", "cycle_index", "rul", "eol_cycle")
+
+
+@query
+def cohort_checksums(spark, sf):
+    return snapshots.cohort_checksums(cohort.at_cutoff(_cohort(spark, sf), _cutoff()))
+
+
+@query
+def generation_plan(spark, sf):
+    state = finality.state_id(finality.boundary(_final(spark, sf)))
+    out = snapshots.plan("1.2", cohort.at_cutoff(_cohort(spark, sf), _cutoff()), state, "features-v1", "ridge|forest")
+    return out.select("generation", "state_id", "training_assets", "fingerprint")
+
+
+@query
+def generation_receipt(spark, sf):
+    rows = _state(spark, sf).select("asset_id", "cycle_index", "event_count").join(_generations(spark, sf).select("asset_id", "cycle_index", F.col("generation").alias("generation_id")), ["asset_id", "cycle_index"])
+    chosen = snapshots.selected(rows, 3, finality.boundary(_final(spark, sf))).drop("generation_id")
+    found = snapshots.receipt(chosen, 3, "state", "features-v1")
+    snapshots.verified(chosen, found)
+    return found.select("generation_id", "selected_rows", "selected_digest")
+
+
+@query
+def benchmark_record(spark, sf):
+    return snapshots.benchmark_record(_state(spark, sf).select("asset_id", "cycle_index", "event_count"), domain.manifest(spark, sf))
+
+
+@query
+def published_counts(spark, sf):
+    docs = domain.table(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.to_json(F.struct((F.col("c_custkey") % 50).alias("training_battery_count")))).otherwise("{}").alias("training_metadata_json"))
+    return snapshots.published_counts(docs)
+
+
+@query
+def single_values(spark, sf):
+    o = domain.table(spark, sf, "orders").withColumn("always", F.col("o_orderkey") * 0 + 7)
+    return quality.single_value(o, "always").unionByName(quality.single_value(o, "o_custkey"))
+
+
+@query
+def curve_count(spark, sf):
+    return domain.curves(spark, sf).select("asset_id", "cycle_index").distinct().agg(F.count("*").alias("curves"))
+
+
+@query
+def seeded_outlet(spark, sf):
+    own = _state(spark, sf).select("asset_id", "cycle_index", "max_capacity").join(_generations(spark, sf).select("asset_id", "cycle_index", "generation"), ["asset_id", "cycle_index"])
+    snapshots_of = own.withColumn("generation_id", F.explode(F.sequence("generation", F.lit(4)))).drop("generation")
+    return outlet.seeded(snapshots_of)
+
+
 
 
 @query
@@ -342,26 +668,76 @@ def censoring_km(spark, sf):
     return _round(survival.censoring(_land(spark, sf).where("split = 'train'")), 6, "survival")
 
 
+def _scored(rows: DataFrame) -> DataFrame:
+    return rows.where("split = 'test'").withColumn("horizon", F.explode(F.array(*map(F.lit, (2, 5, 8))))).withColumn("probability", F.exp(-F.col("horizon") / 10.0))
+
+
 @query
 def ipcw_brier(spark, sf):
     rows = _land(spark, sf)
-    test = rows.where("split = 'test'").withColumn("horizon", F.explode(F.array(*map(F.lit, (2, 5, 8))))).withColumn("probability", F.exp(-F.col("horizon") / 10.0))
-    return _round(survival.brier(rows.where("split = 'train'"), test, (2, 5, 8)), 6, "brier")
+    return _round(survival.brier(rows.where("split = 'train'"), _scored(rows), (2, 5, 8)), 6, "brier")
+
+
+@query
+def integrated_brier(spark, sf):
+    rows = _land(spark, sf)
+    return _round(survival.integrated_brier(rows.where("split = 'train'"), _scored(rows), (2, 5, 8)), 6, "integrated_brier").select("integrated_brier", "supported_rows", "excluded_rows")
+
+
+@query
+def landmark_counts(spark, sf):
+    return survival.landmark_counts(_land(spark, sf))
+
+
+@query
+def latest_landmarks(spark, sf):
+    return survival.latest_landmarks(_land(spark, sf)).select("asset_id", "cycle_index", "duration")
+
+
+def _view(spark, sf) -> DataFrame:
+    """Two datasets, by asset, of which one has a selected model."""
+    dataset = F.when(F.col("asset_id") % 3 == 0, "a").otherwise("b").alias("dataset")
+    predictions = _served(spark, sf).select(dataset, "asset_id", "cycle_index", F.concat(F.lit("m"), F.col("asset_id") % 2).alias("model_version"), "rul")
+    selection = domain.table(spark, sf, "region").where("r_regionkey = 0").select(F.lit("a").alias("dataset"), F.lit("m1").alias("model_version"))
+    return serving.latest_view(domain.cycles(spark, sf).select(dataset, "asset_id", "cycle_index"), selection, predictions)
 
 
 @query
 def latest_dashboard(spark, sf):
-    predictions = _served(spark, sf).select("asset_id", "cycle_index", F.concat(F.lit("m"), F.col("asset_id") % 2).alias("model_version"), "rul")
-    selection = domain.table(spark, sf, "region").select(F.lit("m1").alias("model_version"))
-    return serving.latest_view(domain.cycles(spark, sf).select("asset_id", "cycle_index"), selection, predictions)
+    return _view(spark, sf)
+
+
+def _survival(spark, sf) -> DataFrame:
+    own = domain.curves(spark, sf).withColumns({"dataset": F.when(F.col("asset_id") % 3 == 0, "a").otherwise("b"), "model_version": F.lit("s1"), "fingerprint": F.when(F.col("asset_id") % 5 == 0, "old").otherwise("f1"), "revision": F.lit(1)})
+    return own.withColumn("cycle_index", F.col("cycle_index") - F.when(F.col("asset_id") % 7 == 0, 1).otherwise(0))
+
+
+@query
+def survival_view(spark, sf):
+    chosen = domain.table(spark, sf, "region").where("r_regionkey < 2").select(F.element_at(F.array(F.lit("a"), F.lit("b")), F.col("r_regionkey") + 1).alias("dataset"), F.lit("s1").alias("model_version"), F.lit("f1").alias("fingerprint"), F.lit(1).alias("revision"))
+    return _round(current.model_view(_view(spark, sf), chosen, _survival(spark, sf)), 6, "survival").select("asset_id", "cycle_index", "rul", "survival")
+
+
+@query
+def current_curve(spark, sf):
+    newest = domain.cycles(spark, sf).groupBy("asset_id").agg(F.max("cycle_index").alias("cycle_index"))
+    return current.current_curve(_survival(spark, sf), newest).select("asset_id", "horizon")
+
+
+@query
+def fleet_survival(spark, sf):
+    """The fleet with its survival at 100 where there is one, and its figures."""
+    at = _survival(spark, sf).where("horizon = 100 and asset_id % 5 <> 0").select("asset_id", F.col("probability").alias("survival"))
+    figures = serving.fleet_kpis(_fleet(spark, sf).join(at, "asset_id", "left"))
+    return _round(figures, 6, "median_survival", "p25_survival").select("assets", "median_survival", "p25_survival")
 
 
 @query
 def null_safe_status(spark, sf):
     ids = domain.cycles(spark, sf).select("asset_id").distinct()
-    states = ids.withColumn("revision", F.when(F.col("asset_id") % 4 != 1, F.col("asset_id") % 4))
-    statuses = ids.where("asset_id % 4 < 2").select("asset_id", F.when(F.col("asset_id") % 4 == 0, F.lit(0)).cast("bigint").alias("revision"), F.when(F.col("asset_id") % 4 == 0, "ok").otherwise("none").alias("status"))
-    return serving.null_safe_status(states, statuses).select("asset_id", "status")
+    selected = ids.where("asset_id % 4 <> 1").select("asset_id", (F.col("asset_id") % 4).alias("revision"))
+    statuses = ids.where("asset_id % 4 < 2").select("asset_id", F.when(F.col("asset_id") % 8 != 1, F.lit(0)).cast("bigint").alias("revision"), F.when(F.col("asset_id") % 4 == 0, "ok").otherwise("none").alias("status"))
+    return serving.null_safe_status(ids, statuses, selected).select("asset_id", "status")
 
 
 @query
@@ -406,7 +782,7 @@ def colour_scores(spark, sf):
 
 @query
 def lifecycle_stage(spark, sf):
-    return _served(spark, sf).select("asset_id", "cycle_index", predict.life_stage(F.col("cycle_index"), F.col("eol_cycle")).alias("stage"))
+    return _served(spark, sf).select("asset_id", "cycle_index", predict.predicted_stage(F.col("cycle_index"), F.when(F.col("asset_id") % 5 != 1, F.col("rul"))).alias("stage"))
 
 
 @query
@@ -418,7 +794,7 @@ def ragged_zip(spark, sf):
 
 @query
 def limit_per_asset(spark, sf):
-    return cohort.limited(domain.samples(spark, sf), 5).select("asset_id", "cycle_index", "sample_index")
+    return cohort.limited(domain.samples(spark, sf), 5, without=[7, 11], total=400).select("asset_id", "cycle_index", "sample_index")
 
 
 @query
@@ -444,7 +820,7 @@ def duplicate_labels(spark, sf):
 
 @query
 def row_digest(spark, sf):
-    return merge.digest(_state(spark, sf).select("asset_id", "cycle_index", "event_count", "max_capacity"), ["asset_id", "cycle_index"])
+    return merge.digest(_state(spark, sf).select("asset_id", "cycle_index", "event_count"), ["asset_id", "cycle_index"])
 
 
 @query
@@ -488,7 +864,7 @@ def qc_gate(spark, sf):
 
 @query
 def concordance_index(spark, sf):
-    rows = _land(spark, sf).withColumn("risk", (F.col("asset_id") * 7 + F.col("cycle_index") * 3) % 11 / 10.0)
+    rows = _land(spark, sf).withColumn("risk", (F.col("asset_id") * 7919 + F.col("cycle_index") * 104729) % 1009 / 1e6)
     return _round(survival.concordance(rows.where("split = 'train'"), rows.where("split = 'test'")), 6, "c_index").select("c_index")
 
 
@@ -521,35 +897,50 @@ def _scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share."""
     import uuid
 
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{folder}/stream-{uuid.uuid4().hex}"
+    from fleetmill.sources.store import shared_folder
+
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+
+def _sent_twice(sent: DataFrame, folder: str) -> DataFrame:
+    """The envelopes as a stream of a few batches, every one of them in two of four files."""
+    part = F.explode(F.array(F.pmod(F.xxhash64("value"), F.lit(4)), F.pmod(F.xxhash64("value") + 1, F.lit(4)))).alias("file")
+    sent.select("*", part).repartition(4, "file").drop("file").write.parquet(f"{folder}/in")
+    return sent.sparkSession.readStream.schema(sent.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
 
 
 @query
 def stream_cycle_aggregates(spark, sf):
-    """The stream's final cycles, of telemetry that arrives in four files with repeats."""
+    """The stream's final cycles, of telemetry that arrives in several batches with repeats."""
     from fleetmill.streaming import stream
 
     folder = _scratch(spark)
     s = domain.samples(spark, sf).withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"))
-    sent = normalize.encode_events(s)
-    for k in range(4):  # every event twice, in two files
-        sent.where(F.pmod(F.xxhash64("value"), F.lit(4)).isin(k, (k + 1) % 4)).write.mode("append").parquet(f"{folder}/in")
-    source = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/in")
-    store = stream.CycleStore(spark, f"{folder}/state")
-    running = stream.run(normalize.decode_events(source), store, lambda: _complete(spark, sf), f"{folder}/checkpoint")
-    running.awaitTermination()
-    last = running.lastProgress["batchId"]
-    while last > 0 and store._read("final", last) is None:
-        last -= 1
-    return _round(store._read("final", last), 6, "average_voltage").select("asset_id", "cycle_index", "event_count", "average_voltage")
+    source = _sent_twice(normalize.encode_events(s.select("event_id", "asset_id", "cycle_index", "sample_index", "event_time", "voltage")), folder)
+    store, expected = stream.CycleStore(spark, f"{folder}/state"), f"{folder}/expected"
+    _complete(spark, sf).write.parquet(expected)
+    stream.run(source, store, lambda: spark.read.parquet(expected), f"{folder}/checkpoint").awaitTermination()
+    return _round(store.finals(), 6, "average_voltage").select("asset_id", "cycle_index", "event_count", "average_voltage")
+
+
+@query
+def stream_finalized(spark, sf):
+    """The boundary of the latest state that a stream of telemetry and lifecycle events publishes."""
+    from fleetmill.streaming import publish, stream
+
+    folder = _scratch(spark)
+    source = _sent_twice(_envelopes(spark, sf), folder)
+    domain.cycles(spark, sf).select("asset_id", "cycle_index").write.parquet(f"{folder}/canonical")
+    out = publish.Publication(spark, f"{folder}/published", spark.read.parquet(f"{folder}/canonical"), lambda time: cohort.generation(time.cast("timestamp_ntz"), domain.CUTOFFS))
+    stream.started(source, out.process, f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/published/boundaries/{out.latest()}")
 
 
 @query
 def rul_fit_score(spark, sf):
     from fleetmill.operators import models
 
-    rows = _features(spark, sf).join(domain.manifest(spark, sf), "asset_id").withColumn("label", F.when(F.col("valid_eol_label"), (F.col("eol_cycle") - F.col("cycle_index")).cast("double")))
+    rows = _features(spark, sf).join(domain.manifest(spark, sf), "asset_id").withColumn("label", F.when(F.col("valid_eol_label"), F.greatest(F.col("eol_cycle") - F.col("cycle_index"), F.lit(0)).cast("double")))
     return models.select(rows)[2]
 
 
@@ -560,3 +951,12 @@ def aft_curves(spark, sf):
     land = _land(spark, sf).withColumn("x", F.col("cycle_index").cast("double"))
     newest = features.latest(domain.cycles(spark, sf)).select("asset_id", F.col("cycle_index").cast("double").alias("x"))
     return models.survival_curves(land.where("split = 'train'"), newest, ["x"], list(range(0, 201, 10))).select("asset_id", "horizon", "probability")
+
+
+@query
+def survival_selection(spark, sf):
+    """Survival fits by two sets of features, judged on validation rows; the winner first."""
+    from fleetmill.operators import models
+
+    land = _land(spark, sf).withColumns({"x": F.col("cycle_index").cast("double"), "y": (F.col("asset_id") % 7).cast("double")})
+    return models.survival_select(land, {"cycle": ["x"], "cycle_and_asset": ["x", "y"]}, (2, 5, 8))
