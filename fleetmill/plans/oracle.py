@@ -194,12 +194,12 @@ _BODIES = {
     "serving_predictions": "SELECT 'm' AS model_version, asset_id, cycle_index, rul AS raw_rul, rul, cycle_index + rul AS eol_cycle FROM v_served",
     "serving_cycles": "SELECT asset_id, cycle_index, CAST(NULL AS DOUBLE) AS soh, CAST(NULL AS DOUBLE) AS rul_cycles, max_capacity, round(resistance, 6) AS resistance, max_temperature, charge_time, round(capacity_slope, 6) AS capacity_slope, round(efficiency, 6) AS efficiency FROM v_features",
     "serving_evaluations": f"SELECT model_version, status, '2024-01-' || lpad(CAST(evaluated_at + 1 AS VARCHAR), 2, '0') || ' 00:00:00' AS evaluated_at, '{{}}' AS training_metadata, fingerprint, CAST(NULL AS VARCHAR) AS generation FROM {_MODELS}",
-    "cycle_labels": "SELECT c.asset_id, c.cycle_index, CASE WHEN m.eol_cycle IS NOT NULL THEN greatest(m.eol_cycle - c.cycle_index, 0) END AS rul_cycles, round(c.o_totalprice / 250000.0::DOUBLE / CASE WHEN c.asset_id % 2 = 0 THEN 0.8::DOUBLE ELSE 1 END * 100, 2) AS percent FROM v_cycles c JOIN v_manifest m USING (asset_id)",
+    "cycle_labels": "SELECT c.asset_id, c.cycle_index, CASE WHEN m.eol_cycle IS NOT NULL THEN CAST(greatest(m.eol_cycle - c.cycle_index, 0) AS DOUBLE) END AS rul_cycles, round(c.o_totalprice / 250000.0::DOUBLE / CASE WHEN c.asset_id % 2 = 0 THEN 0.8::DOUBLE ELSE 1 END * 100, 2) AS percent FROM v_cycles c JOIN v_manifest m USING (asset_id)",
     "family_labels": "SELECT p_partkey, array_to_string(list_transform(str_split(regexp_replace(lower(p_type || '_by-spark'), '[_ -]+', ' ', 'g'), ' '), lambda x: upper(left(x, 1)) || substr(x, 2)), ' ') AS label FROM part",
     "survival_metrics": "SELECT 'm' || asset_id AS model_version, CASE WHEN asset_id % 3 <> 0 THEN asset_id % 5 / 4.0::DOUBLE END AS ibs, asset_id % 2 / 2.0::DOUBLE AS c_index, asset_id % 9 / 8.0::DOUBLE AS brier_100 FROM (SELECT DISTINCT asset_id FROM v_cycles)",
     "survival_winner": "SELECT * FROM (SELECT 'm' || asset_id AS model_version, CASE WHEN asset_id % 3 <> 0 THEN asset_id % 5 / 4.0::DOUBLE END AS ibs, asset_id % 2 / 2.0::DOUBLE AS c_index FROM (SELECT DISTINCT asset_id FROM v_cycles)) ORDER BY ibs ASC NULLS LAST, c_index DESC NULLS LAST, model_version LIMIT 1",
     "generalisation_gap": "SELECT round(max(mae) FILTER (split = 'test') - max(mae) FILTER (split = 'validation'), 6) AS test_validation, round(max(mae) FILTER (split = 'test') - max(mae) FILTER (split = 'train'), 6) AS test_train FROM (SELECT m.split, avg(abs(greatest(p.raw_rul, 0) - (m.last_source_cycle - p.cycle_index))) AS mae FROM v_pred p JOIN v_manifest m USING (asset_id) GROUP BY m.split)",
-    "arrival_manifest": "SELECT asset_id, arrival_rank, strftime(starts, '%Y-%m-%d %H:%M:%S') AS start_time, last_source_cycle, eol_cycle, delta AS eol_cycle_delta, CASE WHEN valid THEN 'valid_observed_endpoint' ELSE 'unverified_endpoint_after_source_end' END AS label_status, valid AS valid_eol_label FROM v_arrival",
+    "arrival_manifest": "SELECT asset_id, arrival_rank, strftime(starts, '%Y-%m-%d %H:%M:%S') AS start_time, last_source_cycle, CAST(eol_cycle AS DOUBLE) AS eol_cycle, CAST(delta AS DOUBLE) AS eol_cycle_delta, CASE WHEN valid THEN 'valid_observed_endpoint' ELSE 'unverified_endpoint_after_source_end' END AS label_status, valid AS valid_eol_label FROM v_arrival",
     "scheduled_lifecycle": "SELECT asset_id, 'replay_complete' AS event_type, last_source_cycle AS cycle_index, strftime(starts + to_days(CAST(last_source_cycle - 1 AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS event_time FROM v_arrival UNION ALL SELECT asset_id, 'eol_observed', eol_cycle, strftime(starts + to_days(CAST(eol_cycle - 1 AS INTEGER)), '%Y-%m-%d %H:%M:%S') FROM v_arrival WHERE valid",
     "nth_arrival": "SELECT asset_id, strftime(TIMESTAMP '2024-01-01' + to_days(25 * 60), '%Y-%m-%d %H:%M:%S') AS arrival_time FROM v_manifest WHERE split = 'train' QUALIFY row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) = 26",
     "asof_keys": "SELECT c.asset_id, c.cycle_index FROM v_cycles c JOIN v_arrival a USING (asset_id) WHERE a.starts <= TIMESTAMP '2024-03-31 12:00:00' AND c.cycle_index <= least(a.last_source_cycle, 1 + CAST(floor(epoch(TIMESTAMP '2024-03-31 12:00:00' - a.starts) / 86400) AS BIGINT))",
@@ -223,7 +223,7 @@ _BODIES = {
     "generation_receipt": f"SELECT CAST(3 AS INTEGER) AS generation_id, selected_rows, selected_digest FROM ({_RECEIPT})",
     "benchmark_record": " UNION ALL ".join(f"SELECT '{x}' AS split, (SELECT count(DISTINCT asset_id) FROM v_manifest WHERE split = '{x}' AND valid_eol_label) AS assets, (SELECT count(DISTINCT lineage_group_id) FROM v_manifest WHERE split = '{x}' AND valid_eol_label) AS lineage_groups, rows, digest FROM (" + _digest(_STATE_ROWS + f" JOIN v_manifest m USING (asset_id) WHERE m.split = '{x}' AND m.valid_eol_label") + ")" for x in ("validation", "test")),
     "published_counts": "SELECT DISTINCT c_custkey % 50 AS training_assets FROM customer WHERE c_custkey % 3 <> 0",
-    "single_values": "SELECT CAST(7 AS BIGINT) AS value, CAST(1 AS BIGINT) AS \"distinct\" UNION ALL SELECT CASE WHEN count(DISTINCT o_custkey) = 1 THEN min(o_custkey) END, count(DISTINCT o_custkey) FROM orders",
+    "single_values": "SELECT CAST(7 AS DOUBLE) AS value, CAST(1 AS BIGINT) AS \"distinct\" UNION ALL SELECT CASE WHEN count(DISTINCT o_custkey) = 1 THEN min(o_custkey) END, count(DISTINCT o_custkey) FROM orders",
     "curve_count": "SELECT count(*) AS curves FROM (SELECT DISTINCT asset_id, cycle_index FROM v_curves)",
     "seeded_outlet": "SELECT asset_id, cycle_index, CAST(generation AS INTEGER) AS generation_id, max_capacity FROM v_state JOIN v_generations USING (asset_id, cycle_index)",
     "stream_finalized": "SELECT asset_id, max_cycle, cycles FROM v_boundary",

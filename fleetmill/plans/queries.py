@@ -423,7 +423,7 @@ def cycle_labels(spark, sf):
     width = F.when(F.col("asset_id") % 2 == 0, 0.8).otherwise(0.0)
     rows = c.withColumns({"capacity": F.col("o_totalprice"), "nominal_capacity": F.lit(250000.0), "soc_start": F.lit(0.0), "soc_end": width})
     out = predict.labels(rows).withColumn("percent", serving.soh_percent(F.col("soh")))
-    return out.select("asset_id", "cycle_index", "rul_cycles", "percent")
+    return out.select("asset_id", "cycle_index", F.col("rul_cycles").cast("double").alias("rul_cycles"), "percent")
 
 
 @query
@@ -452,7 +452,7 @@ def generalisation_gap(spark, sf):
 
 @query
 def arrival_manifest(spark, sf):
-    return _text_times(_arrivals(spark, sf), "start_time").select("asset_id", "arrival_rank", "start_time", "last_source_cycle", "eol_cycle", "eol_cycle_delta", "label_status", "valid_eol_label")
+    return _text_times(_arrivals(spark, sf), "start_time").select("asset_id", "arrival_rank", "start_time", "last_source_cycle", F.col("eol_cycle").cast("double").alias("eol_cycle"), F.col("eol_cycle_delta").cast("double").alias("eol_cycle_delta"), "label_status", "valid_eol_label")
 
 
 @query
@@ -619,7 +619,7 @@ def published_counts(spark, sf):
 @query
 def single_values(spark, sf):
     o = domain.table(spark, sf, "orders").withColumn("always", F.col("o_orderkey") * 0 + 7)
-    return quality.single_value(o, "always").unionByName(quality.single_value(o, "o_custkey"))
+    return quality.single_value(o, "always").unionByName(quality.single_value(o, "o_custkey")).withColumn("value", F.col("value").cast("double"))
 
 
 @query
