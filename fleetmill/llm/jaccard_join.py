@@ -40,7 +40,7 @@ PERCENT = 85
 #: Bits of a sketch (the parity of the set's hashes in so many classes): the
 #: next power of two of this share of the set's size, and so many at least.
 #: Of two unrelated sets, half of the bits differ, more than links allow.
-LEAST_BITS, BIT_SHARE = 128, 0.7
+LEAST_BITS, BIT_SHARE = 128, 0.5
 #: The longest prefix for which pairs are considered.
 MAX_PAIRS_PREFIX = 16
 #: Counters of shingles a task (16 MB). A bucket is frequent from so many, and from so many times the mean, on.
@@ -300,7 +300,7 @@ def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PER
     from pyspark.sql import Window
 
     cold, hot = _keys(sets, bound, percent)
-    sketch = sets.select("id", "n", "bits")
+    sketch = sets.select("id", "n", "bits").hint("merge")  # one plan for small and large tables
     # Lists of shingles that aren't frequent are short, whatever the number of documents.
     # Of these, a row goes on if the size next to its own allows a link.
     sizes = Window.partitionBy("s").orderBy("n")
@@ -423,11 +423,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
     """
     with Scratch(docs.sparkSession) as scratch:
         marks = scratch.write(sketches(docs, text, width, percent).withColumn("id", F.monotonically_increasing_id()), "sketches")
+        made = scratch.paths[-1]
         # One row stands for each set; its id is the set's.
         keys = scratch.write(marks.where("n > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("doc_id").alias("least")), "keys")
         sets = marks.select("id", "t1", "t2", "n", "bits", "prefix").join(small(keys.select("id")), "id")
         buckets = [r.bucket for r in frequent(marks).collect()]  # BUCKETS / TIMES at most, whatever the number of documents
         sets = scratch.write(ordered(sets, docs, buckets, scratch, text, width, percent), "sets")
+        marks = scratch.write(marks.where("n is not null").select("doc_id", "id", "t1", "t2", "n", "key"), "marks")
+        scratch.remove(made)
         groups = scratch.write(components(candidates(sets, boundary(sets), scratch, percent), scratch), "groups")
         sizes = groups.groupBy("component").agg(F.count("*").alias("members"))
         members = groups.join(sizes, "component").join(marks.select("id", "t1", "t2"), "id").select(F.col("component").alias("grp"), "id", "members", "t1", "t2")
@@ -440,7 +443,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
         named = keys.join(joined, "id", "left").select("key", "least", F.coalesce("component", "id").alias("class"))
         smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
         by_key = named.join(smallest, "class").select("key", "component_id")
-        marks = marks.where("n is not null").select("doc_id", F.col("n").alias("n_shingles"), "key")
+        marks = marks.select("doc_id", F.col("n").alias("n_shingles"), "key")
         out = marks.join(by_key, "key", "left").select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
         return written(out, "jaccard-components")
 
