@@ -43,6 +43,31 @@ def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+class WordHash(dict):
+    """Words' 64-bit hashes, kept for short words; it starts anew when it's full."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) > 300_000:
+            self.clear()
+        x = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = x
+        return x
+
+
+#: This worker's, for all operators.
+HASHES = WordHash()
+
+
+def sliced(batches: Iterator, rows: int = 500) -> Iterator:
+    """Arrow batches of so many rows at most: texts become Python objects a few at a time."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage is cut there, and lost executors cost nothing."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -16,7 +16,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, small, table, written
+from .common import HASHES, Scratch, arrow_batches, sliced, small, table, written
 
 WIDTH = 10
 #: Distinct windows broadcast at once, 8 bytes each and two bytes of flags.
@@ -37,25 +37,10 @@ def words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode().translate(_TABLE).split()
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        x = xxhash.xxh64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = x
-        return x
-
-
-_hashes = _WordHash()
-
-
 def word_hashes(own: list[bytes]):
     import numpy as np
 
-    return np.fromiter(map(_hashes.__getitem__, own), dtype=np.uint64, count=len(own))
+    return np.fromiter(map(HASHES.__getitem__, own), dtype=np.uint64, count=len(own))
 
 
 def rolled(hashes, width: int):
@@ -129,7 +114,7 @@ def _scanned(docs: DataFrame, by_size: dict, text: str, columns: list[str], n_wo
 
         known = _HashSet(sent.value)
         kind = pa.list_(pa.struct([("size", pa.int32()), ("low", pa.int64()), ("hash", pa.int64()), ("window", pa.binary())]))
-        for batch in batches:
+        for batch in sliced(batches):
             n, hits = [], []
             for t in batch.column("__text").to_pylist():
                 own = words(t)
@@ -168,7 +153,7 @@ def contamination(
     """
     n_words, spans, items, n_hit = names
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, arrow_batches(docs.sparkSession, 500):
         named = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
         found = scratch.write(windows(named, width), "windows")
         slices = int(found.agg(F.count_distinct("size", "hash")).first()[0] // slice_windows) + 1

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import centred, dealt, linked, sides
-from .common import Scratch, arrow_batches, components, groups_of, small, table, written
+from .common import HASHES, Scratch, arrow_batches, components, groups_of, sliced, small, table, written
 
 WIDTH = 4
 PERCENT = 85
@@ -50,25 +50,12 @@ BLOCK = 256
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) > 500_000:
-            self.clear()
-        x = self[word] = xxhash.xxh64_intdigest(word)
-        return x
-
-
-_hashes = _WordHash()
-
-
 def shingles(text: str | None, width: int = WIDTH):
     """The sorted hashes of a text's distinct shingles; of fewer words, one of the whole sequence."""
     import numpy as np
 
     words = [] if text is None else text.encode().lower().split()  # ASCII only, both
-    h = np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    h = np.fromiter(map(HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
     size = min(width, len(h))
     if not size:
         return h
@@ -98,7 +85,7 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
         import xxhash
 
         seen = np.zeros(BUCKETS, dtype=np.int32)
-        for batch in batches:
+        for batch in sliced(batches):
             n, key, bits, prefix = [], [], [], []
             for t in batch.column("__text").to_pylist():
                 h = shingles(t, width)
@@ -176,7 +163,7 @@ def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], scratch: Scrat
         import pyarrow as pa
 
         is_hot = hot()
-        for batch in batches:
+        for batch in sliced(batches):
             prefix, cold = [], []
             for t in batch.column("text").to_pylist():
                 h = shingles(t, width)
@@ -421,7 +408,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
     ids count as larger than all others; an empty table gives no rows. No column
     but doc_id and ``text`` is read, so others may have any name.
     """
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, arrow_batches(docs.sparkSession, 1000):
         marks = scratch.write(sketches(docs, text, width, percent).withColumn("id", F.monotonically_increasing_id()), "sketches")
         made = scratch.paths[-1]
         # One row stands for each set; its id is the set's.
@@ -438,8 +425,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", width: int = WIDTH,
         # Texts come by hash, and copies of a text are one again.
         texts = docs.select(*text_hashes(text), F.col(text).alias("text")).join(small(members), ["t1", "t2"]).select("grp", "id", "members", "text")
         texts = scratch.write(texts.groupBy("grp", "id", "members").agg(F.min("text").alias("text")), "texts")
-        with arrow_batches(docs.sparkSession, 1000):
-            joined = components(verified(texts, scratch, percent, width), scratch)
+        joined = components(verified(texts, scratch, percent, width), scratch)
         named = keys.join(joined, "id", "left").select("key", "least", F.coalesce("component", "id").alias("class"))
         smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
         by_key = named.join(smallest, "class").select("key", "component_id")

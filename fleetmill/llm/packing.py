@@ -19,7 +19,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import arrow_batches, sliced, table, written
 from .encoding import byte_encoder, tokenizer_path
 
 LENGTH = 2048
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, path: str, ranks: str, text: str = "text", length: i
         import pyarrow as pa
 
         encoder = byte_encoder(path, ranks)
-        for batch in batches:
+        for batch in sliced(batches):
             at, piece, start, size, crc, raw = [], [], [], [], [], []
             for row, t in enumerate(batch.column("__text").to_pylist()):
                 ids = encoder.encode(t or "")
@@ -199,7 +199,8 @@ def pack(parts: DataFrame, length: int = LENGTH, cell_pieces: int = CELL_PIECES)
     Columns of the names sequence_id and offset are replaced, others kept.
     """
     parts = parts.drop("sequence_id", "offset")
-    parts = written(parts.withColumn("__row", F.monotonically_increasing_id()), "pieces")
+    with arrow_batches(parts.sparkSession, 500):  # for the texts behind them
+        parts = written(parts.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     cells = max(1, -(-parts.count() // cell_pieces))
     names = [c for c in parts.columns if c != "__row"]
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 from .encoding import tokenizer_path, word_encoder
 
 #: Words in the table, words that a task sends, and words that it counts at once.
@@ -30,7 +30,7 @@ def frequent_words(docs: DataFrame, text: Column, words: int = TABLE_WORDS) -> l
         import pyarrow as pa
 
         seen: Counter = Counter()
-        for batch in batches:
+        for batch in sliced(batches):
             for t in batch.column(0).to_pylist():
                 seen.update(t.encode().lower().split())
                 if len(seen) > COUNTED_WORDS:  # what is rare so far starts anew
@@ -63,7 +63,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", limit: int = 20
 
         encoder = word_encoder(path, "lengths")
         encoder.keep(lengths.value)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = ["" if t is None else t for t in batch.column("__text").to_pylist()]
             n = encoder.encode_batch(texts, make=len, join=sum)
             columns = [batch.column(c) for c in others]

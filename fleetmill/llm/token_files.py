@@ -16,7 +16,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, arrow_batches, small, table, written
+from .common import Scratch, arrow_batches, sliced, small, table, written
 from .encoding import tokenizer_path, word_encoder
 
 #: Ids in a shard, but for a longer document.
@@ -134,7 +134,7 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             return pa.RecordBatch.from_pylist([_shard(part, number, keys, repeats, payload)], schema=arrow)
 
         arrow = pa.schema([(k, {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}.get(v, pa.list_(pa.int32()))) for k, v in _KINDS.items()])
-        for batch in batches:
+        for batch in sliced(batches):
             for k, ids in zip(batch.column(0).to_pylist(), encoder.encode_batch(batch.column(1).to_pylist()), strict=True):
                 repeat = repeat + 1 if k == last else 0
                 last = k

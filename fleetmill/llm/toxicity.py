@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import sliced, table
 
 #: Labelled documents that a model is fitted to, bytes of their texts, and words it may know: all are bounds.
 SAMPLE_ROWS = 6_000
@@ -150,7 +150,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
 
         weights, bias, leak = sent.value
         known = weights.keys()
-        for batch in batches:
+        for batch in sliced(batches):
             scores, where = [], []
             for t in batch.column("__text").to_pylist():
                 none, bad = math.log1p(-leak), []
