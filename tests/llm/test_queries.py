@@ -10,6 +10,7 @@ import pytest
 
 from fleetmill.llm import encoding, registry
 
+from test_corpus_models import brute_phrases, brute_trie
 from test_llm_operators import brute_jaccard
 
 
@@ -163,3 +164,28 @@ def test_op10(rows, tables):
                     front.append(j)
     want = {i: (len(links.get(i, ())), component[i], component[i] == i) for i in vectors}
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in rows("op10_embedding_dedup")} == want
+
+
+def test_op11(rows, tables):
+    assert sorted(map(tuple, rows("op11_phrases"))) == brute_phrases([(r.lang, r.text) for r in tables("documents")], 100)
+
+
+def test_op12(rows, tables):
+    got = [(r.conv_id, r.depth, -1 if r.parent_conv_id is None else r.parent_conv_id, *r[3:]) for r in rows("op12_prefix_trie")]
+    assert sorted(got) == brute_trie([(r.conv_id, r.turn, r.role, r.text) for r in tables("conversations")])
+
+
+def test_op13(rows, texts):
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    own = {i: (t or "").encode().lower().split() + [b" end"] for i, t in texts.items()}
+    c = {}
+    for i, w in own.items():
+        if not held[i]:
+            for x in w:
+                c[x] = c.get(x, 0) + 1
+    n, v = sum(c.values()), len(c)
+    for r in rows("op13_lm_score"):
+        w = own[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(w), sum(x in c for x in w), n)
+        assert abs(r.base_score - sum(np.log10((c.get(x, 0) + 1) / (n + v + 1)) for x in w)) < 1e-6 * len(w)
+        assert np.isfinite(r.score) and r.score < 0
