@@ -54,9 +54,13 @@ def _spot(h, level):
 
 
 def filled(keys: DataFrame, segments: int) -> DataFrame:
-    """(segment, words) of the keys (h bigint, levels int): a row a segment that has keys."""
+    """(segment, words) of the keys (h bigint, levels int): a row a segment that has keys.
 
-    def fill(batches):
+    Tasks fill what they have of a segment, and those parts are shuffled and
+    merged, not the keys. Keys in ranges of h make few parts.
+    """
+
+    def rows(batches, add):
         import numpy as np
         import pyarrow as pa
 
@@ -66,22 +70,33 @@ def filled(keys: DataFrame, segments: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([words.tobytes()], pa.binary())], ["segment", "words"])
 
         for batch in batches:
-            of, h, levels = (batch.column(c).to_numpy() for c in ("segment", "h", "levels"))
-            h = h.view(np.uint64)
+            of = batch.column("segment").to_numpy()
             for s in np.unique(of):
                 if s != at:
                     if at is not None:
                         yield row()
                     at, words = int(s), np.zeros(SEGMENT, dtype=np.uint64)
-                own = np.flatnonzero(of == s)
-                for level in range(1, int(levels[own].max()) + 1):
-                    word, mask = _spot(h[own[levels[own] >= level]], level)
-                    np.bitwise_or.at(words, word, mask)
+                add(words, batch, np.flatnonzero(of == s))
         if at is not None:
             yield row()
 
-    dealt = keys.select(segment(F.col("h"), segments).alias("segment"), "h", "levels").repartition("segment").sortWithinPartitions("segment")
-    return dealt.mapInArrow(fill, "segment int, words binary")
+    def fill(words, batch, own):
+        import numpy as np
+
+        h, levels = batch.column("h").to_numpy().view(np.uint64)[own], batch.column("levels").to_numpy()[own]
+        for level in range(1, int(levels.max()) + 1):
+            word, mask = _spot(h[levels >= level], level)
+            np.bitwise_or.at(words, word, mask)
+
+    def merge(words, batch, own):
+        import numpy as np
+
+        for k in own:
+            words |= np.frombuffer(batch.column("words")[int(k)].as_buffer(), dtype=np.uint64)
+
+    dealt = keys.select(segment(F.col("h"), segments).alias("segment"), "h", "levels").sortWithinPartitions("segment")
+    parts = dealt.mapInArrow(lambda batches: rows(batches, fill), "segment int, words binary")
+    return parts.repartition("segment").sortWithinPartitions("segment").mapInArrow(lambda batches: rows(batches, merge), "segment int, words binary")
 
 
 class Slice:
