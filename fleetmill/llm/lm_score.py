@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bloom import filled, mixed, read_slice, segment_of, segments_for
-from .common import Scratch, table, text_bytes, written
+from .common import Scratch, arrow_batches, table, text_bytes, written
 from .words import by_bytes, chunks, counted, hashes
 
 ORDER = 3
@@ -41,6 +41,8 @@ TIER = 500_000
 AT_ONCE = 1 << 21
 #: Bytes of text for each range of hashes that is summed up at once.
 BUCKET_BYTES = 4 << 20
+#: Rows that go to a Python worker at once.
+ROWS = 1000
 #: No words: they hold spaces.
 _END, _BEGIN = b" end", b" begin"
 
@@ -285,7 +287,7 @@ def scored(docs: DataFrame, train: Column, text: str = "text", order: int = ORDE
     """
     spark = docs.sparkSession
     others = [c for c in docs.columns if c != text and c not in names]
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, arrow_batches(spark, ROWS):
         learned = docs.where(F.coalesce(train, F.lit(False))).select(text_bytes(F.col(text)).alias("text"))
         counts = ngram_counts(learned, order, least)
         step = F.when(F.col("k") == 1, F.col("n")).otherwise(F.expr(f"n div {least}"))

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom import filled, mixed, read_slice, segments_for
-from .common import Scratch, sliced, table, written
-from .words import by_bytes, counted
+from .common import Scratch, arrow_batches, sliced, table, written
+from .words import by_bytes, counted, hashes
 
 #: MiB of the filter of frequent groups at most.
 FILTER_SEGMENTS = 32
@@ -31,31 +31,25 @@ AT_ONCE = 1 << 21
 CHUNK = 1 << 20
 #: Tasks that pick a language's first phrases before one merges theirs.
 SHARES = 32
-#: Words of up to so many bytes are kept by workers, so many of them.
-KEPT_BYTES, KEPT_WORDS = 64, 300_000
+#: Distinct words that a task counts at once.
+KEPT_WORDS = 300_000
+#: Rows that go to a Python worker at once.
+ROWS = 1000
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(ord(".") if b in _SEPARATORS else ord(" ") if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-class LangHash(dict):
-    """64-bit hashes of a language's words."""
-
-    def __init__(self, lang: str):
-        import xxhash
+def _seed(lang: str):
+    import numpy as np
+    import xxhash
 
-        super().__init__()
-        self.seed = xxhash.xxh64_intdigest(lang.encode())
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode(), seed=1))
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        x = xxhash.xxh64_intdigest(word, seed=self.seed)
-        if len(word) <= KEPT_BYTES:
-            self[word] = x
-        return x
+def _groups(words: list[bytes], seed):
+    """64-bit hashes of a language's words."""
+    return mixed(hashes(words) + seed)
 
 
 def _pieces(text: bytes):
@@ -91,17 +85,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         import pyarrow as pa
 
-        known: dict = {}
         seen: dict = {}
 
         def rows():
             for lang, words in seen.items():
-                own = known.setdefault(lang, LangHash(lang))
                 items = list(words.items())
                 for low in range(0, len(items), 10_000):
                     part = items[low : low + 10_000]
-                    g = pa.array([own[w] - (1 << 64) if own[w] >> 63 else own[w] for w, _ in part], pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), g, pa.array([w.decode() for w, _ in part]), pa.array([n for _, n in part], pa.int64())], ["lang", "g", "word", "n"])
+                    g = _groups([w for w, _ in part], _seed(lang)).view("int64")
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array(g), pa.array([w.decode() for w, _ in part]), pa.array([n for _, n in part], pa.int64())], ["lang", "g", "word", "n"])
                 total = sum(words.values())
                 yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int64()), pa.array([None], pa.string()), pa.array([total], pa.int64())], ["lang", "g", "word", "n"])
             seen.clear()
@@ -119,19 +111,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame, part) -> DataFrame:
-    """R_1: (lang, at, g), a row a text, of the words that pass the filter."""
+    """R_1: (at, g), a row a text, of the words that pass the filter."""
 
     def find(batches):
         import numpy as np
         import pyarrow as pa
 
-        known: dict = {}
         for batch in by_bytes(batches, "text"):
             langs, places, groups, offsets = batch.column("lang").to_pylist(), [], [], [0]
             for lang, text in zip(langs, batch.column("text").to_pylist(), strict=True):
-                own, total = known.setdefault(lang, LangHash(lang)), 0
+                seed, total = _seed(lang), 0
                 for words, at in _pieces(text):
-                    g = np.fromiter(map(own.__getitem__, words), dtype=np.uint64, count=len(words))
+                    g = _groups(words, seed)
                     keep = part.value.levels(g) > 0
                     places.append(at[keep])
                     groups.append(g[keep])
@@ -139,9 +130,9 @@ def _occurrences(docs: DataFrame, part) -> DataFrame:
                 offsets.append(offsets[-1] + total)
             at = np.concatenate(places) if places else np.empty(0, np.int64)
             g = np.concatenate(groups) if groups else np.empty(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), _lists(offsets, pa.array(at.astype(np.int64))), _lists(offsets, pa.array(g.view(np.int64)))], ["lang", "at", "g"])
+            yield pa.RecordBatch.from_arrays([_lists(offsets, pa.array(at.astype(np.int64))), _lists(offsets, pa.array(g.view(np.int64)))], ["at", "g"])
 
-    return docs.mapInArrow(find, "lang string, at array<bigint>, g array<bigint>")
+    return docs.mapInArrow(find, "at array<bigint>, g array<bigint>").where(F.size("at") > 1)
 
 
 def _merged(batch):
@@ -159,7 +150,7 @@ def _merged(batch):
 
 
 def _batches(batches):
-    """Arrow batches of (lang, at, g) of about a million occurrences at most, or one row."""
+    """Arrow batches of (at, g) of about a million occurrences at most, or one row."""
     import numpy as np
 
     for batch in batches:
@@ -175,7 +166,7 @@ def _batches(batches):
 
 
 def group_counts(relation: DataFrame) -> DataFrame:
-    """(g, lang, head, tail, n) of the phrases one word longer than the relation's; head and tail are their groups without the last and the first word."""
+    """(g, head, tail, n) of the phrases one word longer than the relation's; head and tail are their groups without the last and the first word."""
 
     def count(batches):
         import numpy as np
@@ -186,26 +177,21 @@ def group_counts(relation: DataFrame) -> DataFrame:
         def flush():
             nonlocal kept, held
             columns = [np.concatenate(x) for x in zip(*kept, strict=True)]
-            g, n, head, tail, lang = counted(*columns)
+            g, n, head, tail = counted(*columns)
             kept, held = [], 0
-            lang = pa.DictionaryArray.from_arrays(pa.array(lang.astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
-            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), lang, pa.array(head.view(np.int64)), pa.array(tail.view(np.int64)), pa.array(n.astype(np.int64))], ["g", "lang", "head", "tail", "n"])
+            return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (g, head, tail)), pa.array(n.astype(np.int64))], ["g", "head", "tail", "n"])
 
-        names: list = []
         for batch in _batches(batches):
-            row, _, g, head, tail = _merged(batch)
-            langs = batch.column("lang").to_pylist()
-            names += [x for x in dict.fromkeys(langs) if x not in names]
-            number = np.array([names.index(x) for x in langs], dtype=np.int32)
-            kept.append((g, head, tail, number[row]))
+            _, _, g, head, tail = _merged(batch)
+            kept.append((g, head, tail))
             held += len(g)
             if held >= AT_ONCE:
                 yield flush()
         if held:
             yield flush()
 
-    sums = relation.mapInArrow(count, "g bigint, lang string, head bigint, tail bigint, n bigint")
-    return sums.groupBy("g").agg(*(F.min(c).alias(c) for c in ("lang", "head", "tail")), F.sum("n").alias("n"))
+    sums = relation.mapInArrow(count, "g bigint, head bigint, tail bigint, n bigint")
+    return sums.groupBy("g").agg(F.min("head").alias("head"), F.min("tail").alias("tail"), F.sum("n").alias("n"))
 
 
 def _longer(relation: DataFrame, part) -> DataFrame:
@@ -219,7 +205,7 @@ def _longer(relation: DataFrame, part) -> DataFrame:
             row, at, g, _, _ = _merged(batch)
             keep = part.value.levels(g) > 0
             offsets = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=batch.num_rows))])
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), _lists(offsets, pa.array(at[keep])), _lists(offsets, pa.array(g[keep].view(np.int64)))], ["lang", "at", "g"])
+            yield pa.RecordBatch.from_arrays([_lists(offsets, pa.array(at[keep])), _lists(offsets, pa.array(g[keep].view(np.int64)))], ["at", "g"])
 
     return relation.mapInArrow(extend, relation.schema).where(F.size("at") > 1)
 
@@ -247,7 +233,7 @@ def phrases(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000
     """
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("text"))
-    with Scratch(spark) as scratch:
+    with Scratch(spark) as scratch, arrow_batches(spark, ROWS):
         known = scratch.write(word_counts(docs).where((F.col("n") >= least) | F.col("word").isNull()), "words")
         totals = F.broadcast(known.where("word is null").select("lang", F.col("n").alias("total")))  # a row a language
         # Of each frequent phrase: its words, and how often its beginnings and ends occur, from one word up.
@@ -259,7 +245,7 @@ def phrases(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000
         for k in range(2, longest + 1):
             path = scratch.paths[-1]
             counts = scratch.write(group_counts(relation).where(F.col("n") >= least), f"counts-{k}")
-            head = group.select(F.col("g").alias("head"), F.col("words").alias("w"), F.concat("begins", F.array("n")).alias("begins"))
+            head = group.select(F.col("g").alias("head"), "lang", F.col("words").alias("w"), F.concat("begins", F.array("n")).alias("begins"))
             tail = group.select(F.col("g").alias("tail"), F.element_at("words", -1).alias("last"), F.concat("ends", F.array("n")).alias("ends"))
             group = counts.join(head, "head").join(tail, "tail").select("g", "lang", F.concat("w", F.array("last")).alias("words"), "n", "begins", "ends", "head", "tail")
             group = scratch.write(group, f"groups-{k}")
