@@ -25,8 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import filled, mixed, read_slice, segment_of, segments_for
+from .bloom import filled, mixed, read_slice, segments_for
 from .common import Scratch, arrow_batches, table, text_bytes, written
+from .packed import Ranges
 from .words import by_bytes, chunks, counted, hashes
 
 ORDER = 3
@@ -89,22 +90,6 @@ def _whole(words, order: int) -> list:
     return out
 
 
-def _packed(h, n) -> bytes:
-    """Ascending hashes and their counts, as the planes of bytes of the hashes' differences and of the counts: small ones compress well."""
-    import numpy as np
-
-    steps = np.diff(h, prepend=np.uint64(0))
-    return np.concatenate([steps.view(np.uint8).reshape(-1, 8).T.ravel(), n.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.ravel()]).tobytes()
-
-
-def _unpacked(blob: bytes):
-    import numpy as np
-
-    planes = np.frombuffer(blob, dtype=np.uint8).reshape(12, -1)
-    h = np.ascontiguousarray(planes[:8].T).view(np.uint64).ravel()
-    return np.cumsum(h, dtype=np.uint64), np.ascontiguousarray(planes[8:].T).view(np.uint32).ravel()
-
-
 def ngram_counts(texts: DataFrame, order: int = ORDER, least: int = 1, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(k, h, n): the count of each n-gram of k words, by its hash, over a column ``text`` of bytes; longer ones than words from ``least`` on.
 
@@ -114,12 +99,10 @@ def ngram_counts(texts: DataFrame, order: int = ORDER, least: int = 1, bucket_by
     are in the order of h within a run.
     """
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
-    runs = min(buckets, 4 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = Ranges(texts.sparkSession, -(-total // bucket_bytes))
 
     def count(batches):
         import numpy as np
-        import pyarrow as pa
 
         kept: list[list] = [[] for _ in range(order)]
         held = [0] * order
@@ -127,12 +110,7 @@ def ngram_counts(texts: DataFrame, order: int = ORDER, least: int = 1, bucket_by
         def flush(k):
             h, n = counted(np.concatenate(kept[k]))
             kept[k], held[k] = [], 0
-            of = segment_of(h, buckets).astype(np.int64)
-            cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
-            for low in range(0, len(cuts) - 1, 1000):
-                part = list(zip(cuts[low : low + 1000].tolist(), cuts[low + 1 : low + 1001].tolist(), strict=False))
-                own = of[[a for a, _ in part]]
-                yield pa.RecordBatch.from_arrays([pa.array(own * runs // buckets), pa.array(own), pa.array(np.full(len(own), k + 1, dtype=np.int8)), pa.array([_packed(h[a:b], n[a:b]) for a, b in part], pa.binary())], ["run", "bucket", "k", "grams"])
+            yield from ranges.rows(h, n, k + 1)
 
         for batch in by_bytes(batches, "text"):
             words, _ = _stream(batch.column("text").to_pylist())
@@ -149,38 +127,7 @@ def ngram_counts(texts: DataFrame, order: int = ORDER, least: int = 1, bucket_by
             if held[k]:
                 yield from flush(k)
 
-    def add(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        at, own = None, {}
-
-        def summed():
-            found = []
-            for k, blobs in own.items():
-                h, n = (np.concatenate(x) for x in zip(*map(_unpacked, blobs), strict=True))
-                place = np.argsort(h)
-                h, n = h[place], n[place].astype(np.int64)
-                first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-                h, n = h[first], np.add.reduceat(n, first)
-                keep = n >= (1 if k == 1 else least)
-                found.append((h[keep], n[keep], np.full(int(keep.sum()), k, dtype=np.int8)))
-            h, n, k = (np.concatenate(x) for x in zip(*found, strict=True))
-            place = np.argsort(h)
-            return pa.RecordBatch.from_arrays([pa.array(k[place]), pa.array(h[place].view(np.int64)), pa.array(n[place])], ["k", "h", "n"])
-
-        for batch in batches:
-            for bucket, k, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "k", "grams")), strict=True):
-                if bucket != at:
-                    if own:
-                        yield summed()
-                    at, own = bucket, {}
-                own.setdefault(k, []).append(blob)
-        if own:
-            yield summed()
-
-    sent = texts.mapInArrow(count, "run bigint, bucket bigint, k tinyint, grams binary")
-    return sent.repartition("run").sortWithinPartitions("run", "bucket").mapInArrow(add, "k tinyint, h bigint, n bigint")
+    return ranges.summed(texts.mapInArrow(count, Ranges.KIND), {k: least for k in range(2, order + 1)})
 
 
 class Model:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .bloom import filled, mixed, read_slice, segments_for
 from .common import Scratch, arrow_batches, sliced, table, written
+from .packed import Ranges
 from .words import by_bytes, counted, hashes
 
 #: MiB of the filter of frequent groups at most.
@@ -33,6 +34,8 @@ CHUNK = 1 << 20
 SHARES = 32
 #: Distinct words that a task counts at once.
 KEPT_WORDS = 300_000
+#: Occurrences for each range of groups that is summed up at once.
+RANGE = 1 << 20
 #: Rows that go to a Python worker at once.
 ROWS = 1000
 
@@ -165,33 +168,48 @@ def _batches(batches):
             yield batch.slice(low)
 
 
-def group_counts(relation: DataFrame) -> DataFrame:
-    """(g, head, tail, n) of the phrases one word longer than the relation's; head and tail are their groups without the last and the first word."""
+def group_counts(relation: DataFrame, least: int) -> DataFrame:
+    """(g, n) of the phrases one word longer than the relation's, from ``least`` occurrences on."""
+    held = relation.agg(F.sum(F.size("at"))).first()[0] or 0
+    ranges = Ranges(relation.sparkSession, -(-held // RANGE))
 
     def count(batches):
         import numpy as np
-        import pyarrow as pa
 
         kept, held = [], 0
-
-        def flush():
-            nonlocal kept, held
-            columns = [np.concatenate(x) for x in zip(*kept, strict=True)]
-            g, n, head, tail = counted(*columns)
-            kept, held = [], 0
-            return pa.RecordBatch.from_arrays([*(pa.array(x.view(np.int64)) for x in (g, head, tail)), pa.array(n.astype(np.int64))], ["g", "head", "tail", "n"])
-
         for batch in _batches(batches):
-            _, _, g, head, tail = _merged(batch)
-            kept.append((g, head, tail))
+            g = _merged(batch)[2]
+            kept.append(g)
             held += len(g)
             if held >= AT_ONCE:
-                yield flush()
+                yield from ranges.rows(*counted(np.concatenate(kept)), 1)
+                kept, held = [], 0
         if held:
-            yield flush()
+            yield from ranges.rows(*counted(np.concatenate(kept)), 1)
+
+    return ranges.summed(relation.mapInArrow(count, Ranges.KIND), {1: least}).select(F.col("h").alias("g"), "n")
+
+
+def group_parts(relation: DataFrame, part) -> DataFrame:
+    """(g, head, tail) of those phrases that pass the filter: the groups without the last and without the first word."""
+
+    def find(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        seen: set = set()
+        for batch in _batches(batches):
+            _, _, g, head, tail = _merged(batch)
+            keep = np.flatnonzero(part.value.levels(g) > 0)
+            g, first = np.unique(g[keep], return_index=True)
+            keep = keep[first]
+            if len(seen) > KEPT_WORDS:
+                seen.clear()
+            new = np.fromiter((x not in seen for x in g.tolist()), dtype=bool, count=len(g))
+            seen.update(g[new].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (g[new], head[keep[new]], tail[keep[new]])], ["g", "head", "tail"])
 
-    sums = relation.mapInArrow(count, "g bigint, head bigint, tail bigint, n bigint")
-    return sums.groupBy("g").agg(F.min("head").alias("head"), F.min("tail").alias("tail"), F.sum("n").alias("n"))
+    return relation.mapInArrow(find, "g bigint, head bigint, tail bigint").groupBy("g").agg(F.min("head").alias("head"), F.min("tail").alias("tail"))
 
 
 def _longer(relation: DataFrame, part) -> DataFrame:
@@ -244,15 +262,15 @@ def phrases(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000
         relation, found = scratch.write(_occurrences(docs, part), "occurrences-1"), []
         for k in range(2, longest + 1):
             path = scratch.paths[-1]
-            counts = scratch.write(group_counts(relation).where(F.col("n") >= least), f"counts-{k}")
+            counts = scratch.write(group_counts(relation, least), f"counts-{k}")
+            part.unpersist()
+            part = _frequent(counts, scratch)
             head = group.select(F.col("g").alias("head"), "lang", F.col("words").alias("w"), F.concat("begins", F.array("n")).alias("begins"))
             tail = group.select(F.col("g").alias("tail"), F.element_at("words", -1).alias("last"), F.concat("ends", F.array("n")).alias("ends"))
-            group = counts.join(head, "head").join(tail, "tail").select("g", "lang", F.concat("w", F.array("last")).alias("words"), "n", "begins", "ends", "head", "tail")
+            group = counts.join(group_parts(relation, part), "g").join(head, "head").join(tail, "tail").select("g", "lang", F.concat("w", F.array("last")).alias("words"), "n", "begins", "ends", "head", "tail")
             group = scratch.write(group, f"groups-{k}")
             found.append(group)
             if k < longest:
-                part.unpersist()
-                part = _frequent(group, scratch)
                 relation = scratch.write(_longer(relation, part), f"occurrences-{k}")
                 scratch.remove(path)
         part.unpersist()

@@ -46,14 +46,8 @@ def by_bytes(batches: Iterator, column: str, limit: int = 4 << 20, rows: int = 5
             yield batch.slice(low)
 
 
-def counted(keys, *also):
-    """(distinct keys, counts, a value of each of ``also`` for each key)."""
+def counted(keys):
+    """(distinct keys, ascending, and their counts)."""
     import numpy as np
 
-    if not also:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys)
-    run = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.empty(0, dtype=np.int64)
-    n = np.diff(np.append(first, len(run)))
-    return run[first], n, *(a[order[first]] for a in also)
+    return np.unique(keys, return_counts=True)
