@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bloom import filled, mixed, read_slice, segments_for
+from .bloom import filled, mixed, read_slice, segment_of, segments_for
 from .common import Scratch, arrow_batches, sliced, table, written
 from .packed import Ranges
 from .words import by_bytes, counted, hashes
@@ -190,26 +190,61 @@ def group_counts(relation: DataFrame, least: int) -> DataFrame:
     return ranges.summed(relation.mapInArrow(count, Ranges.KIND), {1: least}).select(F.col("h").alias("g"), "n")
 
 
-def group_parts(relation: DataFrame, part) -> DataFrame:
-    """(g, head, tail) of those phrases that pass the filter: the groups without the last and without the first word."""
+def group_parts(relation: DataFrame, part, groups: int) -> DataFrame:
+    """(g, head, tail) of those phrases that pass the filter, about so many: the groups without the last and without the first word.
+
+    Tasks send what they saw as packed rows, one for each range of groups.
+    """
+    ranges = max(1, -(-groups // RANGE))
 
     def find(batches):
         import numpy as np
         import pyarrow as pa
 
-        seen: set = set()
+        kept, held = [], 0
+
+        def flush():
+            all_, first = np.unique(np.concatenate([x[0] for x in kept]), return_index=True)
+            rows = np.stack([all_, *(np.concatenate([x[i] for x in kept])[first] for i in (1, 2))], axis=1)
+            of = segment_of(all_, ranges).astype(np.int64)
+            at = np.unique(of)
+            return pa.RecordBatch.from_arrays([pa.array(at), pa.array([rows[of == x].tobytes() for x in at], pa.binary())], ["bucket", "rows"])
+
         for batch in _batches(batches):
             _, _, g, head, tail = _merged(batch)
             keep = np.flatnonzero(part.value.levels(g) > 0)
             g, first = np.unique(g[keep], return_index=True)
-            keep = keep[first]
-            if len(seen) > KEPT_WORDS:
-                seen.clear()
-            new = np.fromiter((x not in seen for x in g.tolist()), dtype=bool, count=len(g))
-            seen.update(g[new].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (g[new], head[keep[new]], tail[keep[new]])], ["g", "head", "tail"])
+            kept.append((g, head[keep[first]], tail[keep[first]]))
+            held += len(g)
+            if held > AT_ONCE:
+                yield flush()
+                kept, held = [], 0
+        if held:
+            yield flush()
+
+    def merge(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        at, own = None, []
+
+        def merged():
+            rows = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(-1, 3) for x in own])
+            rows = rows[np.unique(rows[:, 0], return_index=True)[1]]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], ["g", "head", "tail"])
+
+        for batch in batches:
+            for bucket, rows in zip(batch.column("bucket").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+                if bucket != at:
+                    if own:
+                        yield merged()
+                    at, own = bucket, []
+                own.append(rows)
+        if own:
+            yield merged()
 
-    return relation.mapInArrow(find, "g bigint, head bigint, tail bigint").groupBy("g").agg(F.min("head").alias("head"), F.min("tail").alias("tail"))
+    sent = relation.mapInArrow(find, "bucket bigint, rows binary").repartition("bucket").sortWithinPartitions("bucket")
+    return sent.mapInArrow(merge, "g bigint, head bigint, tail bigint")
 
 
 def _longer(relation: DataFrame, part) -> DataFrame:
@@ -229,11 +264,12 @@ def _longer(relation: DataFrame, part) -> DataFrame:
 
 
 def _frequent(groups: DataFrame, scratch: Scratch):
-    """The filter of some groups, broadcast."""
+    """(the filter of some groups, broadcast; their number)."""
     keys = groups.select(F.col("g").alias("h"), F.lit(1).alias("levels"))
-    segments = min(FILTER_SEGMENTS, segments_for(keys.count()))
+    number = keys.count()
+    segments = min(FILTER_SEGMENTS, segments_for(number))
     bits = scratch.write(filled(keys, segments), "filter")
-    return keys.sparkSession.sparkContext.broadcast(read_slice(bits, 0, segments, segments))
+    return keys.sparkSession.sparkContext.broadcast(read_slice(bits, 0, segments, segments)), number
 
 
 def phrases(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000, cover: int = 100, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -258,16 +294,16 @@ def phrases(docs: DataFrame, least: int = 100, longest: int = 5, top: int = 2000
         none = F.array().cast("array<bigint>")
         group = known.where("word is not null").select("g", "lang", F.array("word").alias("words"), "n", none.alias("begins"), none.alias("ends"))
         group = scratch.write(group, "groups-1")
-        part = _frequent(group, scratch)
+        part, _ = _frequent(group, scratch)
         relation, found = scratch.write(_occurrences(docs, part), "occurrences-1"), []
         for k in range(2, longest + 1):
             path = scratch.paths[-1]
             counts = scratch.write(group_counts(relation, least), f"counts-{k}")
             part.unpersist()
-            part = _frequent(counts, scratch)
+            part, number = _frequent(counts, scratch)
             head = group.select(F.col("g").alias("head"), "lang", F.col("words").alias("w"), F.concat("begins", F.array("n")).alias("begins"))
             tail = group.select(F.col("g").alias("tail"), F.element_at("words", -1).alias("last"), F.concat("ends", F.array("n")).alias("ends"))
-            group = counts.join(group_parts(relation, part), "g").join(head, "head").join(tail, "tail").select("g", "lang", F.concat("w", F.array("last")).alias("words"), "n", "begins", "ends", "head", "tail")
+            group = counts.join(group_parts(relation, part, number), "g").join(head, "head").join(tail, "tail").select("g", "lang", F.concat("w", F.array("last")).alias("words"), "n", "begins", "ends", "head", "tail")
             group = scratch.write(group, f"groups-{k}")
             found.append(group)
             if k < longest:
