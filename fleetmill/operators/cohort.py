@@ -6,18 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _arrived(assets: DataFrame, cutoff: Column) -> tuple[Column, Column]:
+    """(arrived, observed) of train assets at a cutoff.
+
+    An asset's end comes (eol_cycle - first_source_cycle) days after its start,
+    at its start without an end; it is observed if the label is valid, the
+    event was seen and it comes by the cutoff.
+    """
+    first = F.coalesce(F.col("first_source_cycle"), F.lit(1)) if "first_source_cycle" in assets.columns else F.lit(1)
+    end = F.col("start_time") + F.make_dt_interval(days=F.coalesce(F.col("eol_cycle") - first, F.lit(0)).cast("int"))
+    here = F.coalesce((F.col("split") == "train") & (F.col("start_time") <= cutoff), F.lit(False))
+    return here, here & F.coalesce(F.col("valid_eol_label") & F.col("eol_observed") & (end <= cutoff), F.lit(False))
+
+
 def at_cutoff(assets: DataFrame, cutoff: Column) -> DataFrame:
-    """Arrived assets (start_time <= cutoff) with ``observed``: a valid end of life seen by then."""
-    seen = F.coalesce(F.col("valid_eol_label") & (F.col("eol_time") <= cutoff), F.lit(False))
-    return assets.where(F.col("start_time") <= cutoff).withColumn("observed", seen)
+    """The training cohort at a cutoff: train assets that have arrived, with ``observed``; the others are censored. Their order is that of arrival_rank."""
+    here, seen = _arrived(assets, cutoff)
+    return assets.withColumn("observed", seen).where(here)
 
 
 def counts_at(assets: DataFrame, cutoffs: list[str]) -> DataFrame:
-    """(cutoff, arrived, observed, censored) for each of a few cutoffs, in one pass over the assets."""
+    """(cutoff, arrived, observed, censored) of the training cohort at each of a few cutoffs, in one pass over the assets."""
     each = F.explode(F.array(*[F.lit(c).cast("timestamp_ntz") for c in cutoffs])).alias("cutoff")
-    seen = F.coalesce(F.col("valid_eol_label") & (F.col("eol_time") <= F.col("cutoff")), F.lit(False))
-    here = F.col("start_time") <= F.col("cutoff")
-    return assets.select("*", each).groupBy("cutoff").agg(F.count_if(here).alias("arrived"), F.count_if(here & seen).alias("observed"), F.count_if(here & ~seen).alias("censored"))
+    here, seen = _arrived(assets, F.col("cutoff"))
+    return assets.select("*", each).groupBy("cutoff").agg(F.count_if(here).alias("arrived"), F.count_if(seen).alias("observed"), F.count_if(here & ~seen).alias("censored"))
 
 
 def generation(time: Column, cutoffs: tuple[str, ...]) -> Column:

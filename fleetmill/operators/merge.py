@@ -36,10 +36,11 @@ def newer_curve() -> Column:
 
 
 def bumped_selection(current: DataFrame, wanted: DataFrame) -> DataFrame:
-    """A selection by key with its revision one higher where the choice differs; new keys get revision 1."""
-    both = current.select("dataset", F.col("model_version").alias("was"), "revision").join(wanted, "dataset", "full")
-    changed = F.col("model_version").isNotNull() & ~F.col("model_version").eqNullSafe(F.col("was"))
-    return both.select("dataset", F.coalesce("model_version", "was").alias("model_version"), (F.coalesce("revision", F.lit(0)) + F.when(changed, 1).otherwise(0)).alias("revision"))
+    """A selection (model_version, fingerprint) by key with its revision one higher where either differs (null equals null); new keys get revision 1, and keys without a wish stay."""
+    choice = ["model_version", "fingerprint"]
+    both = current.select("dataset", F.struct(*choice).alias("was"), "revision").join(wanted.select("dataset", F.struct(*choice).alias("new")), "dataset", "full")
+    changed = F.col("new").isNotNull() & ~F.col("new").eqNullSafe(F.col("was"))
+    return both.select("dataset", F.coalesce("new", "was").alias("s"), (F.coalesce("revision", F.lit(0)) + F.when(changed, 1).otherwise(0)).alias("revision")).select("dataset", "s.*", "revision")
 
 
 def unique_facts(old: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -131,13 +131,15 @@ def distinct_labels(models: DataFrame) -> DataFrame:
 
 
 def selectable_models(models: DataFrame, current: str | None = None) -> DataFrame:
-    """One model a generation: best record class, then a neutral family, champions, the newest; and the current one too.
+    """One model a generation that isn't retired: the current one if it's there, else the best record class, then a neutral family, champions, the newest.
 
-    models has model_version, generation, record_class, family, status, evaluated_at.
+    models has model_version, generation, record_class, family, status,
+    evaluated_at; those without a generation are left out.
     """
-    w = Window.partitionBy("generation").orderBy(F.desc("record_class"), F.desc(F.col("family") == "neutral"), F.desc(F.col("status") == "champion"), F.desc("evaluated_at"), F.desc("model_version"))
-    ranked = models.withColumn("_r", F.row_number().over(w))
-    return ranked.where((F.col("_r") == 1) | (F.col("model_version") == F.lit(current)).eqNullSafe(F.lit(True))).drop("_r")
+    models = models.where(~F.col("status").eqNullSafe(F.lit("retired")) & F.col("generation").isNotNull())
+    mine = F.coalesce(F.col("model_version") == F.lit(current).cast("string"), F.lit(False))
+    w = Window.partitionBy("generation").orderBy(F.desc(mine), F.desc("record_class"), F.desc(F.col("family") == "neutral"), F.desc(F.col("status") == "champion"), F.desc("evaluated_at"), F.desc("model_version"))
+    return models.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
 def best_model(models: DataFrame) -> DataFrame:

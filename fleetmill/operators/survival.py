@@ -59,13 +59,16 @@ def landmark_sample(rows: DataFrame, every: int = 10) -> DataFrame:
 def censoring(rows: DataFrame) -> DataFrame:
     """(duration, at_risk, censored, survival): the Kaplan-Meier estimate of not being censored.
 
-    Counts are grouped by duration first; only that small table is ordered.
+    Events of a duration come before its censored rows, so they aren't at risk
+    of being censored then. Counts are grouped by duration first; only that
+    small table is ordered.
     """
     by = rows.groupBy("duration").agg(F.count("*").alias("n"), F.count_if(~F.col("event")).alias("censored"))
-    # Those at risk are the rows of this duration and of longer ones.
-    at = F.sum("n").over(Window.orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, 0))
+    # Those at risk are the censored rows of this duration and all of longer ones.
+    longer = F.sum("n").over(Window.orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, -1))
     upto = Window.orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
-    return by.withColumn("at_risk", at).withColumn("survival", F.product(1 - F.col("censored") / F.col("at_risk")).over(upto)).select("duration", "at_risk", "censored", "survival")
+    stay = F.when(F.col("censored") > 0, 1 - F.col("censored") / F.col("at_risk")).otherwise(1.0)
+    return by.withColumn("at_risk", F.coalesce(longer, F.lit(0)) + F.col("censored")).withColumn("survival", F.product(stay).over(upto)).select("duration", "at_risk", "censored", "survival")
 
 
 def supported(train: DataFrame, rows: DataFrame) -> DataFrame:
@@ -121,7 +124,8 @@ def integrated_brier(train: DataFrame, rows: DataFrame, horizons: tuple[int, ...
 def concordance(train: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: the censoring-weighted concordance of ``risk`` with duration and event, and the weight of its pairs.
 
-    A pair is an event and a row that lasts longer; it's concordant if the event
+    A pair is an event and a row that lasts longer, or is censored at the event's
+    duration; its weight is that of the estimate there. It's concordant if the event
     has the higher risk, and half so at equal risk. Only rows with support in
     the train rows count. Pairs are never formed: rows are counted by duration
     and rank of risk, and pairs are sums over a binary tree of ranks: on each
@@ -136,16 +140,16 @@ def concordance(train: DataFrame, rows: DataFrame) -> DataFrame:
     # Rows of each cell, on each level: where the cell is the upper child of its node, the later rows of the lower child count as below.
     each = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("_level"))
     each = each.withColumns({"_node": F.floor(F.col("_x") / F.pow(F.lit(2.0), F.col("_level") + 1)).cast("bigint"), "_upper": F.floor(F.col("_x") / F.pow(F.lit(2.0), F.col("_level"))).cast("bigint") % 2})
-    later = Window.partitionBy("_level", "_node").orderBy(F.desc("duration")).rangeBetween(Window.unboundedPreceding, -1)
-    lower = F.sum(F.when(F.col("_upper") == 0, F.col("n")).otherwise(0)).over(later)
+    node = Window.partitionBy("_level", "_node").orderBy(F.desc("duration"))
+    low = lambda c: F.when(F.col("_upper") == 0, F.col(c)).otherwise(0)
+    # As long or longer, without the events of the same duration.
+    lower = F.sum(low("n")).over(node.rangeBetween(Window.unboundedPreceding, 0)) - F.sum(low("e")).over(node.rangeBetween(0, 0))
     below = each.withColumn("_b", F.coalesce(lower, F.lit(0))).where("_upper = 1 and e > 0").groupBy("duration", "risk").agg(F.sum("_b").alias("below"))
     same = Window.partitionBy("risk").orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, -1)
-    by_duration = cells.groupBy("duration").agg(F.sum("n").alias("_n"))
-    after = Window.orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, -1)
-    longer = by_duration.select("duration", F.coalesce(F.sum("_n").over(after), F.lit(0)).alias("all"))  # a row a distinct duration
-    events = cells.withColumn("equal", F.coalesce(F.sum("n").over(same), F.lit(0))).where("e > 0").join(longer, "duration").join(below, ["duration", "risk"], "left")
-    # G just before the event: the estimate at the largest earlier duration.
-    before = censoring(train).withColumn("survival", F.lag("survival", 1, 1.0).over(Window.orderBy("duration")))
-    at = _step(events, before, "duration", "g").withColumn("w", F.try_divide(F.col("e"), F.col("g") * F.col("g")))
+    by_duration = cells.groupBy("duration").agg(F.sum("n").alias("_n"), F.sum("e").alias("_e"))
+    after = Window.orderBy(F.desc("duration")).rowsBetween(Window.unboundedPreceding, 0)
+    longer = by_duration.select("duration", (F.sum("_n").over(after) - F.col("_e")).alias("all"))  # a row a distinct duration
+    events = cells.withColumn("equal", F.coalesce(F.sum("n").over(same), F.lit(0)) + F.col("n") - F.col("e")).where("e > 0").join(longer, "duration").join(below, ["duration", "risk"], "left")
+    at = _step(events, censoring(train), "duration", "g").withColumn("w", F.try_divide(F.col("e"), F.col("g") * F.col("g")))
     good = F.sum(F.col("w") * (F.coalesce("below", F.lit(0)) + 0.5 * F.col("equal")))
     return at.agg(F.try_divide(good, F.sum(F.col("w") * F.col("all"))).alias("c_index"), F.coalesce(F.sum(F.col("w") * F.col("all")), F.lit(0.0)).alias("weight"))

@@ -64,8 +64,8 @@ v_land AS (
        FROM v_cycles c JOIN v_shown s USING (asset_id) LEFT JOIN v_flags f USING (asset_id) WHERE c.cycle_index <= s.shown)
  WHERE CASE WHEN event THEN eol_cycle ELSE shown END - cycle_index > 0),
 v_km AS (
- SELECT duration, at_risk, censored, exp(sum(CASE WHEN censored = at_risk THEN -1e9 ELSE ln(1 - censored / at_risk::DOUBLE) END) OVER (ORDER BY duration)) AS survival
- FROM (SELECT duration, sum(n) OVER (ORDER BY duration DESC) AS at_risk, censored FROM (SELECT duration, count(*) AS n, count(*) FILTER (NOT event) AS censored FROM v_land WHERE split = 'train' GROUP BY duration))),
+ SELECT duration, at_risk, censored, exp(sum(CASE WHEN censored = 0 THEN 0 WHEN censored = at_risk THEN -1e9 ELSE ln(1 - censored / at_risk::DOUBLE) END) OVER (ORDER BY duration)) AS survival
+ FROM (SELECT duration, sum(n) OVER (ORDER BY duration DESC) - events AS at_risk, censored FROM (SELECT duration, count(*) AS n, count(*) FILTER (event) AS events, count(*) FILTER (NOT event) AS censored FROM v_land WHERE split = 'train' GROUP BY duration))),
 v_metrics AS (
  SELECT split, stage, count(*) AS rows, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / nullif(var_pop(truth) * count(*), 0) AS r2
  FROM (SELECT m.split, s.truth, greatest(s.predicted, 0) - s.truth AS e, s.stage FROM (
@@ -91,13 +91,19 @@ def _digest(rows: str, name: str = "digest", count: str = "rows") -> str:
     return f"SELECT sha256(coalesce(string_agg(b || ':' || h, '' ORDER BY b || ':' || h), '')) AS {name}, CAST(coalesce(sum(n), 0) AS BIGINT) AS {count} FROM ({part})"
 
 
+def _selectable(current: str) -> str:
+    """A generation's model: the current one takes the place of the best; retired ones don't count."""
+    return f"""SELECT generation, model_version, mae FROM (SELECT *, row_number() OVER (PARTITION BY generation ORDER BY model_version = '{current}' DESC, k % 3 DESC, k % 5 = 0 DESC, k % 7 = 0 DESC, k DESC) AS r
+      FROM (SELECT c_custkey AS k, 'm' || c_custkey AS model_version, c_custkey % 8 AS generation, c_acctbal AS mae FROM customer WHERE c_custkey % 6 <> 5)) WHERE r = 1"""
+
+
 _SUPPORTED = f"(SELECT * FROM (SELECT l.*, {_km_at('l.duration')} AS g FROM v_land l WHERE split = 'test' AND duration <= (SELECT max(duration) FROM v_land WHERE split = 'train')) WHERE g > 1e-12)"
 _BRIER = f"SELECT horizon, count(*) AS rows, avg(CASE WHEN duration <= horizon AND event THEN p * p / g WHEN duration > horizon THEN (1 - p) * (1 - p) / nullif(gh, 0) ELSE 0 END) AS brier FROM (SELECT l.*, h.horizon, exp(-h.horizon / 10.0::DOUBLE) AS p, {_km_at('h.horizon')} AS gh FROM {_SUPPORTED} l, (SELECT unnest([2, 5, 8]) AS horizon) h) GROUP BY horizon"
 _RISK = "((asset_id * 7919 + cycle_index * 104729) % 1009 / 1e6::DOUBLE)"
 _VIEW = "(SELECT c.dataset, c.asset_id, c.cycle_index, CASE WHEN c.dataset = 'a' THEN 'm1' END AS model_version, s.rul FROM (SELECT CASE WHEN asset_id % 3 = 0 THEN 'a' ELSE 'b' END AS dataset, asset_id, max(cycle_index) AS cycle_index FROM v_cycles GROUP BY asset_id) c LEFT JOIN v_served s ON s.asset_id = c.asset_id AND s.cycle_index = c.cycle_index AND c.dataset = 'a' AND c.asset_id % 2 = 1)"
 _RECEIPT = _digest("SELECT sha256('{\"asset_id\":' || asset_id || ',\"cycle_index\":' || cycle_index || ',\"event_count\":' || event_count || '}') AS h FROM v_state JOIN v_generations USING (asset_id, cycle_index) JOIN v_boundary b USING (asset_id) WHERE cycle_index <= b.max_cycle AND generation <= 3", "selected_digest", "selected_rows")
 _STATE_ROWS = "SELECT sha256('{\"asset_id\":' || asset_id || ',\"cycle_index\":' || cycle_index || ',\"event_count\":' || event_count || '}') AS h FROM v_state"
-_COHORT = "(SELECT asset_id, coalesce(valid_eol_label AND eol_time <= TIMESTAMP '1999-12-31', false) AS observed FROM v_manifest JOIN v_flags USING (asset_id) WHERE start_time <= TIMESTAMP '1999-12-31')"
+_COHORT = "(SELECT asset_id, coalesce(valid_eol_label AND eol_observed AND start_time + to_days(CAST(coalesce(eol_cycle, 1) - 1 AS INTEGER)) <= TIMESTAMP '1999-12-31', false) AS observed, arrival_rank FROM v_arrival JOIN v_flags USING (asset_id) WHERE split = 'train' AND start_time <= TIMESTAMP '1999-12-31')"
 _CHECKSUMS = " UNION ALL ".join(f"SELECT '{name}' AS cohort, * FROM ({_digest(f'SELECT sha256(CAST(asset_id AS VARCHAR)) AS h FROM {_COHORT} WHERE {rule}', 'checksum', 'assets')})" for name, rule in (("arrived", "true"), ("observed", "observed"), ("censored", "NOT observed")))
 _STATE_ID = _digest("SELECT sha256(asset_id || ':' || max_cycle || ':' || cycles) AS h FROM v_boundary", "state_id", "assets")
 _MODELS = "(SELECT 'm' || c_custkey AS model_version, CAST(c_nationkey AS VARCHAR) AS dataset, CASE c_custkey % 3 WHEN 0 THEN 'candidate' WHEN 1 THEN 'champion' ELSE 'retired' END AS status, CASE WHEN c_custkey % 5 <> 0 THEN 'f' || c_custkey END AS fingerprint, c_custkey % 11 AS evaluated_at, c_acctbal AS mae FROM customer)"
@@ -125,8 +131,8 @@ _BODIES = {
     "train_schedule": "SELECT asset_id, arrival_rank, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(60 * arrival_rank AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS arrival_time FROM (SELECT asset_id, CAST(row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) - 1 AS BIGINT) AS arrival_rank FROM v_manifest WHERE split = 'train')",
     "replay_sequence": "SELECT asset_id, cycle_index, sample_index, CAST(row_number() OVER (ORDER BY event_time, asset_id, cycle_index, sample_index) - 1 AS BIGINT) AS replay_sequence FROM v_samples",
     "completion_events": "SELECT asset_id, cycle_index, count(*) AS expected, CAST(max_by(sample_index, (event_time, sample_index)) AS BIGINT) AS last_sample, strftime(max(event_time), '%Y-%m-%d %H:%M:%S') AS event_time FROM v_samples GROUP BY asset_id, cycle_index",
-    "cohort_at_cutoff": "SELECT asset_id, coalesce(valid_eol_label AND eol_time <= TIMESTAMP '1999-12-31', false) AS observed FROM v_manifest JOIN v_flags USING (asset_id) WHERE start_time <= TIMESTAMP '1999-12-31'",
-    "cohort_counts": "SELECT strftime(cutoff, '%Y-%m-%d %H:%M:%S') AS cutoff, count(*) FILTER (start_time <= cutoff) AS arrived, count(*) FILTER (start_time <= cutoff AND coalesce(valid_eol_label AND eol_time <= cutoff, false)) AS observed, count(*) FILTER (start_time <= cutoff AND NOT coalesce(valid_eol_label AND eol_time <= cutoff, false)) AS censored FROM v_manifest JOIN v_flags USING (asset_id), (SELECT unnest([TIMESTAMP '1996-12-31', TIMESTAMP '1998-12-31', TIMESTAMP '2000-06-30']) AS cutoff) t GROUP BY t.cutoff",
+    "cohort_at_cutoff": f"SELECT asset_id, arrival_rank, observed FROM {_COHORT}",
+    "cohort_counts": "SELECT strftime(cutoff, '%Y-%m-%d %H:%M:%S') AS cutoff, count(*) FILTER (here) AS arrived, count(*) FILTER (here AND seen) AS observed, count(*) FILTER (here AND NOT seen) AS censored FROM (SELECT t.cutoff, split = 'train' AND start_time <= t.cutoff AS here, coalesce(valid_eol_label AND eol_observed AND start_time + to_days(CAST(coalesce(eol_cycle, 1) - 1 AS INTEGER)) <= t.cutoff, false) AS seen FROM v_manifest JOIN v_flags USING (asset_id), (SELECT unnest([TIMESTAMP '1996-12-31', TIMESTAMP '1998-12-31', TIMESTAMP '2000-06-30']) AS cutoff) t) GROUP BY cutoff",
     "eligible_assets": "SELECT asset_id FROM v_manifest JOIN v_flags USING (asset_id) WHERE split = 'train' AND valid_eol_label AND eol_observed AND replay_complete",
     "split_audit": "SELECT split, count(*) AS assets, count(DISTINCT lineage_group_id) AS groups, CAST(0 AS BIGINT) AS overlapping FROM v_manifest GROUP BY split",
     "irreversible_eol": "SELECT asset_id, cycle_index, raw_rul, rul, eol_cycle FROM v_served",
@@ -142,7 +148,7 @@ _BODIES = {
     "table_violations": "SELECT * FROM (SELECT 'price_positive' AS rule, count(*) FILTER (NOT o_totalprice > 0) AS rows FROM orders UNION ALL SELECT 'status_known', count(*) FILTER (NOT o_orderstatus IN ('O', 'F')) FROM orders UNION ALL SELECT 'customer_present', count(*) FILTER (o_custkey IS NULL) FROM orders)",
     "current_upsert": "SELECT asset_id, CASE WHEN asset_id % 2 = 0 THEN 200 WHEN asset_id % 3 = 0 THEN 100 ELSE 100 END::BIGINT AS sequence, CASE WHEN asset_id % 2 = 0 OR asset_id % 3 = 0 THEN 'new' ELSE 'old' END AS source FROM (SELECT DISTINCT asset_id FROM v_cycles)",
     "survival_upsert": "SELECT asset_id, CAST(CASE WHEN asset_id % 2 = 0 AND asset_id % 5 <> 0 THEN cycle_index + 1 ELSE cycle_index END AS BIGINT) AS cycle_index, CASE WHEN (asset_id % 2 = 0 OR asset_id % 3 = 0) AND asset_id % 5 <> 0 THEN 'new' ELSE 'old' END AS source FROM (SELECT asset_id, max(cycle_index) AS cycle_index FROM v_cycles GROUP BY asset_id)",
-    "selection_revision": "SELECT CAST(k AS VARCHAR) AS dataset, CASE WHEN k % 3 = 0 THEN 'm1' WHEN k % 2 = 0 THEN 'm1' ELSE 'm2' END AS model_version, CAST(CASE WHEN k % 4 = 0 THEN 1 WHEN k % 3 = 0 OR k % 2 = 0 THEN k % 7 ELSE k % 7 + 1 END AS BIGINT) AS revision FROM (SELECT c_custkey AS k FROM customer) WHERE k % 4 <> 0 OR k % 3 <> 0",
+    "selection_revision": "SELECT dataset, CASE WHEN w.dataset IS NULL THEN o.model_version ELSE w.model_version END AS model_version, CASE WHEN w.dataset IS NULL THEN o.fingerprint ELSE w.fingerprint END AS fingerprint, CAST(CASE WHEN o.dataset IS NULL THEN 1 WHEN w.dataset IS NOT NULL AND (w.model_version IS DISTINCT FROM o.model_version OR w.fingerprint IS DISTINCT FROM o.fingerprint) THEN o.revision + 1 ELSE o.revision END AS BIGINT) AS revision FROM (SELECT CAST(c_custkey AS VARCHAR) AS dataset, 'm1' AS model_version, CASE WHEN c_custkey % 5 <> 0 THEN 'f1' END AS fingerprint, c_custkey % 7 AS revision FROM customer WHERE c_custkey % 4 <> 0) o FULL JOIN (SELECT CAST(c_custkey AS VARCHAR) AS dataset, CASE WHEN c_custkey % 2 = 0 THEN 'm1' ELSE 'm2' END AS model_version, CASE WHEN c_custkey % 10 <> 0 THEN 'f' || (c_custkey % 2 + c_custkey % 11 % 2 + 1) END AS fingerprint FROM customer WHERE c_custkey % 3 <> 0) w USING (dataset)",
     "prune_stale": "SELECT c.asset_id, c.horizon FROM v_curves c WHERE EXISTS (SELECT 1 FROM v_boundary b WHERE b.asset_id = c.asset_id AND b.max_cycle = c.cycle_index)",
     "regression_metrics": "SELECT split, stage, rows, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2 FROM v_metrics",
     "model_winner": "SELECT split, stage, round(mae, 6) AS mae FROM v_metrics QUALIFY row_number() OVER (PARTITION BY split ORDER BY mae, rmse, stage) = 1",
@@ -172,11 +178,11 @@ _BODIES = {
     "outlet_cumulative": "SELECT g.asset_id, g.cycle_index, CAST(generation AS INTEGER) AS generation_id, max_capacity, o_orderkey FROM v_generations g JOIN v_state USING (asset_id, cycle_index) JOIN v_boundary b ON b.asset_id = g.asset_id AND g.cycle_index <= b.max_cycle WHERE generation <= 3",
     "superset_violations": "SELECT asset_id, cycle_index FROM v_state WHERE asset_id % 10 IN (1, 2)",
     "qc_gate": "SELECT * FROM (SELECT 'negative_current' AS metric, -1.0::DOUBLE AS expected, (SELECT count(*) FILTER (current < 0) FROM v_samples)::DOUBLE AS value UNION ALL SELECT 'max_cycle', 3.0, (SELECT max(cycle_index) FROM v_cycles) UNION ALL SELECT 'unknown', 1.0, -9.0)",
-    "concordance_index": f"SELECT round(sum(w * CASE WHEN ri > rj THEN 1.0 WHEN ri = rj THEN 0.5 ELSE 0 END) / sum(w), 6) AS c_index FROM (SELECT i.risk AS ri, j.risk AS rj, 1 / nullif(i.gb * i.gb, 0) AS w FROM (SELECT *, {_RISK} AS risk, {_km_at('s.duration', '<')} AS gb FROM {_SUPPORTED} s WHERE event) i JOIN (SELECT *, {_RISK} AS risk FROM {_SUPPORTED}) j ON j.duration > i.duration)",
+    "concordance_index": f"SELECT round(sum(w * CASE WHEN ri > rj THEN 1.0 WHEN ri = rj THEN 0.5 ELSE 0 END) / sum(w), 6) AS c_index FROM (SELECT i.risk AS ri, j.risk AS rj, 1 / nullif(i.gb * i.gb, 0) AS w FROM (SELECT *, {_RISK} AS risk, {_km_at('s.duration')} AS gb FROM {_SUPPORTED} s WHERE event) i JOIN (SELECT *, {_RISK} AS risk FROM {_SUPPORTED}) j ON j.duration > i.duration OR (j.duration = i.duration AND NOT j.event))",
     "nested_reductions": "SELECT asset_id, cycle_index, count(*) AS samples, max(voltage) AS max_voltage, min(voltage) AS min_voltage, max(capacity) AS max_capacity FROM v_samples GROUP BY ALL",
     "replay_times": "SELECT asset_id, cycle_index, sample_index, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(cycle_index - 1 AS INTEGER)) + to_seconds(sample_index), '%Y-%m-%d %H:%M:%S') AS t FROM v_samples",
     "next_training_snapshot": "SELECT asset_id, CAST(row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) AS BIGINT) AS position FROM v_manifest JOIN v_flags USING (asset_id) WHERE split = 'train' AND valid_eol_label AND eol_observed QUALIFY row_number() OVER (ORDER BY sha256('v1:' || CAST(lineage_group_id AS VARCHAR)), asset_id) <= 26",
-    "selectable_models": "SELECT generation, model_version FROM (SELECT 'm' || c_custkey AS model_version, c_custkey % 8 AS generation, row_number() OVER (PARTITION BY c_custkey % 8 ORDER BY c_custkey % 3 DESC, c_custkey % 5 = 0 DESC, c_custkey % 7 = 0 DESC, c_custkey DESC) AS r FROM customer) WHERE r = 1 OR model_version = 'm11'",
+    "selectable_models": " UNION ALL ".join(f"SELECT generation, model_version, '{m}' AS chosen FROM ({_selectable(m)})" for m in ("m9", "m11")),
     "integrated_brier": f"SELECT (SELECT round(sum(dx * y) / sum(dx), 6) FROM (SELECT horizon - lag(horizon) OVER (ORDER BY horizon) AS dx, (brier + lag(brier) OVER (ORDER BY horizon)) / 2 AS y FROM ({_BRIER}) WHERE horizon < (SELECT max(duration) FROM {_SUPPORTED}))) AS integrated_brier, (SELECT count(*) FROM {_SUPPORTED}) AS supported_rows, (SELECT count(*) FROM v_land WHERE split = 'test') - (SELECT count(*) FROM {_SUPPORTED}) AS excluded_rows",
     "landmark_counts": "SELECT split, count(*) AS rows, count(*) FILTER (event) AS events, count(*) FILTER (NOT event) AS censored FROM v_land GROUP BY split",
     "latest_landmarks": "SELECT asset_id, cycle_index, duration FROM v_land QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY cycle_index DESC) = 1",
@@ -185,7 +191,7 @@ _BODIES = {
     "fleet_survival": "SELECT count(*) AS assets, round(quantile_cont(s, 0.5), 6) AS median_survival, round(quantile_cont(s, 0.25), 6) AS p25_survival FROM (SELECT f.asset_id, c.probability AS s FROM v_fleet f LEFT JOIN v_curves c ON c.asset_id = f.asset_id AND c.horizon = 100 AND c.asset_id % 5 <> 0)",
     "initialised_selection": f"SELECT CAST(n_nationkey AS VARCHAR) AS dataset, 'kept' AS model_version, 'f' AS fingerprint, CAST(4 AS BIGINT) AS revision FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT dataset, model_version, fingerprint, CAST(1 AS BIGINT) FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY evaluated_at DESC, model_version DESC) AS r FROM {_MODELS} WHERE status <> 'retired' AND fingerprint IS NOT NULL AND CAST(dataset AS INTEGER) % 2 = 1) WHERE r = 1",
     "model_selection": f"SELECT model_version, evaluated_at % 2 = 0 AS usable FROM {_MODELS} WHERE status = 'champion'",
-    "best_model": f"SELECT model_version FROM {_MODELS} ORDER BY mae ASC NULLS LAST, model_version LIMIT 1",
+    "best_model": f"SELECT model_version FROM ({_selectable('')}) ORDER BY mae ASC NULLS LAST, model_version LIMIT 1",
     "newest_evaluation": f"SELECT model_version FROM {_MODELS} WHERE status <> 'retired' AND fingerprint IS NOT NULL ORDER BY evaluated_at DESC, model_version DESC LIMIT 1",
     "frozen_scores": "SELECT n.asset_id, n.cycle_index, CASE WHEN p.rul = 0 THEN 0.0 ELSE greatest(n.raw_rul + 6, 0) END AS rul, CASE WHEN p.rul = 0 THEN p.eol_cycle ELSE n.cycle_index + greatest(n.raw_rul + 6, 0) END AS eol_cycle FROM (SELECT * FROM v_pred QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY cycle_index DESC) = 1) n LEFT JOIN (SELECT s.asset_id, s.rul, s.eol_cycle FROM v_served s JOIN v_generations g USING (asset_id, cycle_index) WHERE g.generation <= 3 QUALIFY row_number() OVER (PARTITION BY s.asset_id ORDER BY s.cycle_index DESC) = 1) p USING (asset_id)",
     "replaced_version": "SELECT 'm0' AS model_version, asset_id, cycle_index, raw_rul FROM v_pred WHERE asset_id % 2 = 0 UNION ALL SELECT 'm1', asset_id, cycle_index, raw_rul + 1 FROM v_pred WHERE asset_id % 4 = 1",

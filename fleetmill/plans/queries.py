@@ -59,7 +59,7 @@ def _flags(spark, sf) -> DataFrame:
 
 
 def _cohort(spark, sf) -> DataFrame:
-    return domain.manifest(spark, sf).join(_flags(spark, sf), "asset_id")
+    return cohort.arrival_rank(domain.manifest(spark, sf)).join(_flags(spark, sf), "asset_id")
 
 
 def _generations(spark, sf) -> DataFrame:
@@ -227,7 +227,7 @@ def completion_events(spark, sf):
 
 @query
 def cohort_at_cutoff(spark, sf):
-    return cohort.at_cutoff(_cohort(spark, sf), _cutoff()).select("asset_id", "observed")
+    return cohort.at_cutoff(_cohort(spark, sf), _cutoff()).select("asset_id", "arrival_rank", "observed")
 
 
 @query
@@ -337,8 +337,9 @@ def survival_upsert(spark, sf):
 @query
 def selection_revision(spark, sf):
     c = domain.table(spark, sf, "customer")
-    was = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.lit("m1").alias("model_version"), (F.col("c_custkey") % 7).alias("revision"))
-    wanted = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.when(F.col("c_custkey") % 2 == 0, "m1").otherwise("m2").alias("model_version"))
+    was = c.where("c_custkey % 4 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.lit("m1").alias("model_version"), F.when(F.col("c_custkey") % 5 != 0, "f1").alias("fingerprint"), (F.col("c_custkey") % 7).alias("revision"))
+    fingerprint = F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit("f"), F.col("c_custkey") % 2 + F.col("c_custkey") % 11 % 2 + 1))
+    wanted = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("dataset"), F.when(F.col("c_custkey") % 2 == 0, "m1").otherwise("m2").alias("model_version"), fingerprint.alias("fingerprint"))
     return merge.bumped_selection(was, wanted)
 
 
@@ -364,7 +365,7 @@ def model_selection(spark, sf):
 
 @query
 def best_model(spark, sf):
-    return serving.best_model(_evaluations(spark, sf)).select("model_version")
+    return serving.best_model(serving.selectable_models(_generation_models(spark, sf))).select("model_version")
 
 
 @query
@@ -886,11 +887,18 @@ def next_training_snapshot(spark, sf):
     return cohort.next_snapshot(ranked, (10, 26, 51), [10]).select("asset_id", F.col("position").cast("bigint").alias("position"))
 
 
+def _generation_models(spark, sf) -> DataFrame:
+    c = domain.table(spark, sf, "customer")
+    status = F.when(F.col("c_custkey") % 6 == 5, "retired").when(F.col("c_custkey") % 7 == 0, "champion").otherwise("candidate")
+    return c.select(F.concat(F.lit("m"), "c_custkey").alias("model_version"), (F.col("c_custkey") % 8).alias("generation"), (F.col("c_custkey") % 3).alias("record_class"), F.when(F.col("c_custkey") % 5 == 0, "neutral").otherwise("tree").alias("family"), status.alias("status"), F.col("c_custkey").alias("evaluated_at"), F.col("c_acctbal").alias("mae"))
+
+
 @query
 def selectable_models(spark, sf):
-    c = domain.table(spark, sf, "customer")
-    models = c.select(F.concat(F.lit("m"), "c_custkey").alias("model_version"), (F.col("c_custkey") % 8).alias("generation"), (F.col("c_custkey") % 3).alias("record_class"), F.when(F.col("c_custkey") % 5 == 0, "neutral").otherwise("tree").alias("family"), F.when(F.col("c_custkey") % 7 == 0, "champion").otherwise("candidate").alias("status"), F.col("c_custkey").alias("evaluated_at"))
-    return serving.selectable_models(models, "m11").select("generation", "model_version")
+    """With a current model that isn't its generation's best; a current one that is retired changes nothing."""
+    models = _generation_models(spark, sf)
+    first, second = (serving.selectable_models(models, name).select("generation", "model_version", F.lit(name).alias("chosen")) for name in ("m9", "m11"))
+    return first.unionByName(second)
 
 
 def _scratch(spark: SparkSession) -> str:

@@ -4,7 +4,7 @@ State is a set of Parquet tables, a directory a batch: a batch that runs again
 writes its own directories again, so replays change nothing. Samples of cycles
 that aren't final stay in an open-cycle buffer, deduplicated by event_id across
 batches; a cycle's aggregates are made from it, and its rows leave it once the
-cycle is final. Samples for final cycles go to quarantine.
+cycle is final or overfull, for good. Later samples of it go to quarantine.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from fleetmill.operators.normalize import decode_events
 from fleetmill.sources.store import exists
 
 
+KEYS = ["asset_id", "cycle_index"]
+
+
 class CycleStore:
     """The stream's tables under one folder. ``version`` directories are never changed by another batch."""
 
@@ -34,12 +37,13 @@ class CycleStore:
         path = self.path(name, batch - 1)
         return self.spark.read.parquet(path) if batch > 0 and exists(self.spark, f"{path}/_SUCCESS") else None
 
-    def upto(self, name: str, batch: int) -> DataFrame | None:
-        """What all batches up to one have added to a table."""
+    def upto(self, name: str, batch: int, keep_version: bool = False) -> DataFrame | None:
+        """What all batches up to one have added to a table; with the batch of each row as ``v`` if asked for."""
         path = f"{self.folder}/{name}"
         if not exists(self.spark, path):
             return None
-        return self.spark.read.parquet(path).where(F.col("v") <= batch).drop("v")
+        rows = self.spark.read.parquet(path).where(F.col("v") <= batch)
+        return rows if keep_version else rows.drop("v")
 
     def write(self, name: str, batch: int, rows: DataFrame) -> DataFrame:
         rows.write.mode("overwrite").parquet(self.path(name, batch))
@@ -49,31 +53,46 @@ class CycleStore:
         """The aggregates of all final cycles."""
         return self.upto("final", 1 << 40)
 
+    def closed(self, batch: int) -> DataFrame | None:
+        """(asset_id, cycle_index, v): the cycles that batches up to one have made final, or found overfull, and when."""
+        each = [t.select(*KEYS, "v") for t in (self.upto(name, batch, True) for name in ("final", "overfull")) if t is not None]
+        return each[0].unionByName(each[1]) if len(each) == 2 else each[0] if each else None
+
     def process(self, events: DataFrame, batch: int, expected: DataFrame, strict: bool = False) -> None:
         """One micro-batch: events are valid telemetry, expected has the sample count of completed cycles.
 
-        A batch writes its own samples and final cycles only. Of what is stored it
-        reads open samples and the keys of final cycles. Samples for a final cycle
-        are kept apart as late, and so are all of a cycle that has more samples
-        than expected; if ``strict``, either is an error.
+        A batch writes its own samples and closed cycles only. Of what is stored
+        it reads open samples, the keys of closed cycles, and the event ids of
+        those closed cycles that samples still come for. A cycle closes once: as
+        final with as many samples as expected, or as overfull with more, and
+        then it never becomes final and all its samples are in quarantine (the
+        table ``late``). So are new samples of a closed cycle; samples that it
+        had already are dropped, however often they come again. If ``strict``,
+        an overfull cycle or a new sample of a closed one is an error.
         """
-        keys = ["asset_id", "cycle_index"]
-        final, seen = self.upto("final", batch - 1), self.before("open", batch)
-        fresh = events.dropDuplicates(["event_id"])
-        if final is not None:
-            late = self.write("late", batch, fresh.join(final.select(*keys), keys, "left_semi"))
-            if strict and not late.isEmpty():
-                raise RuntimeError("a final cycle has more samples than its completion says")
-            fresh = fresh.join(final.select(*keys), keys, "left_anti")
+        closed, seen = self.closed(batch - 1), self.before("open", batch)
+        fresh, late = events.dropDuplicates(["event_id"]), None
+        if closed is not None:
+            behind = self.write("behind", batch, fresh.join(closed, KEYS))
+            when = [r["v"] for r in behind.select("v").distinct().collect()]  # batches
+            known = self.upto("counted", batch - 1, True).where(F.col("v").isin(when)).select("event_id")
+            late, told = behind.drop("v").join(known, "event_id", "left_anti"), self.upto("late", batch - 1)
+            if told is not None:
+                late = late.join(told.select("event_id"), "event_id", "left_anti")
+            fresh = fresh.join(closed.select(*KEYS), KEYS, "left_anti")
         if seen is not None:
             fresh = seen.unionByName(fresh.join(seen.select("event_id"), "event_id", "left_anti"))
         held = self.write("held", batch, fresh)
-        counted = rendered(partials(held)).join(expected.select(*keys, "expected_telemetry_rows"), keys)
-        over = self.write("overfull", batch, counted.where("event_count > expected_telemetry_rows").select(*keys))
-        if strict and not over.isEmpty():
+        counted = rendered(partials(held)).join(expected.select(*KEYS, "expected_telemetry_rows"), KEYS)
+        over = self.write("overfull", batch, counted.where("event_count > expected_telemetry_rows").select(*KEYS))
+        spilt = held.join(over, KEYS, "left_semi")
+        late = self.write("late", batch, spilt if late is None else spilt.unionByName(late.select(*spilt.columns)))
+        if strict and not late.isEmpty():
             raise RuntimeError("a cycle has more samples than its completion says")
         done = self.write("final", batch, counted.where("event_count = expected_telemetry_rows").drop("expected_telemetry_rows"))
-        self.write("open", batch, held.join(done.select(*keys), keys, "left_anti").join(over, keys, "left_anti"))
+        now = done.select(*KEYS).unionByName(over)
+        self.write("counted", batch, held.join(now, KEYS, "left_semi").select(*KEYS, "event_id"))
+        self.write("open", batch, held.join(now, KEYS, "left_anti"))
 
 
 def run(source: DataFrame, store: CycleStore, expected: Callable[[], DataFrame], checkpoint: str, seconds: int | None = None) -> StreamingQuery:

@@ -152,14 +152,20 @@ def test_concordance_of_close_risks(spark):
     r = random.Random(1)
     rows = [(float(r.randrange(1, 30)), r.random() < 0.6, round(r.random() / 1e5, 8)) for _ in range(120)]
     frame = spark.createDataFrame(rows, "duration double, event boolean, risk double")
-    steps = sorted((x.duration, x.survival) for x in survival.censoring(frame).collect())
+    steps, g = [], 1.0
+    for t in sorted({d for d, _, _ in rows}):  # events of a time leave before those censored then
+        gone = sum(d == t and not e for d, e, _ in rows)
+        g *= 1 - gone / (sum(d > t for d, _, _ in rows) + gone) if gone else 1
+        steps.append((t, g))
+    got = {x.duration: x.survival for x in survival.censoring(frame).collect()}
+    assert got == pytest.approx(dict(steps))
     at = lambda t, strict: next((s for d, s in reversed(steps) if d < t or (d == t and not strict)), 1.0)
     good = [x for x in rows if at(x[0], False) > 0]
     num = den = 0.0
     for d, e, k in good:
-        for d2, _, k2 in good:
-            if e and d2 > d:
-                w = 1 / at(d, True) ** 2
+        for d2, e2, k2 in good:
+            if e and (d2 > d or (d2 == d and not e2)):
+                w = 1 / at(d, False) ** 2
                 den += w
                 num += w * (1.0 if k > k2 else 0.5 if k == k2 else 0.0)
     got = survival.concordance(frame, frame).first()

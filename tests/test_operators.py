@@ -77,9 +77,27 @@ def test_append_once(spark):
 
 
 def test_a_selection_keeps_its_revision_unless_it_changes(spark):
-    current = spark.createDataFrame([("a", "m1", 3), ("b", "m2", 7)], "dataset string, model_version string, revision bigint")
-    wanted = spark.createDataFrame([("a", "m1"), ("b", "m9"), ("c", "m3")], "dataset string, model_version string")
-    assert sorted(map(tuple, merge.bumped_selection(current, wanted).collect())) == [("a", "m1", 3), ("b", "m9", 8), ("c", "m3", 1)]
+    kind = "dataset string, model_version string, fingerprint string"
+    current = spark.createDataFrame([("a", "m1", "f", 3), ("b", "m2", "f", 7), ("d", "m4", "f", 1), ("e", "m5", None, 2), ("g", "m6", None, 5)], kind + ", revision bigint")
+    wanted = spark.createDataFrame([("a", "m1", "f"), ("b", "m9", "f"), ("c", "m3", "f"), ("d", "m4", "other"), ("e", "m5", None)], kind)
+    got = sorted(map(tuple, merge.bumped_selection(current, wanted).collect()))
+    assert got == [("a", "m1", "f", 3), ("b", "m9", "f", 8), ("c", "m3", "f", 1), ("d", "m4", "other", 2), ("e", "m5", None, 2), ("g", "m6", None, 5)]
+
+
+def test_the_current_model_takes_its_generations_place(spark):
+    rows = [("m1", 1, 3, "tree", "candidate", 1), ("m2", 1, 2, "neutral", "champion", 2), ("m3", 1, 3, "neutral", "retired", 3), ("m4", 2, 1, "tree", "candidate", 1), ("m5", 2, 1, "tree", "champion", 0), ("m6", None, 3, "tree", "champion", 9)]
+    models = spark.createDataFrame(rows, "model_version string, generation int, record_class int, family string, status string, evaluated_at int")
+    chosen = lambda current: sorted(r.model_version for r in serving.selectable_models(models, current).collect())
+    assert chosen(None) == ["m1", "m5"] and chosen("m2") == ["m2", "m5"] and chosen("m3") == ["m1", "m5"] and chosen("m6") == ["m1", "m5"]
+
+
+def test_cohorts_are_of_train_assets_with_ends_by_days(spark):
+    rows = [(1, "train", "2024-01-01", 1, 5, True, True), (2, "train", "2024-01-01", 1, 6, True, True), (3, "test", "2024-01-01", 1, 2, True, True), (4, "train", "2024-01-06", 1, 1, True, True),
+            (5, "train", "2024-01-01", 3, 7, True, True), (6, "train", "2024-01-01", 1, 2, False, True), (7, "train", "2024-01-01", 1, 2, True, False), (8, "train", "2024-01-01", 1, None, True, True)]
+    assets = spark.createDataFrame(rows, "asset_id int, split string, start_time string, first_source_cycle int, eol_cycle int, valid_eol_label boolean, eol_observed boolean").withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
+    got = cohort.at_cutoff(assets, F.lit("2024-01-05").cast("timestamp_ntz")).collect()
+    assert sorted((r.asset_id, r.observed) for r in got) == [(1, True), (2, False), (5, True), (6, False), (7, False), (8, True)]
+    assert [tuple(r)[1:] for r in cohort.counts_at(assets, ["2024-01-05", "2024-01-06", "2023-01-01"]).orderBy("cutoff").collect()] == [(0, 0, 0), (6, 3, 3), (7, 5, 2)]
 
 
 def test_malformed_events_are_left_out(spark):
@@ -109,7 +127,7 @@ def test_more_assets_than_the_targets_go_to_the_first_split(spark):
 def test_kaplan_meier_of_censoring(spark):
     rows = spark.createDataFrame([(1.0, True), (2.0, False), (3.0, True), (3.0, False)], "duration double, event boolean")
     out = [(r.at_risk, r.censored, round(r.survival, 6)) for r in survival.censoring(rows).orderBy("duration").collect()]
-    assert out == [(4, 0, 1.0), (3, 1, round(2 / 3, 6)), (2, 1, round(1 / 3, 6))]
+    assert out == [(3, 0, 1.0), (3, 1, round(2 / 3, 6)), (1, 1, 0.0)]
 
 
 def test_duplicates_and_rules(spark):
@@ -149,6 +167,41 @@ def test_replayed_batch_changes_nothing_and_late_rows_wait(spark, tmp_path):
         store.process(batch((1, 2, 9)), 3, expected, strict=True)
 
 
+def samples_of(spark, *rows):
+    kind = "event_id string, asset_id bigint, cycle_index bigint, sample_index bigint, event_time string, voltage double"
+    return spark.createDataFrame([(f"{a}:{c}:{s}", a, c, s, "2024-01-01", 1.0) for a, c, s in rows], kind).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def test_an_overfull_cycle_never_becomes_final(spark, tmp_path):
+    from fleetmill.streaming.stream import CycleStore
+
+    expected = spark.createDataFrame([(1, 1, 5)], "asset_id bigint, cycle_index bigint, expected_telemetry_rows bigint")
+    store = CycleStore(spark, str(tmp_path / "a"))
+    six = [(1, 1, s) for s in range(6)]
+    store.process(samples_of(spark, *six), 0, expected)
+    for _ in range(2):  # a batch that runs again changes nothing
+        store.process(samples_of(spark, *six[:5]), 1, expected)
+    store.process(samples_of(spark, (1, 1, 7), (1, 1, 0)), 2, expected)
+    store.process(samples_of(spark, (1, 1, 7)), 3, expected)
+    assert store.finals().count() == 0 and store.before("open", 4).count() == 0
+    assert sorted(r.event_id for r in store.upto("late", 3).collect()) == [f"1:1:{s}" for s in (0, 1, 2, 3, 4, 5, 7)]
+    with pytest.raises(RuntimeError):
+        CycleStore(spark, str(tmp_path / "b")).process(samples_of(spark, *six), 0, expected, strict=True)
+
+
+def test_strict_streams_take_repeats_of_counted_samples(spark, tmp_path):
+    from fleetmill.streaming.stream import CycleStore
+
+    expected = spark.createDataFrame([(1, 1, 2), (1, 2, 1)], "asset_id bigint, cycle_index bigint, expected_telemetry_rows bigint")
+    store = CycleStore(spark, str(tmp_path))
+    store.process(samples_of(spark, (1, 1, 1), (1, 1, 2)), 0, expected, strict=True)
+    store.process(samples_of(spark, (1, 1, 2), (1, 2, 1)), 1, expected, strict=True)
+    store.process(samples_of(spark, (1, 1, 1), (1, 2, 1)), 2, expected, strict=True)
+    assert store.finals().count() == 2 and store.upto("late", 2).count() == 0
+    with pytest.raises(RuntimeError):
+        store.process(samples_of(spark, (1, 1, 3)), 3, expected, strict=True)
+
+
 def test_filters_reach_the_scan(spark, sf):
     import os
 
