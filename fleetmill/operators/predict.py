@@ -31,13 +31,21 @@ def monotone(curves: DataFrame) -> DataFrame:
     return curves.withColumn("served", F.min(clamped).over(w))
 
 
+#: The longest horizon of a served curve.
+LONGEST = 200
+
+
 def curve_violations(curves: DataFrame, required: tuple[int, ...] = (50, 100, 200)) -> DataFrame:
-    """(asset_id, cycle_index, rising, out_of_range, bad_start, missing) of curves with any fault."""
-    w = Window.partitionBy("asset_id", "cycle_index").orderBy("horizon")
-    p = F.col("probability")
+    """(model_version, asset_id, cycle_index, rising, out_of_range, bad_start, missing) of curves with any fault; without a model_version where curves have none.
+
+    Probabilities are from 0 to 1 and horizons from 0 to LONGEST.
+    """
+    keys = [c for c in ("model_version", "asset_id", "cycle_index") if c in curves.columns]
+    w = Window.partitionBy(*keys).orderBy("horizon")
+    p, h = F.col("probability"), F.col("horizon")
     marked = curves.withColumn("up", F.coalesce(p > F.lag("probability").over(w), F.lit(False)))
-    out = marked.groupBy("asset_id", "cycle_index").agg(
-        F.count_if("up").alias("rising"), F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 1)).alias("out_of_range"), F.count_if((F.col("horizon") == 0) & (p != 1)).alias("bad_start"),
+    out = marked.groupBy(*keys).agg(
+        F.count_if("up").alias("rising"), F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 1) | (h < 0) | (h > LONGEST)).alias("out_of_range"), F.count_if((F.col("horizon") == 0) & (p != 1)).alias("bad_start"),
         (F.lit(len(required)) - F.count_if(F.col("horizon").isin(*required))).alias("missing"),
     )
     return out.where("rising > 0 or out_of_range > 0 or bad_start > 0 or missing <> 0")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmill.functions.scalars import pick
@@ -41,9 +41,15 @@ def soh_percent(soh):
     return F.round(soh * 100, 2)
 
 
-def family_label(family):
-    """A family's name to show: words with capitals, for any of _, - and space between them."""
-    return F.initcap(F.regexp_replace(F.lower(F.trim(family)), "[_ -]+", " "))
+#: The names of known families.
+FAMILIES = {"cox": "Cox", "random_survival_forest": "Random Survival Forest", "ridge": "Ridge", "random_forest": "Random Forest", "xgboost": "XGBoost", "mlp": "MLP"}
+
+
+def family_label(family: Column) -> Column:
+    """A family's name to show: that of a known family, else its own with spaces for _ and a capital at the start of each run of letters. Null stays."""
+    known = F.create_map(*(F.lit(x) for pair in FAMILIES.items() for x in pair))
+    runs = F.regexp_extract_all(F.lower(F.replace(family, F.lit("_"), F.lit(" "))), F.lit(r"(\p{L}+|[^\p{L}]+)"))
+    return F.coalesce(F.try_element_at(known, family), F.array_join(F.transform(runs, F.initcap), ""))
 
 
 def survival_metrics(models: DataFrame) -> DataFrame:

@@ -138,7 +138,7 @@ _BODIES = {
     "irreversible_eol": "SELECT asset_id, cycle_index, raw_rul, rul, eol_cycle FROM v_served",
     "eol_violations": "SELECT asset_id, cycle_index, rul FROM (SELECT asset_id, cycle_index, greatest(raw_rul, 0) AS rul, min(CASE WHEN greatest(raw_rul, 0) = 0 THEN cycle_index END) OVER (PARTITION BY asset_id ORDER BY cycle_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM v_pred) WHERE e IS NOT NULL AND rul <> 0",
     "monotone_curve": "SELECT asset_id, cycle_index, horizon, round(min(least(greatest(probability, 0), 1)) OVER (PARTITION BY asset_id ORDER BY horizon), 6) AS served FROM v_curves",
-    "curve_violations": "SELECT asset_id, cycle_index, count(*) FILTER (up) AS rising, count(*) FILTER (probability < 0 OR probability > 1) AS out_of_range, count(*) FILTER (horizon = 0 AND probability <> 1) AS bad_start, CAST(0 AS BIGINT) AS missing FROM (SELECT *, probability > lag(probability) OVER (PARTITION BY asset_id ORDER BY horizon) AS up FROM v_curves) GROUP BY ALL HAVING count(*) FILTER (up) > 0 OR count(*) FILTER (probability > 1) > 0",
+    "curve_violations": "SELECT * FROM (SELECT model_version, asset_id, cycle_index, count(*) FILTER (up) AS rising, count(*) FILTER (probability < 0 OR probability > 1 OR horizon < 0 OR horizon > 200) AS out_of_range, count(*) FILTER (horizon = 0 AND probability <> 1) AS bad_start, 3 - count(*) FILTER (horizon IN (50, 100, 200)) AS missing FROM (SELECT *, probability > lag(probability) OVER (PARTITION BY model_version, asset_id ORDER BY horizon) AS up FROM (SELECT asset_id, cycle_index, probability, horizon, 'm1' AS model_version FROM v_curves UNION ALL SELECT asset_id, cycle_index, probability, horizon + CASE WHEN asset_id % 5 = 0 THEN 50 ELSE 0 END, 'm2' FROM v_curves)) GROUP BY model_version, asset_id, cycle_index) WHERE rising > 0 OR out_of_range > 0 OR bad_start > 0 OR missing <> 0",
     "qc_report": "SELECT * FROM (SELECT 'sample_rows' AS metric, count(*)::DOUBLE AS value FROM v_samples UNION ALL SELECT 'sampled_assets', count(DISTINCT asset_id) FROM v_samples UNION ALL SELECT 'min_voltage', min(voltage) FROM v_samples UNION ALL SELECT 'max_voltage', max(voltage) FROM v_samples UNION ALL SELECT 'min_current', min(current) FROM v_samples UNION ALL SELECT 'max_current', max(current) FROM v_samples UNION ALL SELECT 'min_temperature', min(temperature) FROM v_samples UNION ALL SELECT 'max_temperature', max(temperature) FROM v_samples UNION ALL SELECT 'missing_temperature', count(*) - count(temperature) FROM v_samples UNION ALL SELECT 'missing_resistance', count(*) - count(resistance) FROM v_samples UNION ALL SELECT 'repeated_cycles', count(*) - count(DISTINCT (asset_id, cycle_index)) FROM v_cycles UNION ALL SELECT 'missing_capacity', count(*) - count(capacity) FROM v_samples UNION ALL SELECT 'negative_current', count(*) FILTER (current < 0) FROM v_samples UNION ALL SELECT 'cycle_rows', count(*) FROM v_cycles UNION ALL SELECT 'assets', count(DISTINCT asset_id) FROM v_cycles UNION ALL SELECT 'max_cycle', max(cycle_index) FROM v_cycles)",
     "cycles_histogram": "SELECT cycles, count(*) AS assets FROM (SELECT asset_id, count(*) AS cycles FROM v_cycles GROUP BY asset_id) GROUP BY cycles",
     "duplicate_keys": "SELECT l_orderkey, l_linenumber, count(*) AS rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
@@ -201,7 +201,7 @@ _BODIES = {
     "serving_cycles": "SELECT asset_id, cycle_index, CAST(NULL AS DOUBLE) AS soh, CAST(NULL AS DOUBLE) AS rul_cycles, max_capacity, round(resistance, 6) AS resistance, max_temperature, charge_time, round(capacity_slope, 6) AS capacity_slope, round(efficiency, 6) AS efficiency FROM v_features",
     "serving_evaluations": f"SELECT model_version, status, '2024-01-' || lpad(CAST(evaluated_at + 1 AS VARCHAR), 2, '0') || ' 00:00:00' AS evaluated_at, '{{}}' AS training_metadata, fingerprint, CAST(NULL AS VARCHAR) AS generation FROM {_MODELS}",
     "cycle_labels": "SELECT c.asset_id, c.cycle_index, CASE WHEN m.eol_cycle IS NOT NULL THEN CAST(greatest(m.eol_cycle - c.cycle_index, 0) AS DOUBLE) END AS rul_cycles, round(c.o_totalprice / 250000.0::DOUBLE / CASE WHEN c.asset_id % 2 = 0 THEN 0.8::DOUBLE ELSE 1 END * 100, 2) AS percent FROM v_cycles c JOIN v_manifest m USING (asset_id)",
-    "family_labels": "SELECT p_partkey, array_to_string(list_transform(str_split(regexp_replace(lower(p_type || '_by-spark'), '[_ -]+', ' ', 'g'), ' '), lambda x: upper(left(x, 1)) || substr(x, 2)), ' ') AS label FROM part",
+    "family_labels": "SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN 'XGBoost' WHEN 1 THEN 'Random Survival Forest' ELSE array_to_string(list_transform(regexp_extract_all(lower(replace(p_type || '_by-spark 2x', '_', ' ')), '[a-z]+|[^a-z]+'), lambda x: upper(left(x, 1)) || substr(x, 2)), '') END AS label FROM part",
     "survival_metrics": "SELECT 'm' || asset_id AS model_version, CASE WHEN asset_id % 3 <> 0 THEN asset_id % 5 / 4.0::DOUBLE END AS ibs, asset_id % 2 / 2.0::DOUBLE AS c_index, asset_id % 9 / 8.0::DOUBLE AS brier_100 FROM (SELECT DISTINCT asset_id FROM v_cycles)",
     "survival_winner": "SELECT * FROM (SELECT 'm' || asset_id AS model_version, CASE WHEN asset_id % 3 <> 0 THEN asset_id % 5 / 4.0::DOUBLE END AS ibs, asset_id % 2 / 2.0::DOUBLE AS c_index FROM (SELECT DISTINCT asset_id FROM v_cycles)) ORDER BY ibs ASC NULLS LAST, c_index DESC NULLS LAST, model_version LIMIT 1",
     "generalisation_gap": "SELECT round(max(mae) FILTER (split = 'test') - max(mae) FILTER (split = 'validation'), 6) AS test_validation, round(max(mae) FILTER (split = 'test') - max(mae) FILTER (split = 'train'), 6) AS test_train FROM (SELECT m.split, avg(abs(greatest(p.raw_rul, 0) - (m.last_source_cycle - p.cycle_index))) AS mae FROM v_pred p JOIN v_manifest m USING (asset_id) GROUP BY m.split)",

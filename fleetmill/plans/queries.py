@@ -267,7 +267,10 @@ def monotone_curve(spark, sf):
 
 @query
 def curve_violations(spark, sf):
-    return predict.curve_violations(domain.curves(spark, sf))
+    """Curves of two model versions, of which one has horizons beyond the longest."""
+    c = domain.curves(spark, sf).withColumn("model_version", F.lit("m1"))
+    beyond = F.col("horizon") + F.when(F.col("asset_id") % 5 == 0, 50).otherwise(0)
+    return predict.curve_violations(c.unionByName(c.withColumns({"model_version": F.lit("m2"), "horizon": beyond})))
 
 
 @query
@@ -429,7 +432,8 @@ def cycle_labels(spark, sf):
 
 @query
 def family_labels(spark, sf):
-    return domain.table(spark, sf, "part").select("p_partkey", serving.family_label(F.concat(F.col("p_type"), F.lit("_by-spark"))).alias("label"))
+    name = F.when(F.col("p_partkey") % 7 == 0, "xgboost").when(F.col("p_partkey") % 7 == 1, "random_survival_forest").otherwise(F.concat(F.col("p_type"), F.lit("_by-spark 2x")))
+    return domain.table(spark, sf, "part").select("p_partkey", serving.family_label(name).alias("label"))
 
 
 @query
