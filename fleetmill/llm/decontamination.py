@@ -6,13 +6,17 @@ cut and hash; a shorter item is one window. Only hashes are broadcast, eight
 bytes a distinct window, and no more than ``slice_windows`` at a time: larger
 benchmarks are dealt into slices by hash, and the documents are scanned once a
 slice. A scan rolls a hash over each document's words; what hits the set is
-verified by a join with the windows' words, and only such rows are shuffled.
+verified by a join with the windows' words, and only such rows are shuffled: one
+for each distinct window of a document, with its places. A window is one row
+whatever the number of its items: it holds a digest of their set, and sets are
+expanded once for each combination of sets that documents have.
 """
 
 from __future__ import annotations
 
 import hashlib
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +26,7 @@ WIDTH = 10
 #: Distinct windows broadcast at once, 8 bytes each and two bytes of flags.
 SLICE_WINDOWS = 4_000_000
 _FACTOR = 0x9E3779B97F4A7C15
+_WINDOW, _SET = ["size", "hash", "window"], ["x", "y", "z"]
 
 
 def _byte_table() -> bytes:
@@ -92,7 +97,7 @@ class _HashSet:
             self.tables.append((size, known, flags))
 
     def hits(self, hashes):
-        """(size, place, hash) of each window of a text, given its words' hashes, that is in the set."""
+        """(size, places, hash) of each distinct window of a text, given its words' hashes, that is in the set."""
         import numpy as np
 
         for size, known, flags in self.tables:
@@ -100,30 +105,30 @@ class _HashSet:
             at = np.flatnonzero(flags[(h & np.uint64(len(flags) - 1)).astype(np.int64)])
             if len(at):
                 k = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
-                for i in at[known[k] == h[at]].tolist():
-                    yield size, i, h[i]
+                at = at[known[k] == h[at]]
+                at = at[np.argsort(h[at], kind="stable")]
+                for places in np.split(at, np.flatnonzero(np.diff(h[at])) + 1) if len(at) else []:
+                    yield size, places.tolist(), h[places[0]]
 
 
-def _scanned(docs: DataFrame, by_size: dict, text: str, columns: list[str], n_words: str) -> DataFrame:
+def _scanned(docs: DataFrame, sent: Broadcast, text: str, columns: list[str], n_words: str) -> DataFrame:
     """The columns, the number of words, and ``__hits``: the windows whose hash is in the set."""
-    sent = docs.sparkSession.sparkContext.broadcast(by_size)
-
     def scan(batches):
         import numpy as np
         import pyarrow as pa
 
         known = _HashSet(sent.value)
-        kind = pa.list_(pa.struct([("size", pa.int32()), ("low", pa.int64()), ("hash", pa.int64()), ("window", pa.binary())]))
+        kind = pa.list_(pa.struct([("size", pa.int32()), ("places", pa.list_(pa.int64())), ("hash", pa.int64()), ("window", pa.binary())]))
         for batch in sliced(batches):
             n, hits = [], []
             for t in batch.column("__text").to_pylist():
                 own = words(t)
                 n.append(len(own))
                 found = known.hits(word_hashes(own))
-                hits.append([{"size": s, "low": i, "hash": int(np.int64(h.astype(np.int64))), "window": b" ".join(own[i : i + s])} for s, i, h in found])
+                hits.append([{"size": s, "places": at, "hash": int(h.astype(np.int64)), "window": b" ".join(own[at[0] : at[0] + s])} for s, at, h in found])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(n, pa.int64()), pa.array(hits, kind)], [*columns, n_words, "__hits"])
 
-    new = {n_words: "bigint", "__hits": "array<struct<size:int,low:bigint,hash:bigint,window:binary>>"}
+    new = {n_words: "bigint", "__hits": "array<struct<size:int,places:array<bigint>,hash:bigint,window:binary>>"}
     schema = docs.select(*columns).withColumns({k: F.lit(None).cast(v) for k, v in new.items()}).schema
     return docs.select(*columns, F.col(text).alias("__text")).mapInArrow(scan, schema)
 
@@ -156,26 +161,40 @@ def contamination(
     with Scratch(docs.sparkSession) as scratch, arrow_batches(docs.sparkSession, 500):
         named = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
         found = scratch.write(windows(named, width), "windows")
-        slices = int(found.agg(F.count_distinct("size", "hash")).first()[0] // slice_windows) + 1
+        # A window once; windows of the same items have the same digest of them.
+        digest = [F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("y"), F.count("*").alias("z")]
+        once = scratch.write(found.distinct().groupBy(*_WINDOW).agg(*digest), "once")
+        slices = once.count() // slice_windows + 1
         docs = docs.withColumn("__row", F.monotonically_increasing_id())
         docs = docs if slices == 1 else scratch.write(docs.select(*{*keep, text}, "__row"), "rows")
         parts = []
-        for k, by_size in enumerate(_slices(found, slices)):
-            part = _scanned(docs, by_size, text, [*keep, "__row"] if k == 0 else ["__row"], n_words)
+        for k, by_size in enumerate(_slices(once, slices)):
+            sent = docs.sparkSession.sparkContext.broadcast(by_size)
+            part = _scanned(docs, sent, text, [*keep, "__row"] if k == 0 else ["__row"], n_words)
             parts.append(written(part, "scanned") if k == 0 else scratch.write(part.where(F.size("__hits") > 0).select("__row", "__hits"), "hits"))
+            sent.unpersist()  # the slice's rows are written
         hits = parts[0].where(F.size("__hits") > 0).select("__row", "__hits")
         for part in parts[1:]:
             hits = hits.unionByName(part)
         each = hits.select("__row", F.inline("__hits"))
-        good = each.join(small(found), ["size", "hash", "window"]).groupBy("__row", "low", "size").agg(F.collect_set("item").alias("of"))
-        span = F.struct("low", (F.col("low") + F.col("size")).alias("high"))
-        judged = good.groupBy("__row").agg(F.array_sort(F.collect_list(span)).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias(items))
-        judged = written(_merged(judged, spans, items, n_hit), "judged")
+        good = each.join(small(once), _WINDOW)
+        span = F.transform("places", lambda low: F.struct(low.alias("low"), (low + F.col("size")).alias("high")))
+        by_row = good.groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list(span))).alias(spans), F.array_sort(F.collect_set(F.struct(*_SET))).alias("__sets"))
+        by_row = scratch.write(by_row.withColumns({"__a": F.xxhash64("__sets"), "__b": F.xxhash64(F.lit(1), "__sets")}), "by-row")
+        used = by_row.groupBy("__a", "__b").agg(F.first("__sets").alias("__sets")).select("__a", "__b", F.inline("__sets"))
+        listed = used.join(_item_lists(found, once), _SET).groupBy("__a", "__b").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("of")))).alias(items))
+        judged = written(_merged(by_row.join(listed, ["__a", "__b"]).select("__row", spans, items), spans, items, n_hit), "judged")
     none = {spans: F.array().cast("array<struct<low:bigint,high:bigint>>"), items: F.array().cast("array<string>"), n_hit: F.lit(0).cast("bigint")}
     joined = parts[0].drop("__hits").join(small(judged), "__row", "left")
     return joined.select(*keep, n_words, *(F.coalesce(c, v).alias(c) for c, v in none.items()))
 
 
+def _item_lists(found: DataFrame, once: DataFrame) -> DataFrame:
+    """(x, y, z, of): each set of items, a row a set, from the items of one window that has it."""
+    one = once.groupBy(*_SET).agg(F.min(F.struct(*_WINDOW)).alias("w")).select(*_SET, "w.*")
+    return found.distinct().join(one, _WINDOW).groupBy(*_SET).agg(F.collect_list("item").alias("of"))
+
+
 def _merged(judged: DataFrame, spans: str, items: str, n_hit: str) -> DataFrame:
     """Sorted spans united where they touch, with their number of words."""
 
