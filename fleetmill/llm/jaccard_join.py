@@ -14,10 +14,11 @@ A set's first n - ceil(t n) + 1 shingles are its prefix. Two sets of similarity
 The boundary is the prefix length at which enumerating pairs would cost more
 rows than scanning lists, from counts over all sets.
 
-Frequent shingles are known from counters that each task fills with all its
-shingles, by hash bucket: a passage that many documents share comes last in
-their order and so makes no long list. Only sets that consist of such shingles
-(copies of one another, nearly) have long lists: those are split (see blocks).
+Frequent shingles are known from counters by hash bucket, which tasks fill with
+all shingles and Spark adds up: a passage that many documents share comes last
+in their order and so makes no long list, however tasks are cut. Whatever list
+is longer than a block all the same, as those of sets that consist of frequent
+shingles are, is split (see blocks).
 
 Equal sets are one node. In a list, sets are compared by bit sketches that give
 an upper bound of their overlap, and a spanning forest of what passes makes
@@ -43,8 +44,8 @@ PERCENT = 85
 LEAST_BITS, BIT_SHARE = 128, 0.5
 #: The longest prefix for which pairs are considered.
 MAX_PAIRS_PREFIX = 16
-#: Counters of shingles a task (16 MB). A bucket is frequent from so many, and from so many times the mean, on.
-BUCKETS, FREQUENT, TIMES = 1 << 22, 1000, 8
+#: Counters of shingles a task (16 MB), sent in so many ranges. A bucket is frequent from so many, and from so many times the mean, on.
+BUCKETS, RANGES, FREQUENT, TIMES = 1 << 22, 64, 1000, 8
 #: Sets of a list, and texts of a candidate group, that are compared at once; what has more is split.
 BLOCK = 256
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -73,10 +74,11 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 
 
 def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, t1, t2, n, key, bits, prefix, buckets, counts): t1, t2 a text's hash; key the set's, null for an empty one.
+    """(doc_id, t1, t2, n, key, bits, prefix, range, counts): t1, t2 a text's hash; key the set's, null for an empty one.
 
-    The prefix is in hash order. One row a task has only ``buckets`` and
-    ``counts``: the frequent ones among the task's shingles.
+    The prefix is in hash order. RANGES rows a task at most have only ``range``
+    and ``counts``: the task's counters of that range, in as few bytes each as
+    the largest needs.
     """
 
     def run(batches):
@@ -100,18 +102,19 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
                 bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
                 prefix.append(h[: prefix_length(len(h), percent)].view(np.int64))
             rows, none = len(n), [None] * len(n)
-            new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(none, pa.list_(pa.int32())), pa.array(none, pa.list_(pa.int32()))]
+            new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], names)
-        often = np.flatnonzero(seen >= 4 + 6 * seen.sum() / BUCKETS)
-        if len(often):
-            one = [pa.nulls(1, c.type) for c in (*(batch.column(c) for c in names[:3]), *new[:4])]
-            yield pa.RecordBatch.from_arrays([*one, pa.array([often.tolist()], pa.list_(pa.int32())), pa.array([seen[often].tolist()], pa.list_(pa.int32()))], names)
+        for k, part in enumerate(seen.reshape(RANGES, -1)):
+            if part.any():
+                counts = part.astype(np.min_scalar_type(int(part.max()))).tobytes()
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c) for c in kinds), pa.array([k], pa.int32()), pa.array([counts], pa.binary())], names)
 
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     rows = docs.select("doc_id", *text_hashes(text), F.col(text).alias("__text"))
-    schema = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, buckets array<int>, counts array<int>")
-    names = schema.names
+    schema = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, range int, counts binary")
+    names, kinds = schema.names, to_arrow_schema(schema).types[:7]
     return rows.mapInArrow(run, schema)
 
 
@@ -123,9 +126,30 @@ def prefix_length(n: int, percent: int) -> int:
 def frequent(marks: DataFrame) -> DataFrame:
     """(bucket): the buckets of shingles, counted over all documents, that come last in every prefix; BUCKETS / TIMES at most."""
     total = marks.agg(F.sum("n")).first()[0] or 0
-    each = marks.where("buckets is not null").select(F.explode(F.arrays_zip("buckets", "counts")).alias("c"))
-    by = each.groupBy(F.col("c.buckets").alias("bucket")).agg(F.sum("c.counts").alias("n"))
-    return by.where(F.col("n") >= max(FREQUENT, TIMES * total / BUCKETS)).select("bucket")
+    least = max(FREQUENT, TIMES * total / BUCKETS)
+
+    def add(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        size, at, sums = BUCKETS // RANGES, None, None
+
+        def found():
+            return pa.RecordBatch.from_arrays([pa.array((np.flatnonzero(sums >= least) + at * size).astype(np.int32))], ["bucket"])
+
+        for batch in batches:
+            for k, counts in zip(batch.column("range").to_pylist(), batch.column("counts"), strict=True):
+                if k != at:
+                    if sums is not None:
+                        yield found()
+                    at, sums = k, np.zeros(size, dtype=np.int64)
+                raw = counts.as_buffer()
+                sums += np.frombuffer(raw, dtype=f"u{raw.size // size}")
+        if sums is not None:
+            yield found()
+
+    each = marks.where("range is not null").select("range", "counts")
+    return each.repartition("range").sortWithinPartitions("range").mapInArrow(add, "bucket int")
 
 
 def ordered(sets: DataFrame, docs: DataFrame, buckets: list[int], scratch: Scratch, text: str, width: int, percent: int) -> DataFrame:
@@ -288,14 +312,14 @@ def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PER
 
     cold, hot = _keys(sets, bound, percent)
     sketch = sets.select("id", "n", "bits").hint("merge")  # one plan for small and large tables
-    # Lists of shingles that aren't frequent are short, whatever the number of documents.
-    # Of these, a row goes on if the size next to its own allows a link.
-    sizes = Window.partitionBy("s").orderBy("n")
-    met = cold.withColumns({"less": F.lag("n").over(sizes), "more": F.lead("n").over(sizes)}).where((F.col("less") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("more") * percent)).select("id", "s")
+    # Lists of shingles that aren't frequent are short as a rule. Of these, a row goes on if the size next to its own allows a link.
+    own = Window.partitionBy("s")
+    sizes = own.orderBy("n")
+    cold = cold.withColumns({"less": F.lag("n").over(sizes), "more": F.lead("n").over(sizes), "members": F.count("*").over(own)})
+    met = cold.where((F.col("less") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("more") * percent)).select("id", "s", "members")
     lengths = hot.groupBy("s").agg(F.count("*").alias("members")).where("members > 1")
-    copies = scratch.write(hot.join(lengths, "s"), "lists")
-    met = met.unionByName(copies.where(F.col("members") <= block).drop("members"))
-    rows = met.join(sketch, "id").select("s", "id", "n", "bits").repartition("s").sortWithinPartitions("s", "n", "id")
+    lists = scratch.write(met.unionByName(hot.join(lengths, "s")), "lists")
+    rows = lists.where(F.col("members") <= block).drop("members").join(sketch, "id").select("s", "id", "n", "bits").repartition("s").sortWithinPartitions("s", "n", "id")
 
     def compare(batches):
         import numpy as np
@@ -356,7 +380,7 @@ def candidates(sets: DataFrame, bound: int, scratch: Scratch, percent: int = PER
                 yield pa.RecordBatch.from_arrays([pa.array(ids[list(x)], pa.int64()), pa.array(ids[list(y)], pa.int64())], ["a", "b"])
 
     edges = rows.mapInArrow(compare, "a bigint, b bigint")
-    long = copies.where(F.col("members") > block)
+    long = lists.where(F.col("members") > block)
     if not long.isEmpty():
         joined, rest = centred(long.join(sketch, "id"), ["s"], near, scratch, block)
         edges = edges.unionByName(joined).unionByName(dealt(rest, ["s"], block).mapInArrow(split, "a bigint, b bigint"))

@@ -207,6 +207,27 @@ def test_jaccard_blocks(spark, monkeypatch, frequent):
     assert sorted(map(tuple, got.collect()), key=str) == brute_jaccard(texts)
 
 
+def test_frequent_shingles_do_not_depend_on_tasks(spark, monkeypatch):
+    r = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, passage + " " + " ".join(f"w{r.randrange(10**6)}" for _ in range(160))) for k in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [sorted(x.bucket for x in jaccard_join.frequent(jaccard_join.sketches(docs.repartition(n))).collect()) for n in (2, 60)]
+    assert found[0] == found[1] and len(found[0]) >= 37
+    # Without the counters' help, the passage's lists are long: they are split, and no unit is above two blocks.
+    marks = jaccard_join.sketches(docs).where("n > 0").withColumn("id", F.monotonically_increasing_id())
+    units = []
+    dealt = jaccard_join.dealt
+    monkeypatch.setattr(jaccard_join, "dealt", lambda rows, group, block: units.append(dealt(rows, group, block)) or units[-1])
+    with common.Scratch(spark) as scratch:
+        sets = scratch.write(jaccard_join.ordered(marks, docs, [], scratch, "text", 4, 85), "sets")
+        edges = jaccard_join.candidates(sets, 0, scratch, block=100).collect()
+        lists = next(p for p in scratch.paths if p.endswith("-lists"))
+        members = spark.read.parquet(lists).groupBy("s").agg(F.count("*").alias("n"), F.max("members").alias("members")).collect()
+        assert units and max(x["count"] for x in units[0].groupBy("s", "i", "j").count().collect()) < 300
+    assert not edges and max(x.members for x in members) == 1200
+
+
 def test_blocks_join_what_links(spark):
     """Centres, core and rest: the same components as all pairs, on chains, stars and dense groups."""
     r = random.Random(7)
@@ -260,6 +281,32 @@ def test_decontamination(spark, docs, slice_windows):
     assert none.where("n_hit > 0").count() == 0 and none.count() == docs.count()
 
 
+def test_items_that_share_windows(spark):
+    line = "this prompt line of ten words is shared by every item"
+    items = [(k, f"{line} number {k}") for k in range(400)] + [(1000, "Yes"), (1001, "yes"), (1000, "yes yes")]
+    rows = [(k, f"yes a {line} yes {'number 7' if k % 3 else ''} b yes") for k in range(60)] + [(99, "yes " * 500), (100, ""), (101, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.contamination(docs, bench, keep=["doc_id"]).collect()
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.n_hit > 0) for r in found), key=str)
+    assert got == sorted(decontamination.brute_force(rows, items), key=str)
+    # A document's hits are a row a distinct window, and items that share windows are listed once a set.
+    with common.Scratch(spark) as scratch:
+        cut = scratch.write(decontamination.windows(bench.select(F.col("item_id").cast("string").alias("item"), "text")), "windows")
+        digest = [F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "item")).alias("y"), F.count("*").alias("z")]
+        once = cut.distinct().groupBy("size", "hash", "window").agg(*digest)
+        lists = {frozenset(r.of) for r in decontamination._item_lists(cut, once).collect()}
+    assert frozenset(str(k) for k in range(400)) in lists and len(lists) <= 403
+
+
+def test_long_texts_and_clashing_columns_in_decontamination(spark):
+    long = "word " * 300_000 + "a b c d e f g h i j"
+    docs = spark.createDataFrame([(1, long, 5, "x"), (2, "", 6, "y")], "doc_id bigint, text string, n_hit int, size string")
+    got = {r.doc_id: r for r in decontamination.contamination(docs, spark.createDataFrame([(1, "A b c d e f g h i j")], "item_id bigint, text string")).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].spans[0].low, got[1]["size"]) == (300_010, 10, 300_000, "x")
+    assert (got[2].n_words, got[2].n_hit, got[2]["items"]) == (0, 0, [])
+
+
 def test_spans_are_cut(spark):
     rows = spark.createDataFrame([(1, "Keep this, A b; c d. Then é more"), (2, None), (3, "a b c")], "doc_id bigint, text string")
     found = decontamination.contamination(rows, spark.createDataFrame([(1, "a B c D")], "item_id bigint, text string"))
@@ -405,9 +452,29 @@ def test_templates_equal_a_plain_tree(spark):
         path = "/".join(r.choice(["en", "de", "x", "", "tag", "p<n>"] + (["w" + chr(97 + r.randrange(26)) + chr(97 + r.randrange(3))] * 6 if host == "two" else [])) for _ in range(r.randrange(1, 6)))
         pages.append((host, path, r.choice([None, None, int("de" in path or r.random() < 0.1)])))
     frame = spark.createDataFrame([(h, "/" + s, b) for h, s, b in pages], "host string, path string, bad int")
-    with common.Scratch(spark) as scratch:
-        got = {(x.host, x["shape"]): x.template for x in url_filter.templates(frame, scratch).collect()}
-    assert got == plain_templates(pages)
+    for leaves in (20_000, 10, 0):  # by tasks, both ways, by shuffles
+        with common.Scratch(spark) as scratch:
+            got = {(x.host, x["shape"]): x.template for x in url_filter.templates(frame, scratch, task_leaves=leaves).collect()}
+        assert got == plain_templates(pages)
+
+
+def test_jobs_do_not_grow_with_depth(spark):
+    sc, jobs = spark.sparkContext, []
+    for depth in (5, 50, 5000):
+        group = f"depth-{depth}"
+        path = "http://h.org/" + "/".join(f"s{chr(97 + k % 26)}" for k in range(depth))
+        sc.setJobGroup(group, group)
+        rows = [(path + "/x", 1), (path + "/y", 0)]
+        out = {r.url[-1]: r for r in url_filter.judge(spark.createDataFrame(rows, "url string, bad int"), rules=(), labels=F.col("bad"), weight=0.5).collect()}
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(group)))
+        assert out["x"].template == out["x"].path and (out["x"].verdict, out["y"].verdict) == ("block", "allow")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] == jobs[2]
+
+
+def test_url_columns_are_replaced(spark):
+    pages = spark.createDataFrame([("http://a.org/x", "old", "old"), (None, "old", "old")], "url string, host string, verdict string")
+    assert sorted((r.host, r.verdict) for r in url_filter.judge(pages).collect()) == [("", "allow"), ("a.org", "allow")]
 
 
 def test_sharding(spark, docs):
