@@ -39,6 +39,43 @@ def order_violations(rows: DataFrame, group: str, position: str, key: list[str])
     return rows.withColumn("_k", F.struct(*key)).withColumn("_b", F.lag("_k").over(w)).where("_b is not null and _k <= _b").drop("_k", "_b")
 
 
+def file_neighbours(rows: DataFrame, key: list[str], within: list[str], block: int = 65_536) -> DataFrame:
+    """rows with ``before``: the key (a struct) of the row before, in the order of file and place there, among rows that are equal in ``within``.
+
+    ``rows`` has _file and _row, as in_file() gives them. Rows are compared in
+    blocks of places; only the last key of each block goes on to the next, so
+    no task orders a whole file or group. The first row's ``before`` is null.
+    """
+    rows = rows.withColumns({"_k": F.struct(*key), "_b": F.floor(F.col("_row") / block)})
+    part = list(dict.fromkeys([*within, "_file", "_b"]))
+    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in part]
+    rows = rows.withColumn("before", F.lag("_k").over(Window.partitionBy(*part).orderBy("_row")))
+    ends = rows.groupBy(*part).agg(F.max_by("_k", "_row").alias("_last"), F.min("_row").alias("_first"))
+    ends = ends.withColumn("_last", F.lag("_last").over(Window.partitionBy(*within).orderBy("_file", "_b")))
+    ends = ends.select(*(F.col(c).alias(f"_o_{c}") for c in part), "_last", "_first")
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    joined = rows.join(ends, on)
+    before = F.when(F.col("_row") == F.col("_first"), F.col("_last")).otherwise(F.col("before"))
+    return joined.withColumn("before", before).drop("_b", "_last", "_first", *(f"_o_{c}" for c in part))
+
+
+def in_file(rows: DataFrame) -> DataFrame:
+    """Rows of a Parquet table, as read, with _file and _row: their file and their place in it."""
+    return rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+
+
+def file_order_violations(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of a Parquet table whose key isn't above that of the row before them in their file, with _file and _row."""
+    return file_neighbours(in_file(rows), key, ["_file"]).where("_k <= before").drop("_k", "before")
+
+
+def unsorted_groups(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, errors): the groups whose values fall somewhere in the order of files and places, and how often; equal neighbours are in order."""
+    return file_neighbours(in_file(rows), [value], [group]).where("_k < before").groupBy(group).agg(F.count("*").alias("errors"))
+
+
 def total_differences(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """(key, source_rows, target_rows) where the two differ."""
     a = source.groupBy(key).agg(F.count("*").alias("source_rows"))

@@ -25,6 +25,17 @@ def landmark_rows(cycles: DataFrame, assets: DataFrame, flags: DataFrame, cutoff
     return out.where("duration > 0").select("asset_id", "cycle_index", "split", "duration", "event")
 
 
+def with_state_rows(features: DataFrame, state: DataFrame, assets: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Held-out assets' features, and the published state's for the train assets that have arrived, in place of train rows of their own.
+
+    ``assets`` has asset_id and split, ``arrived`` the arrived train asset_ids.
+    An asset without a split isn't train. Columns are those of ``features``.
+    """
+    train = assets.where("split = 'train'").select("asset_id").distinct()
+    rows = state.join(arrived.select("asset_id").distinct(), "asset_id", "left_semi").select(*features.columns)
+    return features.join(train, "asset_id", "left_anti").select(*features.columns).unionByName(rows)
+
+
 def shown_cycle(cutoff: Column) -> Column:
     """The last cycle of an asset (first_source_cycle, last_source_cycle, start_time) that is there at a cutoff; null before its start."""
     days = F.floor((F.unix_micros(cutoff.cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 86_400_000_000)

@@ -233,6 +233,13 @@ _BODIES = {
     "curve_count": "SELECT count(*) AS curves FROM (SELECT DISTINCT asset_id, cycle_index FROM v_curves)",
     "seeded_outlet": "SELECT asset_id, cycle_index, CAST(generation AS INTEGER) AS generation_id, max_capacity FROM v_state JOIN v_generations USING (asset_id, cycle_index)",
     "stream_finalized": "SELECT asset_id, max_cycle, cycles FROM v_boundary",
+    "ingest_manifest": "SELECT * FROM (SELECT 'samples' AS \"table\", count(*) AS rows FROM v_samples UNION ALL SELECT 'cycles', count(*) FROM (SELECT DISTINCT asset_id, cycle_index FROM v_samples) UNION ALL SELECT unnest(['assets', 'provenance', 'schedule']), count(DISTINCT asset_id) FROM v_samples)",
+    "ingested_samples": "SELECT 'fleet:' || asset_id || ':' || cycle_index || ':' || (sample_index - 1) AS event_id, voltage, CASE WHEN sample_index <= 3 THEN temperature END AS temperature, strftime(TIMESTAMP '2024-01-01' + to_days(CAST(cycle_index - 1 AS INTEGER)) + to_microseconds(CAST(source_time * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS replay_time FROM v_samples",
+    "ingested_cycles": "SELECT asset_id, cycle_index, eol_cycle, CASE WHEN eol_cycle IS NOT NULL THEN greatest(eol_cycle - cycle_index, 0) END AS rul, max_capacity, max_capacity / (CASE WHEN asset_id % 2 = 0 THEN 100000 ELSE 50000 END) AS health, min_temperature FROM (SELECT asset_id, cycle_index, max(capacity) AS max_capacity, min(temperature) FILTER (sample_index <= 3) AS min_temperature FROM v_samples GROUP BY ALL) LEFT JOIN (SELECT asset_id, eol_cycle FROM v_manifest WHERE asset_id % 4 <> 0) USING (asset_id)",
+    "ingested_provenance": "SELECT 'cell_b' || (asset_id % 3 + 1) || 'c' || asset_id || '.json' AS source_file, asset_id, 'batch_' || (asset_id % 3 + 1) AS batch_id, CAST(r AS VARCHAR) AS original_asset_id, 'fleet:' || r AS lineage_group_id, CASE WHEN r <> asset_id THEN 'official_continuation' ELSE 'documented_singleton' END AS lineage_reason, CASE WHEN r <> asset_id THEN 'verified' ELSE 'documented_singleton' END AS provenance_status FROM (SELECT DISTINCT asset_id, CASE WHEN asset_id % 5 = 0 THEN asset_id - 1 ELSE asset_id END AS r FROM v_samples)",
+    "file_order": "SELECT place, l_orderkey, l_linenumber, l_partkey FROM (SELECT row_number() OVER () - 1 AS place, l_orderkey, l_linenumber, l_partkey, lag(l_orderkey) OVER () AS a, lag(l_linenumber) OVER () AS b FROM lineitem) WHERE a IS NOT NULL AND (l_orderkey, l_linenumber) <= (a, b)",
+    "unsorted_cycles": "SELECT o_custkey, count(*) AS errors FROM (SELECT o_custkey, o_orderdate, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY place) AS b FROM (SELECT row_number() OVER () AS place, o_custkey, o_orderdate FROM orders)) WHERE o_orderdate < b GROUP BY o_custkey",
+    "state_train_rows": "SELECT asset_id, cycle_index, CASE WHEN split = 'train' THEN -max_capacity ELSE max_capacity END AS max_capacity FROM v_features JOIN v_manifest USING (asset_id) WHERE split <> 'train' OR (cycle_index <= 3 AND start_time <= TIMESTAMP '1999-12-31')",
     "row_digest": _digest(_STATE_ROWS),
     "boundary_state_id": _STATE_ID,
 }

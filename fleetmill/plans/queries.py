@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetmill.operators import aggregate, cohort, contracts, current, features, finality, merge, normalize, outlet, predict, quality, serving, snapshots, survival
-from fleetmill.sources import domain
+from fleetmill.sources import domain, ingest
 
 QUERIES: dict = {}
 CUTOFF = "1999-12-31"
@@ -973,3 +973,62 @@ def survival_selection(spark, sf):
 
     land = _land(spark, sf).withColumns({"x": F.col("cycle_index").cast("double"), "y": (F.col("asset_id") % 7).cast("double")})
     return models.survival_select(land, {"cycle": ["x"], "cycle_and_asset": ["x", "y"]}, (2, 5, 8))
+
+
+def _records(spark, sf) -> DataFrame:
+    """A record an asset, in a file of its own; temperatures end after three samples."""
+    cells = normalize.nested(domain.samples(spark, sf), list(ingest.CHANNELS))
+    short = F.transform("cycle_data", lambda c: F.struct(c["cycle_number"].alias("cycle_number"), *((F.slice(c[x], 1, 3) if x == "temperature" else c[x]).alias(x) for x in ingest.CHANNELS)))
+    name = F.concat(F.lit("cell_b"), F.col("asset_id") % 3 + 1, F.lit("c"), "asset_id", F.lit(".json"))
+    return cells.select(name.alias("source_file"), "asset_id", F.lit(50000.0).alias("nominal_capacity"), F.when(F.col("asset_id") % 2 == 0, 2.0).alias("charge_range"), short.alias("cycle_data"))
+
+
+def _ingested(spark, sf) -> DataFrame:
+    """The manifest of the test assets as records: those whose id divides by 4 have no label, those by 5 continue the asset before them."""
+    records = _stored(_records(spark, sf))
+    labels = domain.manifest(spark, sf).where("asset_id % 4 <> 0").select(F.concat(F.lit("cell_b"), F.col("asset_id") % 3 + 1, F.lit("c"), "asset_id", F.lit(".json")).alias("source_file"), "eol_cycle")
+    continued = domain.manifest(spark, sf).where("asset_id % 5 = 0").select("asset_id", (F.col("asset_id") - 1).alias("root"))
+    return ingest.ingest(records, labels, continued, _scratch(spark), "fleet", EPOCH)
+
+
+def _ingested_table(spark, sf, name: str) -> DataFrame:
+    home = _ingested(spark, sf).where(F.col("table") == name).first().path
+    return spark.read.parquet(home)
+
+
+@query
+def ingest_manifest(spark, sf):
+    return _ingested(spark, sf).select("table", "rows")
+
+
+@query
+def ingested_samples(spark, sf):
+    return _text_times(_ingested_table(spark, sf, "samples").select("event_id", "voltage", "temperature", "replay_time"), "replay_time")
+
+
+@query
+def ingested_cycles(spark, sf):
+    return _ingested_table(spark, sf, "cycles").select("asset_id", "cycle_index", "eol_cycle", "rul", "max_capacity", "health", "min_temperature")
+
+
+@query
+def ingested_provenance(spark, sf):
+    return _ingested_table(spark, sf, "provenance").select("source_file", "asset_id", "batch_id", "original_asset_id", "lineage_group_id", "lineage_reason", "provenance_status")
+
+
+@query
+def file_order(spark, sf):
+    return quality.file_order_violations(domain.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "_metadata"), ["l_orderkey", "l_linenumber"]).select(F.col("_row").alias("place"), "l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query
+def unsorted_cycles(spark, sf):
+    return quality.unsorted_groups(domain.table(spark, sf, "orders").select("o_custkey", "o_orderdate", "_metadata"), "o_custkey", "o_orderdate")
+
+
+@query
+def state_train_rows(spark, sf):
+    assets, own = domain.manifest(spark, sf), _features(spark, sf).select("asset_id", "cycle_index", "max_capacity")
+    state = own.where("cycle_index <= 3").withColumn("max_capacity", -F.col("max_capacity"))
+    arrived = cohort.at_cutoff(assets.withColumn("eol_observed", F.lit(True)), _cutoff())
+    return survival.with_state_rows(own, state, assets, arrived)
