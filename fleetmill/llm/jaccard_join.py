@@ -86,7 +86,7 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
         import pyarrow as pa
         import xxhash
 
-        seen = np.zeros(BUCKETS, dtype=np.int32)
+        seen, kinds = np.zeros(BUCKETS, dtype=np.int32), None
         for batch in sliced(batches):
             n, key, bits, prefix = [], [], [], []
             for t in batch.column("__text").to_pylist():
@@ -103,18 +103,17 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH, percent: i
                 prefix.append(h[: prefix_length(len(h), percent)].view(np.int64))
             rows, none = len(n), [None] * len(n)
             new = [pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(none, pa.int32()), pa.array(none, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], names)
+            made = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "t1", "t2")), *new], names)
+            kinds = made.schema.types[:7]  # as they came: parts of an id may be declared without nulls, and times have the session's zone
+            yield made
         for k, part in enumerate(seen.reshape(RANGES, -1)):
             if part.any():
                 counts = part.astype(np.min_scalar_type(int(part.max()))).tobytes()
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c) for c in kinds), pa.array([k], pa.int32()), pa.array([counts], pa.binary())], names)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
     rows = docs.select("doc_id", *text_hashes(text), F.col(text).alias("__text"))
-    schema = StructType.fromDDL(f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, range int, counts binary")
-    names, kinds = schema.names, to_arrow_schema(schema).types[:7]
+    names = ["doc_id", "t1", "t2", "n", "key", "bits", "prefix", "range", "counts"]
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t1 bigint, t2 bigint, n bigint, key binary, bits binary, prefix array<bigint>, range int, counts binary"
     return rows.mapInArrow(run, schema)
 
 

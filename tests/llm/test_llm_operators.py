@@ -249,6 +249,30 @@ def test_jaccard_of_an_empty_table(spark, docs):
     assert jaccard_join.jaccard_components(empty(docs)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "made",
+    [
+        lambda k: F.struct((k > 2).alias("last"), k.alias("own"), F.monotonically_increasing_id().alias("row")),  # parts without nulls
+        lambda k: F.timestamp_seconds(k),
+        lambda k: F.struct(F.array(F.timestamp_seconds(k)).alias("times")),
+        lambda k: F.concat(F.lit("é"), k),
+    ],
+)
+def test_jaccard_ids_of_any_type(spark, made):
+    """The counters' rows have the ids' type as it comes: with its parts' nulls, and in the session's zone."""
+    a, b = prose(60, 1), prose(60, 2)
+    rows = [(0, a), (1, a + " more"), (2, b), (3, None), (4, b), (5, "")]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        docs = spark.createDataFrame(rows, "k bigint, text string").coalesce(1).select(made(F.col("k")).alias("doc_id"), "text")
+        ids = [r.doc_id for r in docs.collect()]
+        got = jaccard_join.jaccard_components(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted((ids.index(r.doc_id), r.n_shingles, ids.index(r.component_id)) for r in got) == brute_jaccard(rows)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(r.randrange(60), r.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)] + [(5, 5), (None, 3)]
