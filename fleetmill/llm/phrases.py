@@ -36,6 +36,8 @@ SHARES = 32
 KEPT_WORDS = 300_000
 #: Occurrences for each range of groups that is summed up at once.
 RANGE = 1 << 20
+#: Groups for each range of them whose parts are merged at once.
+PARTS = 1 << 16
 #: Rows that go to a Python worker at once.
 ROWS = 1000
 
@@ -190,12 +192,49 @@ def group_counts(relation: DataFrame, least: int) -> DataFrame:
     return ranges.summed(relation.mapInArrow(count, Ranges.KIND), {1: least}).select(F.col("h").alias("g"), "n")
 
 
+def _distinct(rows):
+    """Rows (g, head, tail), one a group, ascending."""
+    import numpy as np
+
+    return rows[np.unique(rows[:, 0], return_index=True)[1]]
+
+
+def united(batches):
+    """Arrow batches (g, head, tail), one a range, of packed rows of ranges in order."""
+    import numpy as np
+    import pyarrow as pa
+
+    at, own, held = None, [], 0
+
+    def merged():
+        rows = _distinct(np.concatenate(own)).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], ["g", "head", "tail"])
+
+    for batch in batches:
+        for bucket, rows in zip(batch.column("bucket"), batch.column("rows"), strict=True):
+            bucket = bucket.as_py()
+            if bucket != at:
+                if own:
+                    yield merged()
+                at, own, held = bucket, [], 0
+            own.append(np.frombuffer(rows.as_py(), dtype=np.uint64).reshape(-1, 3))
+            held += len(own[-1])
+            if held > max(4 * PARTS, 2 * len(own[0])):
+                own = [_distinct(np.concatenate(own))]
+                held = len(own[0])
+    if own:
+        yield merged()
+
+
 def group_parts(relation: DataFrame, part, groups: int) -> DataFrame:
     """(g, head, tail) of those phrases that pass the filter, about so many: the groups without the last and without the first word.
 
-    Tasks send what they saw as packed rows, one for each range of groups.
+    Tasks send what they saw as packed rows, one for each range of groups. All
+    tasks see nearly all frequent groups, so what is held of them is reduced to
+    one row a group as it grows, on both sides: it is bounded by a range's
+    groups, not by the number of tasks.
     """
-    ranges = max(1, -(-groups // RANGE))
+    ranges = max(1, -(-groups // PARTS))
 
     def find(batches):
         import numpy as np
@@ -203,48 +242,27 @@ def group_parts(relation: DataFrame, part, groups: int) -> DataFrame:
 
         kept, held = [], 0
 
-        def flush():
-            all_, first = np.unique(np.concatenate([x[0] for x in kept]), return_index=True)
-            rows = np.stack([all_, *(np.concatenate([x[i] for x in kept])[first] for i in (1, 2))], axis=1)
-            of = segment_of(all_, ranges).astype(np.int64)
-            at = np.unique(of)
-            return pa.RecordBatch.from_arrays([pa.array(at), pa.array([rows[of == x].tobytes() for x in at], pa.binary())], ["bucket", "rows"])
+        def flush(rows):
+            of = segment_of(rows[:, 0], ranges).astype(np.int64)
+            cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
+            return pa.RecordBatch.from_arrays([pa.array(of[cuts[:-1]]), pa.array([rows[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["bucket", "rows"])
 
         for batch in _batches(batches):
             _, _, g, head, tail = _merged(batch)
             keep = np.flatnonzero(part.value.levels(g) > 0)
-            g, first = np.unique(g[keep], return_index=True)
-            kept.append((g, head[keep[first]], tail[keep[first]]))
-            held += len(g)
-            if held > AT_ONCE:
-                yield flush()
-                kept, held = [], 0
+            kept.append(_distinct(np.stack([g[keep], head[keep], tail[keep]], axis=1)))
+            held += len(kept[-1])
+            if held > AT_ONCE // 2:
+                kept = [_distinct(np.concatenate(kept))]
+                held = len(kept[0])
+                if held > AT_ONCE // 4:
+                    yield flush(kept[0])
+                    kept, held = [], 0
         if held:
-            yield flush()
-
-    def merge(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        at, own = None, []
-
-        def merged():
-            rows = np.concatenate([np.frombuffer(x, dtype=np.int64).reshape(-1, 3) for x in own])
-            rows = rows[np.unique(rows[:, 0], return_index=True)[1]]
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[:, i])) for i in range(3)], ["g", "head", "tail"])
-
-        for batch in batches:
-            for bucket, rows in zip(batch.column("bucket").to_pylist(), batch.column("rows").to_pylist(), strict=True):
-                if bucket != at:
-                    if own:
-                        yield merged()
-                    at, own = bucket, []
-                own.append(rows)
-        if own:
-            yield merged()
+            yield flush(_distinct(np.concatenate(kept)))
 
     sent = relation.mapInArrow(find, "bucket bigint, rows binary").repartition("bucket").sortWithinPartitions("bucket")
-    return sent.mapInArrow(merge, "g bigint, head bigint, tail bigint")
+    return sent.mapInArrow(united, "g bigint, head bigint, tail bigint")
 
 
 def _longer(relation: DataFrame, part) -> DataFrame:

@@ -65,6 +65,29 @@ def test_phrases_of_long_texts_and_many_at_once(spark, monkeypatch):
     assert [int(a) for _, at in pieces for a in at] == [0, 1, 3, 4, 5, 7]
 
 
+def test_parts_of_phrases_are_united_in_bounded_memory():
+    """Every one of 200 tasks sends all 40,000 groups of a range: 192 MB, of which one copy is held."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    g = np.arange(40_000, dtype=np.uint64)
+    rows = np.stack([g, g + np.uint64(1), g + np.uint64(2)], axis=1)
+
+    def sent():
+        for bucket in (0, 0, 3):
+            for _ in range(100):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([rows[::-1].tobytes()], pa.binary())], ["bucket", "rows"])
+
+    tracemalloc.start()
+    got = [b.to_pydict() for b in phrases.united(sent())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 2 and all(x["g"] == list(range(40_000)) and x["tail"][7] == 9 for x in got)
+    assert peak < 80 << 20, peak
+
+
 def test_phrases_of_a_megabyte(spark):
     text = "one two three " * 100_000 + "z" * 1_000_000
     got = phrases.phrases(spark.createDataFrame([("en", text)], "lang string, text string"))
