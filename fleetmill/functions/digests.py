@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Hashes that one row of a level holds, about.
 FOLD = 4096
+#: Signs by which hashes are joined, up to which one row holds what they give: 16 ^ 4 hashes.
+WIDEST = 4
 
 
 def row_hash(columns: list[str]) -> Column:
@@ -20,15 +22,34 @@ def folded(hashes: DataFrame, name: str = "digest", fold: int = FOLD) -> DataFra
     """(digest, rows) of hex hashes in a column h, whatever their order and partitions.
 
     Equal hashes are counted first. Then hashes are joined by their first signs
-    and hashed, so many signs that a row holds about ``fold`` of them, and the
-    results by fewer signs, up to one row.
+    and hashed, so many signs that a row holds about ``fold`` of them. What that
+    gives, a hash for each ``fold`` rows, is hashed in order: by one row while
+    there are few, and else by one task that streams them, as SHA-256 is
+    sequential, and holds none.
     """
     each = hashes.groupBy("h").agg(F.count("*").alias("n"))
     each = each.select(F.when(F.col("n") == 1, F.col("h")).otherwise(F.concat_ws("*", "h", "n")).alias("h"), "n")
     width = max(0, ceil(log(max(1, hashes.count()) / fold, 16)))
     joined = lambda c: F.sha2(F.concat_ws("", F.array_sort(F.collect_list(c))), 256)
     part = each.groupBy(F.substring("h", 1, width).alias("b")).agg(joined("h").alias("h"), F.sum("n").alias("n"))
-    while width > 2:
-        width -= 2
-        part = part.groupBy(F.substring("b", 1, width).alias("b")).agg(joined(F.concat_ws(":", "b", "h")).alias("h"), F.sum("n").alias("n"))
-    return part.agg(joined(F.concat_ws(":", "b", "h")).alias(name), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    part = part.select(F.concat_ws(":", "b", "h").alias("t"), "n")
+    if width > WIDEST:
+        return _streamed(part, name)
+    return part.agg(joined("t").alias(name), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
+def _streamed(parts: DataFrame, name: str) -> DataFrame:
+    """(digest, rows) of texts t, in their order, and numbers n."""
+
+    def run(batches):
+        from hashlib import sha256
+
+        import pyarrow as pa
+
+        found, rows = sha256(), 0
+        for batch in batches:
+            found.update("".join(batch.column("t").to_pylist()).encode())
+            rows += sum(batch.column("n").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([found.hexdigest()]), pa.array([rows], pa.int64())], [name, "rows"])
+
+    return parts.repartition(1).sortWithinPartitions("t").mapInArrow(run, f"`{name}` string, rows bigint")

@@ -106,6 +106,31 @@ def test_digests_fold_in_levels(spark):
     assert twice.digest != a.digest and twice["rows"] == 3001
 
 
+def plain_digest(hashes, fold):
+    """The catalogue's SQL in Python: one level of hashes by their first signs, then one hash of all."""
+    from collections import Counter
+    from hashlib import sha256
+
+    sha = lambda x: sha256("".join(sorted(x)).encode()).hexdigest()
+    width = max(0, math.ceil(math.log(max(1, len(hashes)) / fold) / math.log(16)))
+    parts = {}
+    for h, n in Counter(hashes).items():
+        parts.setdefault(h[:width], []).append(h if n == 1 else f"{h}*{n}")
+    return sha(f"{b}:{sha(own)}" for b, own in parts.items())
+
+
+@pytest.mark.parametrize("fold", [1, 4, 4096])
+@pytest.mark.parametrize("widest", [1, 4])
+def test_digests_of_many_rows_are_those_of_the_sql(spark, monkeypatch, fold, widest):
+    """3,000 rows by 4 have three signs, as 16 million rows have by 4096."""
+    monkeypatch.setattr(digests, "WIDEST", widest)
+    rows = spark.range(3000).select(F.sha2((F.col("id") % 2990).cast("string"), 256).alias("h"))
+    got = digests.folded(rows.repartition(3), fold=fold).first()
+    assert (got.digest, got.rows) == (plain_digest([r.h for r in rows.collect()], fold), 3000)
+    none = digests.folded(rows.where("false"), fold=fold).first()
+    assert (none.digest, none.rows) == (plain_digest([], fold), 0)
+
+
 def test_receipts_notice_changes(spark):
     rows = spark.createDataFrame([(1, 1, 2.0), (1, 2, None)], "asset_id bigint, cycle_index bigint, x double")
     found = snapshots.receipt(rows, 1, "s", "v1")
