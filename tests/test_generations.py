@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetmill.functions import digests
 from fleetmill.operators import cohort, contracts, current, features, outlet, predict, quality, snapshots, survival
+from fleetmill.plans import queries
 from fleetmill.streaming.publish import Publication
 
 CYCLE = "asset_id bigint, cycle_index bigint, max_capacity double, max_charge_capacity double, max_temperature double, min_temperature double, charge_time double"
@@ -98,6 +99,15 @@ def test_lineage_split_equals_a_plain_fold(spark, groups):
         assert {r.lineage_group_id: r.split for r in cohort.lineage_split(assets, chunk=chunk).collect()} == plain_split(sizes)
 
 
+def test_arrivals_beyond_the_year_9999(spark):
+    """54,000 train assets are those of 6 times sf0.1; 3,240,000 those of 360 times, beyond the last timestamp (2273-02-14 and 1,330 times 400 years)."""
+    ranked = spark.createDataFrame([(0,), (1,), (54_000,), (540_000,), (3_240_000,)], "arrival_rank bigint")
+    got = {r.arrival_rank: r.t for r in ranked.select("*", cohort.arrival_text("2024-01-01", 60).alias("t")).collect()}
+    assert got == {0: "2024-01-01 00:00:00", 1: "2024-03-01 00:00:00", 54_000: "10894-10-26 00:00:00", 540_000: "90732-03-10 00:00:00", 3_240_000: "534273-02-14 00:00:00"}
+    times = cohort.scheduled(ranked.where("arrival_rank < 1000000"), "2024-01-01", 60)
+    assert all(r.arrival_time == got[r.arrival_rank] for r in queries._text_times(times, "arrival_time").collect())
+
+
 def test_digests_fold_in_levels(spark):
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     a, b = (digests.folded(r, fold=4).first() for r in (rows, rows.repartition(7)))
