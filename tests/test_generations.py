@@ -108,6 +108,16 @@ def test_arrivals_beyond_the_year_9999(spark):
     assert all(r.arrival_time == got[r.arrival_rank] for r in queries._text_times(times, "arrival_time").collect())
 
 
+def test_lineage_split_is_one_stream_whatever_the_groups(spark):
+    """30,000 groups of 1 to 3 assets; a plan or a job for each chunk of them grew the driver."""
+    sizes = {g: 1 + g % 3 for g in range(30_000)}
+    assets = spark.range(90_000).selectExpr("id as asset_id", "id div 3 as lineage_group_id").where("asset_id % 3 <= lineage_group_id % 3")
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    found = cohort.lineage_split(assets, chunk=100)
+    assert {r.lineage_group_id: r.split for r in found.collect()} == plain_split(sizes)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 20
+
+
 def test_digests_fold_in_levels(spark):
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     a, b = (digests.folded(r, fold=4).first() for r in (rows, rows.repartition(7)))
