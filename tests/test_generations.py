@@ -118,6 +118,17 @@ def test_lineage_split_is_one_stream_whatever_the_groups(spark):
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before < 20
 
 
+def test_a_version_is_replaced_without_a_join_by_it(spark):
+    kind = "model_version string, asset_id bigint, x double"
+    old = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0), ("b", 2, 3.0), (None, 3, 4.0)], kind)
+    out = current.replaced_version(old, spark.createDataFrame([("b", 9, 9.0), ("b", 8, 8.0)], kind))
+    assert {tuple(r) for r in out.collect()} == {("a", 1, 1.0), (None, 3, 4.0), ("b", 9, 9.0), ("b", 8, 8.0)}
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for versions in ([], ["a", "b"]):
+        with pytest.raises(contracts.ContractError):
+            current.replaced_version(old, spark.createDataFrame([(v, 1, 1.0) for v in versions], kind))
+
+
 def test_digests_fold_in_levels(spark):
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     a, b = (digests.folded(r, fold=4).first() for r in (rows, rows.repartition(7)))
