@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetmill.functions.scalars import pick
@@ -56,10 +56,31 @@ def _payload(envelopes: DataFrame, schema: str) -> DataFrame:
     return x.select("p.*", "topic", "partition", "offset").withColumn("event_time", F.try_to_timestamp("event_time"))
 
 
+def event_kinds(envelopes: DataFrame) -> DataFrame:
+    """(topic, kind) of each valid event: telemetry, or the type of a lifecycle event. The payload is parsed once for both.
+
+    A payload may be valid as both, and then is both.
+    """
+    fields = dict.fromkeys(f for schema in (EVENT, LIFECYCLE) for f in schema.split(", "))
+    x = _payload(envelopes, ", ".join(fields))
+    kinds = F.array(F.when(_is_telemetry(), "telemetry"), F.when(_is_lifecycle(), F.col("event_type")))
+    return x.select("topic", F.explode(kinds).alias("kind")).where("kind is not null")
+
+
+def _is_lifecycle() -> Column:
+    return F.col("event_type").isin(*LIFECYCLE_TYPES) & (F.col("schema_version") == VERSION) & F.col("event_id").isNotNull() & F.col("asset_id").isNotNull() & F.col("event_time").isNotNull()
+
+
+def _is_telemetry() -> Column:
+    keep = F.col("schema_version") == VERSION
+    for c in ("event_id", "asset_id", "cycle_index", "sample_index", "event_time"):
+        keep = keep & F.col(c).isNotNull()
+    return keep
+
+
 def decode_lifecycle(envelopes: DataFrame) -> DataFrame:
     """Valid lifecycle events: known types of the right version with id, asset and time."""
-    x = _payload(envelopes, LIFECYCLE)
-    return x.where(F.col("event_type").isin(*LIFECYCLE_TYPES) & (F.col("schema_version") == VERSION) & F.col("event_id").isNotNull() & F.col("asset_id").isNotNull() & F.col("event_time").isNotNull())
+    return _payload(envelopes, LIFECYCLE).where(_is_lifecycle())
 
 
 def completions(lifecycle: DataFrame) -> DataFrame:
@@ -70,12 +91,7 @@ def completions(lifecycle: DataFrame) -> DataFrame:
 
 def decode_events(envelopes: DataFrame, schema: str = EVENT) -> DataFrame:
     """Valid telemetry events; malformed payloads, missing fields, other versions and bad times are left out."""
-    x = _payload(envelopes, schema)
-    needed = ["event_id", "asset_id", "cycle_index", "sample_index", "event_time"]
-    keep = F.col("schema_version") == VERSION
-    for c in needed:
-        keep = keep & F.col(c).isNotNull()
-    return x.where(keep)
+    return _payload(envelopes, schema).where(_is_telemetry())
 
 
 def cycle_reductions(cells: DataFrame, channels: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetmill.functions import digests
-from fleetmill.operators import cohort, contracts, current, features, outlet, predict, quality, snapshots, survival
+from fleetmill.operators import cohort, contracts, current, features, normalize, outlet, predict, quality, snapshots, survival
 from fleetmill.plans import queries
 from fleetmill.streaming.publish import Publication
 
@@ -241,6 +241,19 @@ def done(a, c, n, offset):
     return ("lifecycle", 0, offset, f'{{"event_id":"d:{a}:{c}","event_type":"cycle_complete","asset_id":{a},"cycle_index":{c},"event_time":"2024-01-0{c}","expected_telemetry_rows":{n},"schema_version":"1.0"}}')
 
 
+def test_kinds_of_events_are_those_of_both_decoders(spark):
+    """One parse gives what the two decoders give, also for payloads that are broken, of both kinds, or bad in the other's fields."""
+    rows = [sample(1, 1, 1, 1), done(1, 1, 1, 1), ("lifecycle", 0, 9, "no json"), ("telemetry", 0, 9, None), ("telemetry", 0, 9, sample(1, 1, 2, 1)[3][:60])]
+    change = lambda row, old, new: (*row[:3], row[3].replace(old, new))
+    rows += [change(done(1, 2, 1, 1), "cycle_complete", kind) for kind in ("replay_complete", "unknown")]
+    rows += [change(sample(1, 1, 3, 1), '"voltage"', '"event_type":"eol_observed","voltage"'), change(sample(1, 1, 4, 1), '"voltage"', '"expected_telemetry_rows":"many","voltage"'), change(done(1, 3, 1, 1), '"schema', '"voltage":"x","sample_index":[],"schema')]
+    rows += [change(x, old, new) for x in (sample(1, 1, 5, 1), done(1, 4, 1, 1)) for old, new in (('"1.0"}', '"2.0"}'), ("2024-01-01", "soon"), ('"asset_id":1', '"asset_id":null'))]
+    sent = envelopes(spark, rows)
+    want = [(r.topic, "telemetry") for r in normalize.decode_events(sent).collect()] + [(r.topic, r.event_type) for r in normalize.decode_lifecycle(sent).collect()]
+    assert sorted(tuple(r) for r in normalize.event_kinds(sent).collect()) == sorted(want) and len(want) >= 7
+    assert normalize.event_kinds(sent)._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 1
+
+
 def test_publication_is_by_prefix_idempotent_and_survives_serving(spark, tmp_path):
     canonical = spark.createDataFrame([(1, c) for c in (1, 2, 3)], "asset_id bigint, cycle_index bigint")
     served = []
