@@ -83,7 +83,7 @@ class CycleStore:
         if seen is not None:
             fresh = seen.unionByName(fresh.join(seen.select("event_id"), "event_id", "left_anti"))
         held = self.write("held", batch, fresh)
-        counted = rendered(partials(held)).join(expected.select(*KEYS, "expected_telemetry_rows"), KEYS)
+        counted = self.write("complete", batch, rendered(partials(held)).join(expected.select(*KEYS, "expected_telemetry_rows"), KEYS))
         over = self.write("overfull", batch, counted.where("event_count > expected_telemetry_rows").select(*KEYS))
         spilt = held.join(over, KEYS, "left_semi")
         late = self.write("late", batch, spilt if late is None else spilt.unionByName(late.select(*spilt.columns)))
