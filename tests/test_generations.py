@@ -129,6 +129,22 @@ def test_a_version_is_replaced_without_a_join_by_it(spark):
             current.replaced_version(old, spark.createDataFrame([(v, 1, 1.0) for v in versions], kind))
 
 
+@pytest.mark.parametrize("parts", ["1", "2", "7", "8", "33"])
+def test_ranks_by_any_number_of_ranges(spark, parts):
+    """Ranges are found by a binary search: no row is compared with every bound."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = [(k, None if k % 5 == 0 else k % 13) for k in range(150)]
+        out = cohort.replay_sequence(spark.createDataFrame(rows, "k bigint, t bigint"), "t", "k")
+        assert "filter(_cuts" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.k: r.replay_sequence for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = [k for k, t in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))]
+    assert [got[k] for k in want] == list(range(150))
+
+
 def test_digests_fold_in_levels(spark):
     rows = spark.range(3000).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     a, b = (digests.folded(r, fold=4).first() for r in (rows, rows.repartition(7)))
